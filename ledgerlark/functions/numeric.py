@@ -39,7 +39,7 @@ def to_long(c: Column, strip_currency: bool = True) -> Column:
     """Integral values only; a fractional value becomes NULL (quarantined
     downstream) instead of aborting the whole job."""
     d = to_double(c, strip_currency)
-    return F.when(d == F.floor(d), d.cast("long"))
+    return F.when(d == F.floor(d), d.try_cast("long"))
 
 
 def is_nonnumeric(c: Column) -> Column:

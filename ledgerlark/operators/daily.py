@@ -21,7 +21,7 @@ UNKNOWN = "UNKNOWN"
 
 def money_sum(c: Column) -> Column:
     """Order-independent sum of a double money column; 0.0 when all NULL."""
-    return F.coalesce(F.sum(c.cast("decimal(38,6)")), F.lit(0).cast("decimal(38,6)"))
+    return F.coalesce(F.sum(c.cast("decimal(38,10)")), F.lit(0).cast("decimal(38,10)"))
 
 
 def to_cents(c: Column) -> Column:
@@ -109,7 +109,7 @@ def grain_check(daily: DataFrame) -> DataFrame:
 
 def reconcile(daily: DataFrame, clean: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """total daily net vs total clean line_revenue."""
-    d = daily.agg(F.round(F.sum(F.col("net_revenue").cast("decimal(38,6)")), 2).alias("daily_net"))
+    d = daily.agg(F.round(F.sum(F.col("net_revenue").cast("decimal(38,10)")), 2).alias("daily_net"))
     c = clean.agg(F.round(money_sum(F.col("line_revenue")), 2).alias("clean_net"))
     out = d.withColumn("_k", F.lit(1)).join(c.withColumn("_k", F.lit(1)), "_k").drop("_k")
     return out.select(F.col("daily_net").cast("double").alias("daily_net"),
@@ -136,7 +136,7 @@ def raw_reconcile(raw: DataFrame, daily: DataFrame) -> DataFrame:
          .groupBy("order_date")
          .agg(F.count(F.lit(1)).alias("raw_lines"), to_cents(money_sum(q * p)).alias("raw_net")))
     d = (daily.groupBy("order_date")
-         .agg(F.round(F.sum(F.col("net_revenue").cast("decimal(38,6)")), 2).cast("double").alias("daily_net")))
+         .agg(F.round(F.sum(F.col("net_revenue").cast("decimal(38,10)")), 2).cast("double").alias("daily_net")))
     j = r.join(d, "order_date", "full")
     return j.select("order_date", F.coalesce("raw_lines", F.lit(0)).alias("raw_lines"),
                     "raw_net", "daily_net",
@@ -167,7 +167,7 @@ def anomaly_days(daily: DataFrame) -> DataFrame:
     """store-days... per date: units sold but zero net."""
     by_day = daily.groupBy("order_date").agg(
         F.sum("units_sold").alias("units"),
-        F.round(F.sum(F.col("net_revenue").cast("decimal(38,6)")), 2).cast("double").alias("net"))
+        F.round(F.sum(F.col("net_revenue").cast("decimal(38,10)")), 2).cast("double").alias("net"))
     return by_day.where((F.col("units") > 0) & (F.col("net") == 0))
 
 

@@ -72,9 +72,9 @@ def board_frames(daily: DataFrame, lines: DataFrame, stores: list[str] | None =
 
 def kpi_totals(daily: DataFrame, lines: DataFrame) -> DataFrame:
     """Net, gross, discount, units, order lines, kept %, AOV, discount share."""
-    d = daily.agg(F.sum(F.col("net_revenue").cast("decimal(38,6)")).alias("net"),
-                  F.sum(F.col("gross_revenue").cast("decimal(38,6)")).alias("gross"),
-                  F.sum(F.col("discount_given").cast("decimal(38,6)")).alias("disc"),
+    d = daily.agg(F.sum(F.col("net_revenue").cast("decimal(38,10)")).alias("net"),
+                  F.sum(F.col("gross_revenue").cast("decimal(38,10)")).alias("gross"),
+                  F.sum(F.col("discount_given").cast("decimal(38,10)")).alias("disc"),
                   F.coalesce(F.sum("units_sold"), F.lit(0)).cast("long").alias("units_sold"))
     n = lines.agg(F.count(F.lit(1)).alias("order_lines"))
     j = d.withColumn("_k", F.lit(1)).join(n.withColumn("_k", F.lit(1)), "_k")
@@ -212,7 +212,7 @@ def rain_lift_mean(lines: DataFrame, thresholds=(1.0, 10.0)) -> DataFrame:
     pc = lines.where(F.col("precipitation_sum").isNotNull())
     pc = pc.withColumn("mm", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
     sd = (pc.groupBy("mm", "order_date", "store_id")
-          .agg(F.sum(F.col("net_revenue").cast("decimal(38,6)")).cast("double").alias("rev"),
+          .agg(F.sum(F.col("net_revenue").cast("decimal(38,10)")).cast("double").alias("rev"),
                F.max(F.col("precipitation_sum") >= F.col("mm")).alias("r")))
     per_store = (sd.groupBy("mm", "store_id")
                  .agg(F.avg(F.when(F.col("r"), F.col("rev"))).alias("_rm"),

@@ -22,7 +22,7 @@ ALPHA = 0.05
 def store_days(daily: DataFrame) -> DataFrame:
     """H1: (date, store) -> net (cents), max precip, max temp. Includes UNKNOWN."""
     return daily.groupBy("order_date", "store_id").agg(
-        F.round(F.sum(F.col("net_revenue").cast("decimal(38,6)")), 2).cast("double").alias("net_revenue"),
+        F.round(F.sum(F.col("net_revenue").cast("decimal(38,10)")), 2).cast("double").alias("net_revenue"),
         F.max("precipitation_sum").alias("precipitation_sum"),
         F.max("temp_max").alias("temp_max"))
 

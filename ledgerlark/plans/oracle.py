@@ -1,5 +1,742 @@
-"""DuckDB oracle SQL (filled in below)."""
+"""DuckDB oracle SQL: an independent statement of every registered query.
+
+The adapter views of ``plans/adapters.py`` are restated as SQL CTEs, then
+each query is plain SQL over them (windows where convenient -- the oracle
+only has to be right, not scale). The fuzzy similarity is written with
+DuckDB list lambdas: the LCS length uses the same bit-parallel recurrence as
+the Spark UDF but on HUGEINT masks (strings up to 126 characters, which the
+test catalogs respect).
+"""
+
+from __future__ import annotations
+
+NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _num(x: str, strip_currency: bool = True) -> str:
+    s = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    if strip_currency:
+        s = f"regexp_replace({s}, '[$,]', '', 'g')"
+    return f"(CASE WHEN regexp_full_match({s}, '{NUM_RE}') THEN TRY_CAST({s} AS DOUBLE) END)"
+
+
+def _long(x: str) -> str:
+    d = _num(x)
+    return f"(CASE WHEN {d} = floor({d}) THEN TRY_CAST({d} AS BIGINT) END)"
+
+
+def _norm(x: str) -> str:
+    return (f"regexp_replace(regexp_replace(lower(coalesce(CAST({x} AS VARCHAR), '')), "
+            f"'[^a-z0-9]+', ' ', 'g'), '^ +| +$', '', 'g')")
+
+
+def _tokens(x: str) -> str:
+    return f"list_distinct(list_filter(string_split({x}, ' '), lambda t: t <> ''))"
+
+
+def _lcs(a: str, b: str) -> str:
+    full = f"((1::HUGEINT << length({b})) - 1)"
+    masks = (f"list_transform(range(length({a})), lambda i: coalesce(list_sum(list_transform("
+             f"range(length({b})), lambda j: CASE WHEN substr({b}, j + 1, 1) = substr({a}, i + 1, 1) "
+             f"THEN (1::HUGEINT << j) ELSE 0::HUGEINT END)), 0::HUGEINT))")
+    v = f"list_reduce({masks}, lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full}, {full})"
+    return f"(length({b}) - bit_count({v}))"
+
+
+def _ratio(a: str, b: str) -> str:
+    return (f"(CASE WHEN {a} = {b} THEN 100 WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 "
+            f"ELSE CAST(round_even(100.0::DOUBLE * ((2 * {_lcs(a, b)})::DOUBLE / (length({a}) + length({b}))), 0)"
+            f" AS INTEGER) END)")
+
+
+def _category_map(x: str, default: str = "NULL") -> str:
+    # Legacy category -> new-system department rename.
+    return (f"coalesce(CASE {x} WHEN 'camping' THEN 'camping' WHEN 'emergency' THEN 'preparedness' "
+            f"WHEN 'footwear' THEN 'footwear' WHEN 'hydration' THEN 'drinkware' "
+            f"WHEN 'outerwear' THEN 'apparel' WHEN 'patio' THEN 'patio' END, {default})")
+
+
+LOAD_ORDER = ("copy_no, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
+              "l_discount, l_returnflag, o_orderpriority")
+
+CTES: dict[str, tuple[list[str], str]] = {}
+
+
+def cte(name: str, deps: list[str], sql: str) -> None:
+    CTES[name] = (deps, sql)
+
+
+cte("feed_base", [], """
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
+         l.l_discount, l.l_returnflag, o.o_orderpriority, CAST(o.o_orderdate AS DATE) AS d
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+cte("feed_rows", ["feed_base"], """
+  SELECT *, 0 AS copy_no, d AS file_d FROM feed_base
+  UNION ALL
+  SELECT *, 1 AS copy_no, CAST(d + 1 AS DATE) AS file_d FROM feed_base WHERE l_orderkey % 211 = 0""")
+cte("feed", ["feed_rows"], """
+  SELECT
+    'orders_' || CAST(file_d AS VARCHAR) || '.csv' AS source_file,
+    CAST(file_d AS VARCHAR) || 'T06:00:00Z' AS ingested_at,
+    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
+    CASE WHEN l_orderkey % 503 <> 0 THEN CAST(d AS VARCHAR) END AS order_date,
+    'S00' || CAST(l_suppkey % 8 + 1 AS VARCHAR) AS store_id,
+    CASE WHEN year(file_d) < 1998 THEN 'P' || CAST(l_partkey AS VARCHAR)
+         WHEN year(file_d) >= 2000 THEN 'NP' || CAST(l_partkey AS VARCHAR) END AS product_id,
+    CASE WHEN year(file_d) >= 1998 AND year(file_d) < 2000 THEN 'NP' || CAST(CASE WHEN l_partkey % 97 = 0
+         THEN l_partkey + 9000000 ELSE l_partkey END AS VARCHAR) END AS new_product_id,
+    CASE WHEN year(file_d) >= 2000 THEN 'new_system' END AS product_id_source,
+    CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
+    CASE WHEN l_orderkey % 50 = 0 THEN '$' ELSE '' END
+      || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS unit_price,
+    CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS discount_pct,
+    CASE l_returnflag WHEN 'A' THEN 'pickup' WHEN 'N' THEN 'in_store' WHEN 'R' THEN 'ship_from_store' END
+      AS sales_channel,
+    CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'Y'
+         WHEN substr(o_orderpriority, 1, 1) IN ('3', '4') THEN 'N' END AS loyalty_member,
+    copy_no, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+    l_returnflag, o_orderpriority, year(file_d) AS file_year
+  FROM feed_rows""")
+cte("products", [], """
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id,
+    concat_ws(' ', p_name, p_brand, CAST(p_partkey AS VARCHAR)) AS product_name,
+    CASE WHEN p_partkey % 50 = 7 THEN 'clearance' ELSE CASE p_type WHEN 'ECONOMY' THEN 'camping'
+      WHEN 'LARGE' THEN 'emergency' WHEN 'MEDIUM' THEN 'footwear' WHEN 'PROMO' THEN 'hydration'
+      WHEN 'SMALL' THEN 'outerwear' WHEN 'STANDARD' THEN 'patio' END END AS category,
+    p_name AS subcategory, p_brand AS brand,
+    CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS base_price,
+    '0.' || CAST(CASE WHEN p_partkey % 100 = 9 THEN 29 ELSE 30 + p_partkey % 7 END AS VARCHAR) AS margin_rate,
+    CAST(DATE '2019-01-01' + CAST(p_partkey // 40 AS INTEGER) AS VARCHAR) AS launch_date,
+    'Y' AS active, p_partkey AS catalog_pos
+  FROM part""")
+cte("np_base", [], f"""
+  SELECT 'NP' || CAST(p_partkey AS VARCHAR) AS new_product_id,
+    CASE WHEN p_partkey % 8 = 1 THEN concat_ws(' ', p_name, 'series', lower(p_type))
+         WHEN p_partkey % 8 = 5 THEN concat_ws(' ', p_name, CAST(p_partkey AS VARCHAR), 'pro')
+         ELSE concat_ws(' ', p_name, p_brand, CAST(p_partkey AS VARCHAR)) END AS item_name,
+    {_category_map("CASE WHEN p_partkey % 50 = 7 THEN 'clearance' ELSE CASE p_type WHEN 'ECONOMY' THEN 'camping' WHEN 'LARGE' THEN 'emergency' WHEN 'MEDIUM' THEN 'footwear' WHEN 'PROMO' THEN 'hydration' WHEN 'SMALL' THEN 'outerwear' WHEN 'STANDARD' THEN 'patio' END END", "'outlet'")} AS department,
+    p_name AS class,
+    replace(p_brand, 'Brand#', 'Mfr ') AS brand_name,
+    CAST(CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(1.05 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2))
+      AS VARCHAR) AS msrp,
+    '0.' || CAST(30 + p_partkey % 7 AS VARCHAR) AS gross_margin,
+    CAST(DATE '2019-01-01' + CAST(p_partkey // 40 AS INTEGER) AS VARCHAR) AS launch_date,
+    'Y' AS active, p_partkey * 2 AS catalog_pos, p_partkey AS _k,
+    CAST(p_retailprice AS DECIMAL(12,2)) AS _retail
+  FROM part WHERE p_partkey % 20 <> 9""")
+cte("new_products", ["np_base"], """
+  SELECT new_product_id, item_name, department, class, brand_name, msrp, gross_margin, launch_date,
+         active, catalog_pos FROM np_base
+  UNION ALL
+  SELECT 'NP' || CAST(_k + 8000000 AS VARCHAR), item_name || ' alt', department, class, brand_name,
+    CAST(CAST(round(_retail * CAST(1.07 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS VARCHAR),
+    gross_margin, launch_date, active, catalog_pos + 1
+  FROM np_base WHERE _k % 100 = 17""")
+cte("stores", [], """
+  SELECT DISTINCT 'S00' || CAST(s_suppkey % 8 + 1 AS VARCHAR) AS store_id FROM supplier""")
+cte("wx_days", [], """
+  SELECT DISTINCT CAST(o.o_orderdate AS DATE) AS d, l.l_suppkey % 8 + 1 AS store_no
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+cte("weather_daily", ["wx_days"], """
+  SELECT CAST(d AS VARCHAR) AS weather_date, 'S00' || CAST(store_no AS VARCHAR) AS store_id,
+    CAST(100 + (dayofyear(d) * 11 + store_no * 5) % 250 AS DOUBLE) / 10 AS temperature_2m_max,
+    CAST(100 + (dayofyear(d) * 11 + store_no * 5) % 250 - 80 AS DOUBLE) / 10 AS temperature_2m_min,
+    CAST((dayofyear(d) * 7 + year(d) * 3 + store_no * 13) % 40 AS DOUBLE) * 0.25::DOUBLE AS precipitation_sum,
+    CAST((dayofyear(d) + store_no) % 4 AS INTEGER) AS weather_code, 'adapter' AS weather_source
+  FROM wx_days""")
+cte("pulls", ["weather_daily"], """
+  SELECT w.*, CAST(year(CAST(weather_date AS DATE)) AS VARCHAR) || '-01-01' AS range_start,
+         CAST(year(CAST(weather_date AS DATE)) AS VARCHAR) || '-06-30' AS range_end
+  FROM weather_daily w WHERE month(CAST(weather_date AS DATE)) <= 6
+  UNION ALL
+  SELECT weather_date, store_id, temperature_2m_max, temperature_2m_min,
+    CASE WHEN (dayofyear(CAST(weather_date AS DATE)) + CAST(substr(store_id, 4, 1) AS INTEGER)) % 29 = 0
+      THEN precipitation_sum + 0.75::DOUBLE ELSE precipitation_sum END,
+    weather_code, weather_source,
+    CAST(year(CAST(weather_date AS DATE)) AS VARCHAR) || '-01-01',
+    CAST(year(CAST(weather_date AS DATE)) AS VARCHAR) || '-12-31'
+  FROM weather_daily""")
+
+# ---- crosswalk ---------------------------------------------------------------
+cte("xl", ["products"], f"""
+  SELECT product_id, brand, base_price, margin_rate AS m, launch_date AS d,
+    {_category_map("lower(category)", "''")} AS dept, catalog_pos AS l_pos,
+    {_norm("product_name")} AS l_name, {_norm("subcategory")} AS l_sub
+  FROM products""")
+cte("xn", ["new_products"], f"""
+  SELECT new_product_id, msrp, gross_margin AS m, launch_date AS d, department AS dept,
+    catalog_pos AS n_pos, {_norm("item_name")} AS n_name, {_norm("class")} AS n_class
+  FROM new_products""")
+cte("xfirst", ["xn"], """
+  SELECT n_name, arg_min(new_product_id, n_pos) AS new_product_id FROM xn GROUP BY n_name""")
+cte("xtier1", ["xl", "xfirst"], """
+  SELECT xl.product_id, xl.l_pos, f.new_product_id FROM xl JOIN xfirst f ON xl.l_name = f.n_name""")
+cte("xpairs", ["xl", "xn", "xfirst"], f"""
+  SELECT xl.product_id, xl.l_pos, xn.new_product_id, xn.n_pos,
+    xl.l_name AS a1, xn.n_name AS b1, xl.l_sub AS a2, xn.n_class AS b2,
+    CASE WHEN {_num("xl.base_price", False)} > 0 AND {_num("xn.msrp", False)} IS NOT NULL
+      THEN greatest(0.0::DOUBLE, 1.0::DOUBLE - abs({_num("xn.msrp", False)} - {_num("xl.base_price", False)})
+                    / {_num("xl.base_price", False)})
+      ELSE 0.0::DOUBLE END AS price_sim
+  FROM xl JOIN xn ON xl.d = xn.d AND xl.m = xn.m AND xl.dept = xn.dept
+  WHERE NOT EXISTS (SELECT 1 FROM xfirst f WHERE f.n_name = xl.l_name)""")
+
+
+def _tokset_cols(a: str, b: str, p: str) -> str:
+    ta, tb = _tokens(a), _tokens(b)
+    inter = f"array_to_string(list_sort(list_intersect({ta}, {tb})), ' ')"
+    d1 = f"array_to_string(list_sort(list_filter({ta}, lambda t: NOT list_contains({tb}, t))), ' ')"
+    d2 = f"array_to_string(list_sort(list_filter({tb}, lambda t: NOT list_contains({ta}, t))), ' ')"
+    return (f"len({ta}) > 0 AND len({tb}) > 0 AS {p}_ok, {inter} AS {p}_i, "
+            f"trim({inter} || ' ' || {d1}) AS {p}_x, trim({inter} || ' ' || {d2}) AS {p}_y")
+
+
+cte("xtok", ["xpairs"], f"""
+  SELECT *, {_tokset_cols("a1", "b1", "t1")}, {_tokset_cols("a2", "b2", "t2")} FROM xpairs""")
+
+
+def _tsr(p: str) -> str:
+    return (f"CASE WHEN NOT {p}_ok THEN 0 ELSE greatest({_ratio(p + '_i', p + '_x')}, "
+            f"{_ratio(p + '_i', p + '_y')}, {_ratio(p + '_x', p + '_y')}) END")
+
+
+cte("xscored", ["xtok"], f"""
+  SELECT product_id, l_pos, new_product_id, n_pos,
+    CAST({_tsr("t1")} AS DOUBLE) / 100.0::DOUBLE AS name_sim,
+    CAST({_tsr("t2")} AS DOUBLE) / 100.0::DOUBLE AS subclass_sim, price_sim
+  FROM xtok""")
+cte("xscore", ["xscored"], """
+  SELECT *, 0.6::DOUBLE * name_sim + 0.2::DOUBLE * subclass_sim + 0.2::DOUBLE * price_sim AS score
+  FROM xscored""")
+cte("xranked", ["xscore"], """
+  SELECT *, row_number() OVER (PARTITION BY l_pos ORDER BY score DESC, n_pos ASC) AS rn,
+         count(*) OVER (PARTITION BY l_pos) AS n_cands FROM xscore""")
+cte("xtop", ["xranked"], """
+  SELECT b.product_id, b.l_pos, b.new_product_id AS best_id, b.score AS best, b.name_sim, b.n_cands,
+         s.new_product_id AS second_id, s.score AS second
+  FROM xranked b LEFT JOIN xranked s ON s.l_pos = b.l_pos AND s.rn = 2 WHERE b.rn = 1""")
+cte("crosswalk", ["xl", "xtier1", "xtop"], """
+  SELECT product_id, l_pos AS catalog_pos, new_product_id, match_status, match_confidence, match_method, notes,
+    CASE WHEN match_status = 'matched' AND match_confidence = 'high' THEN 0 ELSE 1 END AS needs_review
+  FROM (
+    SELECT product_id, l_pos, new_product_id, 'matched' AS match_status, 'high' AS match_confidence,
+           'exact_name' AS match_method, 'exact normalized name match' AS notes FROM xtier1
+    UNION ALL
+    SELECT product_id, l_pos,
+      CASE WHEN best < 0.6 THEN NULL ELSE best_id END,
+      CASE WHEN best < 0.6 THEN 'unresolved' WHEN n_cands > 1 AND best - second < 0.05 THEN 'possible_match'
+           ELSE 'matched' END,
+      CASE WHEN best < 0.6 THEN 'low' WHEN n_cands > 1 AND best - second < 0.05 THEN 'medium'
+           WHEN name_sim >= 0.85 THEN 'high' ELSE 'medium' END,
+      CASE WHEN best < 0.6 THEN 'below_threshold' ELSE 'attributes_fuzzy' END,
+      CASE WHEN best < 0.6 THEN 'best candidate ' || best_id || ' scored ' || printf('%.2f', best)
+                                || ', under the 0.6 floor'
+           WHEN n_cands > 1 AND best - second < 0.05 THEN 'two close candidates (' || best_id || ' vs '
+                                || second_id || '); picked higher name/price score'
+           ELSE CASE WHEN n_cands = 1 THEN 'attribute block unique' ELSE 'best of block by name/price' END
+                || '; name_sim=' || printf('%.2f', name_sim) END
+    FROM xtop
+    UNION ALL
+    SELECT product_id, l_pos, NULL, 'unresolved', 'low', 'none',
+           'no candidate sharing launch_date+margin+department'
+    FROM xl WHERE l_pos NOT IN (SELECT l_pos FROM xtier1) AND l_pos NOT IN (SELECT l_pos FROM xtop)
+  )""")
+cte("xw_map", ["crosswalk"], """
+  SELECT product_id, arg_max(new_product_id, catalog_pos) AS mapped
+  FROM crosswalk WHERE new_product_id IS NOT NULL GROUP BY product_id""")
+
+# ---- cleaning ------------------------------------------------------------------
+cte("resolved", ["feed", "xw_map"], """
+  SELECT f.*, coalesce(f.new_product_id, f.product_id) AS raw_val,
+    (coalesce(f.product_id_source = 'new_system', false) OR f.new_product_id IS NOT NULL
+     OR coalesce(starts_with(coalesce(f.new_product_id, f.product_id), 'NP'), false)) AS is_new,
+    m.mapped
+  FROM feed f LEFT JOIN xw_map m ON coalesce(f.new_product_id, f.product_id) = m.product_id""")
+cte("typed", ["resolved"], f"""
+  SELECT source_file, {LOAD_ORDER},
+    order_id, order_date, store_id,
+    CASE WHEN is_new THEN raw_val ELSE coalesce(mapped, raw_val) END AS product_key,
+    CASE WHEN NOT is_new THEN product_id END AS legacy_product_id,
+    CAST(is_new AS INTEGER) AS is_new_system,
+    {_long("quantity")} AS quantity,
+    {_num("unit_price")} AS unit_price,
+    {_num("discount_pct")} AS discount_pct,
+    CAST({_long("quantity")} AS DOUBLE) * {_num("unit_price")} AS line_revenue,
+    sales_channel,
+    CASE WHEN loyalty_member = 'Y' THEN 1 WHEN loyalty_member = 'N' THEN 0 END AS loyalty_member
+  FROM resolved""")
+cte("tagged", ["typed"], f"""
+  SELECT *, CASE WHEN order_date IS NULL OR order_date = '' THEN 'missing_or_bad_order_date'
+                 WHEN rn > 1 THEN 'duplicate_natural_key' END AS reject_reason
+  FROM (SELECT *, CASE WHEN order_date IS NULL OR order_date = '' THEN NULL ELSE
+          row_number() OVER (PARTITION BY order_id, order_date, store_id, product_key,
+                             (order_date IS NULL OR order_date = '')
+                             ORDER BY source_file, {LOAD_ORDER}) END AS rn
+        FROM typed)""")
+CLEAN_COLS = ("order_id, order_date, store_id, product_key, legacy_product_id, is_new_system, quantity, "
+              "unit_price, discount_pct, line_revenue, sales_channel, loyalty_member, source_file")
+cte("clean_orders", ["tagged"], f"SELECT {CLEAN_COLS} FROM tagged WHERE reject_reason IS NULL")
+
+# ---- daily ---------------------------------------------------------------------
+cte("catres", ["clean_orders", "new_products", "products"], f"""
+  SELECT c.*,
+    CASE WHEN nd.new_product_id IS NOT NULL THEN nd.department
+         WHEN lc.product_id IS NOT NULL THEN {_category_map("lower(lc.category)", "'UNKNOWN'")}
+         ELSE 'UNKNOWN' END AS category,
+    CASE WHEN nd.new_product_id IS NOT NULL THEN 'new_system'
+         WHEN lc.product_id IS NOT NULL THEN 'legacy_recovered' ELSE 'unknown' END AS category_source
+  FROM clean_orders c
+  LEFT JOIN (SELECT new_product_id, arg_max(department, catalog_pos) AS department FROM new_products
+             GROUP BY new_product_id) nd ON c.product_key = nd.new_product_id
+  LEFT JOIN (SELECT product_id, arg_max(category, catalog_pos) AS category FROM products
+             GROUP BY product_id) lc ON c.legacy_product_id = lc.product_id""")
+cte("money", ["catres"], """
+  SELECT *, CAST(quantity AS DOUBLE) * unit_price AS net,
+    CAST(quantity AS DOUBLE) * unit_price / (CASE WHEN 1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE > 0
+         THEN 1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE ELSE 1.0::DOUBLE END) AS gross
+  FROM catres""")
+cte("daily_agg", ["money"], """
+  SELECT order_date, store_id, category, category_source,
+    CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units_sold,
+    CAST(round(coalesce(sum(CAST(CAST(net AS VARCHAR) AS DECIMAL(38,10))), 0), 2) AS DOUBLE) AS net_revenue,
+    CAST(round(coalesce(sum(CAST(CAST(gross AS VARCHAR) AS DECIMAL(38,10))), 0), 2) AS DOUBLE) AS gross_revenue,
+    CAST(round(coalesce(sum(CAST(CAST(gross - net AS VARCHAR) AS DECIMAL(38,10))), 0), 2) AS DOUBLE) AS discount_given
+  FROM money GROUP BY order_date, store_id, category, category_source""")
+cte("daily_sales", ["daily_agg", "weather_daily"], """
+  SELECT a.*, w.temperature_2m_max AS temp_max, w.temperature_2m_min AS temp_min, w.precipitation_sum,
+         CAST(w.weather_code AS INTEGER) AS weather_code
+  FROM daily_agg a LEFT JOIN weather_daily w ON a.order_date = w.weather_date AND a.store_id = w.store_id""")
+
+# ---- board ---------------------------------------------------------------------
+cte("lines", ["clean_orders", "new_products", "products", "daily_sales"], f"""
+  SELECT c.order_date, c.store_id, c.product_key, c.legacy_product_id, c.quantity, c.unit_price,
+    c.discount_pct, c.sales_channel,
+    coalesce(np.item_name, p.product_name, c.product_key) AS product_name,
+    coalesce(np.department, {_category_map("p.category")}, 'UNKNOWN') AS category,
+    c.line_revenue AS net_revenue,
+    CAST(c.quantity AS DOUBLE) * c.unit_price / (CASE WHEN 1.0::DOUBLE - coalesce(c.discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE > 0
+         THEN 1.0::DOUBLE - coalesce(c.discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE ELSE 1.0::DOUBLE END) AS gross_revenue,
+    pr.precipitation_sum
+  FROM clean_orders c
+  LEFT JOIN (SELECT new_product_id, arg_max(item_name, catalog_pos) AS item_name,
+                    arg_max(department, catalog_pos) AS department FROM new_products GROUP BY new_product_id) np
+    ON c.product_key = np.new_product_id
+  LEFT JOIN (SELECT product_id, arg_max(product_name, catalog_pos) AS product_name,
+                    arg_max(category, catalog_pos) AS category FROM products GROUP BY product_id) p
+    ON c.legacy_product_id = p.product_id
+  LEFT JOIN (SELECT order_date, store_id, max(precipitation_sum) AS precipitation_sum FROM daily_sales
+             GROUP BY order_date, store_id) pr ON c.order_date = pr.order_date AND c.store_id = pr.store_id""")
+cte("bdaily", ["daily_sales"], "SELECT * FROM daily_sales WHERE category <> 'UNKNOWN'")
+cte("blines", ["lines"], "SELECT * FROM lines WHERE category <> 'UNKNOWN'")
+cte("sd", ["daily_sales"], """
+  SELECT order_date, store_id, CAST(round(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 2) AS DOUBLE) AS net_revenue,
+         max(precipitation_sum) AS precipitation_sum, max(temp_max) AS temp_max
+  FROM daily_sales GROUP BY order_date, store_id""")
+
+# ---- quality -------------------------------------------------------------------
+cte("fpos", ["feed"], f"""
+  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {LOAD_ORDER}) AS pos,
+    file_year >= 1998 AND file_year < 2000 AS has_new, file_year >= 2000 AS has_src,
+    CASE WHEN file_year >= 1998 AND file_year < 2000 THEN new_product_id ELSE product_id END AS prod
+  FROM feed""")
+cte("found", ["fpos"], """
+  SELECT source_file, string_agg(order_date, ';' ORDER BY p) AS found
+  FROM (SELECT source_file, order_date, min(pos) AS p FROM fpos WHERE order_date IS NOT NULL
+        GROUP BY source_file, order_date) GROUP BY source_file""")
+cte("pids", ["products", "new_products"], """
+  SELECT DISTINCT product_id AS id FROM products WHERE product_id IS NOT NULL
+  UNION SELECT DISTINCT new_product_id FROM new_products WHERE new_product_id IS NOT NULL""")
+cte("fstats", ["fpos", "stores", "pids"], f"""
+  SELECT f.source_file, any_value(has_new) AS has_new, any_value(has_src) AS has_src,
+    count(*) AS n_rows,
+    count_if(coalesce(order_id IS NULL, false)) AS na_order_id, count_if(coalesce(order_date IS NULL, false)) AS na_order_date,
+    count_if(coalesce(f.store_id IS NULL, false)) AS na_store_id, count_if(coalesce(prod IS NULL, false)) AS na_product,
+    count_if(coalesce(quantity IS NULL, false)) AS na_quantity, count_if(coalesce(unit_price IS NULL, false)) AS na_unit_price,
+    count_if(coalesce(discount_pct IS NULL, false)) AS na_discount_pct, count_if(coalesce(sales_channel IS NULL, false)) AS na_sales_channel,
+    count_if(coalesce(loyalty_member IS NULL, false)) AS na_loyalty,
+    count_if(coalesce({_num("quantity", False)} < 0, false)) AS neg_quantity,
+    count_if(coalesce({_num("unit_price", False)} < 0, false)) AS neg_unit_price,
+    count_if(coalesce({_num("discount_pct", False)} < 0 OR {_num("discount_pct", False)} > 100, false)) AS bad_discount,
+    count_if(coalesce(unit_price IS NOT NULL AND {_num("unit_price", False)} IS NULL, false)) AS nn_unit_price,
+    count_if(coalesce(quantity IS NOT NULL AND {_num("quantity", False)} IS NULL, false)) AS nn_quantity,
+    count_if(coalesce(discount_pct IS NOT NULL AND {_num("discount_pct", False)} IS NULL, false)) AS nn_discount_pct,
+    count_if(coalesce(s.store_id IS NULL, false)) AS orphan_store, count_if(coalesce(pid.id IS NULL, false)) AS orphan_product
+  FROM fpos f LEFT JOIN stores s ON f.store_id = s.store_id LEFT JOIN pids pid ON f.prod = pid.id
+  GROUP BY f.source_file""")
+cte("fdup", ["feed"], """
+  SELECT source_file, sum(c - 1) AS dup_rows FROM (
+    SELECT source_file, count(*) AS c FROM feed GROUP BY source_file, order_id, order_date, store_id,
+      product_id, new_product_id, product_id_source, quantity, unit_price, discount_pct, sales_channel,
+      loyalty_member) GROUP BY source_file""")
+cte("fdupid", ["feed"], """
+  SELECT source_file, sum(c - 1) AS dup_order_id FROM (
+    SELECT source_file, count(*) AS c FROM feed GROUP BY source_file, order_id) GROUP BY source_file""")
+cte("fall", ["fstats", "fdup", "fdupid", "found"], """
+  SELECT s.*, CAST(d.dup_rows AS BIGINT) AS dup_rows, CAST(i.dup_order_id AS BIGINT) AS dup_order_id,
+    coalesce(fo.found, '') AS found, regexp_extract(s.source_file, '\\d{4}-\\d{2}-\\d{2}') AS expected
+  FROM fstats s JOIN fdup d USING (source_file) JOIN fdupid i USING (source_file)
+  LEFT JOIN found fo USING (source_file)""")
+cte("dq", ["fall"], """
+  SELECT expected AS run_date, source_file AS file_name, CAST(n_rows AS BIGINT) AS n_rows,
+    CASE WHEN has_new THEN 'new_product_id' ELSE 'product_id' END AS product_col,
+    CAST(has_src AS INTEGER) AS has_source_flag,
+    CAST(na_order_id AS BIGINT) AS na_order_id, CAST(na_order_date AS BIGINT) AS na_order_date,
+    CAST(na_store_id AS BIGINT) AS na_store_id, CAST(na_product AS BIGINT) AS na_product,
+    CAST(na_quantity AS BIGINT) AS na_quantity, CAST(na_unit_price AS BIGINT) AS na_unit_price,
+    CAST(na_discount_pct AS BIGINT) AS na_discount_pct, CAST(na_sales_channel AS BIGINT) AS na_sales_channel,
+    CAST(na_loyalty AS BIGINT) AS na_loyalty, dup_rows, dup_order_id,
+    CAST(neg_quantity AS BIGINT) AS neg_quantity, CAST(neg_unit_price AS BIGINT) AS neg_unit_price,
+    CAST(bad_discount AS BIGINT) AS bad_discount,
+    CAST(orphan_store AS BIGINT) AS orphan_store, CAST(orphan_product AS BIGINT) AS orphan_product,
+    concat_ws(';',
+      CASE WHEN has_new THEN 'schema_new_product_col' END,
+      CASE WHEN has_src THEN 'header_mislabeled_product' END,
+      CASE WHEN found <> '' AND found <> expected THEN 'stale(expected=' || expected || ',found=' || found || ')' END,
+      CASE WHEN dup_rows > 0 OR dup_order_id > 0 THEN 'duplicates' END,
+      CASE WHEN neg_quantity > 0 OR neg_unit_price > 0 OR bad_discount > 0 THEN 'out_of_range' END,
+      CASE WHEN nn_unit_price + nn_quantity + nn_discount_pct > 0 THEN 'nonnumeric(' || concat_ws(',',
+        CASE WHEN nn_unit_price > 0 THEN 'unit_price=' || CAST(nn_unit_price AS VARCHAR) END,
+        CASE WHEN nn_quantity > 0 THEN 'quantity=' || CAST(nn_quantity AS VARCHAR) END,
+        CASE WHEN nn_discount_pct > 0 THEN 'discount_pct=' || CAST(nn_discount_pct AS VARCHAR) END) || ')' END,
+      CASE WHEN orphan_store > 0 OR orphan_product > 0 THEN 'orphans' END) AS flags,
+    found, expected
+  FROM fall""")
+cte("fstatus", ["dq"], """
+  SELECT file_name, expected AS expected_date,
+    CASE WHEN n_rows = 0 THEN 'empty' WHEN expected IS NOT NULL AND found <> expected THEN 'stale'
+         ELSE 'success' END AS status, n_rows AS rows_loaded, found AS found_date
+  FROM dq""")
+cte("fhash", ["feed"], """
+  SELECT source_file, CAST(sum(CAST(CAST(('0x' || substr(md5(concat_ws(chr(1),
+      coalesce(order_id, chr(0)), coalesce(order_date, chr(0)), coalesce(store_id, chr(0)),
+      coalesce(product_id, chr(0)), coalesce(new_product_id, chr(0)), coalesce(product_id_source, chr(0)),
+      coalesce(quantity, chr(0)), coalesce(unit_price, chr(0)), coalesce(discount_pct, chr(0)),
+      coalesce(sales_channel, chr(0)), coalesce(loyalty_member, chr(0)))), 1, 15)) AS BIGINT)
+      AS DECIMAL(38,0))) AS VARCHAR) AS file_hash
+  FROM feed GROUP BY source_file""")
+cte("ilog", ["fstatus", "fhash"], """
+  SELECT substr(sha256(concat_ws('|', s.file_name, coalesce(h.file_hash, ''))), 1, 32) AS run_id,
+    s.expected_date || 'T06:00:00Z' AS run_timestamp, 'feed://orders.csv' AS source_url,
+    s.expected_date AS source_date_expected, s.found_date AS source_date_found, s.status,
+    CAST(s.rows_loaded AS INTEGER) AS rows_loaded, h.file_hash, '' AS error_message
+  FROM fstatus s LEFT JOIN fhash h ON s.file_name = h.source_file
+  WHERE s.file_name IN (SELECT min(file_name) FROM fstatus GROUP BY expected_date)""")
+
+
+def with_ctes(needed: list[str], body: str) -> str:
+    order: list[str] = []
+
+    def visit(n: str) -> None:
+        if n in order:
+            return
+        for d in CTES[n][0]:
+            visit(d)
+        order.append(n)
+
+    for n in needed:
+        visit(n)
+    parts = [f"{n} AS ({CTES[n][1]}\n)" for n in order]
+    b = body.lstrip()
+    if b.upper().startswith("WITH "):
+        return "WITH " + ",\n".join(parts) + ",\n" + b[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+Q: dict[str, tuple[list[str], str]] = {}
+
+
+def q(name: str, needed: list[str], body: str) -> None:
+    Q[name] = (needed, body)
+
+
+def _dec(x: str) -> str:
+    """Double -> DECIMAL(38,10) through the shortest decimal text, which is
+    how Spark converts a double to a decimal."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10))"
+
+
+def _cents(x: str) -> str:
+    return f"CAST(round(coalesce(sum({_dec(x)}), 0), 2) AS DOUBLE)"
+
+
+# D
+q("numeric_normalise", ["feed"], f"""
+SELECT source_file, order_id, unit_price AS unit_price_text, {_long("quantity")} AS quantity,
+  {_num("unit_price")} AS unit_price, {_num("discount_pct")} AS discount_pct FROM feed""")
+q("product_resolution", ["typed", "resolved"], """
+SELECT source_file, order_id, coalesce(new_product_id, product_id) AS raw_val, CAST(is_new AS INTEGER) AS is_new_system,
+  CASE WHEN is_new THEN coalesce(new_product_id, product_id) ELSE coalesce(mapped, coalesce(new_product_id, product_id)) END
+    AS product_key,
+  CASE WHEN NOT is_new THEN product_id END AS legacy_product_id
+FROM resolved""")
+q("clean_orders", ["clean_orders"], "SELECT * FROM clean_orders")
+q("rejected_rows", ["tagged"], """
+SELECT source_file, reject_reason AS reason, order_id,
+  to_json({'order_id': order_id, 'order_date': order_date, 'store_id': store_id, 'product_key': product_key,
+           'legacy_product_id': legacy_product_id, 'is_new_system': CAST(is_new_system AS VARCHAR),
+           'quantity': CAST(quantity AS VARCHAR),
+           'unit_price': CASE WHEN unit_price IS NOT NULL THEN printf('%.4f', unit_price) END,
+           'discount_pct': CASE WHEN discount_pct IS NOT NULL THEN printf('%.4f', discount_pct) END,
+           'line_revenue': CASE WHEN line_revenue IS NOT NULL THEN printf('%.4f', line_revenue) END,
+           'sales_channel': sales_channel, 'loyalty_member': CAST(loyalty_member AS VARCHAR),
+           'source_file': source_file}) AS raw_json
+FROM tagged WHERE reject_reason IS NOT NULL""")
+q("line_revenue_by_channel", ["clean_orders"], f"""
+SELECT sales_channel, loyalty_member, count(*) AS n_lines, {_cents("line_revenue")} AS line_revenue
+FROM clean_orders GROUP BY sales_channel, loyalty_member""")
+
+# E
+q("normalised_names", ["products"], f"""
+SELECT product_id, {_norm("product_name")} AS norm_name, {_norm("subcategory")} AS norm_subcategory FROM products""")
+q("token_overlap", ["products", "new_products"], f"""
+SELECT product_id, new_product_id, len(list_intersect({_tokens("a")}, {_tokens("b")})) AS overlap,
+  round(CAST(len(list_intersect({_tokens("a")}, {_tokens("b")})) AS DOUBLE)
+        / greatest(len({_tokens("a")}), len({_tokens("b")}), 1), 6) AS similarity
+FROM (SELECT l.product_id, n.new_product_id, {_norm("l.product_name")} AS a, {_norm("n.item_name")} AS b
+      FROM products l JOIN new_products n ON 'N' || l.product_id = n.new_product_id)""")
+q("token_set_similarity", ["xscore"], """
+SELECT product_id, new_product_id, name_sim, subclass_sim, round(price_sim, 6) AS price_sim,
+  round(score, 6) AS score FROM xscore""")
+q("crosswalk_exact", ["xtier1"], "SELECT product_id, new_product_id FROM xtier1")
+CW_COLS = "product_id, new_product_id, match_status, match_confidence, match_method, notes, needs_review"
+q("crosswalk", ["crosswalk"], f"SELECT {CW_COLS} FROM crosswalk")
+q("crosswalk_review", ["crosswalk"], f"SELECT {CW_COLS} FROM crosswalk WHERE needs_review = 1")
+q("crosswalk_validation", ["crosswalk"], """
+SELECT count(*) AS n_rows, count(new_product_id) AS n_mapped,
+  count(DISTINCT new_product_id) AS n_distinct_new,
+  count(new_product_id) - count(DISTINCT new_product_id) AS n_double_assigned,
+  count_if(coalesce(match_confidence = 'high', false)) AS n_high, count_if(coalesce(match_confidence = 'medium', false)) AS n_medium,
+  count_if(coalesce(match_confidence = 'low', false)) AS n_low, count_if(coalesce(needs_review = 1, false)) AS n_review,
+  count_if(coalesce(needs_review = 1 AND match_status = 'matched', false)) AS n_review_matched_medium,
+  count_if(coalesce(needs_review = 1 AND match_status = 'possible_match', false)) AS n_review_possible,
+  count_if(coalesce(needs_review = 1 AND match_status = 'unresolved', false)) AS n_review_unresolved
+FROM crosswalk""")
+q("crosswalk_status", ["crosswalk"], """
+SELECT match_status, match_method, count(*) AS n_rows FROM crosswalk GROUP BY match_status, match_method""")
+q("score_distribution", ["xranked"], """
+WITH lab AS (
+  SELECT score, CASE WHEN rn > 1 OR best < 0.6 THEN 'rejected'
+                     WHEN n_cands > 1 AND best - second < 0.05 THEN 'accepted_possible'
+                     ELSE 'accepted_matched' END AS population
+  FROM (SELECT r.*, max(score) OVER (PARTITION BY l_pos) AS best,
+               max(CASE WHEN rn = 2 THEN score END) OVER (PARTITION BY l_pos) AS second FROM xranked r)),
+b AS (SELECT min(CASE WHEN population <> 'rejected' THEN score END) AS a_min,
+             max(CASE WHEN population <> 'rejected' THEN score END) AS a_max,
+             min(CASE WHEN population = 'rejected' THEN score END) AS r_min,
+             max(CASE WHEN population = 'rejected' THEN score END) AS r_max FROM lab)
+SELECT population, count(*) AS n, round(min(score), 3) AS min_score, round(max(score), 3) AS max_score,
+  round(any_value(CASE WHEN r_max > a_min THEN greatest(a_min, r_min) END), 3) AS overlap_lo,
+  round(any_value(CASE WHEN r_max > a_min THEN least(a_max, r_max) END), 3) AS overlap_hi,
+  count_if(coalesce(r_max > a_min AND score >= greatest(a_min, r_min) AND score <= least(a_max, r_max), false)) AS n_in_overlap
+FROM lab, b GROUP BY population""")
+q("brand_bijection", ["crosswalk", "products", "new_products"], """
+SELECT count(*) AS n_pairs, count_if(coalesce(p.brand IS DISTINCT FROM n.brand_name, false)) AS n_brand_differs,
+  count(DISTINCT p.brand) AS n_brands, count(DISTINCT n.brand_name) AS n_brand_names,
+  count(DISTINCT (p.brand, n.brand_name)) AS n_brand_pairs
+FROM crosswalk c JOIN products p ON c.product_id = p.product_id
+JOIN new_products n ON c.new_product_id = n.new_product_id
+WHERE c.new_product_id IS NOT NULL""")
+
+# F
+q("category_resolution", ["catres"], """
+SELECT category, category_source, count(*) AS n_lines, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units
+FROM catres GROUP BY category, category_source""")
+q("daily_sales", ["daily_sales"], "SELECT * FROM daily_sales")
+q("grain_check", ["daily_sales"], """
+SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT order_date, store_id, category, category_source
+  FROM daily_sales)) AS n_keys,
+  CAST(count(*) = (SELECT count(*) FROM (SELECT DISTINCT order_date, store_id, category, category_source
+  FROM daily_sales)) AS INTEGER) AS grain_unique FROM daily_sales""")
+q("reconcile", ["daily_sales", "clean_orders"], """
+SELECT CAST(d AS DOUBLE) AS daily_net, CAST(c AS DOUBLE) AS clean_net, CAST(abs(d - c) < 0.01 AS INTEGER) AS reconciles
+FROM (SELECT round(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 2) AS d FROM daily_sales),
+     (SELECT round(coalesce(sum(CAST(CAST(line_revenue AS VARCHAR) AS DECIMAL(38,10))), 0), 2) AS c FROM clean_orders)""")
+q("raw_reconcile", ["feed", "daily_sales"], f"""
+SELECT coalesce(r.order_date, d.order_date) AS order_date, coalesce(r.raw_lines, 0) AS raw_lines,
+  r.raw_net, d.daily_net, round(coalesce(r.raw_net, 0.0) - coalesce(d.daily_net, 0.0), 2) AS difference
+FROM (SELECT order_date, count(*) AS raw_lines,
+        {_cents(f"CAST({_long('quantity')} AS DOUBLE) * {_num('unit_price')}")} AS raw_net
+      FROM feed WHERE order_date IS NOT NULL AND order_date <> '' GROUP BY order_date) r
+FULL OUTER JOIN (SELECT order_date, CAST(round(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 2) AS DOUBLE) AS daily_net
+      FROM daily_sales GROUP BY order_date) d ON r.order_date = d.order_date""")
+q("price_identity", ["clean_orders", "products", "new_products"], f"""
+SELECT is_new_system, count(*) AS n_lines, count_if(coalesce(lp IS NULL, false)) AS n_no_list_price,
+  count_if(coalesce(abs(unit_price - lp * (1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE)) < 0.011, false)) AS n_consistent,
+  count_if(coalesce(lp IS NOT NULL AND NOT (abs(unit_price - lp * (1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE))
+           < 0.011), false)) AS n_inconsistent
+FROM (SELECT c.*, CASE WHEN is_new_system = 1 THEN {_num("np.msrp", False)} ELSE {_num("p.base_price", False)} END AS lp
+      FROM clean_orders c
+      LEFT JOIN (SELECT product_id, arg_max(base_price, catalog_pos) AS base_price FROM products GROUP BY product_id) p
+        ON c.legacy_product_id = p.product_id
+      LEFT JOIN (SELECT new_product_id, arg_max(msrp, catalog_pos) AS msrp FROM new_products GROUP BY new_product_id) np
+        ON c.product_key = np.new_product_id)
+GROUP BY is_new_system""")
+q("weather_coverage", ["daily_sales"], """
+SELECT count(*) AS n_rows, count(temp_max) AS n_with_weather, round(count(temp_max) / count(*), 6) AS coverage
+FROM daily_sales""")
+q("anomaly_days", ["daily_sales"], """
+SELECT * FROM (SELECT order_date, sum(units_sold) AS units,
+  CAST(round(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 2) AS DOUBLE) AS net FROM daily_sales GROUP BY order_date)
+WHERE units > 0 AND net = 0""")
+q("weather_latest", ["pulls"], """
+SELECT weather_date, store_id, temperature_2m_max, temperature_2m_min, precipitation_sum, weather_code, range_end
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id, weather_date ORDER BY range_end DESC, range_start DESC) AS rn
+      FROM pulls) WHERE rn = 1""")
+q("weather_revisions", ["pulls"], """
+SELECT store_id, weather_date, n_pulls, precip_min, precip_max, precip_first, precip_last,
+  CAST((precip_first > 1.0) <> (precip_last > 1.0) AS INTEGER) AS crosses_threshold
+FROM (SELECT store_id, weather_date, count(*) AS n_pulls, min(precipitation_sum) AS precip_min,
+        max(precipitation_sum) AS precip_max, arg_min(precipitation_sum, range_end || range_start) AS precip_first,
+        arg_max(precipitation_sum, range_end || range_start) AS precip_last
+      FROM pulls GROUP BY store_id, weather_date)
+WHERE n_pulls > 1 AND precip_min <> precip_max""")
+
+# B / C
+DQ_COLS = ("run_date, file_name, n_rows, product_col, has_source_flag, na_order_id, na_order_date, na_store_id, "
+           "na_product, na_quantity, na_unit_price, na_discount_pct, na_sales_channel, na_loyalty, dup_rows, "
+           "dup_order_id, neg_quantity, neg_unit_price, bad_discount, orphan_store, orphan_product, flags")
+q("dq_report", ["dq"], f"SELECT {DQ_COLS} FROM dq")
+q("file_status", ["fstatus"], "SELECT * FROM fstatus")
+q("stale_files", ["dq"], "SELECT file_name, flags FROM dq WHERE contains(flags, 'stale(')")
+q("ingestion_log", ["ilog"], "SELECT * FROM ilog")
+q("missing_days", ["fstatus"], """
+SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS missing_date, 'missing' AS status
+FROM (SELECT unnest(generate_series(min(CAST(expected_date AS DATE)), max(CAST(expected_date AS DATE)),
+      INTERVAL 1 DAY)) AS day FROM fstatus)
+WHERE CAST(day AS DATE) NOT IN (SELECT CAST(expected_date AS DATE) FROM fstatus)""")
+q("republished", ["ilog"], """
+SELECT c.source_date_expected AS date, p.source_date_expected AS previous_date, c.file_hash
+FROM ilog c JOIN ilog p ON CAST(c.source_date_expected AS DATE) - 1 = CAST(p.source_date_expected AS DATE)
+  AND c.file_hash = p.file_hash""")
+q("incremental_pending", ["feed"], """
+SELECT min(source_file) AS file_name, substr(source_file, 8, 10) AS file_date, 'load' AS action
+FROM (SELECT DISTINCT source_file FROM feed) WHERE substr(source_file, 8, 10) > '1999-12-31'
+GROUP BY substr(source_file, 8, 10)""")
+q("dq_flag_diff", ["dq"], """
+WITH cur AS (SELECT file_name, flags FROM dq),
+nn AS (SELECT file_name, regexp_extract(flags, 'nonnumeric\\([^)]*\\)', 0) AS flag FROM cur),
+known AS (SELECT arg_min(flag, file_name) AS flag, min(file_name) AS file_name FROM nn WHERE flag <> '')
+SELECT c.file_name, regexp_extract(c.flags, 'nonnumeric\\([^)]*\\)', 0) AS added, '' AS removed,
+  CASE WHEN c.file_name = k.file_name THEN 'known' ELSE 'unexpected' END AS classification
+FROM cur c LEFT JOIN known k ON c.file_name = k.file_name
+WHERE regexp_extract(c.flags, 'nonnumeric\\([^)]*\\)', 0) <> ''""")
+
+# G
+q("enriched_lines", ["blines"], """
+SELECT order_date, store_id, product_key, product_name, category, sales_channel, quantity,
+  round(net_revenue, 4) AS net_revenue, round(gross_revenue, 4) AS gross_revenue, precipitation_sum FROM blines""")
+q("kpi_totals", ["bdaily", "blines"], """
+SELECT CAST(round(net, 2) AS DOUBLE) AS net_revenue, CAST(round(gross, 2) AS DOUBLE) AS gross_revenue,
+  CAST(round(disc, 2) AS DOUBLE) AS discount_given, units_sold, order_lines,
+  CAST(round(CASE WHEN gross <> 0 THEN net / gross * 100 ELSE 0 END, 4) AS DOUBLE) AS kept_pct,
+  CAST(round(CASE WHEN order_lines > 0 THEN net / order_lines ELSE 0 END, 4) AS DOUBLE) AS avg_order_value,
+  CAST(round(CASE WHEN gross <> 0 THEN disc / gross * 100 ELSE 0 END, 4) AS DOUBLE) AS discount_share_pct
+FROM (SELECT coalesce(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 0) AS net,
+        coalesce(sum(CAST(CAST(gross_revenue AS VARCHAR) AS DECIMAL(38,10))), 0) AS gross,
+        coalesce(sum(CAST(CAST(discount_given AS VARCHAR) AS DECIMAL(38,10))), 0) AS disc,
+        CAST(coalesce(sum(units_sold), 0) AS BIGINT) AS units_sold FROM bdaily),
+     (SELECT count(*) AS order_lines FROM blines)""")
+q("daily_series", ["bdaily"], f"""
+SELECT order_date, {_cents("net_revenue")} AS net_revenue, CAST(coalesce(sum(units_sold), 0) AS BIGINT) AS units_sold
+FROM bdaily GROUP BY order_date""")
+q("week_over_week", ["bdaily"], f"""
+WITH s AS (SELECT CAST(order_date AS DATE) AS d, {_cents("net_revenue")} AS net,
+             CAST(coalesce(sum(units_sold), 0) AS BIGINT) AS units FROM bdaily GROUP BY order_date),
+l AS (SELECT max(d) AS last_day FROM s)
+SELECT CAST(last_day AS VARCHAR) AS last_day, CAST(CAST(last_day - 7 AS DATE) AS VARCHAR) AS week_before,
+  round(sum(CASE WHEN d = last_day THEN net END), 2) AS net_last_day,
+  round(coalesce(sum(CASE WHEN d = last_day - 7 THEN net END), 0.0), 2) AS net_week_before,
+  CAST(sum(CASE WHEN d = last_day THEN units END) AS BIGINT) AS units_last_day,
+  CAST(coalesce(sum(CASE WHEN d = last_day - 7 THEN units END), 0) AS BIGINT) AS units_week_before
+FROM s, l GROUP BY last_day""")
+q("window_label", ["bdaily"], """
+SELECT min(order_date) AS first_day, max(order_date) AS last_day, count(DISTINCT order_date) AS n_days FROM bdaily""")
+
+
+def _corr_sql(w: str, v: str) -> str:
+    val = (f"CAST(coalesce(sum({_dec(v)}), 0) AS DOUBLE)" if v != "units_sold"
+           else f"CAST(coalesce(sum({v}), 0) AS DOUBLE)")
+    return f"""
+SELECT category, round(corr(val, w), 6) AS r, count(*) AS n,
+  CASE WHEN round(corr(val, w), 6) >= 0.1 THEN 'warm-driven' WHEN round(corr(val, w), 6) <= -0.1 THEN 'cool-driven'
+       ELSE 'neutral' END AS sensitivity, '{w}' AS weather, '{v}' AS measure
+FROM (SELECT category, order_date, store_id, {val} AS val, avg({w}) AS w FROM bdaily
+      GROUP BY category, order_date, store_id)
+GROUP BY category HAVING count(*) >= 3 AND count(DISTINCT w) > 1 AND count(DISTINCT val) > 1"""
+
+
+q("weather_corr", ["bdaily"], "\nUNION ALL\n".join(
+    _corr_sql(w, v) for w in ("temp_max", "precipitation_sum") for v in ("net_revenue", "units_sold")))
+q("recommendations", ["bdaily"], f"""
+WITH t AS ({_corr_sql("temp_max", "net_revenue")}), p AS ({_corr_sql("precipitation_sum", "net_revenue")}),
+j AS (SELECT c.category, coalesce(t.r, 0.0) AS temp_r, coalesce(p.r, 0.0) AS precip_r
+      FROM (SELECT DISTINCT category FROM bdaily) c LEFT JOIN t ON c.category = t.category
+      LEFT JOIN p ON c.category = p.category)
+SELECT category, temp_r, precip_r,
+  CASE WHEN temp_r >= 0.1 THEN 'leans warm' WHEN temp_r <= -0.1 THEN 'leans cool'
+       WHEN precip_r >= 0.1 THEN 'leans wet' WHEN precip_r <= -0.1 THEN 'leans dry' ELSE 'weather-neutral' END AS tag
+FROM j""")
+q("revenue_by_store", ["bdaily"], f"SELECT store_id, {_cents('net_revenue')} AS net_revenue FROM bdaily GROUP BY store_id")
+q("revenue_by_category", ["bdaily"], f"""
+SELECT category, net_revenue, round(CASE WHEN mx <> 0 THEN net_revenue / mx * 100 ELSE 0.0 END, 4) AS pct_of_max
+FROM (SELECT category, {_cents('net_revenue')} AS net_revenue FROM bdaily GROUP BY category),
+     (SELECT max(net_revenue) AS mx FROM (SELECT {_cents('net_revenue')} AS net_revenue FROM bdaily GROUP BY category))""")
+q("top_products", ["blines"], f"""
+SELECT product_name, {_cents('net_revenue')} AS net_revenue FROM blines GROUP BY product_name
+ORDER BY net_revenue DESC, product_name ASC LIMIT 6""")
+q("rain_day_counts", ["blines"], """
+SELECT count_if(coalesce(rain, false)) AS rain_store_days, count_if(coalesce(NOT rain, false)) AS dry_store_days
+FROM (SELECT order_date, store_id, max(precipitation_sum >= 1.0) AS rain FROM blines
+      WHERE precipitation_sum IS NOT NULL GROUP BY order_date, store_id)""")
+q("channel_mix", ["blines"], """
+WITH pc AS (SELECT sales_channel, precipitation_sum >= 1.0 AS rain FROM blines
+            WHERE precipitation_sum IS NOT NULL AND sales_channel IS NOT NULL),
+t AS (SELECT count_if(coalesce(NOT rain, false)) AS nd, count_if(coalesce(rain, false)) AS nr FROM pc)
+SELECT sales_channel, count_if(coalesce(NOT rain, false)) AS dry_lines, count_if(coalesce(rain, false)) AS rain_lines,
+  round(count_if(coalesce(NOT rain, false)) * 100.0 / any_value(nd), 4) AS dry_pct,
+  round(count_if(coalesce(rain, false)) * 100.0 / any_value(nr), 4) AS rain_pct,
+  round(count_if(coalesce(rain, false)) * 100.0 / any_value(nr) - count_if(coalesce(NOT rain, false)) * 100.0 / any_value(nd), 4) AS delta_pts
+FROM pc, t GROUP BY sales_channel""")
+q("rain_lift_mean", ["blines"], """
+WITH sd AS (SELECT mm, order_date, store_id, CAST(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))) AS DOUBLE) AS rev,
+                   max(precipitation_sum >= mm) AS r
+            FROM blines, (SELECT unnest([0.4, 1.0, 5.0, 10.0]::DOUBLE[]) AS mm)
+            WHERE precipitation_sum IS NOT NULL GROUP BY mm, order_date, store_id),
+ps AS (SELECT mm, count_if(coalesce(coalesce(rm > dm, false), false)) AS stores_agree, count(*) AS n_stores
+       FROM (SELECT mm, store_id, avg(CASE WHEN r THEN rev END) AS rm, avg(CASE WHEN NOT r THEN rev END) AS dm
+             FROM sd GROUP BY mm, store_id) GROUP BY mm),
+ov AS (SELECT mm, avg(CASE WHEN r THEN rev END) AS rain, avg(CASE WHEN NOT r THEN rev END) AS dry,
+              count(DISTINCT r) AS nr FROM sd GROUP BY mm)
+SELECT ov.mm AS threshold_mm, CASE WHEN nr = 2 THEN round((rain / dry - 1) * 100, 4) END AS mean_lift_pct,
+  CASE WHEN nr = 2 THEN stores_agree END AS stores_agree, n_stores
+FROM ov JOIN ps ON ov.mm = ps.mm""")
+
+# H
+q("store_days", ["sd"], "SELECT * FROM sd")
+q("channel_shift", ["clean_orders", "sd"], """
+WITH j AS (SELECT c.sales_channel, s.precipitation_sum > 1.0 AS rain FROM clean_orders c
+           JOIN sd s ON c.order_date = s.order_date AND c.store_id = s.store_id WHERE s.precipitation_sum IS NOT NULL),
+t AS (SELECT count_if(coalesce(rain, false)) AS nr, count_if(coalesce(NOT rain, false)) AS nd FROM j)
+SELECT sales_channel, count_if(coalesce(rain, false)) AS rain_lines, count_if(coalesce(NOT rain, false)) AS dry_lines,
+  round(count_if(coalesce(rain, false)) * 100.0 / any_value(nr), 4) AS rain_pct, round(count_if(coalesce(NOT rain, false)) * 100.0 / any_value(nd), 4) AS dry_pct
+FROM j, t GROUP BY sales_channel""")
+q("rain_lift_median", ["sd"], """
+WITH x AS (SELECT s.*, mm, precipitation_sum > mm AS r FROM sd s, (SELECT unnest([0.4, 1.0, 5.0, 10.0]::DOUBLE[]) AS mm)
+           WHERE precipitation_sum IS NOT NULL),
+o AS (SELECT mm, median(CASE WHEN r THEN net_revenue END) AS mr, median(CASE WHEN NOT r THEN net_revenue END) AS md
+      FROM x GROUP BY mm),
+ps AS (SELECT mm, count_if(coalesce(coalesce(sr > sdry, false), false)) AS stores_with_lift, count(*) AS n_stores
+       FROM (SELECT mm, store_id, median(CASE WHEN r THEN net_revenue END) AS sr,
+                    median(CASE WHEN NOT r THEN net_revenue END) AS sdry FROM x GROUP BY mm, store_id) GROUP BY mm)
+SELECT o.mm AS threshold_mm, round((mr / md - 1) * 100, 4) AS median_lift_pct, stores_with_lift, n_stores
+FROM o JOIN ps ON o.mm = ps.mm""")
+q("store_mix", ["sd"], """
+SELECT store_id, count_if(coalesce(precipitation_sum > 1.0, false)) AS rain_days, count(*) AS days,
+  round(count_if(coalesce(precipitation_sum > 1.0, false)) / count(*), 6) AS rain_share, median(net_revenue) AS median_daily_net
+FROM sd GROUP BY store_id""")
+q("effective_sample", ["daily_sales"], """
+SELECT count(*) AS n_rows, count(DISTINCT (order_date, store_id)) AS n_store_days FROM daily_sales""")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: with_ctes(needed, body) for name, (needed, body) in Q.items()}
