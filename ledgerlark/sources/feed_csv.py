@@ -34,16 +34,26 @@ def _scan(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return cells_frame(csv_options(spark.read).csv(paths))
 
 
-def cells_frame(df: DataFrame) -> DataFrame:
-    """Positional CSV rows -> (file, block, row id, cells array)."""
+def file_cells(df: DataFrame) -> DataFrame:
+    """Positional CSV rows -> (file, block, cells array); works on a
+    streaming source too (file metadata must be taken at the scan)."""
     return df.select(
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_uid"),
         F.array(*[F.col(f"_c{i}") for i in range(MAX_COLUMNS)]).alias("cells"))
 
 
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """Unique row id assigned right at the scan, so a recomputed partition
+    gets the same ids."""
+    return df.withColumn("row_uid", F.monotonically_increasing_id())
+
+
+def cells_frame(df: DataFrame) -> DataFrame:
+    return with_row_ids(file_cells(df))
+
+
 def scan_with_headers(spark: SparkSession, paths: list[str] | str):
     """(rows, headers): data rows with their positional cells, and one row
     per file with its header array."""

@@ -20,14 +20,14 @@ from ledgerlark.sources import feed_csv
 
 def _loaded_dates(spark: SparkSession, raw_path: str) -> DataFrame:
     try:
-        return spark.read.parquet(raw_path).select("file_date").distinct()
+        return spark.read.parquet(raw_path).select(F.col("file_date").cast("string")).distinct()
     except Exception:  # noqa: BLE001 - first run: no raw table yet
         return spark.createDataFrame([], "file_date string")
 
 
 def load_batch(batch: DataFrame, raw_path: str, ingested_at: str | None = None) -> None:
     spark = batch.sparkSession
-    rows, headers = feed_csv.split_headers(feed_csv.cells_frame(batch))
+    rows, headers = feed_csv.split_headers(feed_csv.with_row_ids(batch))
     files = headers.select("source_file", date_from_filename(F.col("source_file")).alias("file_date"))
     loaded = _loaded_dates(spark, raw_path)
     todo = (files.where(F.col("file_date").isNotNull())
@@ -44,8 +44,8 @@ def start(spark: SparkSession, landing_dir: str, raw_path: str, checkpoint: str
     ``checkpoint`` defaults to a folder under the session's shared
     ``spark.checkpoint.dir``."""
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/feed-stream"
-    stream = (feed_csv.csv_options(spark.readStream).option("pathGlobFilter", "*.csv")
-              .csv(landing_dir))
+    stream = feed_csv.file_cells(feed_csv.csv_options(spark.readStream)
+                                 .option("pathGlobFilter", "*.csv").csv(landing_dir))
     q = (stream.writeStream
          .foreachBatch(lambda df, epoch: load_batch(df, raw_path, ingested_at))
          .option("checkpointLocation", ckpt)
