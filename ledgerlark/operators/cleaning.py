@@ -91,7 +91,13 @@ def tag_rows(raw: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
     D8 bad date first; D9 natural-key de-duplication on the rest, keeping the
     first row in load order (NULLs compare equal inside the key).
     """
-    lines = typed_lines(raw, crosswalk)
+    return tag_lines(typed_lines(raw, crosswalk))
+
+
+def tag_lines(lines: DataFrame) -> DataFrame:
+    """D8 + D9 over typed lines. ``lines`` is read twice (winner aggregate and
+    the join on ``row_uid``), so callers should pass a materialised frame
+    (checkpoint / table) rather than a long lineage."""
     bad_date = F.col("order_date").isNull() | (F.col("order_date") == "")
     dated = lines.where(~bad_date)
     winners = (dated.groupBy(*NATURAL_KEY)

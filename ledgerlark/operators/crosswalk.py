@@ -101,7 +101,9 @@ def scored_candidates(legacy: DataFrame, new: DataFrame, mapping: dict | None =
     L, N = prepare(legacy, new, mapping)
     first_names = N.select("n_name").distinct()
     rest = L.join(first_names, L.l_name == first_names.n_name, "left_anti")
-    pairs = rest.join(N, ["_d", "_m", "_dept"], "inner")
+    # spread the scored pairs over the cluster before the Python UDF (a block
+    # join whose sides were broadcast keeps the catalog scan's few splits)
+    pairs = rest.join(N, ["_d", "_m", "_dept"], "inner").repartition("l_pos")
     name_sim = similarity(F.col("l_name"), F.col("n_name"), method)
     sub_sim = similarity(F.col("l_sub"), F.col("n_class"), method)
     price = price_closeness(F.col("base_price"), F.col("msrp"))
@@ -128,14 +130,23 @@ def rank_candidates(scored: DataFrame) -> DataFrame:
 
 
 def build_crosswalk(legacy: DataFrame, new: DataFrame, mapping: dict | None = None,
-                    method: str = "token_set_ratio", keep_pos: bool = False) -> DataFrame:
-    """One crosswalk row per legacy catalog row."""
+                    method: str = "token_set_ratio", keep_pos: bool = False,
+                    materialize: bool = False) -> DataFrame:
+    """One crosswalk row per legacy catalog row.
+
+    ``materialize`` checkpoints the scored candidate pairs (reliably, into the
+    shared checkpoint folder) so the similarity UDF runs once even though
+    best and runner-up both read the pairs."""
     L, N = prepare(legacy, new, mapping)
     tier1 = (exact_name_matches(L, N)
              .select("product_id", "l_pos", "new_product_id",
                      F.lit("matched").alias("match_status"), F.lit("high").alias("match_confidence"),
                      F.lit("exact_name").alias("match_method"), F.lit(NOTE_EXACT).alias("notes")))
-    ranked = rank_candidates(scored_candidates(legacy, new, mapping, method))
+    scored = scored_candidates(legacy, new, mapping, method)
+    if materialize:
+        from ledgerlark.session import cut_lineage
+        scored = cut_lineage(scored, "scored_pairs")
+    ranked = rank_candidates(scored)
     b, s = F.col("b"), F.col("s")
     below = b.score < MIN_SCORE
     ambiguous = (F.col("n_cands") > 1) & ((b.score - s.score) < AMBIGUOUS_GAP)

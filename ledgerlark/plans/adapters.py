@@ -68,11 +68,14 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.monotonically_increasing_id().alias("l_rowid"))
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_orderpriority")
-    base = li.join(od, li.l_orderkey == od.o_orderkey).drop("o_orderkey")
-    rows = (base.withColumn("copy_no", F.lit(0)).withColumn("file_d", F.col("d"))
-            .unionByName(base.where(F.col("l_orderkey") % 211 == 0)
-                         .withColumn("copy_no", F.lit(1))
-                         .withColumn("file_d", F.date_add("d", 1))))
+    # lineitem x orders is a big-big join at scale: plan it as a shuffle
+    # (sort-merge) join on the order key, which also spreads the per-row feed
+    # derivation over all shuffle partitions instead of the scan's splits.
+    base = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey).drop("o_orderkey")
+    # stale copies are generated in the same pass (no second scan / join)
+    copies = F.when(F.col("l_orderkey") % 211 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = (base.withColumn("copy_no", F.explode(copies))
+            .withColumn("file_d", F.date_add("d", F.col("copy_no"))))
     y = F.year("file_d")
     pk = _s(F.col("l_partkey"))
     orphan_pk = _s(F.when(F.col("l_partkey") % 97 == 0, F.col("l_partkey") + 9000000)
@@ -104,13 +107,13 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_headers(raw: DataFrame) -> DataFrame:
     """One row per feed file: (source_file, header array) by the file's era."""
     legacy = ["order_id", "order_date", "store_id", "product_id", "quantity",
               "unit_price", "discount_pct", "sales_channel", "loyalty_member"]
     newcol = [c if c != "product_id" else "new_product_id" for c in legacy]
     flagged = legacy + ["product_id_source"]
-    files = (feed(spark, sf_dir).select("source_file").distinct()
+    files = (raw.select("source_file").distinct()
              .withColumn("y", F.substring("source_file", 8, 4).cast("int")))
     hdr = (F.when(F.col("y") < 1998, F.array(*map(F.lit, legacy)))
            .when(F.col("y") < 2000, F.array(*map(F.lit, newcol)))
@@ -216,6 +219,22 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weather_from_feed(raw: DataFrame) -> DataFrame:
+    """:func:`weather_daily` computed from the stored feed: the original
+    (non-copy) rows carry every (order date, store) of lineitem x orders in
+    their file name."""
+    sd = (raw.where(F.col("raw_id.copy_no") == 0)
+          .select(F.substring("source_file", 8, 10).cast("date").alias("d"),
+                  F.substring("store_id", 4, 1).cast("long").alias("store_no"))
+          .distinct())
+    return sd.select(
+        _s(F.col("d")).alias("weather_date"),
+        F.concat(F.lit("S00"), _s(F.col("store_no"))).alias("store_id"),
+        *_weather_values(F.col("d"), F.col("store_no")),
+        F.lit("adapter").alias("weather_source"),
+    )
+
+
 def weather_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two cached pulls per (store, year): an early pull covering January-June
     and a later full-year pull whose precipitation is revised when

@@ -19,18 +19,32 @@ from ledgerlark.plans import adapters
 
 
 class FeedPipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """``materialize=True`` writes the frames that many queries read -- the raw
+    feed (raw_orders), the crosswalk's scored pairs, the tagged order lines
+    (clean_orders + rejected_rows), daily_sales and the board's enriched
+    lines -- once as parquet tables under the shared ``spark.checkpoint.dir``
+    and reads them back: the stage tables of the batch pipeline."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
+
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        from ledgerlark.session import cut_lineage
+        return cut_lineage(df, name)
 
     # ---- inputs -------------------------------------------------------
     @cached_property
     def raw(self) -> DataFrame:
-        return adapters.feed(self.spark, self.sf_dir)
+        # the raw feed plays the role of the stored raw_orders table
+        return self._cut(adapters.feed(self.spark, self.sf_dir), "raw")
 
     @cached_property
     def headers(self) -> DataFrame:
-        return adapters.feed_headers(self.spark, self.sf_dir)
+        return adapters.feed_headers(self.raw)
 
     @cached_property
     def products(self) -> DataFrame:
@@ -46,6 +60,8 @@ class FeedPipeline:
 
     @cached_property
     def weather(self) -> DataFrame:
+        if self.materialize:   # same store-days, from the stored feed instead of a second join
+            return adapters.weather_from_feed(self.raw)
         return adapters.weather_daily(self.spark, self.sf_dir)
 
     @cached_property
@@ -55,11 +71,17 @@ class FeedPipeline:
     # ---- stages ---------------------------------------------------------
     @cached_property
     def crosswalk(self) -> DataFrame:
-        return crosswalk.build_crosswalk(self.products, self.new_products, keep_pos=True)
+        return crosswalk.build_crosswalk(self.products, self.new_products, keep_pos=True,
+                                         materialize=self.materialize)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        # cheap per-row work over the stored feed; read twice by tag_lines
+        return cleaning.typed_lines(self.raw, self.crosswalk)
 
     @cached_property
     def tagged(self) -> DataFrame:
-        return cleaning.tag_rows(self.raw, self.crosswalk)
+        return self._cut(cleaning.tag_lines(self.lines), "tagged")
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -71,15 +93,18 @@ class FeedPipeline:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return daily.daily_sales(self.clean, self.new_products, self.products, self.weather)
+        return self._cut(daily.daily_sales(self.clean, self.new_products, self.products, self.weather),
+                         "daily_sales")
 
     @cached_property
-    def lines(self) -> DataFrame:
-        return kpi.enriched_lines(self.clean, self.new_products, self.products, self.daily)
+    def enriched(self) -> DataFrame:
+        # the board's base frame, built once and shared by every tile
+        return self._cut(kpi.enriched_lines(self.clean, self.new_products, self.products, self.daily),
+                         "enriched_lines")
 
     @cached_property
     def board(self):
-        return kpi.board_frames(self.daily, self.lines)
+        return kpi.board_frames(self.daily, self.enriched)
 
     @cached_property
     def store_days(self) -> DataFrame:

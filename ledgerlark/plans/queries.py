@@ -359,7 +359,36 @@ def q_effective(p: FeedPipeline) -> DataFrame:
     return stats.effective_sample(p.daily)
 
 
+_PIPELINES: dict = {}
+
+
+def _fingerprint(sf_dir: str) -> tuple:
+    """Identity of the input folder's tables (name, size, mtime) so stage
+    tables are rebuilt when the inputs change."""
+    import os
+    out = []
+    for name in ("lineitem", "orders", "part", "supplier"):
+        path = f"{sf_dir}/{name}.parquet"
+        try:
+            st = os.stat(path)
+            out.append((name, st.st_size, st.st_mtime_ns))
+        except OSError:            # non-local storage: fall back to the path
+            out.append((name, path))
+    return tuple(out)
+
+
+def pipeline_for(spark: SparkSession, sf_dir: str) -> FeedPipeline:
+    """One pipeline per (session, input folder): its materialised stage tables
+    (raw feed, scored crosswalk pairs, typed lines) are built on first use and
+    shared by every query, like the stage tables of the batch pipeline."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, _fingerprint(sf_dir))
+    p = _PIPELINES.get(key)
+    if p is None:
+        p = _PIPELINES[key] = FeedPipeline(spark, sf_dir)
+    return p
+
+
 def queries() -> dict[str, Query]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(FeedPipeline(spark, sf_dir))
+        return lambda spark, sf_dir: fn(pipeline_for(spark, sf_dir))
     return {name: bind(fn) for name, fn in REGISTRY.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpoint files of frames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,11 +63,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor
-    loss, unlike a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` once as a parquet table under the shared
+    ``spark.checkpoint.dir`` and reading it back.
+
+    Compared with ``Dataset.checkpoint()`` the plan is evaluated once (a
+    reliable RDD checkpoint evaluates it a second time to write it unless it
+    is also cached), the copy is columnar and compressed, later readers get
+    column pruning and filter pushdown, and the files survive executor loss.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerlark-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def env_int(name: str, default: int) -> int:
