@@ -21,7 +21,11 @@ PULL = T.StructType([
 NAME_RE = r"^([^_]+)_(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})\.json$"
 
 
-def read_pulls(spark: SparkSession, paths: list[str] | str, source: str = "open-meteo-archive") -> DataFrame:
+# Fixed value: the weather_source label of archive pulls.
+ARCHIVE_SOURCE = "open-meteo-archive"
+
+
+def read_pulls(spark: SparkSession, paths: list[str] | str, source: str = ARCHIVE_SOURCE) -> DataFrame:
     """One row per store per ``daily.time[i]``; store and range come from
     the cache file name ``{store}_{start}_{end}.json``. Each file is one JSON
     document (one store's date range), parsed with an explicit schema."""
