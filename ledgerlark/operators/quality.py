@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.numeric import is_nonnumeric, to_double
+from ledgerlark.functions.numeric import to_double
 from ledgerlark.functions.text import date_from_filename
 
 DATA_COLUMNS = ["order_id", "order_date", "store_id", "product_id", "new_product_id",
@@ -67,15 +67,17 @@ def file_stats(raw: DataFrame, headers: DataFrame, store_ids: DataFrame | None =
     if product_ids is not None:
         p = product_ids.select(F.col("product_id").alias("_pid")).distinct().withColumn("_p_ok", F.lit(True))
         rows = rows.join(p, rows._prod == p._pid, "left").drop("_pid")
-    q = to_double(F.col("quantity"), strip_currency=False)
-    pr = to_double(F.col("unit_price"), strip_currency=False)
-    d = to_double(F.col("discount_pct"), strip_currency=False)
+    # parse each numeric column once, then aggregate plain columns
+    rows = rows.select("*", *[to_double(F.col(c), strip_currency=False).alias(f"_num_{c}")
+                              for c in NONNUMERIC_ORDER])
+    q, pr, d = F.col("_num_quantity"), F.col("_num_unit_price"), F.col("_num_discount_pct")
     aggs = [F.count(F.lit(1)).alias("n_rows"),
             F.count_if(F.col("_prod").isNull()).alias("_na_prod")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_na_{c}") for _, c in NA_COLUMNS if c]
     aggs += [F.count_if(q < 0).alias("neg_quantity"), F.count_if(pr < 0).alias("neg_unit_price"),
              F.count_if((d < 0) | (d > 100)).alias("bad_discount")]
-    aggs += [F.count_if(is_nonnumeric(F.col(c))).alias(f"_nn_{c}") for c in NONNUMERIC_ORDER]
+    aggs += [F.count_if(F.col(c).isNotNull() & F.col(f"_num_{c}").isNull()).alias(f"_nn_{c}")
+             for c in NONNUMERIC_ORDER]
     if store_ids is not None:
         aggs.append(F.count_if(F.col("_s_ok").isNull()).alias("_orphan_store"))
     if product_ids is not None:
