@@ -2,7 +2,8 @@
 
 Input contract (``raw``): the 13 raw text columns plus
   * ``raw_id``  an orderable load position (file arrival, file name, position
-    inside the file) -- "first in load order" means smallest ``raw_id``;
+    inside the file) -- "first in load order" means smallest ``raw_id``; when
+    it is a long it must also be unique (e.g. a sequence assigned at load);
   * ``row_uid`` a unique long per physical row.
 
 Skew: the natural-key de-duplication never puts a key's rows in one task. The
@@ -32,6 +33,11 @@ REASON_BAD_DATE = "missing_or_bad_order_date"
 REASON_DUPLICATE = "duplicate_natural_key"
 
 
+def _has_long_ids(df: DataFrame) -> bool:
+    from pyspark.sql.types import IntegerType, LongType
+    return isinstance(df.schema["raw_id"].dataType, (LongType, IntegerType))
+
+
 def crosswalk_map(crosswalk: DataFrame) -> DataFrame:
     """D4 lookup: legacy id -> mapped new id, only rows with a mapped id; one
     row per legacy id (a repeated legacy id keeps the last catalog row)."""
@@ -100,9 +106,14 @@ def tag_lines(lines: DataFrame) -> DataFrame:
     (checkpoint / table) rather than a long lineage."""
     bad_date = F.col("order_date").isNull() | (F.col("order_date") == "")
     dated = lines.where(~bad_date)
-    winners = (dated.groupBy(*NATURAL_KEY)
-               .agg(F.min(F.struct("raw_id", "row_uid")).alias("_w"))
-               .select(F.col("_w.row_uid").alias("row_uid"), F.lit(True).alias("_first")))
+    if _has_long_ids(lines):
+        # raw_id is a unique load sequence: min(long) is a hash aggregate
+        winners = (dated.groupBy(*NATURAL_KEY).agg(F.min("raw_id").alias("row_uid"))
+                   .select("row_uid", F.lit(True).alias("_first")))
+    else:
+        winners = (dated.groupBy(*NATURAL_KEY)
+                   .agg(F.min(F.struct("raw_id", "row_uid")).alias("_w"))
+                   .select(F.col("_w.row_uid").alias("row_uid"), F.lit(True).alias("_first")))
     dated = (dated.join(winners, "row_uid", "left")
              .withColumn("reject_reason",
                          F.when(F.col("_first").isNull(), F.lit(REASON_DUPLICATE)))

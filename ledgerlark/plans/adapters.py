@@ -219,22 +219,6 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather_from_feed(raw: DataFrame) -> DataFrame:
-    """:func:`weather_daily` computed from the stored feed: the original
-    (non-copy) rows carry every (order date, store) of lineitem x orders in
-    their file name."""
-    sd = (raw.where(F.col("raw_id.copy_no") == 0)
-          .select(F.substring("source_file", 8, 10).cast("date").alias("d"),
-                  F.substring("store_id", 4, 1).cast("long").alias("store_no"))
-          .distinct())
-    return sd.select(
-        _s(F.col("d")).alias("weather_date"),
-        F.concat(F.lit("S00"), _s(F.col("store_no"))).alias("store_id"),
-        *_weather_values(F.col("d"), F.col("store_no")),
-        F.lit("adapter").alias("weather_source"),
-    )
-
-
 def weather_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two cached pulls per (store, year): an early pull covering January-June
     and a later full-year pull whose precipitation is revised when

@@ -734,6 +734,41 @@ q("store_mix", ["sd"], """
 SELECT store_id, count_if(coalesce(precipitation_sum > 1.0, false)) AS rain_days, count(*) AS days,
   round(count_if(coalesce(precipitation_sum > 1.0, false)) / count(*), 6) AS rain_share, median(net_revenue) AS median_daily_net
 FROM sd GROUP BY store_id""")
+q("channel_shift_zscore", ["clean_orders", "sd"], """
+WITH j AS (SELECT c.sales_channel, s.precipitation_sum > 1.0 AS rain FROM clean_orders c
+           JOIN sd s ON c.order_date = s.order_date AND c.store_id = s.store_id WHERE s.precipitation_sum IS NOT NULL),
+g AS (SELECT count_if(rain) AS n_rain, count_if(NOT rain) AS n_dry,
+             count_if(rain AND coalesce(sales_channel = 'pickup', false)) AS k_rain,
+             count_if(NOT rain AND coalesce(sales_channel = 'pickup', false)) AS k_dry FROM j),
+r AS (SELECT *, k_rain::DOUBLE / n_rain AS p1, k_dry::DOUBLE / n_dry AS p2,
+             (k_rain + k_dry)::DOUBLE / (n_rain + n_dry) AS pool FROM g)
+SELECT n_rain, n_dry, k_rain, k_dry, round(p1 * 100, 4) AS share_rain_pct, round(p2 * 100, 4) AS share_dry_pct,
+  round((p1 - p2) / sqrt(pool * (1 - pool) * (1.0::DOUBLE / n_rain + 1.0::DOUBLE / n_dry)), 6) AS z
+FROM r""")
+
+
+def _spearman_sql(src: str, x: str, y: str, part: str) -> str:
+    pby = f"PARTITION BY {part}" if part else ""
+    pby_x = f"PARTITION BY {part + ', ' if part else ''}{x}"
+    pby_y = f"PARTITION BY {part + ', ' if part else ''}{y}"
+    grp = f"GROUP BY {part}" if part else ""
+    sel = f"{part}, " if part else ""
+    return f"""
+SELECT {sel}count(*) AS n,
+  round(CASE WHEN count(DISTINCT {x}) > 1 AND count(DISTINCT {y}) > 1 THEN corr(rx, ry) END, 6) AS rho
+FROM (SELECT *, rank() OVER ({pby} ORDER BY {x}) + (count(*) OVER ({pby_x}) - 1) / 2.0 AS rx,
+             rank() OVER ({pby} ORDER BY {y}) + (count(*) OVER ({pby_y}) - 1) / 2.0 AS ry
+      FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL)
+{grp}"""
+
+
+q("spearman_rho_by_store", ["sd"],
+  "SELECT *, 'temp_max' AS weather FROM (" + _spearman_sql("sd", "net_revenue", "temp_max", "store_id") + ")"
+  + "\nUNION ALL\nSELECT *, 'precipitation_sum' AS weather FROM ("
+  + _spearman_sql("sd", "net_revenue", "precipitation_sum", "store_id") + ")")
+q("share_vs_median_rho", ["sd"], _spearman_sql(
+  "(SELECT store_id, round(count_if(coalesce(precipitation_sum > 1.0, false)) / count(*), 6) AS rain_share, "
+  "median(net_revenue) AS median_daily_net FROM sd GROUP BY store_id)", "rain_share", "median_daily_net", ""))
 q("effective_sample", ["daily_sales"], """
 SELECT count(*) AS n_rows, count(DISTINCT (order_date, store_id)) AS n_store_days FROM daily_sales""")
 

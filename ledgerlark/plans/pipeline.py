@@ -60,8 +60,6 @@ class FeedPipeline:
 
     @cached_property
     def weather(self) -> DataFrame:
-        if self.materialize:   # same store-days, from the stored feed instead of a second join
-            return adapters.weather_from_feed(self.raw)
         return adapters.weather_daily(self.spark, self.sf_dir)
 
     @cached_property

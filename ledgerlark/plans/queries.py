@@ -354,6 +354,24 @@ def q_screen(p: FeedPipeline) -> DataFrame:
     return stats.significance_screen(stats.spearman_by_store(p.store_days))
 
 
+@query("channel_shift_zscore")
+def q_channel_zscore(p: FeedPipeline) -> DataFrame:
+    """H3 statistic without the tail probability (exactly checkable)."""
+    return stats.channel_shift(p.clean, p.store_days).drop("p_value")
+
+
+@query("spearman_rho_by_store")
+def q_spearman_rho(p: FeedPipeline) -> DataFrame:
+    """H7 rank correlations without p-values (exactly checkable)."""
+    return stats.spearman_by_store(p.store_days).drop("p_value")
+
+
+@query("share_vs_median_rho")
+def q_share_rho(p: FeedPipeline) -> DataFrame:
+    """H6 rank correlation without the p-value (exactly checkable)."""
+    return stats.share_vs_median(p.store_days).drop("p_value")
+
+
 @query("effective_sample")
 def q_effective(p: FeedPipeline) -> DataFrame:
     return stats.effective_sample(p.daily)
