@@ -49,18 +49,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) do
-    we create a private folder and register it.
+    The cluster's setting always wins. Only when it is unset (local tests) is
+    a private folder created, registered with ``setCheckpointDir`` and reused
+    for the rest of the application.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="ledgerlark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_CKPT:
+        _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="ledgerlark-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[app])
+    return _LOCAL_CKPT[app]
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,9 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerlark.session import get_spark
+    # spark.checkpoint.dir comes from the environment when set; otherwise
+    # ledgerlark.session.checkpoint_dir registers a private folder
     s = get_spark("local[4]", 4, extra={"spark.driver.memory": "6g"})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ll-ckpt-"))
     yield s
 
 
