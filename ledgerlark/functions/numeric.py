@@ -15,14 +15,18 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+WHITESPACE = " \t\n\r\f\u000b"
+
+
 def strip_ws(c: Column) -> Column:
-    """Trim all leading/trailing whitespace (tabs, CR from CRLF files too)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Trim leading/trailing whitespace (tabs, CR from CRLF files too).
+    A character-set trim, not a regex: this runs on every numeric cell."""
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def strip_formatting(c: Column) -> Column:
-    """Trim, then delete every ``$`` and ``,``."""
-    return F.regexp_replace(strip_ws(c), r"[$,]", "")
+    """Trim, then delete every ``$`` and ``,`` (``translate``, no regex)."""
+    return F.translate(strip_ws(c), "$,", "")
 
 
 def to_double(c: Column, strip_currency: bool = True) -> Column:

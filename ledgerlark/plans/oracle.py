@@ -14,9 +14,9 @@ NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _num(x: str, strip_currency: bool = True) -> str:
-    s = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    s = f"trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
     if strip_currency:
-        s = f"regexp_replace({s}, '[$,]', '', 'g')"
+        s = f"replace(replace({s}, '$', ''), ',', '')"
     return f"(CASE WHEN regexp_full_match({s}, '{NUM_RE}') THEN TRY_CAST({s} AS DOUBLE) END)"
 
 
