@@ -248,6 +248,31 @@ def score_distribution(legacy: DataFrame, new: DataFrame, mapping: dict | None =
                     "n_in_overlap"))
 
 
+def crosswalk_fidelity(crosswalk: DataFrame, legacy: DataFrame, new: DataFrame,
+                       mapping: dict | None = None, method: str = "token_set_ratio") -> DataFrame:
+    """E20 fidelity and weakest accept: re-score tier 2, compare the
+    recomputed best name similarity (2 dp) with the ``name_sim=`` persisted in
+    the notes of matched fuzzy rows, and report the weakest matched accept."""
+    ranked = rank_candidates(scored_candidates(legacy, new, mapping, method))
+    L = legacy.select("product_id", F.col("catalog_pos").alias("l_pos"))
+    best = ranked.join(L, "l_pos").select(
+        "product_id", F.col("b.score").alias("score"), F.col("b.name_sim").alias("name_sim"),
+        F.col("b.new_product_id").alias("best_id"))
+    persisted = (crosswalk.where((F.col("match_method") == "attributes_fuzzy")
+                                 & (F.col("match_status") == "matched")
+                                 & F.col("notes").contains("name_sim="))
+                 .select("product_id", F.regexp_extract("notes", r"name_sim=([0-9.]+)", 1)
+                         .try_cast("double").alias("persisted")))
+    j = persisted.join(best, "product_id", "left")
+    weakest = F.min(F.struct("score", "product_id", "best_id"))
+    return j.agg(F.count(F.lit(1)).alias("n_persisted"),
+                 F.count_if(F.round("name_sim", 2) == F.col("persisted")).alias("n_agree"),
+                 weakest.alias("_w")).select(
+        "n_persisted", "n_agree", F.col("_w.product_id").alias("weakest_product_id"),
+        F.col("_w.best_id").alias("weakest_new_product_id"),
+        F.round(F.col("_w.score"), 3).alias("weakest_score"))
+
+
 def brand_bijection(crosswalk: DataFrame, legacy: DataFrame, new: DataFrame) -> DataFrame:
     """E21 held-out validation over mapped pairs: literal brand mismatches and
     whether brand -> brand_name is one-to-one."""

@@ -529,6 +529,16 @@ SELECT population, count(*) AS n, round(min(score), 3) AS min_score, round(max(s
   round(any_value(CASE WHEN r_max > a_min THEN least(a_max, r_max) END), 3) AS overlap_hi,
   count_if(coalesce(r_max > a_min AND score >= greatest(a_min, r_min) AND score <= least(a_max, r_max), false)) AS n_in_overlap
 FROM lab, b GROUP BY population""")
+q("crosswalk_fidelity", ["crosswalk", "xranked"], """
+WITH best AS (SELECT product_id, score, name_sim, new_product_id AS best_id FROM xranked WHERE rn = 1),
+pers AS (SELECT product_id, CAST(regexp_extract(notes, 'name_sim=([0-9.]+)', 1) AS DOUBLE) AS persisted
+         FROM crosswalk WHERE match_method = 'attributes_fuzzy' AND match_status = 'matched'
+           AND contains(notes, 'name_sim=')),
+j AS (SELECT p.*, b.score, b.name_sim, b.best_id FROM pers p LEFT JOIN best b ON p.product_id = b.product_id)
+SELECT count(*) AS n_persisted, count_if(coalesce(round(name_sim, 2) = persisted, false)) AS n_agree,
+  arg_min(product_id, (score, product_id)) AS weakest_product_id,
+  arg_min(best_id, (score, product_id)) AS weakest_new_product_id, round(min(score), 3) AS weakest_score
+FROM j""")
 q("brand_bijection", ["crosswalk", "products", "new_products"], """
 SELECT count(*) AS n_pairs, count_if(coalesce(p.brand IS DISTINCT FROM n.brand_name, false)) AS n_brand_differs,
   count(DISTINCT p.brand) AS n_brands, count(DISTINCT n.brand_name) AS n_brand_names,

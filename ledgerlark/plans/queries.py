@@ -120,6 +120,11 @@ def q_score_distribution(p: FeedPipeline) -> DataFrame:
     return crosswalk.score_distribution(p.products, p.new_products)
 
 
+@query("crosswalk_fidelity")
+def q_crosswalk_fidelity(p: FeedPipeline) -> DataFrame:
+    return crosswalk.crosswalk_fidelity(p.crosswalk, p.products, p.new_products)
+
+
 @query("brand_bijection")
 def q_brand_bijection(p: FeedPipeline) -> DataFrame:
     return crosswalk.brand_bijection(p.crosswalk, p.products, p.new_products)
