@@ -28,6 +28,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's code with the UDFs (pickled by value), so Python workers
+# need neither the package installed nor the driver's sys.path.
+import sys as _sys  # noqa: E402
+
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 METHODS = ("token_set_ratio", "partial_ratio", "edit_distance", "exact_token_overlap")
 
 
