@@ -83,9 +83,11 @@ def file_stats(raw: DataFrame, headers: DataFrame, store_ids: DataFrame | None =
     if product_ids is not None:
         aggs.append(F.count_if(F.col("_p_ok").isNull()).alias("_orphan_product"))
     per_file = rows.groupBy("source_file").agg(*aggs)
-    dup_rows = (raw.groupBy("source_file", *DATA_COLUMNS).count()
-                .groupBy("source_file").agg(F.sum(F.col("count") - 1).alias("dup_rows")))
-    dup_ids = (raw.groupBy("source_file", "order_id").count()
+    # one shuffle of the raw rows: distinct full rows with their multiplicity;
+    # repeated order ids are then counted from that (much smaller) result
+    distinct_rows = raw.groupBy("source_file", *DATA_COLUMNS).count()
+    dup_rows = distinct_rows.groupBy("source_file").agg(F.sum(F.col("count") - 1).alias("dup_rows"))
+    dup_ids = (distinct_rows.groupBy("source_file", "order_id").agg(F.sum("count").alias("count"))
                .groupBy("source_file").agg(F.sum(F.col("count") - 1).alias("dup_order_id")))
     out = (hdr.join(per_file, "source_file", "left")
            .join(dup_rows, "source_file", "left")
