@@ -219,13 +219,13 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_pulls(spark: SparkSession, sf_dir: str, weather: DataFrame | None = None) -> DataFrame:
     """Two cached pulls per (store, year): an early pull covering January-June
     and a later full-year pull whose precipitation is revised when
     (day-of-year + store) % 29 = 0. Columns: store_id, range_start, range_end,
     weather_date and the four values.
     """
-    w = weather_daily(spark, sf_dir)
+    w = weather if weather is not None else weather_daily(spark, sf_dir)
     d = F.col("weather_date").cast("date")
     yr = _s(F.year(d))
     store_no = F.substring("store_id", 4, 1).cast("int")

@@ -21,8 +21,8 @@ from ledgerlark.plans import adapters
 class FeedPipeline:
     """``materialize=True`` writes the frames that many queries read -- the raw
     feed (raw_orders), the crosswalk's scored pairs, the tagged order lines
-    (clean_orders + rejected_rows), daily_sales and the board's enriched
-    lines -- once as parquet tables under the shared ``spark.checkpoint.dir``
+    (clean_orders + rejected_rows), daily_sales, the board's enriched lines
+    and the per-file quality facts -- once as parquet tables under the shared ``spark.checkpoint.dir``
     and reads them back: the stage tables of the batch pipeline."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
@@ -60,17 +60,19 @@ class FeedPipeline:
 
     @cached_property
     def weather(self) -> DataFrame:
-        return adapters.weather_daily(self.spark, self.sf_dir)
+        # the weather_daily table
+        return self._cut(adapters.weather_daily(self.spark, self.sf_dir), "weather_daily")
 
     @cached_property
     def pulls(self) -> DataFrame:
-        return adapters.weather_pulls(self.spark, self.sf_dir)
+        return adapters.weather_pulls(self.spark, self.sf_dir, self.weather)
 
     # ---- stages ---------------------------------------------------------
     @cached_property
     def crosswalk(self) -> DataFrame:
-        return crosswalk.build_crosswalk(self.products, self.new_products, keep_pos=True,
-                                         materialize=self.materialize)
+        # the product_crosswalk table: catalog-sized, read by every stage below
+        return self._cut(crosswalk.build_crosswalk(self.products, self.new_products, keep_pos=True,
+                                                   materialize=self.materialize), "product_crosswalk")
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -110,8 +112,9 @@ class FeedPipeline:
 
     @cached_property
     def file_stats(self) -> DataFrame:
+        # one row per file: the quality-log stage, read by seven queries
         s, p = quality.reference_sets(self.stores, self.products, self.new_products)
-        return quality.file_stats(self.raw, self.headers, s, p)
+        return self._cut(quality.file_stats(self.raw, self.headers, s, p), "file_stats")
 
     @cached_property
     def file_status(self) -> DataFrame:
