@@ -67,7 +67,8 @@ def split_headers(s: DataFrame):
     headers = first.select(
         "source_file", "file_path", F.col("_h.row_uid").alias("_hid"),
         # positions are kept (a NULL name keeps its slot) so names map to cells
-        F.transform(F.col("_h.cells"), lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")).alias("header"))
+        # header cells: trimmed, and a UTF-8 byte-order mark on the first one dropped
+        F.transform(F.col("_h.cells"), lambda c: F.regexp_replace(c, "^\ufeff|^\\s+|\\s+$", "")).alias("header"))
     rows = s.join(headers.select("_hid"), s.row_uid == headers._hid, "left_anti")
     return rows, headers.drop("_hid")
 

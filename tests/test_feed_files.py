@@ -112,6 +112,14 @@ def test_cleaning_over_files(spark, landing):
     assert m.is_new_system == 1 and m.product_key == "NP5004" and m.legacy_product_id is None
 
 
+def test_bom_header(spark, tmp):
+    path = os.path.join(tmp, "orders_2026-09-01.csv")
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write(LEGACY + "\n" + _rows("2026-09-01", 1)[0] + "\n")
+    r = feed_csv.read_orders(spark, path).first()
+    assert r.order_id == "20260901-0001" and r.product_id == "P1001"
+
+
 def test_file_hash(spark, landing):
     h = {r.source_file: r.file_hash for r in feed_csv.file_sha256(spark, landing).collect()}
     import hashlib
