@@ -131,7 +131,7 @@ def rank_candidates(scored: DataFrame) -> DataFrame:
 
 def build_crosswalk(legacy: DataFrame, new: DataFrame, mapping: dict | None = None,
                     method: str = "token_set_ratio", keep_pos: bool = False,
-                    materialize: bool = False) -> DataFrame:
+                    materialize: bool = False, scored: DataFrame | None = None) -> DataFrame:
     """One crosswalk row per legacy catalog row.
 
     ``materialize`` checkpoints the scored candidate pairs (reliably, into the
@@ -142,10 +142,11 @@ def build_crosswalk(legacy: DataFrame, new: DataFrame, mapping: dict | None = No
              .select("product_id", "l_pos", "new_product_id",
                      F.lit("matched").alias("match_status"), F.lit("high").alias("match_confidence"),
                      F.lit("exact_name").alias("match_method"), F.lit(NOTE_EXACT).alias("notes")))
-    scored = scored_candidates(legacy, new, mapping, method)
-    if materialize:
-        from ledgerlark.session import cut_lineage
-        scored = cut_lineage(scored, "scored_pairs")
+    if scored is None:
+        scored = scored_candidates(legacy, new, mapping, method)
+        if materialize:
+            from ledgerlark.session import cut_lineage
+            scored = cut_lineage(scored, "scored_pairs")
     ranked = rank_candidates(scored)
     b, s = F.col("b"), F.col("s")
     below = b.score < MIN_SCORE
@@ -206,16 +207,15 @@ def status_summary(crosswalk: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def score_distribution(legacy: DataFrame, new: DataFrame, mapping: dict | None = None,
-                       method: str = "token_set_ratio", floor: float = MIN_SCORE,
-                       gap: float = AMBIGUOUS_GAP) -> DataFrame:
-    """Accepted-matched / accepted-possible / rejected score populations.
+def score_distribution(scored: DataFrame, floor: float = MIN_SCORE, gap: float = AMBIGUOUS_GAP) -> DataFrame:
+    """Accepted-matched / accepted-possible / rejected score populations
+    over the scored tier-2 pairs.
 
     Rejected = every runner-up plus a best below the floor. One row per
     population with n, min, max (scores rounded to 3 dp), plus the overlap
-    interval of accepted vs rejected and how many of each fall inside it.
+    interval of accepted vs rejected and how many of each fall inside it. The
+    four interval bounds are one small aggregate brought back as numbers.
     """
-    scored = scored_candidates(legacy, new, mapping, method)
     ranked = rank_candidates(scored).select("l_pos", F.col("b.neg_pos").alias("_bneg"),
                                             F.col("b.score").alias("_best"),
                                             F.col("s.score").alias("_second"), "n_cands")
@@ -226,34 +226,31 @@ def score_distribution(legacy: DataFrame, new: DataFrame, mapping: dict | None =
            .otherwise("accepted_matched"))
     labelled = j.select(pop.alias("population"), "score")
     acc = F.col("population") != "rejected"
-    bounds = labelled.agg(
+    b = labelled.agg(
         F.min(F.when(acc, F.col("score"))).alias("a_min"), F.max(F.when(acc, F.col("score"))).alias("a_max"),
-        F.min(F.when(~acc, F.col("score"))).alias("r_min"), F.max(F.when(~acc, F.col("score"))).alias("r_max"))
-    lo = F.greatest("a_min", "r_min")
-    hi = F.least("a_max", "r_max")
-    overlaps = F.col("r_max") > F.col("a_min")
-    inside = overlaps & (F.col("score") >= lo) & (F.col("score") <= hi)
-    per_pop = labelled.groupBy("population").agg(
-        F.count(F.lit(1)).alias("n"), F.min("score").alias("min_score"), F.max("score").alias("max_score"))
-    # ``bounds`` is exactly one row: a broadcast equi-join on a constant key
-    in_overlap = (labelled.withColumn("_k", F.lit(1))
-                  .join(F.broadcast(bounds.withColumn("_k", F.lit(1))), "_k")
-                  .groupBy("population").agg(F.count_if(inside).alias("n_in_overlap"),
-                                             F.first(F.when(overlaps, lo)).alias("overlap_lo"),
-                                             F.first(F.when(overlaps, hi)).alias("overlap_hi")))
-    return (per_pop.join(in_overlap, "population")
+        F.min(F.when(~acc, F.col("score"))).alias("r_min"), F.max(F.when(~acc, F.col("score"))).alias("r_max")
+    ).first()
+    if None not in (b.a_min, b.r_max, b.r_min, b.a_max) and b.r_max > b.a_min:
+        lo, hi = max(b.a_min, b.r_min), min(b.a_max, b.r_max)
+        inside = (F.col("score") >= F.lit(lo)) & (F.col("score") <= F.lit(hi))
+    else:
+        lo = hi = None
+        inside = F.lit(False)
+    return (labelled.groupBy("population")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("min_score"),
+                 F.max("score").alias("max_score"), F.count_if(inside).alias("n_in_overlap"))
             .select("population", "n",
                     F.round("min_score", 3).alias("min_score"), F.round("max_score", 3).alias("max_score"),
-                    F.round("overlap_lo", 3).alias("overlap_lo"), F.round("overlap_hi", 3).alias("overlap_hi"),
+                    F.round(F.lit(lo).cast("double"), 3).alias("overlap_lo"),
+                    F.round(F.lit(hi).cast("double"), 3).alias("overlap_hi"),
                     "n_in_overlap"))
 
 
-def crosswalk_fidelity(crosswalk: DataFrame, legacy: DataFrame, new: DataFrame,
-                       mapping: dict | None = None, method: str = "token_set_ratio") -> DataFrame:
-    """E20 fidelity and weakest accept: re-score tier 2, compare the
-    recomputed best name similarity (2 dp) with the ``name_sim=`` persisted in
-    the notes of matched fuzzy rows, and report the weakest matched accept."""
-    ranked = rank_candidates(scored_candidates(legacy, new, mapping, method))
+def crosswalk_fidelity(crosswalk: DataFrame, scored: DataFrame, legacy: DataFrame) -> DataFrame:
+    """E20 fidelity and weakest accept: from the re-scored tier-2 pairs,
+    compare the best name similarity (2 dp) with the ``name_sim=`` persisted
+    in the notes of matched fuzzy rows, and report the weakest matched accept."""
+    ranked = rank_candidates(scored)
     L = legacy.select("product_id", F.col("catalog_pos").alias("l_pos"))
     best = ranked.join(L, "l_pos").select(
         "product_id", F.col("b.score").alias("score"), F.col("b.name_sim").alias("name_sim"),

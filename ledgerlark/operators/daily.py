@@ -100,18 +100,19 @@ def daily_sales(clean: DataFrame, new_products: DataFrame | None, products: Data
 
 
 def grain_check(daily: DataFrame) -> DataFrame:
-    """rows vs distinct grain keys (NULLs equal)."""
-    keys = daily.select(*GRAIN).distinct().agg(F.count(F.lit(1)).alias("n_keys"))
-    rows = daily.agg(F.count(F.lit(1)).alias("n_rows"))
-    out = rows.withColumn("_k", F.lit(1)).join(keys.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return out.withColumn("grain_unique", (F.col("n_rows") == F.col("n_keys")).cast("int"))
+    """rows vs distinct grain keys (NULLs equal) in one aggregation."""
+    return daily.agg(F.count(F.lit(1)).alias("n_rows"),
+                     F.count_distinct(F.struct(*GRAIN)).alias("n_keys")).withColumn(
+        "grain_unique", (F.col("n_rows") == F.col("n_keys")).cast("int"))
 
 
 def reconcile(daily: DataFrame, clean: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """total daily net vs total clean line_revenue."""
-    d = daily.agg(F.round(F.sum(F.col("net_revenue").cast("decimal(38,10)")), 2).alias("daily_net"))
-    c = clean.agg(F.round(money_sum(F.col("line_revenue")), 2).alias("clean_net"))
-    out = d.withColumn("_k", F.lit(1)).join(c.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """total daily net vs total clean line_revenue -- one aggregation over
+    the union of both inputs (each row feeds one of the two sums)."""
+    both = (daily.select(F.col("net_revenue").alias("_d"), F.lit(None).cast("double").alias("_c"))
+            .unionByName(clean.select(F.lit(None).cast("double").alias("_d"), F.col("line_revenue").alias("_c"))))
+    out = both.agg(F.round(money_sum(F.col("_d")), 2).alias("daily_net"),
+                   F.round(money_sum(F.col("_c")), 2).alias("clean_net"))
     return out.select(F.col("daily_net").cast("double").alias("daily_net"),
                       F.col("clean_net").cast("double").alias("clean_net"),
                       (F.abs(F.col("daily_net") - F.col("clean_net")) < tolerance).cast("int")

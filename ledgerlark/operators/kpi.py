@@ -71,17 +71,24 @@ def board_frames(daily: DataFrame, lines: DataFrame, stores: list[str] | None =
 
 
 def kpi_totals(daily: DataFrame, lines: DataFrame) -> DataFrame:
-    """Net, gross, discount, units, order lines, kept %, AOV, discount share."""
-    d = daily.agg(F.sum(F.col("net_revenue").cast("decimal(38,10)")).alias("net"),
-                  F.sum(F.col("gross_revenue").cast("decimal(38,10)")).alias("gross"),
-                  F.sum(F.col("discount_given").cast("decimal(38,10)")).alias("disc"),
-                  F.coalesce(F.sum("units_sold"), F.lit(0)).cast("long").alias("units_sold"))
-    n = lines.agg(F.count(F.lit(1)).alias("order_lines"))
-    j = d.withColumn("_k", F.lit(1)).join(n.withColumn("_k", F.lit(1)), "_k")
+    """Net, gross, discount, units, order lines, kept %, AOV, discount
+    share -- one aggregation over the union of the two frames."""
+    dbl = "double"
+    both = (daily.select(F.col("net_revenue").alias("_n"), F.col("gross_revenue").alias("_g"),
+                         F.col("discount_given").alias("_d"), F.col("units_sold").alias("_u"),
+                         F.lit(0).alias("_line"))
+            .unionByName(lines.select(*[F.lit(None).cast(dbl).alias(c) for c in ("_n", "_g", "_d")],
+                                      F.lit(None).cast("long").alias("_u"), F.lit(1).alias("_line"))))
+    j = both.agg(F.sum(F.col("_n").cast("decimal(38,10)")).alias("net"),
+                 F.sum(F.col("_g").cast("decimal(38,10)")).alias("gross"),
+                 F.sum(F.col("_d").cast("decimal(38,10)")).alias("disc"),
+                 F.coalesce(F.sum("_u"), F.lit(0)).cast("long").alias("units_sold"),
+                 F.sum("_line").cast("long").alias("order_lines"))
     net, gross, disc = (F.coalesce(F.col(c), F.lit(0)) for c in ("net", "gross", "disc"))
     return j.select(
         to_cents(net).alias("net_revenue"), to_cents(gross).alias("gross_revenue"),
-        to_cents(disc).alias("discount_given"), "units_sold", "order_lines",
+        to_cents(disc).alias("discount_given"), "units_sold",
+        F.coalesce(F.col("order_lines"), F.lit(0)).cast("long").alias("order_lines"),
         F.round(F.when(gross != 0, net / gross * 100).otherwise(0), 4).cast("double").alias("kept_pct"),
         F.round(F.when(F.col("order_lines") > 0, net / F.col("order_lines")).otherwise(0), 4)
          .cast("double").alias("avg_order_value"),
@@ -97,19 +104,19 @@ def daily_series(daily: DataFrame) -> DataFrame:
 
 def week_over_week(daily: DataFrame) -> DataFrame:
     """Last day vs exactly seven calendar days earlier (missing -> 0).
-    Conditional sums against the last date, not ``lag(7)`` (dates have gaps)."""
-    series = daily_series(daily).withColumn("_d", F.col("order_date").cast("date"))
-    last = series.agg(F.max("_d").alias("last_day"))
-    j = series.withColumn("_k", F.lit(1)).join(F.broadcast(last.withColumn("_k", F.lit(1))), "_k")
-    today = F.col("_d") == F.col("last_day")
-    prev = F.col("_d") == F.date_sub(F.col("last_day"), 7)
-    return j.groupBy("last_day").agg(
-        F.round(F.sum(F.when(today, F.col("net_revenue"))), 2).alias("net_last_day"),
-        F.round(F.coalesce(F.sum(F.when(prev, F.col("net_revenue"))), F.lit(0.0)), 2).alias("net_week_before"),
-        F.sum(F.when(today, F.col("units_sold"))).cast("long").alias("units_last_day"),
-        F.coalesce(F.sum(F.when(prev, F.col("units_sold"))), F.lit(0)).cast("long").alias("units_week_before"),
-    ).select(F.col("last_day").cast("string").alias("last_day"), F.date_sub("last_day", 7).cast("string")
-             .alias("week_before"), "net_last_day", "net_week_before", "units_last_day", "units_week_before")
+    An equi-join of the daily series with itself on (date - 7) -- not
+    ``lag(7)``, dates have gaps -- then the row of the latest date."""
+    s = daily_series(daily).withColumn("_d", F.col("order_date").cast("date"))
+    prev = s.select(F.col("_d").alias("_pd"), F.col("net_revenue").alias("_pn"),
+                    F.col("units_sold").alias("_pu"))
+    j = s.join(prev, F.date_sub(s._d, 7) == prev._pd, "left")
+    last = j.agg(F.max_by(F.struct("_d", "net_revenue", "units_sold", "_pn", "_pu"), "_d").alias("r"))
+    r = F.col("r")
+    return last.select(r._d.cast("string").alias("last_day"), F.date_sub(r._d, 7).cast("string").alias("week_before"),
+                       F.round(r.net_revenue, 2).alias("net_last_day"),
+                       F.round(F.coalesce(r._pn, F.lit(0.0)), 2).alias("net_week_before"),
+                       r.units_sold.cast("long").alias("units_last_day"),
+                       F.coalesce(r._pu, F.lit(0)).cast("long").alias("units_week_before"))
 
 
 def window_label(daily: DataFrame) -> DataFrame:
@@ -160,14 +167,13 @@ def revenue_by_store(daily: DataFrame) -> DataFrame:
 
 
 def revenue_by_category(daily: DataFrame) -> DataFrame:
-    """With percent of the largest category (a window over the already
-    aggregated per-category rows, bounded by the number of categories)."""
+    """With percent of the largest category. The max is a window over
+    the per-category aggregate (one row per category, a bounded frame)."""
+    from pyspark.sql import Window
     g = daily.groupBy("category").agg(_cents_sum(F.col("net_revenue")).alias("net_revenue"))
-    mx = g.agg(F.max("net_revenue").alias("_mx"))
-    j = g.withColumn("_k", F.lit(1)).join(F.broadcast(mx.withColumn("_k", F.lit(1))), "_k")
-    return j.select("category", "net_revenue",
-                    F.round(F.when(F.col("_mx") != 0, F.col("net_revenue") / F.col("_mx") * 100)
-                            .otherwise(0.0), 4).alias("pct_of_max"))
+    mx = F.max("net_revenue").over(Window.partitionBy())
+    return g.select("category", "net_revenue",
+                    F.round(F.when(mx != 0, F.col("net_revenue") / mx * 100).otherwise(0.0), 4).alias("pct_of_max"))
 
 
 def top_products(lines: DataFrame, k: int = 6) -> DataFrame:
@@ -192,15 +198,16 @@ def rain_day_counts(lines: DataFrame, mm: float = 1.0) -> DataFrame:
 
 def channel_mix(lines: DataFrame, mm: float = 1.0) -> DataFrame:
     """Channel share (%) on dry vs rain store-days and the delta in
-    points. Lines with NULL channel are excluded from the shares."""
+    points. Lines with NULL channel are excluded from the shares. Side totals
+    are window sums over the per-channel aggregate (a bounded frame)."""
+    from pyspark.sql import Window
     pc = _store_day_rain(lines, mm).where(F.col("sales_channel").isNotNull())
     g = pc.groupBy("sales_channel").agg(
         F.count_if(~F.col("rain")).alias("dry_lines"), F.count_if(F.col("rain")).alias("rain_lines"))
-    tot = pc.agg(F.count_if(~F.col("rain")).alias("_nd"), F.count_if(F.col("rain")).alias("_nr"))
-    j = g.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-    dry = F.try_divide(F.col("dry_lines") * 100.0, F.col("_nd"))
-    rain = F.try_divide(F.col("rain_lines") * 100.0, F.col("_nr"))
-    return j.select("sales_channel", "dry_lines", "rain_lines",
+    allw = Window.partitionBy()
+    dry = F.try_divide(F.col("dry_lines") * 100.0, F.sum("dry_lines").over(allw))
+    rain = F.try_divide(F.col("rain_lines") * 100.0, F.sum("rain_lines").over(allw))
+    return g.select("sales_channel", "dry_lines", "rain_lines",
                     F.round(dry, 4).alias("dry_pct"), F.round(rain, 4).alias("rain_pct"),
                     F.round(rain - dry, 4).alias("delta_pts"))
 

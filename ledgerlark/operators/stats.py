@@ -58,11 +58,12 @@ def channel_counts(clean: DataFrame, sd: DataFrame, rain_mm: float = RAIN_MM) ->
          .join(flags, ["order_date", "store_id"]).where(F.col("rain").isNotNull()))
     per = j.groupBy("sales_channel").agg(F.count_if(F.col("rain")).alias("rain_lines"),
                                          F.count_if(~F.col("rain")).alias("dry_lines"))
-    tot = j.agg(F.count_if(F.col("rain")).alias("_nr"), F.count_if(~F.col("rain")).alias("_nd"))
-    k = per.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-    return k.select("sales_channel", "rain_lines", "dry_lines",
-                    F.round(F.try_divide(F.col("rain_lines") * 100.0, F.col("_nr")), 4).alias("rain_pct"),
-                    F.round(F.try_divide(F.col("dry_lines") * 100.0, F.col("_nd")), 4).alias("dry_pct"))
+    allw = Window.partitionBy()    # over the per-channel aggregate (a bounded frame)
+    return per.select("sales_channel", "rain_lines", "dry_lines",
+                      F.round(F.try_divide(F.col("rain_lines") * 100.0, F.sum("rain_lines").over(allw)), 4)
+                      .alias("rain_pct"),
+                      F.round(F.try_divide(F.col("dry_lines") * 100.0, F.sum("dry_lines").over(allw)), 4)
+                      .alias("dry_pct"))
 
 
 def rain_lift_median(sd: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
@@ -135,10 +136,9 @@ def spearman_by_store(sd: DataFrame) -> DataFrame:
 
 def significance_screen(tests: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """H8: tests with p < alpha, with the total number of tests."""
-    total = tests.agg(F.count(F.lit(1)).alias("n_tests"))
-    hits = tests.where(F.col("p_value") < alpha)
-    return (hits.withColumn("_k", F.lit(1))
-            .join(F.broadcast(total.withColumn("_k", F.lit(1))), "_k").drop("_k"))
+    # tests is one row per test (bounded); the total is a window count
+    counted = tests.withColumn("n_tests", F.count(F.lit(1)).over(Window.partitionBy()))
+    return counted.where(F.col("p_value") < alpha)
 
 
 def effective_sample(daily: DataFrame) -> DataFrame:

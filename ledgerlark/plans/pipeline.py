@@ -68,11 +68,16 @@ class FeedPipeline:
         return adapters.weather_pulls(self.spark, self.sf_dir, self.weather)
 
     # ---- stages ---------------------------------------------------------
+    @cached_property
+    def scored(self) -> DataFrame:
+        # tier-2 candidate pairs with their similarity scores (the only UDF work)
+        return self._cut(crosswalk.scored_candidates(self.products, self.new_products), "scored_pairs")
+
     @cached_property
     def crosswalk(self) -> DataFrame:
         # the product_crosswalk table: catalog-sized, read by every stage below
         return self._cut(crosswalk.build_crosswalk(self.products, self.new_products, keep_pos=True,
-                                                   materialize=self.materialize), "product_crosswalk")
+                                                   scored=self.scored), "product_crosswalk")
 
     @cached_property
     def lines(self) -> DataFrame:

@@ -84,7 +84,7 @@ def q_token_overlap(p: FeedPipeline) -> DataFrame:
 
 @query("token_set_similarity")
 def q_token_set(p: FeedPipeline) -> DataFrame:
-    s = crosswalk.scored_candidates(p.products, p.new_products)
+    s = p.scored
     return s.select("product_id", "new_product_id", "name_sim", "subclass_sim",
                     F.round("price_sim", 6).alias("price_sim"), F.round("score", 6).alias("score"))
 
@@ -117,12 +117,12 @@ def q_crosswalk_status(p: FeedPipeline) -> DataFrame:
 
 @query("score_distribution")
 def q_score_distribution(p: FeedPipeline) -> DataFrame:
-    return crosswalk.score_distribution(p.products, p.new_products)
+    return crosswalk.score_distribution(p.scored)
 
 
 @query("crosswalk_fidelity")
 def q_crosswalk_fidelity(p: FeedPipeline) -> DataFrame:
-    return crosswalk.crosswalk_fidelity(p.crosswalk, p.products, p.new_products)
+    return crosswalk.crosswalk_fidelity(p.crosswalk, p.scored, p.products)
 
 
 @query("brand_bijection")
