@@ -69,6 +69,15 @@ def failed_attempt(expected_date: Column, error: Column, run_timestamp: Column,
             F.lit("").alias("file_hash"), error.alias("error_message")]
 
 
+def failed_records(unreadable: DataFrame, run_timestamp: Column | None = None,
+                   source_url: str = "") -> DataFrame:
+    """One ``failed`` ingestion record per unreadable file (file_name,
+    file_date, error) -- rows 0, hash blank; the run continues."""
+    ts = run_timestamp if run_timestamp is not None else F.date_format(
+        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return unreadable.select(*failed_attempt(F.col("file_date"), F.col("error"), ts, source_url))
+
+
 def missing_days(log: DataFrame) -> DataFrame:
     """Calendar days between the first and last logged date with no record.
 

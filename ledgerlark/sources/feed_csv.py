@@ -117,3 +117,18 @@ def file_sha256(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     b = spark.read.format("binaryFile").load(paths)
     return b.select(F.element_at(F.split("path", "/"), -1).alias("source_file"),
                     F.sha2(F.col("content"), 256).alias("file_hash"))
+
+
+def unreadable_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """B3 input: non-empty files in the landing set that yield no header
+    line. The file listing comes from the ``binaryFile`` source with only
+    path and length selected, so file bytes are not read for it. Spark's file
+    sources skip zero-byte files altogether; such a day surfaces as a
+    missing day (``monitor.missing_days``)."""
+    listing = (spark.read.format("binaryFile").load(paths)
+               .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"))
+    have = file_headers(spark, paths).select(F.col("source_file").alias("file_name"))
+    missing = listing.join(have, "file_name", "left_anti")
+    return missing.select("file_name", date_from_filename(F.col("file_name")).alias("file_date"),
+                          F.lit("no header line").alias("error"))
+

@@ -120,6 +120,19 @@ def test_bom_header(spark, tmp):
     assert r.order_id == "20260901-0001" and r.product_id == "P1001"
 
 
+def test_failed_records(spark, tmp):
+    from ledgerlark.operators import monitor
+    good = os.path.join(tmp, "orders_2026-09-02.csv")
+    with open(good, "w") as f:
+        f.write(LEGACY + "\n" + _rows("2026-09-02", 1)[0] + "\n")
+    with open(os.path.join(tmp, "orders_2026-09-03.csv"), "w") as f:   # blank download
+        f.write("\n\n")
+    bad = feed_csv.unreadable_files(spark, tmp)
+    recs = monitor.failed_records(bad, F.lit("2026-09-03T06:00:00Z")).collect()
+    assert [(r.source_date_expected, r.status, r.rows_loaded, r.error_message) for r in recs] == \
+        [("2026-09-03", "failed", 0, "no header line")]
+
+
 def test_file_hash(spark, landing):
     h = {r.source_file: r.file_hash for r in feed_csv.file_sha256(spark, landing).collect()}
     import hashlib
