@@ -61,16 +61,22 @@ def scan_with_headers(spark: SparkSession, paths: list[str] | str):
 
 
 def split_headers(s: DataFrame):
-    """Separate each file's first line (its header) from its data rows."""
-    first = (s.where(F.col("block_start") == 0).groupBy("source_file", "file_path")
-             .agg(F.min(F.struct("row_uid", "cells")).alias("_h")))
-    headers = first.select(
-        "source_file", "file_path", F.col("_h.row_uid").alias("_hid"),
-        # positions are kept (a NULL name keeps its slot) so names map to cells
-        # header cells: trimmed, and a UTF-8 byte-order mark on the first one dropped
-        F.transform(F.col("_h.cells"), lambda c: F.regexp_replace(c, "^\ufeff|^\\s+|\\s+$", "")).alias("header"))
-    rows = s.join(headers.select("_hid"), s.row_uid == headers._hid, "left_anti")
-    return rows, headers.drop("_hid")
+    """Separate each file's first line (its header) from its data rows.
+
+    The header row id per file is ``min(row_uid)`` over the file's first
+    block -- a hash aggregate on a long with map-side combine -- and the
+    header cells are fetched by joining on that unique id (one row per file,
+    broadcast by AQE when small), so file contents are never aggregated."""
+    hid = (s.where(F.col("block_start") == 0).groupBy("source_file", "file_path")
+           .agg(F.min("row_uid").alias("_hid")))
+    ids = hid.select("_hid")
+    headers = (s.join(ids, s.row_uid == ids._hid, "left_semi")
+               .select("source_file", "file_path",
+                       # header cells: trimmed, and a UTF-8 byte-order mark on the first one dropped
+                       F.transform(F.col("cells"), lambda c: F.regexp_replace(c, "^\ufeff|^\\s+|\\s+$", ""))
+                       .alias("header")))
+    rows = s.join(ids, s.row_uid == ids._hid, "left_anti")
+    return rows, headers
 
 
 def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str | None = None) -> DataFrame:
