@@ -125,33 +125,52 @@ def window_label(daily: DataFrame) -> DataFrame:
                      F.count_distinct("order_date").alias("n_days"))
 
 
-def weather_corr(daily: DataFrame, weather_col: str = "temp_max", value_col: str = "net_revenue",
-                 min_obs: int = 3) -> DataFrame:
-    """G11 + G12: per category Pearson r between the store-day measure (sum)
-    and the store-day weather (mean). Emitted only with >= ``min_obs``
-    store-days and more than one distinct value on both sides (so ``corr``
-    never sees a constant column)."""
-    val = (money_sum(F.col(value_col)).cast("double") if value_col != "units_sold"
-           else F.coalesce(F.sum(value_col), F.lit(0)).cast("double"))
+def weather_corr_all(daily: DataFrame, weathers=("temp_max", "precipitation_sum"),
+                     measures=("net_revenue", "units_sold"), min_obs: int = 3) -> DataFrame:
+    """G11 + G12 for every (weather, measure) pair in one pass: one store-day
+    aggregation per category, one per-category aggregation holding all the
+    correlations, then an unpivot to one row per (category, weather, measure).
+
+    Per pair, r is emitted only with >= ``min_obs`` store-days and more than
+    one distinct value on both sides (so ``corr`` never sees a constant)."""
+    def measure(v):
+        return (money_sum(F.col(v)).cast("double") if v != "units_sold"
+                else F.coalesce(F.sum(v), F.lit(0)).cast("double"))
     sd = (daily.groupBy("category", "order_date", "store_id")
-          .agg(val.alias("val"), F.avg(weather_col).alias("w")))
-    g = sd.groupBy("category").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("w").alias("_nw"),
-        F.count_distinct("val").alias("_nv"), F.corr("val", "w").alias("_r"))
+          .agg(*[measure(v).alias(f"v_{v}") for v in measures],
+               *[F.avg(w).alias(f"w_{w}") for w in weathers]))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.count_distinct(f"v_{v}").alias(f"nv_{v}") for v in measures]
+    aggs += [F.count_distinct(f"w_{w}").alias(f"nw_{w}") for w in weathers]
+    aggs += [F.corr(f"v_{v}", f"w_{w}").alias(f"r_{w}__{v}") for w in weathers for v in measures]
+    g = sd.groupBy("category").agg(*aggs)
+    pairs = [(w, v) for w in weathers for v in measures]
+    stacked = g.select("category", "n", F.explode(F.array(*[
+        F.struct(F.lit(w).alias("weather"), F.lit(v).alias("measure"),
+                 F.col(f"r_{w}__{v}").alias("_r"), F.col(f"nw_{w}").alias("_nw"), F.col(f"nv_{v}").alias("_nv"))
+        for w, v in pairs])).alias("p")).select("category", "n", "p.*")
     r = F.round(F.col("_r"), 6)
     tag = F.when(r >= SENSITIVITY_R, "warm-driven").when(r <= -SENSITIVITY_R, "cool-driven").otherwise("neutral")
-    return (g.where((F.col("n") >= min_obs) & (F.col("_nw") > 1) & (F.col("_nv") > 1))
-            .select("category", r.alias("r"), "n", tag.alias("sensitivity")))
+    return (stacked.where((F.col("n") >= min_obs) & (F.col("_nw") > 1) & (F.col("_nv") > 1))
+            .select("category", r.alias("r"), "n", tag.alias("sensitivity"), "weather", "measure"))
+
+
+def weather_corr(daily: DataFrame, weather_col: str = "temp_max", value_col: str = "net_revenue",
+                 min_obs: int = 3) -> DataFrame:
+    """G11 + G12 for one (weather, measure) pair."""
+    return weather_corr_all(daily, (weather_col,), (value_col,), min_obs).drop("weather", "measure")
 
 
 def recommendations(daily: DataFrame, value_col: str = "net_revenue",
                     categories: DataFrame | None = None) -> DataFrame:
     """Per category, temperature and precipitation correlations (missing
     -> 0) turned into a tag; ``rank`` orders by |temp r| descending."""
-    t = weather_corr(daily, "temp_max", value_col).select("category", F.col("r").alias("temp_r"))
-    p = weather_corr(daily, "precipitation_sum", value_col).select("category", F.col("r").alias("precip_r"))
+    c = weather_corr_all(daily, ("temp_max", "precipitation_sum"), (value_col,))
+    wide = c.groupBy("category").agg(
+        F.max(F.when(F.col("weather") == "temp_max", F.col("r"))).alias("temp_r"),
+        F.max(F.when(F.col("weather") == "precipitation_sum", F.col("r"))).alias("precip_r"))
     cats = categories if categories is not None else daily.select("category").distinct()
-    j = (cats.join(t, "category", "left").join(p, "category", "left")
+    j = (cats.join(wide, "category", "left")
          .withColumn("temp_r", F.coalesce("temp_r", F.lit(0.0)))
          .withColumn("precip_r", F.coalesce("precip_r", F.lit(0.0))))
     tr, pr = F.col("temp_r"), F.col("precip_r")

@@ -126,12 +126,16 @@ def share_vs_median(sd: DataFrame, rain_mm: float = RAIN_MM) -> DataFrame:
     return spearman(m, "rain_share", "median_daily_net", ["_all"]).drop("_all")
 
 
-def spearman_by_store(sd: DataFrame) -> DataFrame:
-    """H7: per store, rho(net, temp_max) and rho(net, precip)."""
-    t = spearman(sd, "net_revenue", "temp_max", ["store_id"]).withColumn("weather", F.lit("temp_max"))
-    p = spearman(sd, "net_revenue", "precipitation_sum", ["store_id"]).withColumn("weather",
-                                                                                    F.lit("precipitation_sum"))
-    return t.unionByName(p).select("store_id", "weather", "n", "rho", "p_value")
+def spearman_by_store(sd: DataFrame, weathers=("temp_max", "precipitation_sum")) -> DataFrame:
+    """H7: per store, rho(net, temp_max) and rho(net, precip). One pass: the
+    store-day frame is stacked into one row per (weather, store-day) and
+    ranked per (store, weather), so net revenue is ranked within each test's
+    own non-NULL rows, exactly as a separate test would."""
+    stacked = sd.select("store_id", "net_revenue", F.explode(F.array(*[
+        F.struct(F.lit(w).alias("weather"), F.col(w).cast("double").alias("w")) for w in weathers])).alias("t"))
+    stacked = stacked.select("store_id", "net_revenue", "t.weather", "t.w")
+    return spearman(stacked, "net_revenue", "w", ["store_id", "weather"]).select(
+        "store_id", "weather", "n", "rho", "p_value")
 
 
 def significance_screen(tests: DataFrame, alpha: float = ALPHA) -> DataFrame:

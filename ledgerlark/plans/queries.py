@@ -274,13 +274,7 @@ def q_window(p: FeedPipeline) -> DataFrame:
 
 @query("weather_corr")
 def q_weather_corr(p: FeedPipeline) -> DataFrame:
-    d = p.board[0]
-    out = None
-    for w in ("temp_max", "precipitation_sum"):
-        for v in ("net_revenue", "units_sold"):
-            x = kpi.weather_corr(d, w, v).withColumn("weather", F.lit(w)).withColumn("measure", F.lit(v))
-            out = x if out is None else out.unionByName(x)
-    return out
+    return kpi.weather_corr_all(p.board[0])
 
 
 @query("recommendations")
