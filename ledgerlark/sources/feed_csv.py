@@ -79,18 +79,48 @@ def split_headers(s: DataFrame):
     return rows, headers
 
 
-def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str | None = None) -> DataFrame:
+POS_BITS = 40          # byte offsets inside one file (files up to 1 TB)
+
+
+def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str | None = None,
+                file_rank_offset: int = 0) -> DataFrame:
     """A1-A3: raw_orders rows from any mix of header variants.
 
     Every value is text; only an empty field is NULL (``NA`` stays text).
-    Adds ``source_file``, ``ingested_at``, ``raw_id`` (load order: arrival,
-    file name, position) and ``row_uid``.
+    Adds ``source_file``, ``ingested_at``, and ``raw_id`` = ``row_uid``: the
+    load sequence, a unique long that increases with (file name, position in
+    file). A later load passes ``file_rank_offset`` (one past the highest file
+    rank already stored, ``raw_id >> POS_BITS``) so its rows sort after the
+    earlier ones.
     """
-    return by_name(*scan_with_headers(spark, paths), ingested_at)
-
-
-def by_name(rows: DataFrame, headers: DataFrame, ingested_at: str | None = None) -> DataFrame:
-    """Map positional cells to the fixed raw columns through each file's header."""
+    return by_name(*scan_with_headers(spark, paths), ingested_at, file_rank_offset)
+
+
+def load_sequence(rows: DataFrame, headers: DataFrame, file_rank_offset: int = 0) -> DataFrame:
+    """Attach ``raw_id``: ``(file rank) << POS_BITS | (block start + row
+    offset inside the block)``.
+
+    A block never holds more lines than bytes, so block start + offset is
+    unique and increasing inside a file. The file rank is a dense rank over
+    the per-file header rows (bounded by the number of files); the per-block
+    base row id is a hash aggregate. Downstream "first in load order" then is
+    ``min`` of a long -- a hash aggregate -- instead of a struct min."""
+    from pyspark.sql import Window
+    ranks = headers.select(
+        "source_file", "file_path",
+        (F.dense_rank().over(Window.orderBy("source_file", "file_path")) - 1 + F.lit(file_rank_offset))
+        .cast("long").alias("_frank"))
+    bases = rows.groupBy("file_path", "block_start").agg(F.min("row_uid").alias("_base"))
+    seq = (F.shiftleft(F.col("_frank"), POS_BITS) + F.col("block_start") + (F.col("row_uid") - F.col("_base")))
+    return (rows.join(ranks, ["source_file", "file_path"]).join(bases, ["file_path", "block_start"])
+            .withColumn("raw_id", seq).drop("_frank", "_base"))
+
+
+def by_name(rows: DataFrame, headers: DataFrame, ingested_at: str | None = None,
+            file_rank_offset: int = 0) -> DataFrame:
+    """Map positional cells to the fixed raw columns through each file's
+    header, and attach the load sequence."""
+    rows = load_sequence(rows, headers, file_rank_offset)
     j = rows.join(headers.select("source_file", "file_path", "header"), ["source_file", "file_path"])
     ts = F.lit(ingested_at) if ingested_at else F.date_format(F.current_timestamp(),
                                                               "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -99,9 +129,8 @@ def by_name(rows: DataFrame, headers: DataFrame, ingested_at: str | None = None)
     fields = [F.when(F.array_position(F.col("header"), c) > 0,
                      F.nullif(F.element_at(F.col("cells"), F.array_position(F.col("header"), c).cast("int")),
                               F.lit(""))).alias(c) for c in DATA_FIELDS]
-    out = j.select("source_file", ts.alias("ingested_at"), *fields, "block_start", "row_uid")
-    return (out.withColumn("raw_id", F.struct("ingested_at", "source_file", "block_start", "row_uid"))
-            .drop("block_start"))
+    return j.select("source_file", ts.alias("ingested_at"), *fields, "raw_id",
+                    F.col("raw_id").alias("row_uid"))
 
 
 def file_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:

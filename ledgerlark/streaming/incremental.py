@@ -25,6 +25,15 @@ def _loaded_dates(spark: SparkSession, raw_path: str) -> DataFrame:
         return spark.createDataFrame([], "file_date string")
 
 
+def _next_file_rank(spark: SparkSession, raw_path: str) -> int:
+    """One past the highest file rank in the raw table (a one-number aggregate)."""
+    try:
+        top = spark.read.parquet(raw_path).agg(F.max("raw_id")).first()[0]
+    except Exception:  # noqa: BLE001 - first run: no raw table yet
+        return 0
+    return 0 if top is None else (int(top) >> feed_csv.POS_BITS) + 1
+
+
 def load_batch(batch: DataFrame, raw_path: str, ingested_at: str | None = None) -> None:
     spark = batch.sparkSession
     rows, headers = feed_csv.split_headers(feed_csv.with_row_ids(batch))
@@ -33,7 +42,8 @@ def load_batch(batch: DataFrame, raw_path: str, ingested_at: str | None = None)
     todo = (files.where(F.col("file_date").isNotNull())
             .join(loaded, "file_date", "left_anti")
             .groupBy("file_date").agg(F.min("source_file").alias("source_file")))
-    raw = feed_csv.by_name(rows, headers, ingested_at).join(todo, "source_file")
+    raw = (feed_csv.by_name(rows, headers, ingested_at, _next_file_rank(spark, raw_path))
+           .join(todo, "source_file"))
     raw.write.mode("append").partitionBy("file_date").parquet(raw_path)
 
 

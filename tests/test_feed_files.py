@@ -100,6 +100,9 @@ def test_no_refs_flag(spark, landing):
 def test_cleaning_over_files(spark, landing):
     raw = feed_csv.read_orders(spark, landing)
     tagged = cleaning.tag_rows(raw)
+    # long load sequence -> the natural-key winner is a hash aggregate
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
     reasons = {r["reason"]: r["count"] for r in cleaning.rejected_rows(tagged).groupBy("reason").count().collect()}
     # 2 repeated rows in 07-16 and the 4-row stale copy of 07-23 in the 07-24 file
     assert reasons == {"duplicate_natural_key": 6}
@@ -158,3 +161,23 @@ def test_poison_fixture(spark, tmp):
     from ledgerlark.functions.numeric import to_double
     got = [r[0] for r in raw.orderBy("order_id").select(to_double(F.col("unit_price"))).collect()]
     assert got == [19.99, 157.12, 72.7, 8.45, 249.0]
+
+
+def test_load_sequence_follows_file_order(spark, tmp):
+    """raw_id increases with (file name, line position) even when a file is
+    split into many blocks read by different tasks."""
+    lines = [f"{i:06d},2026-09-04,S001,P1001,1,1.00,0,in_store,Y" for i in range(3000)]
+    for name in ("orders_2026-09-04.csv", "orders_2026-09-05.csv"):
+        with open(os.path.join(tmp, name), "w") as f:
+            f.write("\n".join([LEGACY] + lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = feed_csv.read_orders(spark, tmp)
+        assert raw.select(F.spark_partition_id()).distinct().count() > 4    # really split
+        got = [(r.source_file, r.order_id) for r in raw.orderBy("raw_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [(n, f"{i:06d}") for n in ("orders_2026-09-04.csv", "orders_2026-09-05.csv") for i in range(3000)]
+    assert got == want
+    assert raw.select("raw_id").distinct().count() == 6000
