@@ -117,6 +117,30 @@ def _make_udf(method: str):
     return _score
 
 
+def _make_pair_udf(method: str):
+    fn = _SCORERS[method]
+
+    @F.pandas_udf(T.StructType([T.StructField("first", T.IntegerType()),
+                                T.StructField("second", T.IntegerType())]))
+    def _score2(a1: pd.Series, b1: pd.Series, a2: pd.Series, b2: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({
+            "first": pd.Series([fn(x or "", y or "") for x, y in zip(a1, b1)], dtype="int32"),
+            "second": pd.Series([fn(x or "", y or "") for x, y in zip(a2, b2)], dtype="int32"),
+        })
+
+    return _score2
+
+
+def similarity_pair(a1: Column, b1: Column, a2: Column, b2: Column,
+                    method: str = "token_set_ratio") -> Column:
+    """Two similarities in one Arrow round trip: a struct (first, second) of
+    0-100 integer scores. The caller divides by 100."""
+    key = ("pair", method)
+    if key not in _UDFS:
+        _UDFS[key] = _make_pair_udf(method)
+    return _UDFS[key](a1, b1, a2, b2)
+
+
 _UDFS: dict = {}
 
 

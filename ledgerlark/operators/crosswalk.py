@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.numeric import to_double
-from ledgerlark.functions.similarity import similarity
+from ledgerlark.functions.similarity import similarity, similarity_pair
 from ledgerlark.functions.text import normalize_text
 
 # Legacy category -> new-system department rename.
@@ -104,9 +104,15 @@ def scored_candidates(legacy: DataFrame, new: DataFrame, mapping: dict | None =
     # spread the scored pairs over the cluster before the Python UDF (a block
     # join whose sides were broadcast keeps the catalog scan's few splits)
     pairs = rest.join(N, ["_d", "_m", "_dept"], "inner").repartition("l_pos")
-    name_sim = similarity(F.col("l_name"), F.col("n_name"), method)
-    sub_sim = similarity(F.col("l_sub"), F.col("n_class"), method)
     price = price_closeness(F.col("base_price"), F.col("msrp"))
+    if method == "exact_token_overlap":          # fully native
+        name_sim = similarity(F.col("l_name"), F.col("n_name"), method)
+        sub_sim = similarity(F.col("l_sub"), F.col("n_class"), method)
+    else:                                        # one Arrow round trip for both scores
+        both = similarity_pair(F.col("l_name"), F.col("n_name"), F.col("l_sub"), F.col("n_class"), method)
+        pairs = pairs.withColumn("_s", both)
+        name_sim = F.col("_s.first").cast("double") / F.lit(100.0)
+        sub_sim = F.col("_s.second").cast("double") / F.lit(100.0)
     return (pairs.select("product_id", "l_pos", "new_product_id", "n_pos",
                          name_sim.alias("name_sim"), sub_sim.alias("subclass_sim"),
                          price.alias("price_sim"))
