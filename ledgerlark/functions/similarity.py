@@ -90,11 +90,6 @@ def partial_ratio(a: str, b: str) -> int:
     return int(round(100.0 * best))
 
 
-def overlap_ratio(a: str, b: str) -> int:
-    ta, tb = set(a.split()), set(b.split())
-    return int(round(100.0 * len(ta & tb) / (max(len(ta), len(tb)) or 1)))
-
-
 _SCORERS = {
     "token_set_ratio": token_set_ratio,
     "partial_ratio": partial_ratio,

@@ -1,6 +1,6 @@
 """clean_orders -> daily_sales and its invariants.
 
-Money is summed as DECIMAL(38,6) so totals do not depend on the order Spark
+Money is summed as DECIMAL(38,10) so totals do not depend on the order Spark
 happens to add partial sums in; results are reported as DOUBLE rounded to
 cents (4 dp for per-line ratios).
 """
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.numeric import to_double
-from ledgerlark.operators.crosswalk import CATEGORY_TO_DEPARTMENT, department_of
+from ledgerlark.operators.crosswalk import department_of
 
 GRAIN = ["order_date", "store_id", "category", "category_source"]
 DAILY_COLUMNS = GRAIN + ["units_sold", "net_revenue", "gross_revenue", "discount_given",

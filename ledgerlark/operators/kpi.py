@@ -17,7 +17,6 @@ UNKNOWN = "UNKNOWN"
 # Sensitivity / recommendation thresholds.
 SENSITIVITY_R = 0.1
 RECOMMEND_T, RECOMMEND_P = 0.10, 0.10
-CHANNELS = ["pickup", "in_store", "ship_from_store"]
 
 
 def _cents_sum(c: Column) -> Column:

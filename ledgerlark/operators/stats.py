@@ -7,8 +7,6 @@ neither rain nor dry. Rank correlations use average ranks for ties.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,7 +147,3 @@ def effective_sample(daily: DataFrame) -> DataFrame:
     """Rows vs independent (date, store) observations."""
     return daily.agg(F.count(F.lit(1)).alias("n_rows"),
                      F.count_distinct("order_date", "store_id").alias("n_store_days"))
-
-
-def z_to_p(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2.0))
