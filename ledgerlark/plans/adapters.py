@@ -21,6 +21,11 @@ Fixed values (adapter design, not reference data):
   - legacy category by part type: ECONOMY camping, LARGE emergency, MEDIUM
                   footwear, PROMO hydration, SMALL outerwear, STANDARD patio;
                   l_partkey % 50 = 7 -> clearance (unmapped)
+  - catalogs      p_partkey % 100 = 9 legacy margin 0.29 (no partner);
+                  p_partkey % 20 = 9 re-listed in the new catalog at margin
+                  0.28; p_partkey % 8 in {1, 5} renamed; p_partkey % 100 = 17
+                  gets an ``alt`` twin. These rules vary rows; none removes a
+                  row from any input.
 """
 
 from __future__ import annotations
@@ -154,9 +159,10 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New-system catalog: discontinued items dropped, renamed items, and
-    near-duplicate ``alt`` twins that make blocks ambiguous."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 20 != 9)
+    """New-system catalog: every part, with renamed items, items re-listed
+    under a new margin in the migration (so their legacy row has no block
+    partner), and near-duplicate ``alt`` twins that make blocks ambiguous."""
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     name = (F.when(k % 8 == 1, F.concat_ws(" ", "p_name", F.lit("series"), F.lower("p_type")))
             .when(k % 8 == 5, F.concat_ws(" ", "p_name", _s(k), F.lit("pro")))
@@ -170,7 +176,7 @@ def new_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("class"),
         F.regexp_replace("p_brand", "Brand#", "Mfr ").alias("brand_name"),
         _price_text(F.round(retail * F.lit(1.05).cast("decimal(3,2)"), 2)).alias("msrp"),
-        F.concat(F.lit("0."), _s(30 + k % 7)).alias("gross_margin"),
+        F.concat(F.lit("0."), _s(F.when(k % 20 == 9, F.lit(28)).otherwise(30 + k % 7))).alias("gross_margin"),
         _launch_date(k).alias("launch_date"),
         F.lit("Y").alias("active"),
         (k * 2).alias("catalog_pos"),

@@ -119,11 +119,11 @@ cte("np_base", [], f"""
     replace(p_brand, 'Brand#', 'Mfr ') AS brand_name,
     CAST(CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(1.05 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2))
       AS VARCHAR) AS msrp,
-    '0.' || CAST(30 + p_partkey % 7 AS VARCHAR) AS gross_margin,
+    '0.' || CAST(CASE WHEN p_partkey % 20 = 9 THEN 28 ELSE 30 + p_partkey % 7 END AS VARCHAR) AS gross_margin,
     CAST(DATE '2019-01-01' + CAST(p_partkey // 40 AS INTEGER) AS VARCHAR) AS launch_date,
     'Y' AS active, p_partkey * 2 AS catalog_pos, p_partkey AS _k,
     CAST(p_retailprice AS DECIMAL(12,2)) AS _retail
-  FROM part WHERE p_partkey % 20 <> 9""")
+  FROM part""")
 cte("new_products", ["np_base"], """
   SELECT new_product_id, item_name, department, class, brand_name, msrp, gross_margin, launch_date,
          active, catalog_pos FROM np_base
