@@ -1,7 +1,7 @@
 """Weather-sensitivity statistics (H1-H10), frozen-window conventions.
 
 Rain day here is strict ``max(precip) > rain_mm`` at store-day grain, and
-lifts are medians (exact ``median``, not approximate). NULL precipitation is
+lifts are medians (exact, computed distributed by ``quantile.exact_median``). NULL precipitation is
 neither rain nor dry. Rank correlations use average ranks for ties.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.stats import rank_corr_p, two_sided_normal_p
+from ledgerlark.operators.quantile import exact_median
 
 RAIN_MM = 1.0
 THRESHOLDS = (0.4, 1.0, 5.0, 10.0)
@@ -68,30 +69,36 @@ def rain_lift_median(sd: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """H4: per threshold, (median rain-day net / median dry-day net - 1) * 100
     over all store-days (strict ``>``), and how many stores have a rainy
     median above their dry median (a store without rain or dry days does not
-    count). The store-day table is bounded by dates x stores."""
+    count). Medians are exact and distributed (``quantile.exact_median``)."""
     x = (sd.where(F.col("precipitation_sum").isNotNull())
          .withColumn("mm", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
          .withColumn("r", F.col("precipitation_sum") > F.col("mm")))
-    overall = x.groupBy("mm").agg(F.median(F.when(F.col("r"), F.col("net_revenue"))).alias("_mr"),
-                                  F.median(F.when(~F.col("r"), F.col("net_revenue"))).alias("_md"))
-    per_store = (x.groupBy("mm", "store_id")
-                 .agg(F.median(F.when(F.col("r"), F.col("net_revenue"))).alias("_sr"),
-                      F.median(F.when(~F.col("r"), F.col("net_revenue"))).alias("_sd"))
-                 .groupBy("mm").agg(F.count_if(F.coalesce(F.col("_sr") > F.col("_sd"), F.lit(False)))
-                                    .alias("stores_with_lift"), F.count(F.lit(1)).alias("n_stores")))
+    m = exact_median(x, ["mm", "r"], "net_revenue")
+    overall = m.groupBy("mm").agg(F.max(F.when(F.col("r"), F.col("median"))).alias("_mr"),
+                                  F.max(F.when(~F.col("r"), F.col("median"))).alias("_md"))
+    ms = exact_median(x, ["mm", "store_id", "r"], "net_revenue")
+    per_store = (ms.groupBy("mm", "store_id")
+                 .agg(F.max(F.when(F.col("r"), F.col("median"))).alias("_sr"),
+                      F.max(F.when(~F.col("r"), F.col("median"))).alias("_sd")))
+    stores = x.select("mm", "store_id").distinct()
+    agree = (stores.join(per_store, ["mm", "store_id"], "left")
+             .groupBy("mm").agg(F.count_if(F.coalesce(F.col("_sr") > F.col("_sd"), F.lit(False)))
+                                .alias("stores_with_lift"), F.count(F.lit(1)).alias("n_stores")))
     lift = F.round((F.try_divide(F.col("_mr"), F.col("_md")) - 1) * 100, 4)
-    return overall.join(per_store, "mm").select(F.col("mm").alias("threshold_mm"),
-                                                lift.alias("median_lift_pct"),
-                                                "stores_with_lift", "n_stores")
+    return (x.select("mm").distinct().join(overall, "mm", "left").join(agree, "mm")
+            .select(F.col("mm").alias("threshold_mm"), lift.alias("median_lift_pct"),
+                    "stores_with_lift", "n_stores"))
 
 
 def store_mix(sd: DataFrame, rain_mm: float = RAIN_MM) -> DataFrame:
-    """H5: per store: rain days, days, rain share, median daily net."""
-    return sd.groupBy("store_id").agg(
+    """H5: per store: rain days, days, rain share, median daily net (exact,
+    distributed)."""
+    counts = sd.groupBy("store_id").agg(
         F.count_if(F.col("precipitation_sum") > rain_mm).alias("rain_days"),
         F.count(F.lit(1)).alias("days"),
-        F.round(F.count_if(F.col("precipitation_sum") > rain_mm) / F.count(F.lit(1)), 6).alias("rain_share"),
-        F.median("net_revenue").alias("median_daily_net"))
+        F.round(F.count_if(F.col("precipitation_sum") > rain_mm) / F.count(F.lit(1)), 6).alias("rain_share"))
+    med = exact_median(sd, ["store_id"], "net_revenue").withColumnRenamed("median", "median_daily_net")
+    return counts.join(med, "store_id", "left")
 
 
 def average_rank(value: Column, partition: list[str]) -> Column:
