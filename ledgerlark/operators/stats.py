@@ -73,10 +73,14 @@ def rain_lift_median(sd: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     x = (sd.where(F.col("precipitation_sum").isNotNull())
          .withColumn("mm", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
          .withColumn("r", F.col("precipitation_sum") > F.col("mm")))
-    m = exact_median(x, ["mm", "r"], "net_revenue")
-    overall = m.groupBy("mm").agg(F.max(F.when(F.col("r"), F.col("median"))).alias("_mr"),
-                                  F.max(F.when(~F.col("r"), F.col("median"))).alias("_md"))
-    ms = exact_median(x, ["mm", "store_id", "r"], "net_revenue")
+    # overall (store "*") and per-store medians in one distributed median
+    both = (x.select("mm", "r", "net_revenue", F.lit("*").alias("_store"))
+            .unionByName(x.select("mm", "r", "net_revenue", F.col("store_id").alias("_store"))))
+    m = exact_median(both, ["mm", "_store", "r"], "net_revenue")
+    overall = (m.where(F.col("_store") == "*").groupBy("mm")
+               .agg(F.max(F.when(F.col("r"), F.col("median"))).alias("_mr"),
+                    F.max(F.when(~F.col("r"), F.col("median"))).alias("_md")))
+    ms = m.where(F.col("_store") != "*").withColumnRenamed("_store", "store_id")
     per_store = (ms.groupBy("mm", "store_id")
                  .agg(F.max(F.when(F.col("r"), F.col("median"))).alias("_sr"),
                       F.max(F.when(~F.col("r"), F.col("median"))).alias("_sd")))
