@@ -145,11 +145,16 @@ class FeedPipeline:
             paths[name] = path
             return self.spark.read.format(fmt).load(path)
 
+        def by_month(df: DataFrame) -> DataFrame:
+            # date-range slices (board filters, windows) prune month folders
+            return df.withColumn("order_month", F.substring("order_date", 1, 7))
+
         self.crosswalk = put("product_crosswalk", self.crosswalk)
         self.tagged = put("tagged_orders", self.tagged.drop("raw_id"))
-        put("clean_orders", self.clean)
+        put("clean_orders", by_month(self.clean), ["order_month"])
         put("rejected_rows", self.rejected)
-        self.clean = self.spark.read.format(fmt).load(paths["clean_orders"])
-        self.daily = put("daily_sales", self.daily)
+        self.clean = self.spark.read.format(fmt).load(paths["clean_orders"]).drop("order_month")
+        put("daily_sales", by_month(self.daily), ["order_month"])
+        self.daily = self.spark.read.format(fmt).load(paths["daily_sales"]).drop("order_month")
         put("data_quality_log", self.dq_report)
         return paths

@@ -17,3 +17,8 @@ def test_run_writes_stage_tables(spark, tmp):
     # full rebuild: running again replaces, never appends
     paths = FeedPipeline(spark, SF, materialize=False).run(os.path.join(tmp, "out"))
     assert spark.read.parquet(paths["clean_orders"]).count() == want_clean
+    # month partitions: a one-month slice reads one folder
+    d = spark.read.parquet(paths["daily_sales"]).where("order_month = '1996-03'")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan
+    assert d.count() == lazy.daily.where("order_date like '1996-03-%'").count()
