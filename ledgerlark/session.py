@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -69,6 +71,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL_CKPT[app]
 
 
+_STAGE_ROOTS: dict[str, str] = {}
+
+
+def stage_root(spark: SparkSession) -> str:
+    """This application's folder for stage tables under the shared
+    checkpoint folder; removed again when the application's Python process
+    exits (or by :func:`drop_stage_tables`)."""
+    app = spark.sparkContext.applicationId
+    if app not in _STAGE_ROOTS:
+        _STAGE_ROOTS[app] = f"{checkpoint_dir(spark).rstrip('/')}/ledgerlark-{app}"
+        atexit.register(_drop_quietly, spark, _STAGE_ROOTS[app])
+    return _STAGE_ROOTS[app]
+
+
+def drop_stage_tables(spark: SparkSession) -> None:
+    """Delete this application's stage tables (frames built from them must
+    not be used afterwards)."""
+    app = spark.sparkContext.applicationId
+    if app in _STAGE_ROOTS:
+        _drop_quietly(spark, _STAGE_ROOTS[app])
+
+
+def _drop_quietly(spark: SparkSession, root: str) -> None:
+    try:   # any Hadoop-compatible store, while the JVM is up
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(root)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+        return
+    except Exception:  # noqa: BLE001 - JVM already gone at interpreter exit
+        pass
+    local = root[len("file:"):] if root.startswith("file:") else root
+    if "://" not in local:
+        shutil.rmtree(local, ignore_errors=True)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` once as a parquet table under the shared
     ``spark.checkpoint.dir`` and reading it back.
@@ -79,7 +115,7 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     column pruning and filter pushdown, and the files survive executor loss.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerlark-{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
