@@ -210,8 +210,8 @@ def _weather_values(d: Column, store_no: Column) -> list[Column]:
 def _store_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
-    # big-big join at scale (see feed): shuffle join on the order key
-    return (li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
+    # AQE plans this join by measured size (a sort-merge join at scale)
+    return (li.join(od, li.l_orderkey == od.o_orderkey)
             .select("d", (F.col("l_suppkey") % 8 + 1).alias("store_no")).distinct())
 
 
