@@ -592,6 +592,9 @@ q("weather_latest", ["pulls"], """
 SELECT weather_date, store_id, temperature_2m_max, temperature_2m_min, precipitation_sum, weather_code, range_end
 FROM (SELECT *, row_number() OVER (PARTITION BY store_id, weather_date ORDER BY range_end DESC, range_start DESC) AS rn
       FROM pulls) WHERE rn = 1""")
+q("weather_unpack", ["pulls"], """
+SELECT weather_date, store_id, temperature_2m_max, temperature_2m_min, precipitation_sum,
+  CAST(weather_code AS INTEGER) AS weather_code, range_start, range_end FROM pulls""")
 q("weather_revisions", ["pulls"], """
 SELECT store_id, weather_date, n_pulls, precip_min, precip_max, precip_first, precip_last,
   CAST((precip_first > 1.0) <> (precip_last > 1.0) AS INTEGER) AS crosses_threshold

@@ -178,6 +178,16 @@ def q_weather_latest(p: FeedPipeline) -> DataFrame:
     return daily.weather_latest(p.pulls)
 
 
+@query("weather_unpack")
+def q_weather_unpack(p: FeedPipeline) -> DataFrame:
+    """Cache-file documents (struct of parallel daily arrays) rebuilt from
+    the pulls, then unpacked to rows by the JSON source's unpack step."""
+    from ledgerlark.sources import weather_json
+    return weather_json.unpack(weather_json.pack(p.pulls)).select(
+        "weather_date", "store_id", "temperature_2m_max", "temperature_2m_min", "precipitation_sum",
+        "weather_code", "range_start", "range_end")
+
+
 @query("weather_revisions")
 def q_weather_revisions(p: FeedPipeline) -> DataFrame:
     return daily.weather_revisions(p.pulls)

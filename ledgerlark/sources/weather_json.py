@@ -31,17 +31,37 @@ def read_pulls(spark: SparkSession, paths: list[str] | str, source: str = ARCHIV
     document (one store's date range), parsed with an explicit schema."""
     raw = spark.read.schema(PULL).option("multiLine", "true").json(paths)
     name = F.col("_metadata.file_name")
-    z = raw.select(
+    docs = raw.select(
         F.regexp_extract(name, NAME_RE, 1).alias("store_id"),
         F.regexp_extract(name, NAME_RE, 2).alias("range_start"),
         F.regexp_extract(name, NAME_RE, 3).alias("range_end"),
-        name.alias("pull_file"),
-        F.explode(F.arrays_zip(*[F.col(f"daily.{c}") for c in ["time"] + VALUES])).alias("z"))
+        name.alias("pull_file"), "daily")
+    return unpack(docs, source)
+
+
+def unpack(docs: DataFrame, source: str = ARCHIVE_SOURCE) -> DataFrame:
+    """Struct of parallel arrays -> one row per index (``arrays_zip`` +
+    ``explode``); every other column of ``docs`` is carried along."""
+    keep = [c for c in docs.columns if c != "daily"]
+    z = docs.select(*keep, F.explode(F.arrays_zip(*[F.col(f"daily.{c}") for c in ["time"] + VALUES])).alias("z"))
     return z.select(
-        F.col("z.time").alias("weather_date"), "store_id",
+        F.col("z.time").alias("weather_date"), *[c for c in ["store_id"] if c in keep],
         *[F.col(f"z.{c}").alias(c) for c in VALUES[:3]],
         F.col("z.weather_code").cast("int").alias("weather_code"),
-        F.lit(source).alias("weather_source"), "range_start", "range_end", "pull_file")
+        F.lit(source).alias("weather_source"), *[c for c in keep if c != "store_id"])
+
+
+def pack(rows: DataFrame) -> DataFrame:
+    """The inverse shape: one document per (store, range) with ``daily`` as
+    parallel arrays in date order (the cache-file layout). A document holds
+    one pull's date range, so its arrays are bounded by that range."""
+    g = (rows.groupBy("store_id", "range_start", "range_end")
+         .agg(F.array_sort(F.collect_list(F.struct("weather_date", *VALUES))).alias("_d")))
+    def field(name):
+        return lambda x: x[name]
+    daily = F.struct(F.transform("_d", field("weather_date")).alias("time"),
+                     *[F.transform("_d", field(c)).alias(c) for c in VALUES])
+    return g.select("store_id", "range_start", "range_end", daily.alias("daily"))
 
 
 def select_snapshot(pulls: DataFrame, clean: DataFrame) -> DataFrame:
