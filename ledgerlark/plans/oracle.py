@@ -349,18 +349,18 @@ cte("pids", ["products", "new_products"], """
 cte("fstats", ["fpos", "stores", "pids"], f"""
   SELECT f.source_file, any_value(has_new) AS has_new, any_value(has_src) AS has_src,
     count(*) AS n_rows,
-    count_if(coalesce(order_id IS NULL, false)) AS na_order_id, count_if(coalesce(order_date IS NULL, false)) AS na_order_date,
-    count_if(coalesce(f.store_id IS NULL, false)) AS na_store_id, count_if(coalesce(prod IS NULL, false)) AS na_product,
-    count_if(coalesce(quantity IS NULL, false)) AS na_quantity, count_if(coalesce(unit_price IS NULL, false)) AS na_unit_price,
-    count_if(coalesce(discount_pct IS NULL, false)) AS na_discount_pct, count_if(coalesce(sales_channel IS NULL, false)) AS na_sales_channel,
-    count_if(coalesce(loyalty_member IS NULL, false)) AS na_loyalty,
-    count_if(coalesce({_num("quantity", False)} < 0, false)) AS neg_quantity,
-    count_if(coalesce({_num("unit_price", False)} < 0, false)) AS neg_unit_price,
-    count_if(coalesce({_num("discount_pct", False)} < 0 OR {_num("discount_pct", False)} > 100, false)) AS bad_discount,
-    count_if(coalesce(unit_price IS NOT NULL AND {_num("unit_price", False)} IS NULL, false)) AS nn_unit_price,
-    count_if(coalesce(quantity IS NOT NULL AND {_num("quantity", False)} IS NULL, false)) AS nn_quantity,
-    count_if(coalesce(discount_pct IS NOT NULL AND {_num("discount_pct", False)} IS NULL, false)) AS nn_discount_pct,
-    count_if(coalesce(s.store_id IS NULL, false)) AS orphan_store, count_if(coalesce(pid.id IS NULL, false)) AS orphan_product
+    CAST(count_if(coalesce(order_id IS NULL, false)) AS BIGINT) AS na_order_id, CAST(count_if(coalesce(order_date IS NULL, false)) AS BIGINT) AS na_order_date,
+    CAST(count_if(coalesce(f.store_id IS NULL, false)) AS BIGINT) AS na_store_id, CAST(count_if(coalesce(prod IS NULL, false)) AS BIGINT) AS na_product,
+    CAST(count_if(coalesce(quantity IS NULL, false)) AS BIGINT) AS na_quantity, CAST(count_if(coalesce(unit_price IS NULL, false)) AS BIGINT) AS na_unit_price,
+    CAST(count_if(coalesce(discount_pct IS NULL, false)) AS BIGINT) AS na_discount_pct, CAST(count_if(coalesce(sales_channel IS NULL, false)) AS BIGINT) AS na_sales_channel,
+    CAST(count_if(coalesce(loyalty_member IS NULL, false)) AS BIGINT) AS na_loyalty,
+    CAST(count_if(coalesce({_num("quantity", False)} < 0, false)) AS BIGINT) AS neg_quantity,
+    CAST(count_if(coalesce({_num("unit_price", False)} < 0, false)) AS BIGINT) AS neg_unit_price,
+    CAST(count_if(coalesce({_num("discount_pct", False)} < 0 OR {_num("discount_pct", False)} > 100, false)) AS BIGINT) AS bad_discount,
+    CAST(count_if(coalesce(unit_price IS NOT NULL AND {_num("unit_price", False)} IS NULL, false)) AS BIGINT) AS nn_unit_price,
+    CAST(count_if(coalesce(quantity IS NOT NULL AND {_num("quantity", False)} IS NULL, false)) AS BIGINT) AS nn_quantity,
+    CAST(count_if(coalesce(discount_pct IS NOT NULL AND {_num("discount_pct", False)} IS NULL, false)) AS BIGINT) AS nn_discount_pct,
+    CAST(count_if(coalesce(s.store_id IS NULL, false)) AS BIGINT) AS orphan_store, CAST(count_if(coalesce(pid.id IS NULL, false)) AS BIGINT) AS orphan_product
   FROM fpos f LEFT JOIN stores s ON f.store_id = s.store_id LEFT JOIN pids pid ON f.prod = pid.id
   GROUP BY f.source_file""")
 cte("fdup", ["feed"], """
@@ -472,14 +472,14 @@ FROM resolved""")
 q("clean_orders", ["clean_orders"], "SELECT * FROM clean_orders")
 q("rejected_rows", ["tagged"], """
 SELECT source_file, reject_reason AS reason, order_id,
-  to_json({'order_id': order_id, 'order_date': order_date, 'store_id': store_id, 'product_key': product_key,
+  CAST(to_json({'order_id': order_id, 'order_date': order_date, 'store_id': store_id, 'product_key': product_key,
            'legacy_product_id': legacy_product_id, 'is_new_system': CAST(is_new_system AS VARCHAR),
            'quantity': CAST(quantity AS VARCHAR),
            'unit_price': CASE WHEN unit_price IS NOT NULL THEN printf('%.4f', unit_price) END,
            'discount_pct': CASE WHEN discount_pct IS NOT NULL THEN printf('%.4f', discount_pct) END,
            'line_revenue': CASE WHEN line_revenue IS NOT NULL THEN printf('%.4f', line_revenue) END,
            'sales_channel': sales_channel, 'loyalty_member': CAST(loyalty_member AS VARCHAR),
-           'source_file': source_file}) AS raw_json
+           'source_file': source_file}) AS VARCHAR) AS raw_json
 FROM tagged WHERE reject_reason IS NOT NULL""")
 q("line_revenue_by_channel", ["clean_orders"], f"""
 SELECT sales_channel, loyalty_member, count(*) AS n_lines, {_cents("line_revenue")} AS line_revenue
@@ -505,11 +505,11 @@ q("crosswalk_validation", ["crosswalk"], """
 SELECT count(*) AS n_rows, count(new_product_id) AS n_mapped,
   count(DISTINCT new_product_id) AS n_distinct_new,
   count(new_product_id) - count(DISTINCT new_product_id) AS n_double_assigned,
-  count_if(coalesce(match_confidence = 'high', false)) AS n_high, count_if(coalesce(match_confidence = 'medium', false)) AS n_medium,
-  count_if(coalesce(match_confidence = 'low', false)) AS n_low, count_if(coalesce(needs_review = 1, false)) AS n_review,
-  count_if(coalesce(needs_review = 1 AND match_status = 'matched', false)) AS n_review_matched_medium,
-  count_if(coalesce(needs_review = 1 AND match_status = 'possible_match', false)) AS n_review_possible,
-  count_if(coalesce(needs_review = 1 AND match_status = 'unresolved', false)) AS n_review_unresolved
+  CAST(count_if(coalesce(match_confidence = 'high', false)) AS BIGINT) AS n_high, CAST(count_if(coalesce(match_confidence = 'medium', false)) AS BIGINT) AS n_medium,
+  CAST(count_if(coalesce(match_confidence = 'low', false)) AS BIGINT) AS n_low, CAST(count_if(coalesce(needs_review = 1, false)) AS BIGINT) AS n_review,
+  CAST(count_if(coalesce(needs_review = 1 AND match_status = 'matched', false)) AS BIGINT) AS n_review_matched_medium,
+  CAST(count_if(coalesce(needs_review = 1 AND match_status = 'possible_match', false)) AS BIGINT) AS n_review_possible,
+  CAST(count_if(coalesce(needs_review = 1 AND match_status = 'unresolved', false)) AS BIGINT) AS n_review_unresolved
 FROM crosswalk""")
 q("crosswalk_status", ["crosswalk"], """
 SELECT match_status, match_method, count(*) AS n_rows FROM crosswalk GROUP BY match_status, match_method""")
@@ -527,7 +527,7 @@ b AS (SELECT min(CASE WHEN population <> 'rejected' THEN score END) AS a_min,
 SELECT population, count(*) AS n, round(min(score), 3) AS min_score, round(max(score), 3) AS max_score,
   round(any_value(CASE WHEN r_max > a_min THEN greatest(a_min, r_min) END), 3) AS overlap_lo,
   round(any_value(CASE WHEN r_max > a_min THEN least(a_max, r_max) END), 3) AS overlap_hi,
-  count_if(coalesce(r_max > a_min AND score >= greatest(a_min, r_min) AND score <= least(a_max, r_max), false)) AS n_in_overlap
+  CAST(count_if(coalesce(r_max > a_min AND score >= greatest(a_min, r_min) AND score <= least(a_max, r_max), false)) AS BIGINT) AS n_in_overlap
 FROM lab, b GROUP BY population""")
 q("crosswalk_fidelity", ["crosswalk", "xranked"], """
 WITH best AS (SELECT product_id, score, name_sim, new_product_id AS best_id FROM xranked WHERE rn = 1),
@@ -535,12 +535,12 @@ pers AS (SELECT product_id, CAST(regexp_extract(notes, 'name_sim=([0-9.]+)', 1)
          FROM crosswalk WHERE match_method = 'attributes_fuzzy' AND match_status = 'matched'
            AND contains(notes, 'name_sim=')),
 j AS (SELECT p.*, b.score, b.name_sim, b.best_id FROM pers p LEFT JOIN best b ON p.product_id = b.product_id)
-SELECT count(*) AS n_persisted, count_if(coalesce(round(name_sim, 2) = persisted, false)) AS n_agree,
+SELECT count(*) AS n_persisted, CAST(count_if(coalesce(round(name_sim, 2) = persisted, false)) AS BIGINT) AS n_agree,
   arg_min(product_id, (score, product_id)) AS weakest_product_id,
   arg_min(best_id, (score, product_id)) AS weakest_new_product_id, round(min(score), 3) AS weakest_score
 FROM j""")
 q("brand_bijection", ["crosswalk", "products", "new_products"], """
-SELECT count(*) AS n_pairs, count_if(coalesce(p.brand IS DISTINCT FROM n.brand_name, false)) AS n_brand_differs,
+SELECT count(*) AS n_pairs, CAST(count_if(coalesce(p.brand IS DISTINCT FROM n.brand_name, false)) AS BIGINT) AS n_brand_differs,
   count(DISTINCT p.brand) AS n_brands, count(DISTINCT n.brand_name) AS n_brand_names,
   count(DISTINCT (p.brand, n.brand_name)) AS n_brand_pairs
 FROM crosswalk c JOIN products p ON c.product_id = p.product_id
@@ -570,10 +570,10 @@ FROM (SELECT order_date, count(*) AS raw_lines,
 FULL OUTER JOIN (SELECT order_date, CAST(round(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 2) AS DOUBLE) AS daily_net
       FROM daily_sales GROUP BY order_date) d ON r.order_date = d.order_date""")
 q("price_identity", ["clean_orders", "products", "new_products"], f"""
-SELECT is_new_system, count(*) AS n_lines, count_if(coalesce(lp IS NULL, false)) AS n_no_list_price,
-  count_if(coalesce(abs(unit_price - lp * (1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE)) < 0.011, false)) AS n_consistent,
-  count_if(coalesce(lp IS NOT NULL AND NOT (abs(unit_price - lp * (1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE))
-           < 0.011), false)) AS n_inconsistent
+SELECT is_new_system, count(*) AS n_lines, CAST(count_if(coalesce(lp IS NULL, false)) AS BIGINT) AS n_no_list_price,
+  CAST(count_if(coalesce(abs(unit_price - lp * (1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE)) < 0.011, false)) AS BIGINT) AS n_consistent,
+  CAST(count_if(coalesce(lp IS NOT NULL AND NOT (abs(unit_price - lp * (1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE))
+           < 0.011), false)) AS BIGINT) AS n_inconsistent
 FROM (SELECT c.*, CASE WHEN is_new_system = 1 THEN {_num("np.msrp", False)} ELSE {_num("p.base_price", False)} END AS lp
       FROM clean_orders c
       LEFT JOIN (SELECT product_id, arg_max(base_price, catalog_pos) AS base_price FROM products GROUP BY product_id) p
@@ -585,7 +585,7 @@ q("weather_coverage", ["daily_sales"], """
 SELECT count(*) AS n_rows, count(temp_max) AS n_with_weather, round(count(temp_max) / count(*), 6) AS coverage
 FROM daily_sales""")
 q("anomaly_days", ["daily_sales"], """
-SELECT * FROM (SELECT order_date, sum(units_sold) AS units,
+SELECT * FROM (SELECT order_date, CAST(sum(units_sold) AS BIGINT) AS units,
   CAST(round(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 2) AS DOUBLE) AS net FROM daily_sales GROUP BY order_date)
 WHERE units > 0 AND net = 0""")
 q("weather_latest", ["pulls"], """
@@ -698,24 +698,24 @@ q("top_products", ["blines"], f"""
 SELECT product_name, {_cents('net_revenue')} AS net_revenue FROM blines GROUP BY product_name
 ORDER BY net_revenue DESC, product_name ASC LIMIT 6""")
 q("rain_day_counts", ["blines"], """
-SELECT count_if(coalesce(rain, false)) AS rain_store_days, count_if(coalesce(NOT rain, false)) AS dry_store_days
+SELECT CAST(count_if(coalesce(rain, false)) AS BIGINT) AS rain_store_days, CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) AS dry_store_days
 FROM (SELECT order_date, store_id, max(precipitation_sum >= 1.0) AS rain FROM blines
       WHERE precipitation_sum IS NOT NULL GROUP BY order_date, store_id)""")
 q("channel_mix", ["blines"], """
 WITH pc AS (SELECT sales_channel, precipitation_sum >= 1.0 AS rain FROM blines
             WHERE precipitation_sum IS NOT NULL AND sales_channel IS NOT NULL),
-t AS (SELECT count_if(coalesce(NOT rain, false)) AS nd, count_if(coalesce(rain, false)) AS nr FROM pc)
-SELECT sales_channel, count_if(coalesce(NOT rain, false)) AS dry_lines, count_if(coalesce(rain, false)) AS rain_lines,
-  round(count_if(coalesce(NOT rain, false)) * 100.0 / any_value(nd), 4) AS dry_pct,
-  round(count_if(coalesce(rain, false)) * 100.0 / any_value(nr), 4) AS rain_pct,
-  round(count_if(coalesce(rain, false)) * 100.0 / any_value(nr) - count_if(coalesce(NOT rain, false)) * 100.0 / any_value(nd), 4) AS delta_pts
+t AS (SELECT CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) AS nd, CAST(count_if(coalesce(rain, false)) AS BIGINT) AS nr FROM pc)
+SELECT sales_channel, CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) AS dry_lines, CAST(count_if(coalesce(rain, false)) AS BIGINT) AS rain_lines,
+  round(CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) * 100.0 / any_value(nd), 4) AS dry_pct,
+  round(CAST(count_if(coalesce(rain, false)) AS BIGINT) * 100.0 / any_value(nr), 4) AS rain_pct,
+  round(CAST(count_if(coalesce(rain, false)) AS BIGINT) * 100.0 / any_value(nr) - CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) * 100.0 / any_value(nd), 4) AS delta_pts
 FROM pc, t GROUP BY sales_channel""")
 q("rain_lift_mean", ["blines"], """
 WITH sd AS (SELECT mm, order_date, store_id, CAST(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))) AS DOUBLE) AS rev,
                    max(precipitation_sum >= mm) AS r
             FROM blines, (SELECT unnest([0.4, 1.0, 5.0, 10.0]::DOUBLE[]) AS mm)
             WHERE precipitation_sum IS NOT NULL GROUP BY mm, order_date, store_id),
-ps AS (SELECT mm, count_if(coalesce(coalesce(rm > dm, false), false)) AS stores_agree, count(*) AS n_stores
+ps AS (SELECT mm, CAST(count_if(coalesce(coalesce(rm > dm, false), false)) AS BIGINT) AS stores_agree, count(*) AS n_stores
        FROM (SELECT mm, store_id, avg(CASE WHEN r THEN rev END) AS rm, avg(CASE WHEN NOT r THEN rev END) AS dm
              FROM sd GROUP BY mm, store_id) GROUP BY mm),
 ov AS (SELECT mm, avg(CASE WHEN r THEN rev END) AS rain, avg(CASE WHEN NOT r THEN rev END) AS dry,
@@ -729,30 +729,30 @@ q("store_days", ["sd"], "SELECT * FROM sd")
 q("channel_shift", ["clean_orders", "sd"], """
 WITH j AS (SELECT c.sales_channel, s.precipitation_sum > 1.0 AS rain FROM clean_orders c
            JOIN sd s ON c.order_date = s.order_date AND c.store_id = s.store_id WHERE s.precipitation_sum IS NOT NULL),
-t AS (SELECT count_if(coalesce(rain, false)) AS nr, count_if(coalesce(NOT rain, false)) AS nd FROM j)
-SELECT sales_channel, count_if(coalesce(rain, false)) AS rain_lines, count_if(coalesce(NOT rain, false)) AS dry_lines,
-  round(count_if(coalesce(rain, false)) * 100.0 / any_value(nr), 4) AS rain_pct, round(count_if(coalesce(NOT rain, false)) * 100.0 / any_value(nd), 4) AS dry_pct
+t AS (SELECT CAST(count_if(coalesce(rain, false)) AS BIGINT) AS nr, CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) AS nd FROM j)
+SELECT sales_channel, CAST(count_if(coalesce(rain, false)) AS BIGINT) AS rain_lines, CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) AS dry_lines,
+  round(CAST(count_if(coalesce(rain, false)) AS BIGINT) * 100.0 / any_value(nr), 4) AS rain_pct, round(CAST(count_if(coalesce(NOT rain, false)) AS BIGINT) * 100.0 / any_value(nd), 4) AS dry_pct
 FROM j, t GROUP BY sales_channel""")
 q("rain_lift_median", ["sd"], """
 WITH x AS (SELECT s.*, mm, precipitation_sum > mm AS r FROM sd s, (SELECT unnest([0.4, 1.0, 5.0, 10.0]::DOUBLE[]) AS mm)
            WHERE precipitation_sum IS NOT NULL),
 o AS (SELECT mm, median(CASE WHEN r THEN net_revenue END) AS mr, median(CASE WHEN NOT r THEN net_revenue END) AS md
       FROM x GROUP BY mm),
-ps AS (SELECT mm, count_if(coalesce(coalesce(sr > sdry, false), false)) AS stores_with_lift, count(*) AS n_stores
+ps AS (SELECT mm, CAST(count_if(coalesce(coalesce(sr > sdry, false), false)) AS BIGINT) AS stores_with_lift, count(*) AS n_stores
        FROM (SELECT mm, store_id, median(CASE WHEN r THEN net_revenue END) AS sr,
                     median(CASE WHEN NOT r THEN net_revenue END) AS sdry FROM x GROUP BY mm, store_id) GROUP BY mm)
 SELECT o.mm AS threshold_mm, round((mr / md - 1) * 100, 4) AS median_lift_pct, stores_with_lift, n_stores
 FROM o JOIN ps ON o.mm = ps.mm""")
 q("store_mix", ["sd"], """
-SELECT store_id, count_if(coalesce(precipitation_sum > 1.0, false)) AS rain_days, count(*) AS days,
-  round(count_if(coalesce(precipitation_sum > 1.0, false)) / count(*), 6) AS rain_share, median(net_revenue) AS median_daily_net
+SELECT store_id, CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) AS rain_days, count(*) AS days,
+  round(CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) / count(*), 6) AS rain_share, median(net_revenue) AS median_daily_net
 FROM sd GROUP BY store_id""")
 q("channel_shift_zscore", ["clean_orders", "sd"], """
 WITH j AS (SELECT c.sales_channel, s.precipitation_sum > 1.0 AS rain FROM clean_orders c
            JOIN sd s ON c.order_date = s.order_date AND c.store_id = s.store_id WHERE s.precipitation_sum IS NOT NULL),
-g AS (SELECT count_if(rain) AS n_rain, count_if(NOT rain) AS n_dry,
-             count_if(rain AND coalesce(sales_channel = 'pickup', false)) AS k_rain,
-             count_if(NOT rain AND coalesce(sales_channel = 'pickup', false)) AS k_dry FROM j),
+g AS (SELECT CAST(count_if(rain) AS BIGINT) AS n_rain, CAST(count_if(NOT rain) AS BIGINT) AS n_dry,
+             CAST(count_if(rain AND coalesce(sales_channel = 'pickup', false)) AS BIGINT) AS k_rain,
+             CAST(count_if(NOT rain AND coalesce(sales_channel = 'pickup', false)) AS BIGINT) AS k_dry FROM j),
 r AS (SELECT *, k_rain::DOUBLE / n_rain AS p1, k_dry::DOUBLE / n_dry AS p2,
              (k_rain + k_dry)::DOUBLE / (n_rain + n_dry) AS pool FROM g)
 SELECT n_rain, n_dry, k_rain, k_dry, round(p1 * 100, 4) AS share_rain_pct, round(p2 * 100, 4) AS share_dry_pct,
@@ -780,7 +780,7 @@ q("spearman_rho_by_store", ["sd"],
   + "\nUNION ALL\nSELECT *, 'precipitation_sum' AS weather FROM ("
   + _spearman_sql("sd", "net_revenue", "precipitation_sum", "store_id") + ")")
 q("share_vs_median_rho", ["sd"], _spearman_sql(
-  "(SELECT store_id, round(count_if(coalesce(precipitation_sum > 1.0, false)) / count(*), 6) AS rain_share, "
+  "(SELECT store_id, round(CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) / count(*), 6) AS rain_share, "
   "median(net_revenue) AS median_daily_net FROM sd GROUP BY store_id)", "rain_share", "median_daily_net", ""))
 q("effective_sample", ["daily_sales"], """
 SELECT count(*) AS n_rows, count(DISTINCT (order_date, store_id)) AS n_store_days FROM daily_sales""")

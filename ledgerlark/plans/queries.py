@@ -78,7 +78,8 @@ def q_token_overlap(p: FeedPipeline) -> DataFrame:
     l = p.products.select("product_id", normalize_text(F.col("product_name")).alias("a"))
     n = p.new_products.select(F.col("new_product_id"), normalize_text(F.col("item_name")).alias("b"))
     j = l.join(n, F.concat(F.lit("N"), l.product_id) == n.new_product_id)
-    return j.select("product_id", "new_product_id", overlap_count(F.col("a"), F.col("b")).alias("overlap"),
+    return j.select("product_id", "new_product_id",
+                    overlap_count(F.col("a"), F.col("b")).cast("long").alias("overlap"),
                     F.round(token_overlap_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
