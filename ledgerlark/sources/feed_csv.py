@@ -55,28 +55,28 @@ def cells_frame(df: DataFrame) -> DataFrame:
 
 
 def scan_with_headers(spark: SparkSession, paths: list[str] | str):
-    """(rows, headers): data rows with their positional cells, and one row
-    per file with its header array."""
+    """(rows, headers, bases): data rows with their positional cells, one row
+    per file with its header array, and the per-block base row ids."""
     return split_headers(_scan(spark, paths))
 
 
 def split_headers(s: DataFrame):
     """Separate each file's first line (its header) from its data rows.
 
-    The header row id per file is ``min(row_uid)`` over the file's first
-    block -- a hash aggregate on a long with map-side combine -- and the
-    header cells are fetched by joining on that unique id (one row per file,
-    broadcast by AQE when small), so file contents are never aggregated."""
-    hid = (s.where(F.col("block_start") == 0).groupBy("source_file", "file_path")
-           .agg(F.min("row_uid").alias("_hid")))
-    ids = hid.select("_hid")
+    One hash aggregate -- ``min(row_uid)`` per (file, block) -- gives every
+    block's base row id; a file's header is the base row of its first block.
+    The header cells are fetched by a semi-join on those ids (one row per
+    file), so file contents are never aggregated, and the same block bases
+    later position every row inside its file (:func:`load_sequence`)."""
+    bases = s.groupBy("source_file", "file_path", "block_start").agg(F.min("row_uid").alias("_base"))
+    ids = bases.where(F.col("block_start") == 0).select(F.col("_base").alias("_hid"))
     headers = (s.join(ids, s.row_uid == ids._hid, "left_semi")
                .select("source_file", "file_path",
                        # header cells: trimmed, and a UTF-8 byte-order mark on the first one dropped
                        F.transform(F.col("cells"), lambda c: F.regexp_replace(c, "^\ufeff|^\\s+|\\s+$", ""))
                        .alias("header")))
     rows = s.join(ids, s.row_uid == ids._hid, "left_anti")
-    return rows, headers
+    return rows, headers, bases
 
 
 POS_BITS = 40          # byte offsets inside one file (files up to 1 TB)
@@ -93,10 +93,12 @@ def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str |
     rank already stored, ``raw_id >> POS_BITS``) so its rows sort after the
     earlier ones.
     """
-    return by_name(*scan_with_headers(spark, paths), ingested_at, file_rank_offset)
+    rows, headers, bases = scan_with_headers(spark, paths)
+    return by_name(rows, headers, ingested_at, file_rank_offset, bases)
 
 
-def load_sequence(rows: DataFrame, headers: DataFrame, file_rank_offset: int = 0) -> DataFrame:
+def load_sequence(rows: DataFrame, headers: DataFrame, file_rank_offset: int = 0,
+                  bases: DataFrame | None = None) -> DataFrame:
     """Attach ``raw_id``: ``(file rank) << POS_BITS | (block start + row
     offset inside the block)``.
 
@@ -106,21 +108,26 @@ def load_sequence(rows: DataFrame, headers: DataFrame, file_rank_offset: int = 0
     base row id is a hash aggregate. Downstream "first in load order" then is
     ``min`` of a long -- a hash aggregate -- instead of a struct min."""
     from pyspark.sql import Window
-    ranks = headers.select(
+    # the file list comes from the block bases (block 0 = one row per file)
+    # when given, so the header cells are not read again just to rank files
+    files = (bases.where(F.col("block_start") == 0) if bases is not None else headers)
+    ranks = files.select(
         "source_file", "file_path",
         (F.dense_rank().over(Window.orderBy("source_file", "file_path")) - 1 + F.lit(file_rank_offset))
         .cast("long").alias("_frank"))
-    bases = rows.groupBy("file_path", "block_start").agg(F.min("row_uid").alias("_base"))
+    if bases is None:
+        bases = rows.groupBy("source_file", "file_path", "block_start").agg(F.min("row_uid").alias("_base"))
+    bases = bases.select("file_path", "block_start", "_base")
     seq = (F.shiftleft(F.col("_frank"), POS_BITS) + F.col("block_start") + (F.col("row_uid") - F.col("_base")))
     return (rows.join(ranks, ["source_file", "file_path"]).join(bases, ["file_path", "block_start"])
             .withColumn("raw_id", seq).drop("_frank", "_base"))
 
 
 def by_name(rows: DataFrame, headers: DataFrame, ingested_at: str | None = None,
-            file_rank_offset: int = 0) -> DataFrame:
+            file_rank_offset: int = 0, bases: DataFrame | None = None) -> DataFrame:
     """Map positional cells to the fixed raw columns through each file's
     header, and attach the load sequence."""
-    rows = load_sequence(rows, headers, file_rank_offset)
+    rows = load_sequence(rows, headers, file_rank_offset, bases)
     j = rows.join(headers.select("source_file", "file_path", "header"), ["source_file", "file_path"])
     ts = F.lit(ingested_at) if ingested_at else F.date_format(F.current_timestamp(),
                                                               "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -36,13 +36,13 @@ def _next_file_rank(spark: SparkSession, raw_path: str) -> int:
 
 def load_batch(batch: DataFrame, raw_path: str, ingested_at: str | None = None) -> None:
     spark = batch.sparkSession
-    rows, headers = feed_csv.split_headers(feed_csv.with_row_ids(batch))
+    rows, headers, bases = feed_csv.split_headers(feed_csv.with_row_ids(batch))
     files = headers.select("source_file", date_from_filename(F.col("source_file")).alias("file_date"))
     loaded = _loaded_dates(spark, raw_path)
     todo = (files.where(F.col("file_date").isNotNull())
             .join(loaded, "file_date", "left_anti")
             .groupBy("file_date").agg(F.min("source_file").alias("source_file")))
-    raw = (feed_csv.by_name(rows, headers, ingested_at, _next_file_rank(spark, raw_path))
+    raw = (feed_csv.by_name(rows, headers, ingested_at, _next_file_rank(spark, raw_path), bases)
            .join(todo, "source_file"))
     raw.write.mode("append").partitionBy("file_date").parquet(raw_path)
 
