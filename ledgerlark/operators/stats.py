@@ -84,10 +84,10 @@ def rain_lift_median(sd: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     per_store = (ms.groupBy("mm", "store_id")
                  .agg(F.max(F.when(F.col("r"), F.col("median"))).alias("_sr"),
                       F.max(F.when(~F.col("r"), F.col("median"))).alias("_sd")))
-    stores = x.select("mm", "store_id").distinct()
-    agree = (stores.join(per_store, ["mm", "store_id"], "left")
-             .groupBy("mm").agg(F.count_if(F.coalesce(F.col("_sr") > F.col("_sd"), F.lit(False)))
-                                .alias("stores_with_lift"), F.count(F.lit(1)).alias("n_stores")))
+    # every store in x has a median on at least one side, so per_store lists them all
+    agree = per_store.groupBy("mm").agg(
+        F.count_if(F.coalesce(F.col("_sr") > F.col("_sd"), F.lit(False))).alias("stores_with_lift"),
+        F.count(F.lit(1)).alias("n_stores"))
     lift = F.round((F.try_divide(F.col("_mr"), F.col("_md")) - 1) * 100, 4)
     return (x.select("mm").distinct().join(overall, "mm", "left").join(agree, "mm")
             .select(F.col("mm").alias("threshold_mm"), lift.alias("median_lift_pct"),
