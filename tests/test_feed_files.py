@@ -181,3 +181,30 @@ def test_load_sequence_follows_file_order(spark, tmp):
     want = [(n, f"{i:06d}") for n in ("orders_2026-09-04.csv", "orders_2026-09-05.csv") for i in range(3000)]
     assert got == want
     assert raw.select("raw_id").distinct().count() == 6000
+
+
+def test_monitoring_chain_on_files(spark, tmp):
+    """B1 -> B2 -> B5 -> B6 over real files: a gap day, an identical
+    re-publish on the next day, and an empty file."""
+    from ledgerlark.operators import monitor
+    body = _rows("2026-09-10", 3)
+    files = {
+        "orders_2026-09-10.csv": body,
+        "orders_2026-09-11.csv": body,                        # re-published unchanged
+        "orders_2026-09-13.csv": _rows("2026-09-13", 2),      # 09-12 missing
+        "orders_2026-09-14.csv": [],                          # header only
+    }
+    for name, rows in files.items():
+        with open(os.path.join(tmp, name), "w") as f:
+            f.write("\n".join([LEGACY] + rows) + "\n")
+    raw = feed_csv.read_orders(spark, tmp)
+    stats = quality.file_stats(raw, feed_csv.file_headers(spark, tmp))
+    status = quality.file_status(stats)
+    st = {r.file_name: (r.status, r.rows_loaded) for r in status.collect()}
+    assert st == {"orders_2026-09-10.csv": ("success", 3), "orders_2026-09-11.csv": ("stale", 3),
+                  "orders_2026-09-13.csv": ("success", 2), "orders_2026-09-14.csv": ("empty", 0)}
+    log = monitor.ingestion_log_new(status, monitor.content_digest(raw, quality.DATA_COLUMNS))
+    assert log.count() == 4
+    assert [r.missing_date for r in monitor.missing_days(log).collect()] == ["2026-09-12"]
+    rep = [(r.date, r.previous_date) for r in monitor.republished(log).collect()]
+    assert rep == [("2026-09-11", "2026-09-10")]
