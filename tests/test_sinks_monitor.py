@@ -96,3 +96,26 @@ def test_overrides_and_slices(spark):
     assert [r.category for r in d.collect()] == ["patio"]
     d_all, _ = kpi.board_frames(daily, daily)
     assert d_all.count() == 2
+
+
+def test_dq_history_reverification(spark):
+    """Flag *sets* are compared; a difference is known only when nothing
+    was removed and the single added flag is the allowlisted one."""
+    from ledgerlark.operators import quality
+    cur = spark.createDataFrame([
+        ("a.csv", "schema_new_product_col;nonnumeric(unit_price=155)"),
+        ("b.csv", "duplicates"),
+        ("c.csv", "duplicates;orphans"),
+        ("d.csv", "orphans;duplicates"),
+    ], "file_name string, flags string")
+    log = spark.createDataFrame([
+        ("a.csv", "schema_new_product_col"), ("b.csv", "duplicates;stale(expected=x,found=y)"),
+        ("c.csv", "duplicates"), ("d.csv", "duplicates;orphans"),
+    ], "file_name string, flags string")
+    known = spark.createDataFrame([("a.csv", "nonnumeric(unit_price=155)"), ("c.csv", "empty")],
+                                  "file_name string, flag string")
+    got = {r.file_name: (r.added, r.removed, r.classification)
+           for r in quality.dq_flag_diff(cur, log, known).collect()}
+    assert got == {"a.csv": ("nonnumeric(unit_price=155)", "", "known"),
+                   "b.csv": ("", "stale(expected=x,found=y)", "unexpected"),
+                   "c.csv": ("orphans", "", "unexpected")}
