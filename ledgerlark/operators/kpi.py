@@ -163,7 +163,7 @@ def weather_corr(daily: DataFrame, weather_col: str = "temp_max", value_col: str
 def recommendations(daily: DataFrame, value_col: str = "net_revenue",
                     categories: DataFrame | None = None) -> DataFrame:
     """Per category, temperature and precipitation correlations (missing
-    -> 0) turned into a tag; ``rank`` orders by |temp r| descending."""
+    -> 0) turned into a tag; ``priority`` orders by |temp r| descending."""
     c = weather_corr_all(daily, ("temp_max", "precipitation_sum"), (value_col,))
     wide = c.groupBy("category").agg(
         F.max(F.when(F.col("weather") == "temp_max", F.col("r"))).alias("temp_r"),
@@ -172,11 +172,14 @@ def recommendations(daily: DataFrame, value_col: str = "net_revenue",
     j = (cats.join(wide, "category", "left")
          .withColumn("temp_r", F.coalesce("temp_r", F.lit(0.0)))
          .withColumn("precip_r", F.coalesce("precip_r", F.lit(0.0))))
+    from pyspark.sql import Window
     tr, pr = F.col("temp_r"), F.col("precip_r")
     tag = (F.when(tr >= RECOMMEND_T, "leans warm").when(tr <= -RECOMMEND_T, "leans cool")
            .when(pr >= RECOMMEND_P, "leans wet").when(pr <= -RECOMMEND_P, "leans dry")
            .otherwise("weather-neutral"))
-    return j.select("category", "temp_r", "precip_r", tag.alias("tag"))
+    # strongest temperature signal first (a window over one row per category)
+    priority = F.row_number().over(Window.orderBy(F.abs(tr).desc(), F.col("category")))
+    return j.select("category", "temp_r", "precip_r", tag.alias("tag"), priority.alias("priority"))
 
 
 def revenue_by_store(daily: DataFrame) -> DataFrame:

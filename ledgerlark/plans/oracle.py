@@ -687,7 +687,8 @@ j AS (SELECT c.category, coalesce(t.r, 0.0) AS temp_r, coalesce(p.r, 0.0) AS pre
       LEFT JOIN p ON c.category = p.category)
 SELECT category, temp_r, precip_r,
   CASE WHEN temp_r >= 0.1 THEN 'leans warm' WHEN temp_r <= -0.1 THEN 'leans cool'
-       WHEN precip_r >= 0.1 THEN 'leans wet' WHEN precip_r <= -0.1 THEN 'leans dry' ELSE 'weather-neutral' END AS tag
+       WHEN precip_r >= 0.1 THEN 'leans wet' WHEN precip_r <= -0.1 THEN 'leans dry' ELSE 'weather-neutral' END AS tag,
+  CAST(row_number() OVER (ORDER BY abs(temp_r) DESC, category) AS INTEGER) AS priority
 FROM j""")
 q("revenue_by_store", ["bdaily"], f"SELECT store_id, {_cents('net_revenue')} AS net_revenue FROM bdaily GROUP BY store_id")
 q("revenue_by_category", ["bdaily"], f"""
