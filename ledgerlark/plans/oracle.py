@@ -787,5 +787,91 @@ q("effective_sample", ["daily_sales"], """
 SELECT count(*) AS n_rows, count(DISTINCT (order_date, store_id)) AS n_store_days FROM daily_sales""")
 
 
+# ---- p-values: tails by Simpson integration of the density (DuckDB has no
+# erf / Student-t CDF); 20000 steps keep the error near 1e-14, far below the
+# 6-decimal rounding of the reported p-values.
+SIMPSON_N = 20000
+
+
+def _simpson_w(i: str) -> str:
+    return f"(CASE WHEN {i} = 0 OR {i} = {SIMPSON_N} THEN 1 WHEN {i} % 2 = 1 THEN 4 ELSE 2 END)"
+
+
+def _normal_p_ctes(src: str, keys: str) -> str:
+    """CTE text: from ``src`` (keys, z) to ``np_out`` (keys, p) two-sided."""
+    return f"""
+np_grid AS (SELECT {keys}, abs(z) AS a, i FROM {src}, range(0, {SIMPSON_N} + 1) t(i) WHERE z IS NOT NULL),
+np_out AS (SELECT {keys}, 1 - 2 * sum({_simpson_w("i")} * exp(-0.5 * pow(i * a / {SIMPSON_N}, 2)))
+             * (any_value(a) / {SIMPSON_N}) / 3 / sqrt(2 * pi()) AS p FROM np_grid GROUP BY {keys})"""
+
+
+def _t_p_ctes(src: str, keys: str) -> str:
+    """CTE text: from ``src`` (keys, n, rho_raw) to ``tp_out`` (keys, p): the
+    two-sided Student-t p of t = rho*sqrt((n-2)/(1-rho^2)) with n-2 dof."""
+    return f"""
+tp_in AS (SELECT {keys}, CAST(n - 2 AS DOUBLE) AS nu,
+            abs(rho_raw) * sqrt((n - 2) / (1 - rho_raw * rho_raw)) AS a
+          FROM {src} WHERE rho_raw IS NOT NULL AND n >= 3 AND abs(rho_raw) < 1),
+tp_grid AS (SELECT tp_in.*, i FROM tp_in, range(0, {SIMPSON_N} + 1) t(i)),
+tp_out AS (SELECT {keys}, 1 - 2 * sum({_simpson_w("i")} * pow(1 + pow(i * a / {SIMPSON_N}, 2) / nu, -(nu + 1) / 2.0))
+             * (any_value(a) / {SIMPSON_N}) / 3
+             * exp(lgamma((any_value(nu) + 1) / 2.0) - lgamma(any_value(nu) / 2.0)) / sqrt(any_value(nu) * pi()) AS p
+           FROM tp_grid GROUP BY {keys})"""
+
+
+def _rho_raw_sql(src: str, x: str, y: str, part: str) -> str:
+    pby = f"PARTITION BY {part}" if part else ""
+    pby_x = f"PARTITION BY {part + ', ' if part else ''}{x}"
+    pby_y = f"PARTITION BY {part + ', ' if part else ''}{y}"
+    grp = f"GROUP BY {part}" if part else ""
+    sel = f"{part}, " if part else ""
+    return f"""
+SELECT {sel}count(*) AS n,
+  CASE WHEN count(DISTINCT {x}) > 1 AND count(DISTINCT {y}) > 1 THEN corr(rx, ry) END AS rho_raw
+FROM (SELECT *, rank() OVER ({pby} ORDER BY {x}) + (count(*) OVER ({pby_x}) - 1) / 2.0 AS rx,
+             rank() OVER ({pby} ORDER BY {y}) + (count(*) OVER ({pby_y}) - 1) / 2.0 AS ry
+      FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL)
+{grp}"""
+
+
+def _p_final(rho: str = "rho_raw") -> str:
+    return (f"CASE WHEN {rho} IS NULL OR n < 3 THEN NULL WHEN abs({rho}) >= 1 THEN 0.0 "
+            f"ELSE round(tp_out.p, 6) END")
+
+
+SD_STACK = """(SELECT store_id, 'temp_max' AS weather, net_revenue, temp_max AS w FROM sd
+               UNION ALL SELECT store_id, 'precipitation_sum', net_revenue, precipitation_sum FROM sd)"""
+STORE_MIX_SRC = ("(SELECT store_id, round(CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) "
+                 "/ count(*), 6) AS rain_share, median(net_revenue) AS median_daily_net FROM sd GROUP BY store_id)")
+
+q("channel_shift_z", ["clean_orders", "sd"], f"""
+WITH j AS (SELECT c.sales_channel, s.precipitation_sum > 1.0 AS rain FROM clean_orders c
+           JOIN sd s ON c.order_date = s.order_date AND c.store_id = s.store_id WHERE s.precipitation_sum IS NOT NULL),
+g AS (SELECT CAST(count_if(rain) AS BIGINT) AS n_rain, CAST(count_if(NOT rain) AS BIGINT) AS n_dry,
+             CAST(count_if(rain AND coalesce(sales_channel = 'pickup', false)) AS BIGINT) AS k_rain,
+             CAST(count_if(NOT rain AND coalesce(sales_channel = 'pickup', false)) AS BIGINT) AS k_dry FROM j),
+r AS (SELECT *, k_rain::DOUBLE / n_rain AS p1, k_dry::DOUBLE / n_dry AS p2,
+             (k_rain + k_dry)::DOUBLE / (n_rain + n_dry) AS pool, 1 AS one FROM g),
+zz AS (SELECT *, round((p1 - p2) / sqrt(pool * (1 - pool) * (1.0::DOUBLE / n_rain + 1.0::DOUBLE / n_dry)), 6) AS z
+       FROM r),{_normal_p_ctes("zz", "one")}
+SELECT n_rain, n_dry, k_rain, k_dry, round(p1 * 100, 4) AS share_rain_pct, round(p2 * 100, 4) AS share_dry_pct, z,
+  round(np_out.p, 6) AS p_value
+FROM zz LEFT JOIN np_out ON zz.one = np_out.one""")
+q("spearman_by_store", ["sd"], f"""
+WITH rr AS ({_rho_raw_sql(SD_STACK, "net_revenue", "w", "store_id, weather")}),{_t_p_ctes("rr", "store_id, weather")}
+SELECT rr.store_id, rr.weather, n, round(rho_raw, 6) AS rho, {_p_final()} AS p_value
+FROM rr LEFT JOIN tp_out ON rr.store_id = tp_out.store_id AND rr.weather = tp_out.weather""")
+q("significance_screen", ["sd"], f"""
+WITH rr AS ({_rho_raw_sql(SD_STACK, "net_revenue", "w", "store_id, weather")}),{_t_p_ctes("rr", "store_id, weather")},
+tests AS (SELECT rr.store_id, rr.weather, n, round(rho_raw, 6) AS rho, {_p_final()} AS p_value,
+                 count(*) OVER () AS n_tests
+          FROM rr LEFT JOIN tp_out ON rr.store_id = tp_out.store_id AND rr.weather = tp_out.weather)
+SELECT * FROM tests WHERE p_value < 0.05""")
+q("share_vs_median", ["sd"], f"""
+WITH rr AS (SELECT *, 1 AS one FROM ({_rho_raw_sql(STORE_MIX_SRC, "rain_share", "median_daily_net", "")})),
+{_t_p_ctes("rr", "one")[1:]}
+SELECT n, round(rho_raw, 6) AS rho, {_p_final()} AS p_value FROM rr LEFT JOIN tp_out ON rr.one = tp_out.one""")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(needed, body) for name, (needed, body) in Q.items()}
