@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ["supplier", "part", "orders", "lineitem"]
 KEYS = ["clean_orders", "rejected_rows", "crosswalk", "daily_sales", "dq_report", "ingestion_log",
         "kpi_totals", "weather_corr", "rain_lift_median", "score_distribution", "dq_flag_diff",
-        "incremental_pending", "week_over_week", "channel_mix"]
+        "incremental_pending", "week_over_week", "channel_mix", "channel_shift_z", "spearman_by_store"]
 
 
 def _norm(v):
