@@ -16,17 +16,21 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 WHITESPACE = " \t\n\r\f\u000b"
+# with separators, no-break and other Unicode spaces
+ALL_SPACES = (WHITESPACE + "\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+              "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
-def strip_ws(c: Column) -> Column:
+def strip_ws(c: Column, chars: str = WHITESPACE) -> Column:
     """Trim leading/trailing whitespace (tabs, CR from CRLF files too).
     A character-set trim, not a regex: this runs on every numeric cell."""
-    return F.trim(c, F.lit(WHITESPACE))
+    return F.trim(c, F.lit(chars))
 
 
 def strip_formatting(c: Column) -> Column:
-    """Trim, then delete every ``$`` and ``,`` (``translate``, no regex)."""
-    return F.translate(strip_ws(c), "$,", "")
+    """Delete every ``$`` and ``,`` (``translate``, no regex), then trim,
+    so what a deleted sign leaves at the ends (``$ 72.70``) goes too."""
+    return strip_ws(F.translate(c, "$,", ""), ALL_SPACES)
 
 
 def to_double(c: Column, strip_currency: bool = True) -> Column:

@@ -21,7 +21,6 @@ O(len(a)) big-integer operations instead of an O(len(a)*len(b)) table.
 
 from __future__ import annotations
 
-import difflib
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,21 +72,16 @@ def token_set_ratio(a: str, b: str) -> int:
 
 
 def partial_ratio(a: str, b: str) -> int:
+    """Best ratio of the shorter string with any stretch of the longer one
+    that is as long, or shorter where it begins or ends the longer one."""
     if a == b:
         return 100
     if not a or not b:
         return 0
     short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-    best = 0.0
-    blocks = difflib.SequenceMatcher(None, short, long_, autojunk=False).get_matching_blocks()
-    for i, j, _ in blocks:
-        start = max(j - i, 0)
-        window = long_[start:start + len(short)]
-        r = (2 * lcs_length(short, window)) / (len(short) + len(window)) if window else 0.0
-        if r > 0.995:
-            return 100
-        best = max(best, r)
-    return int(round(100.0 * best))
+    n = len(short)
+    stretches = {long_[max(0, end - n):end] for end in range(1, len(long_) + n)} - {""}
+    return max(int(round(100.0 * (2 * lcs_length(short, w)) / (n + len(w)))) for w in stretches)
 
 
 _SCORERS = {
@@ -102,12 +96,19 @@ def score_text(a: str | None, b: str | None, method: str = "token_set_ratio") ->
     return _SCORERS[method](a or "", b or "")
 
 
+def _scored(fn, a: pd.Series, b: pd.Series) -> pd.Series:
+    """Each distinct pair of strings of a batch is scored once."""
+    pairs = [(x or "", y or "") for x, y in zip(a, b)]
+    known = {p: fn(*p) for p in set(pairs)}
+    return pd.Series([known[p] for p in pairs], dtype="int32")
+
+
 def _make_udf(method: str):
     fn = _SCORERS[method]
 
     @F.pandas_udf(T.IntegerType())
     def _score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([fn(x or "", y or "") for x, y in zip(a, b)], dtype="int32")
+        return _scored(fn, a, b)
 
     return _score
 
@@ -119,8 +120,8 @@ def _make_pair_udf(method: str):
                                 T.StructField("second", T.IntegerType())]))
     def _score2(a1: pd.Series, b1: pd.Series, a2: pd.Series, b2: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({
-            "first": pd.Series([fn(x or "", y or "") for x, y in zip(a1, b1)], dtype="int32"),
-            "second": pd.Series([fn(x or "", y or "") for x, y in zip(a2, b2)], dtype="int32"),
+            "first": _scored(fn, a1, b1),
+            "second": _scored(fn, a2, b2),
         })
 
     return _score2

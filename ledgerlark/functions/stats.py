@@ -22,53 +22,25 @@ from pyspark import cloudpickle as _cloudpickle  # noqa: E402
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    # Continued fraction for the regularised incomplete beta (modified Lentz).
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def betainc_reg(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                + a * math.log(x) + b * math.log1p(-x))
-    front = math.exp(ln_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
-
-def t_two_sided_p(t: float | None, dof: float | None) -> float | None:
-    """Two-sided p-value of Student's t with ``dof`` degrees of freedom."""
-    if t is None or dof is None or dof <= 0 or (isinstance(t, float) and math.isnan(t)):
+def t_two_sided_p(t: float | None, dof: int | None) -> float | None:
+    """Two-sided p-value of Student's t with a whole number of degrees of
+    freedom: one minus the finite trigonometric series of A(t | dof)."""
+    if t is None or dof is None or dof < 1 or (isinstance(t, float) and math.isnan(t)):
         return None
     if math.isinf(t):
         return 0.0
-    return betainc_reg(dof / 2.0, 0.5, dof / (dof + t * t))
+    dof = int(dof)
+    angle = math.atan(abs(t) / math.sqrt(dof))
+    cos2 = math.cos(angle) ** 2
+    # odd: cos + 2/3 cos^3 + (2 4)/(3 5) cos^5 ..; even: 1 + 1/2 cos^2 + (1 3)/(2 4) cos^4 ..
+    odd = dof % 2
+    term = math.cos(angle) if odd else 1.0
+    parts = [term] if dof > 1 else []
+    for k in range(2 + odd, dof - 1, 2):
+        term *= cos2 * (k - 1) / k
+        parts.append(term)
+    series = math.sin(angle) * math.fsum(parts)
+    return max(0.0, 1.0 - (2 / math.pi * (angle + series) if odd else series))
 
 
 def spearman_p(rho: float | None, n: int | None) -> float | None:

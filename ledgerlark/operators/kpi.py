@@ -148,16 +148,17 @@ def weather_corr_all(daily: DataFrame, weathers=("temp_max", "precipitation_sum"
         F.struct(F.lit(w).alias("weather"), F.lit(v).alias("measure"),
                  F.col(f"r_{w}__{v}").alias("_r"), F.col(f"nw_{w}").alias("_nw"), F.col(f"nv_{v}").alias("_nv"))
         for w, v in pairs])).alias("p")).select("category", "n", "p.*")
-    r = F.round(F.col("_r"), 6)
+    r = F.col("_r")   # tags read the raw correlation; rounding is for the report only
     tag = F.when(r >= SENSITIVITY_R, "warm-driven").when(r <= -SENSITIVITY_R, "cool-driven").otherwise("neutral")
     return (stacked.where((F.col("n") >= min_obs) & (F.col("_nw") > 1) & (F.col("_nv") > 1))
-            .select("category", r.alias("r"), "n", tag.alias("sensitivity"), "weather", "measure"))
+            .select("category", F.round(r, 6).alias("r"), "n", tag.alias("sensitivity"), "weather", "measure",
+                    r.alias("raw_r")))
 
 
 def weather_corr(daily: DataFrame, weather_col: str = "temp_max", value_col: str = "net_revenue",
                  min_obs: int = 3) -> DataFrame:
     """G11 + G12 for one (weather, measure) pair."""
-    return weather_corr_all(daily, (weather_col,), (value_col,), min_obs).drop("weather", "measure")
+    return weather_corr_all(daily, (weather_col,), (value_col,), min_obs).drop("weather", "measure", "raw_r")
 
 
 def recommendations(daily: DataFrame, value_col: str = "net_revenue",
@@ -166,8 +167,8 @@ def recommendations(daily: DataFrame, value_col: str = "net_revenue",
     -> 0) turned into a tag; ``priority`` orders by |temp r| descending."""
     c = weather_corr_all(daily, ("temp_max", "precipitation_sum"), (value_col,))
     wide = c.groupBy("category").agg(
-        F.max(F.when(F.col("weather") == "temp_max", F.col("r"))).alias("temp_r"),
-        F.max(F.when(F.col("weather") == "precipitation_sum", F.col("r"))).alias("precip_r"))
+        F.max(F.when(F.col("weather") == "temp_max", F.col("raw_r"))).alias("temp_r"),
+        F.max(F.when(F.col("weather") == "precipitation_sum", F.col("raw_r"))).alias("precip_r"))
     cats = categories if categories is not None else daily.select("category").distinct()
     j = (cats.join(wide, "category", "left")
          .withColumn("temp_r", F.coalesce("temp_r", F.lit(0.0)))
@@ -179,7 +180,8 @@ def recommendations(daily: DataFrame, value_col: str = "net_revenue",
            .otherwise("weather-neutral"))
     # strongest temperature signal first (a window over one row per category)
     priority = F.row_number().over(Window.orderBy(F.abs(tr).desc(), F.col("category")))
-    return j.select("category", "temp_r", "precip_r", tag.alias("tag"), priority.alias("priority"))
+    return j.select("category", F.round(tr, 6).alias("temp_r"), F.round(pr, 6).alias("precip_r"), tag.alias("tag"),
+                    priority.alias("priority"))
 
 
 def revenue_by_store(daily: DataFrame) -> DataFrame:

@@ -17,13 +17,14 @@ def row_digest_columns(cols: list[str]) -> Column:
 
 
 def content_digest(raw: DataFrame, cols: list[str]) -> DataFrame:
-    """Order-independent content fingerprint per file: the sum of a 60-bit
-    prefix of each row's MD5, as decimal text. Unlike a byte hash it needs no
+    """Order-independent content fingerprint per file: the sums of both halves
+    of each row's MD5, as decimal text. Unlike a byte hash it needs no
     task to see the whole file, so it works for files of any size; two files
     with the same multiset of rows get the same digest."""
-    h = F.conv(F.substring(F.md5(row_digest_columns(cols)), 1, 15), 16, 10).cast("decimal(38,0)")
+    md5 = F.md5(row_digest_columns(cols))
+    half = lambda at: F.sum(F.conv(F.substring(md5, at, 16), 16, 10).cast("decimal(20,0)")).cast("string")
     return (raw.groupBy("source_file")
-            .agg(F.sum(h).cast("string").alias("file_hash")))
+            .agg(F.concat_ws("-", half(1), half(17)).alias("file_hash")))
 
 
 def first_file_per_date(files: DataFrame, date_col: str = "file_date") -> DataFrame:
@@ -103,9 +104,13 @@ def republished(log: DataFrame) -> DataFrame:
 
 def pending_files(files: DataFrame, loaded_dates: DataFrame) -> DataFrame:
     """A5: files to load now. A file is skipped when its date is already in
-    the raw table; within a run the first file name per date wins. Files with
-    no recognisable date are returned with status ``undated`` instead of being
+    the raw table; within a run the first file name per date wins, of those
+    with rows where ``files`` has ``n_rows`` (a header-only file neither hides
+    the day nor loads it, so its date is offered again). Files with no
+    recognisable date are returned with status ``undated`` instead of being
     loaded (documented deviation)."""
+    if "n_rows" in files.columns:
+        files = files.where(F.col("n_rows") > 0)
     f = files.select("file_name").distinct().withColumn("file_date", date_from_filename(F.col("file_name")))
     ld = loaded_dates.select(F.col("file_date").alias("_ld")).distinct()
     todo = f.join(ld, f.file_date == ld._ld, "left_anti")

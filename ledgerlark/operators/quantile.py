@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, buckets: int = 4096,
-                 max_exact: int = 100_000, max_rounds: int = 12) -> DataFrame:
-    """(keys..., median) over the non-NULL ``value`` of each group."""
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+                 max_exact: int = 100_000) -> DataFrame:
+    """(keys..., median) over the finite ``value`` of each group; NULL, NaN and
+    infinities are no values."""
+    v = (df.select(*keys, F.col(value).cast("double").alias("_v"))
+         .where(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < F.lit(float("inf")))))
     stats = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
                                  F.max("_v").alias("_hi"))
     # two targets per group: 0-based ranks floor((n-1)/2) and floor(n/2)
@@ -37,15 +39,21 @@ def exact_median(df: DataFrame, keys: list[str], value: str, buckets: int = 4096
                           .otherwise(F.floor(F.col("_n") / 2)).cast("long").alias("_k"),
                          F.lit(0).cast("long").alias("_below"),      # values < _lo
                          F.col("_n").alias("_cnt"))                  # values in [_lo, _hi]
-    for _ in range(max_rounds):
+    while True:
+        # a range's own minimum and maximum fall into different buckets, so
+        # every round leaves out at least one distinct value and it ends
         open_ = state.where((F.col("_cnt") > max_exact) & (F.col("_lo") < F.col("_hi")))
         if open_.isEmpty():
             break
-        width = (F.col("_hi") - F.col("_lo")) / F.lit(float(buckets))
+        # halved, so the widest range doesn't overflow; the narrowest has no
+        # room between its ends and is cut into those
+        half = F.col("_hi") / 2 - F.col("_lo") / 2
+        place = F.when(half > 0, F.least(F.floor(
+            F.try_divide(F.col("_v") / 2 - F.col("_lo") / 2, half) * buckets).cast("long"), F.lit(buckets - 1)))
+        place = place.otherwise(F.when(F.col("_v") > F.col("_lo"), F.lit(buckets - 1)).otherwise(F.lit(0)))
         cand = (v.join(open_.select(*keys, "_t", "_lo", "_hi"), keys)
                 .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-                .withColumn("_b", F.least(F.floor((F.col("_v") - F.col("_lo")) / width).cast("long"),
-                                          F.lit(buckets - 1))))
+                .withColumn("_b", place))
         hist = cand.groupBy(*keys, "_t", "_b").agg(F.count(F.lit(1)).alias("_c"),
                                                     F.min("_v").alias("_blo"), F.max("_v").alias("_bhi"))
         w = Window.partitionBy(*keys, "_t").orderBy("_b")   # at most `buckets` rows per target

@@ -45,8 +45,9 @@ def channel_shift(clean: DataFrame, sd: DataFrame, rain_mm: float = RAIN_MM,
     z = F.try_divide(p1 - p2, se)
     out = g.select("n_rain", "n_dry", "k_rain", "k_dry",
                    F.round(p1 * 100, 4).alias("share_rain_pct"), F.round(p2 * 100, 4).alias("share_dry_pct"),
-                   F.round(z, 6).alias("z"))
-    return out.withColumn("p_value", F.round(two_sided_normal_p(F.col("z")), 6))
+                   z.alias("_z"))
+    return (out.withColumn("z", F.round("_z", 6))
+            .withColumn("p_value", F.round(two_sided_normal_p(F.col("_z")), 6)).drop("_z"))
 
 
 def channel_counts(clean: DataFrame, sd: DataFrame, rain_mm: float = RAIN_MM) -> DataFrame:
@@ -97,10 +98,14 @@ def rain_lift_median(sd: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
 def store_mix(sd: DataFrame, rain_mm: float = RAIN_MM) -> DataFrame:
     """H5: per store: rain days, days, rain share, median daily net (exact,
     distributed)."""
+    return _store_mix(sd, rain_mm).withColumn("rain_share", F.round("rain_share", 6))
+
+
+def _store_mix(sd: DataFrame, rain_mm: float) -> DataFrame:
     counts = sd.groupBy("store_id").agg(
         F.count_if(F.col("precipitation_sum") > rain_mm).alias("rain_days"),
         F.count(F.lit(1)).alias("days"),
-        F.round(F.count_if(F.col("precipitation_sum") > rain_mm) / F.count(F.lit(1)), 6).alias("rain_share"))
+        (F.count_if(F.col("precipitation_sum") > rain_mm) / F.count(F.lit(1))).alias("rain_share"))
     med = exact_median(sd, ["store_id"], "net_revenue").withColumnRenamed("median", "median_daily_net")
     return counts.join(med, "store_id", "left")
 
@@ -129,9 +134,9 @@ def spearman(df: DataFrame, x: str, y: str, group: list[str]) -> DataFrame:
 
 
 def share_vs_median(sd: DataFrame, rain_mm: float = RAIN_MM) -> DataFrame:
-    """H6: Spearman between store rain-day share and store median daily net
+    """H6: Spearman between store rain-day share (not rounded) and store median daily net
     (one row per store as input; the rank window spans the store list)."""
-    m = store_mix(sd, rain_mm).withColumn("_all", F.lit(1))
+    m = _store_mix(sd, rain_mm).withColumn("_all", F.lit(1))
     return spearman(m, "rain_share", "median_daily_net", ["_all"]).drop("_all")
 
 

@@ -14,10 +14,18 @@ Fixed values (adapter design, not reference data):
   - header eras   file year < 1998 legacy ``product_id``; 1998-1999
                   ``new_product_id``; from 2000 NP ids under ``product_id`` with
                   ``product_id_source = 'new_system'``
-  - faults        ``$`` price when l_orderkey % 50 = 0; NULL date when
-                  l_orderkey % 503 = 0; stale copy of l_orderkey % 211 = 0 rows
-                  in the next day's file; orphan product id (+9000000) when
-                  l_partkey % 97 = 0 on ``new_product_id`` files
+  - faults        dressed price when l_orderkey % 50 = 0 (``$x``, ``$ x``,
+                  ``x $`` or no-break spaces, by l_orderkey / 50 % 4); price 0 on
+                  day 45 of a year; NULL date when l_orderkey % 503 = 0; store
+                  S999 when l_orderkey % 349 = 0; quantity negative, fractional
+                  or text when l_orderkey % 401, 409 or 419 = 0; discount 150
+                  when l_orderkey % 307 = 0; repeated row when l_orderkey % 263
+                  = 0; stale copy of l_orderkey % 211 = 0 rows in the next
+                  day's file; day 101 of a year published again as day 102,
+                  whose own rows come a day late (days 100-102 have no other
+                  copies); orphan product id (+9000000) when l_partkey % 97 = 0
+                  on ``new_product_id`` files
+  - weather       no value when (day of year + store) % 37 = 0
   - legacy category by part type: ECONOMY camping, LARGE emergency, MEDIUM
                   footwear, PROMO hydration, SMALL outerwear, STANDARD patio;
                   l_partkey % 50 = 7 -> clearance (unmapped)
@@ -78,9 +86,20 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     # derivation over all shuffle partitions instead of the scan's splits.
     base = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey).drop("o_orderkey")
     # stale copies are generated in the same pass (no second scan / join)
-    copies = F.when(F.col("l_orderkey") % 211 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = (base.withColumn("copy_no", F.explode(copies))
-            .withColumn("file_d", F.date_add("d", F.col("copy_no"))))
+    doy, key = F.dayofyear("d"), F.col("l_orderkey")
+    late = (doy == 101) | ((key % 211 == 0) & ~doy.isin(100, 102))
+    twice = (key % 263 == 0) & ~doy.isin(100, 101, 102)
+    copies = F.array_compact(F.array(F.lit(0), F.when(late, 1), F.when(twice, 2)))
+    shift = F.when((F.col("copy_no") == 1) | ((F.col("copy_no") == 0) & (doy == 102)), 1).otherwise(0)
+    rows = base.withColumn("copy_no", F.explode(copies)).withColumn("file_d", F.date_add("d", shift))
+    price = _s(F.when(doy == 45, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("l_extendedprice").cast("decimal(18,2)")))
+    form = F.floor(key / 50) % 4
+    nbsp = F.lit("\u00a0")
+    dressed = (F.when(form == 0, F.concat(F.lit("$"), price)).when(form == 1, F.concat(F.lit("$ "), price))
+               .when(form == 2, F.concat(price, F.lit(" $"))).otherwise(F.concat(nbsp, price, nbsp)))
+    quantity = F.when(key % 419 == 0, F.lit("abc")).otherwise(F.concat(
+        F.when(key % 401 == 0, "-").otherwise(""), _s(F.col("l_quantity").cast("long")),
+        F.when(key % 409 == 0, ".5").otherwise("")))
     y = F.year("file_d")
     pk = _s(F.col("l_partkey"))
     orphan_pk = _s(F.when(F.col("l_partkey") % 97 == 0, F.col("l_partkey") + 9000000)
@@ -91,20 +110,20 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(source_file.alias("f"), "copy_no", "l_orderkey", "l_linenumber",
                  "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                  "l_discount", "l_returnflag", "o_orderpriority", "l_rowid").alias("raw_id"),
-        (F.col("l_rowid") * 2 + F.col("copy_no")).alias("row_uid"),
+        (F.col("l_rowid") * 3 + F.col("copy_no")).alias("row_uid"),
         source_file.alias("source_file"),
         F.concat(_s(F.col("file_d")), F.lit("T06:00:00Z")).alias("ingested_at"),
         F.concat(_s(F.col("l_orderkey")), F.lit("-"), _s(F.col("l_linenumber"))).alias("order_id"),
         F.when(F.col("l_orderkey") % 503 != 0, _s(F.col("d"))).alias("order_date"),
-        F.concat(F.lit("S00"), _s(F.col("l_suppkey") % 8 + 1)).alias("store_id"),
+        F.when(key % 349 == 0, F.lit("S999")).otherwise(
+            F.concat(F.lit("S00"), _s(F.col("l_suppkey") % 8 + 1))).alias("store_id"),
         F.when(y < 1998, F.concat(F.lit("P"), pk))
          .when(y >= 2000, F.concat(F.lit("NP"), pk)).alias("product_id"),
         F.when((y >= 1998) & (y < 2000), F.concat(F.lit("NP"), orphan_pk)).alias("new_product_id"),
         F.when(y >= 2000, F.lit("new_system")).alias("product_id_source"),
-        _s(F.col("l_quantity").cast("long")).alias("quantity"),
-        F.concat(F.when(F.col("l_orderkey") % 50 == 0, F.lit("$")).otherwise(F.lit("")),
-                 _s(F.col("l_extendedprice").cast("decimal(18,2)"))).alias("unit_price"),
-        _s(F.round(F.col("l_discount") * 100).cast("int")).alias("discount_pct"),
+        quantity.alias("quantity"),
+        F.when(key % 50 == 0, dressed).otherwise(price).alias("unit_price"),
+        F.when(key % 307 == 0, F.lit("150")).otherwise(_s(F.round(F.col("l_discount") * 100).cast("int"))).alias("discount_pct"),
         F.when(F.col("l_returnflag") == "A", "pickup")
          .when(F.col("l_returnflag") == "N", "in_store")
          .when(F.col("l_returnflag") == "R", "ship_from_store").alias("sales_channel"),
@@ -216,8 +235,8 @@ def _store_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily weather covariate per (date, store) the feed trades on."""
-    sd = _store_days(spark, sf_dir)
+    """Daily weather covariate per (date, store) the feed trades on, with gaps."""
+    sd = _store_days(spark, sf_dir).where((F.dayofyear("d") + F.col("store_no")) % 37 != 0)
     return sd.select(
         _s(F.col("d")).alias("weather_date"),
         F.concat(F.lit("S00"), _s(F.col("store_no"))).alias("store_id"),

@@ -14,9 +14,10 @@ NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _num(x: str, strip_currency: bool = True) -> str:
-    s = f"trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
     if strip_currency:
-        s = f"replace(replace({s}, '$', ''), ',', '')"
+        s = f"trim(replace(replace({x}, '$', ''), ',', ''), ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11) || chr(160))"
+    else:
+        s = f"trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
     return f"(CASE WHEN regexp_full_match({s}, '{NUM_RE}') THEN TRY_CAST({s} AS DOUBLE) END)"
 
 
@@ -71,32 +72,38 @@ cte("feed_base", [], """
          l.l_discount, l.l_returnflag, o.o_orderpriority, CAST(o.o_orderdate AS DATE) AS d
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 cte("feed_rows", ["feed_base"], """
-  SELECT *, 0 AS copy_no, d AS file_d FROM feed_base
-  UNION ALL
-  SELECT *, 1 AS copy_no, CAST(d + 1 AS DATE) AS file_d FROM feed_base WHERE l_orderkey % 211 = 0""")
+  SELECT b.*, copy_no,
+    CAST(d + CASE WHEN copy_no = 1 OR (copy_no = 0 AND dayofyear(d) = 102) THEN 1 ELSE 0 END AS DATE) AS file_d
+  FROM feed_base b, (SELECT unnest([0, 1, 2]) AS copy_no)
+  WHERE copy_no = 0
+     OR (copy_no = 1 AND (dayofyear(d) = 101 OR (l_orderkey % 211 = 0 AND dayofyear(d) NOT IN (100, 102))))
+     OR (copy_no = 2 AND l_orderkey % 263 = 0 AND dayofyear(d) NOT IN (100, 101, 102))""")
 cte("feed", ["feed_rows"], """
   SELECT
     'orders_' || CAST(file_d AS VARCHAR) || '.csv' AS source_file,
     CAST(file_d AS VARCHAR) || 'T06:00:00Z' AS ingested_at,
     CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
     CASE WHEN l_orderkey % 503 <> 0 THEN CAST(d AS VARCHAR) END AS order_date,
-    'S00' || CAST(l_suppkey % 8 + 1 AS VARCHAR) AS store_id,
+    CASE WHEN l_orderkey % 349 = 0 THEN 'S999' ELSE 'S00' || CAST(l_suppkey % 8 + 1 AS VARCHAR) END AS store_id,
     CASE WHEN year(file_d) < 1998 THEN 'P' || CAST(l_partkey AS VARCHAR)
          WHEN year(file_d) >= 2000 THEN 'NP' || CAST(l_partkey AS VARCHAR) END AS product_id,
     CASE WHEN year(file_d) >= 1998 AND year(file_d) < 2000 THEN 'NP' || CAST(CASE WHEN l_partkey % 97 = 0
          THEN l_partkey + 9000000 ELSE l_partkey END AS VARCHAR) END AS new_product_id,
     CASE WHEN year(file_d) >= 2000 THEN 'new_system' END AS product_id_source,
-    CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
-    CASE WHEN l_orderkey % 50 = 0 THEN '$' ELSE '' END
-      || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS unit_price,
-    CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS discount_pct,
+    CASE WHEN l_orderkey % 419 = 0 THEN 'abc' ELSE CASE WHEN l_orderkey % 401 = 0 THEN '-' ELSE '' END
+      || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || CASE WHEN l_orderkey % 409 = 0 THEN '.5' ELSE '' END END AS quantity,
+    CASE WHEN l_orderkey % 50 <> 0 THEN price
+         ELSE CASE l_orderkey // 50 % 4 WHEN 0 THEN '$' || price WHEN 1 THEN '$ ' || price WHEN 2 THEN price || ' $'
+                                        ELSE chr(160) || price || chr(160) END END AS unit_price,
+    CASE WHEN l_orderkey % 307 = 0 THEN '150' ELSE CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) END AS discount_pct,
     CASE l_returnflag WHEN 'A' THEN 'pickup' WHEN 'N' THEN 'in_store' WHEN 'R' THEN 'ship_from_store' END
       AS sales_channel,
     CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'Y'
          WHEN substr(o_orderpriority, 1, 1) IN ('3', '4') THEN 'N' END AS loyalty_member,
     copy_no, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
     l_returnflag, o_orderpriority, year(file_d) AS file_year
-  FROM feed_rows""")
+  FROM (SELECT *, CAST(CASE WHEN dayofyear(d) = 45 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END
+                       AS DECIMAL(18,2))::VARCHAR AS price FROM feed_rows)""")
 cte("products", [], """
   SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id,
     concat_ws(' ', p_name, p_brand, CAST(p_partkey AS VARCHAR)) AS product_name,
@@ -143,7 +150,7 @@ cte("weather_daily", ["wx_days"], """
     CAST(100 + (dayofyear(d) * 11 + store_no * 5) % 250 - 80 AS DOUBLE) / 10 AS temperature_2m_min,
     CAST((dayofyear(d) * 7 + year(d) * 3 + store_no * 13) % 40 AS DOUBLE) * 0.25::DOUBLE AS precipitation_sum,
     CAST((dayofyear(d) + store_no) % 4 AS INTEGER) AS weather_code, 'adapter' AS weather_source
-  FROM wx_days""")
+  FROM wx_days WHERE (dayofyear(d) + store_no) % 37 <> 0""")
 cte("pulls", ["weather_daily"], """
   SELECT w.*, CAST(year(CAST(weather_date AS DATE)) AS VARCHAR) || '-01-01' AS range_start,
          CAST(year(CAST(weather_date AS DATE)) AS VARCHAR) || '-06-30' AS range_end
@@ -407,13 +414,14 @@ cte("fstatus", ["dq"], """
          ELSE 'success' END AS status, n_rows AS rows_loaded, found AS found_date
   FROM dq""")
 cte("fhash", ["feed"], """
-  SELECT source_file, CAST(sum(CAST(CAST(('0x' || substr(md5(concat_ws(chr(1),
+  SELECT source_file, CAST(sum(CAST(('0x' || substr(m, 1, 16))::UBIGINT AS DECIMAL(38,0))) AS VARCHAR) || '-'
+      || CAST(sum(CAST(('0x' || substr(m, 17, 16))::UBIGINT AS DECIMAL(38,0))) AS VARCHAR) AS file_hash
+  FROM (SELECT source_file, md5(concat_ws(chr(1),
       coalesce(order_id, chr(0)), coalesce(order_date, chr(0)), coalesce(store_id, chr(0)),
       coalesce(product_id, chr(0)), coalesce(new_product_id, chr(0)), coalesce(product_id_source, chr(0)),
       coalesce(quantity, chr(0)), coalesce(unit_price, chr(0)), coalesce(discount_pct, chr(0)),
-      coalesce(sales_channel, chr(0)), coalesce(loyalty_member, chr(0)))), 1, 15)) AS BIGINT)
-      AS DECIMAL(38,0))) AS VARCHAR) AS file_hash
-  FROM feed GROUP BY source_file""")
+      coalesce(sales_channel, chr(0)), coalesce(loyalty_member, chr(0)))) AS m FROM feed)
+  GROUP BY source_file""")
 cte("ilog", ["fstatus", "fhash"], """
   SELECT substr(sha256(concat_ws('|', s.file_name, coalesce(h.file_hash, ''))), 1, 32) AS run_id,
     s.expected_date || 'T06:00:00Z' AS run_timestamp, 'feed://orders.csv' AS source_url,
@@ -488,12 +496,11 @@ FROM clean_orders GROUP BY sales_channel, loyalty_member""")
 # E
 q("normalised_names", ["products"], f"""
 SELECT product_id, {_norm("product_name")} AS norm_name, {_norm("subcategory")} AS norm_subcategory FROM products""")
-q("token_overlap", ["products", "new_products"], f"""
-SELECT product_id, new_product_id, len(list_intersect({_tokens("a")}, {_tokens("b")})) AS overlap,
-  round(CAST(len(list_intersect({_tokens("a")}, {_tokens("b")})) AS DOUBLE)
-        / greatest(len({_tokens("a")}), len({_tokens("b")}), 1), 6) AS similarity
-FROM (SELECT l.product_id, n.new_product_id, {_norm("l.product_name")} AS a, {_norm("n.item_name")} AS b
-      FROM products l JOIN new_products n ON 'N' || l.product_id = n.new_product_id)""")
+q("token_overlap", ["xpairs"], f"""
+SELECT product_id, new_product_id, len(list_intersect({_tokens("a1")}, {_tokens("b1")})) AS overlap,
+  round(CAST(len(list_intersect({_tokens("a1")}, {_tokens("b1")})) AS DOUBLE)
+        / greatest(len({_tokens("a1")}), len({_tokens("b1")}), 1), 6) AS similarity
+FROM xpairs""")
 q("token_set_similarity", ["xscore"], """
 SELECT product_id, new_product_id, name_sim, subclass_sim, round(price_sim, 6) AS price_sim,
   round(score, 6) AS score FROM xscore""")
@@ -666,12 +673,12 @@ q("window_label", ["bdaily"], """
 SELECT min(order_date) AS first_day, max(order_date) AS last_day, count(DISTINCT order_date) AS n_days FROM bdaily""")
 
 
-def _corr_sql(w: str, v: str) -> str:
+def _corr_sql(w: str, v: str, r: str = "round(corr(val, w), 6)") -> str:
     val = (f"CAST(coalesce(sum({_dec(v)}), 0) AS DOUBLE)" if v != "units_sold"
            else f"CAST(coalesce(sum({v}), 0) AS DOUBLE)")
     return f"""
-SELECT category, round(corr(val, w), 6) AS r, count(*) AS n,
-  CASE WHEN round(corr(val, w), 6) >= 0.1 THEN 'warm-driven' WHEN round(corr(val, w), 6) <= -0.1 THEN 'cool-driven'
+SELECT category, {r} AS r, count(*) AS n,
+  CASE WHEN corr(val, w) >= 0.1 THEN 'warm-driven' WHEN corr(val, w) <= -0.1 THEN 'cool-driven'
        ELSE 'neutral' END AS sensitivity, '{w}' AS weather, '{v}' AS measure
 FROM (SELECT category, order_date, store_id, {val} AS val, avg({w}) AS w FROM bdaily
       GROUP BY category, order_date, store_id)
@@ -681,11 +688,12 @@ GROUP BY category HAVING count(*) >= 3 AND count(DISTINCT w) > 1 AND count(DISTI
 q("weather_corr", ["bdaily"], "\nUNION ALL\n".join(
     _corr_sql(w, v) for w in ("temp_max", "precipitation_sum") for v in ("net_revenue", "units_sold")))
 q("recommendations", ["bdaily"], f"""
-WITH t AS ({_corr_sql("temp_max", "net_revenue")}), p AS ({_corr_sql("precipitation_sum", "net_revenue")}),
+WITH t AS ({_corr_sql("temp_max", "net_revenue", "corr(val, w)")}),
+p AS ({_corr_sql("precipitation_sum", "net_revenue", "corr(val, w)")}),
 j AS (SELECT c.category, coalesce(t.r, 0.0) AS temp_r, coalesce(p.r, 0.0) AS precip_r
       FROM (SELECT DISTINCT category FROM bdaily) c LEFT JOIN t ON c.category = t.category
       LEFT JOIN p ON c.category = p.category)
-SELECT category, temp_r, precip_r,
+SELECT category, round(temp_r, 6) AS temp_r, round(precip_r, 6) AS precip_r,
   CASE WHEN temp_r >= 0.1 THEN 'leans warm' WHEN temp_r <= -0.1 THEN 'leans cool'
        WHEN precip_r >= 0.1 THEN 'leans wet' WHEN precip_r <= -0.1 THEN 'leans dry' ELSE 'weather-neutral' END AS tag,
   CAST(row_number() OVER (ORDER BY abs(temp_r) DESC, category) AS INTEGER) AS priority
@@ -781,7 +789,7 @@ q("spearman_rho_by_store", ["sd"],
   + "\nUNION ALL\nSELECT *, 'precipitation_sum' AS weather FROM ("
   + _spearman_sql("sd", "net_revenue", "precipitation_sum", "store_id") + ")")
 q("share_vs_median_rho", ["sd"], _spearman_sql(
-  "(SELECT store_id, round(CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) / count(*), 6) AS rain_share, "
+  "(SELECT store_id, CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) / count(*) AS rain_share, "
   "median(net_revenue) AS median_daily_net FROM sd GROUP BY store_id)", "rain_share", "median_daily_net", ""))
 q("effective_sample", ["daily_sales"], """
 SELECT count(*) AS n_rows, count(DISTINCT (order_date, store_id)) AS n_store_days FROM daily_sales""")
@@ -841,8 +849,8 @@ def _p_final(rho: str = "rho_raw") -> str:
 
 SD_STACK = """(SELECT store_id, 'temp_max' AS weather, net_revenue, temp_max AS w FROM sd
                UNION ALL SELECT store_id, 'precipitation_sum', net_revenue, precipitation_sum FROM sd)"""
-STORE_MIX_SRC = ("(SELECT store_id, round(CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) "
-                 "/ count(*), 6) AS rain_share, median(net_revenue) AS median_daily_net FROM sd GROUP BY store_id)")
+STORE_MIX_SRC = ("(SELECT store_id, CAST(count_if(coalesce(precipitation_sum > 1.0, false)) AS BIGINT) "
+                 "/ count(*) AS rain_share, median(net_revenue) AS median_daily_net FROM sd GROUP BY store_id)")
 
 q("channel_shift_z", ["clean_orders", "sd"], f"""
 WITH j AS (SELECT c.sales_channel, s.precipitation_sum > 1.0 AS rain FROM clean_orders c
@@ -852,9 +860,9 @@ g AS (SELECT CAST(count_if(rain) AS BIGINT) AS n_rain, CAST(count_if(NOT rain) A
              CAST(count_if(NOT rain AND coalesce(sales_channel = 'pickup', false)) AS BIGINT) AS k_dry FROM j),
 r AS (SELECT *, k_rain::DOUBLE / n_rain AS p1, k_dry::DOUBLE / n_dry AS p2,
              (k_rain + k_dry)::DOUBLE / (n_rain + n_dry) AS pool, 1 AS one FROM g),
-zz AS (SELECT *, round((p1 - p2) / sqrt(pool * (1 - pool) * (1.0::DOUBLE / n_rain + 1.0::DOUBLE / n_dry)), 6) AS z
+zz AS (SELECT *, (p1 - p2) / sqrt(pool * (1 - pool) * (1.0::DOUBLE / n_rain + 1.0::DOUBLE / n_dry)) AS z
        FROM r),{_normal_p_ctes("zz", "one")}
-SELECT n_rain, n_dry, k_rain, k_dry, round(p1 * 100, 4) AS share_rain_pct, round(p2 * 100, 4) AS share_dry_pct, z,
+SELECT n_rain, n_dry, k_rain, k_dry, round(p1 * 100, 4) AS share_rain_pct, round(p2 * 100, 4) AS share_dry_pct, round(z, 6) AS z,
   round(np_out.p, 6) AS p_value
 FROM zz LEFT JOIN np_out ON zz.one = np_out.one""")
 q("spearman_by_store", ["sd"], f"""

@@ -74,10 +74,10 @@ def q_normalised(p: FeedPipeline) -> DataFrame:
 
 @query("token_overlap")
 def q_token_overlap(p: FeedPipeline) -> DataFrame:
-    """E2/E3 over same-numbered catalog pairs (P<k> vs NP<k>)."""
+    """E2/E3 over every blocked tier-2 pair."""
     l = p.products.select("product_id", normalize_text(F.col("product_name")).alias("a"))
-    n = p.new_products.select(F.col("new_product_id"), normalize_text(F.col("item_name")).alias("b"))
-    j = l.join(n, F.concat(F.lit("N"), l.product_id) == n.new_product_id)
+    n = p.new_products.select("new_product_id", normalize_text(F.col("item_name")).alias("b"))
+    j = p.scored.select("product_id", "new_product_id").join(l, "product_id").join(n, "new_product_id")
     return j.select("product_id", "new_product_id",
                     overlap_count(F.col("a"), F.col("b")).cast("long").alias("overlap"),
                     F.round(token_overlap_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
@@ -285,7 +285,7 @@ def q_window(p: FeedPipeline) -> DataFrame:
 
 @query("weather_corr")
 def q_weather_corr(p: FeedPipeline) -> DataFrame:
-    return kpi.weather_corr_all(p.board[0])
+    return kpi.weather_corr_all(p.board[0]).drop("raw_r")
 
 
 @query("recommendations")

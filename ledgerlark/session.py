@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins with runtime sizes (a join
@@ -40,7 +41,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(_DEFAULTS)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = os.environ.get("LEDGERLARK_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("LEDGERLARK_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -57,13 +58,18 @@ _LOCAL_CKPT: dict[str, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is
-    a private folder created, registered with ``setCheckpointDir`` and reused
-    for the rest of the application.
+    The cluster's setting always wins. Only in local mode, where driver and
+    executors are one process, may it be unset: a private folder is created,
+    registered with ``setCheckpointDir`` and reused for the rest of the
+    application. On a cluster that folder would lie on one machine, so an
+    unset setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_CKPT:
         _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="ledgerlark-ckpt-")
@@ -120,6 +126,18 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``; None if there is no such path, or no
+    file in it yet. Any other failure (access, network, a broken file) is
+    raised: it must not pass for an empty table."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -17,31 +17,42 @@ from pyspark.sql import functions as F
 from ledgerlark.operators.cleaning import RAW_COLUMNS
 from ledgerlark.functions.text import date_from_filename
 
-MAX_COLUMNS = 32          # widest header we accept
+STREAM_COLUMNS = 64       # a stream's scan is fixed before its files are seen
 DATA_FIELDS = [c for c in RAW_COLUMNS if c not in ("source_file", "ingested_at")]
 
 
-CELL_SCHEMA = ", ".join(f"_c{i} string" for i in range(MAX_COLUMNS))
+def csv_options(reader, width: int = STREAM_COLUMNS):
+    """Positional all-text reading shared by the batch and streaming scans. A
+    line with more cells than ``width`` is kept in ``_more``."""
+    schema = ", ".join([*(f"_c{i} string" for i in range(width)), "_more string"])
+    return (reader.schema(schema).option("header", "false").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_more").option("nullValue", "").option("enforceSchema", "true"))
 
 
-def csv_options(reader):
-    """Positional all-text reading shared by the batch and streaming scans."""
-    return (reader.schema(CELL_SCHEMA).option("header", "false").option("mode", "PERMISSIVE")
-            .option("nullValue", "").option("enforceSchema", "true"))
+def feed_width(spark: SparkSession, paths: list[str] | str) -> int:
+    """The most cells any line can have: one more than its commas (quoted ones
+    only make this too large)."""
+    commas = F.length("value") - F.length(F.translate("value", ",", ""))
+    return 1 + (spark.read.text(paths).agg(F.max(commas)).first()[0] or 0)
 
 
 def _scan(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    return cells_frame(csv_options(spark.read).csv(paths))
+    return cells_frame(csv_options(spark.read, feed_width(spark, paths)).csv(paths))
 
 
 def file_cells(df: DataFrame) -> DataFrame:
     """Positional CSV rows -> (file, block, cells array); works on a
-    streaming source too (file metadata must be taken at the scan)."""
+    streaming source too (file metadata must be taken at the scan). A line
+    that is too wide for the scan is an error, never cut."""
+    names = [c for c in df.columns if c.startswith("_c")]
+    fits = F.when(F.col("_more").isNull() | (F.size(F.split("_more", ",")) <= len(names)), F.col(names[0]))
+    first = fits.otherwise(F.raise_error(F.concat(
+        F.lit(f"a feed line has more than {len(names)} cells: "), F.col("_metadata.file_name"))))
     return df.select(
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.array(*[F.col(f"_c{i}") for i in range(MAX_COLUMNS)]).alias("cells"))
+        F.array(first, *[F.col(c) for c in names[1:]]).alias("cells"))
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:
@@ -120,7 +131,11 @@ def load_sequence(rows: DataFrame, headers: DataFrame, file_rank_offset: int = 0
     bases = bases.select("file_path", "block_start", "_base")
     seq = (F.shiftleft(F.col("_frank"), POS_BITS) + F.col("block_start") + (F.col("row_uid") - F.col("_base")))
     return (rows.join(ranks, ["source_file", "file_path"]).join(bases, ["file_path", "block_start"])
-            .withColumn("raw_id", seq).drop("_frank", "_base"))
+            .withColumn("raw_id", F.when(
+                (F.col("_frank") < 1 << (63 - POS_BITS)) & (seq < F.shiftleft(F.col("_frank") + 1, POS_BITS)), seq)
+                .otherwise(F.raise_error(F.lit(
+                    f"a feed file above 2^{POS_BITS} bytes, or more than 2^{63 - POS_BITS} files, leaves no unique raw_id"))))
+            .drop("_frank", "_base"))
 
 
 def by_name(rows: DataFrame, headers: DataFrame, ingested_at: str | None = None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,20 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
         df = (spark.read.option("header", "true").option("inferSchema", "false")
               .option("nullValue", "").csv(path))
         df.schema  # resolves the path now
-    except Exception:  # noqa: BLE001 - absent reference file: skip like the reference
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":   # absent file: the stage is skipped
+            return None
+        raise
     return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in df.columns])
 
 
+def read_catalog(spark: SparkSession, path: str) -> DataFrame | None:
+    """A product catalog with ``catalog_pos``, its load sequence: ascending
+    with the place in the file (files in the order Spark scans them)."""
+    df = read_text_csv(spark, path)
+    return None if df is None else df.withColumn("catalog_pos", F.monotonically_increasing_id())
+
+
 def load_reference(spark: SparkSession, paths: dict[str, str], out_dir: str) -> dict[str, int | None]:
     """Full replace of each present reference table under ``out_dir``;
     absent ones are skipped. Returns table -> rows written (None = skipped)."""
@@ -45,7 +55,7 @@ def copy_table(df: DataFrame, sinks: dict[str, callable]) -> dict[str, str]:
                 write(cached)
                 status[name] = "ok"
             except Exception as ex:  # noqa: BLE001 - per-sink failure is reported
-                status[name] = f"failed: {type(ex).__name__}: {ex}"[:500]
+                status[name] = f"failed: {type(ex).__name__}: {ex}"
     finally:
         cached.unpersist()
     return status

@@ -1,9 +1,9 @@
-"""Plan-shape guards over every registered query (on the smallest tables):
+"""Plan-shape guards over every registered query of the feed library (on the smallest tables):
 no nested-loop / cartesian joins, and Python UDF evaluation only where a
 tail probability is computed on already-aggregated rows."""
 import re
 
-import __spark_entry__ as entry
+from ledgerlark.plans import queries as registered
 
 SF = "/root/testdata/sf0.001"
 # queries whose plans may evaluate an Arrow UDF (p-values on one row per test)
@@ -12,7 +12,7 @@ UDF_OK = {"channel_shift_z", "share_vs_median", "spearman_by_store", "significan
 
 def test_plan_shapes(spark):
     bad = []
-    for name, fn in entry.queries().items():
+    for name, fn in registered.queries().items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         if re.search(r"BroadcastNestedLoopJoin|CartesianProduct", plan):
             bad.append((name, "nested-loop/cartesian join"))
