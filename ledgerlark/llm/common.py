@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
@@ -47,6 +49,18 @@ def slices(values: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[bytes]]:
         yield out
 
 
+def row_ranges(values: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges of a string or binary array of about ``limit``
+    bytes each, at least one row."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(values):
+        base = size[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(size, base + limit, side="right")))
+        yield start, end
+        start = end
+
+
 class RecentCache(dict):
     """A dict that keeps the entries used of late: a second, older generation
     is dropped whole once the young one has ``limit`` entries. Memory is thus

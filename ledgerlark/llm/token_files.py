@@ -30,34 +30,45 @@ Defined results
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut_lineage, stage_root
-from .common import RecentCache, ids_and_text, slices
+from .bpe import byte_letters
+from .common import RecentCache, ids_and_text, row_ranges
 
-LIMIT = 20
+LIMIT = 17
 STEP = 256
-BLOCK_TOKENS = 1 << 17
+BLOCK_TOKENS = 1 << 19
+CHUNK = 1 << 15
 END_ID = 1
 CACHED_WORDS = 250_000
-MARK = b"\x01"
-JOINED = 4_000
+#: Words that lower-casing, NFC and the letter pattern leave as one piece.
+PLAIN = "^[a-zß-öø-ÿ]+$"
+PARTED = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~])"
+#: Byte-level letters of Latin-1 bytes, by code point.
+LETTERS = {b: c for c, b in byte_letters().items()}
 
 
 # -- encoding ---------------------------------------------------------------
 
 class WordIds:
     """Ids of words by the tokenizers library, for tokenizers that drop white
-    space: a text's ids are those of its words in order. Words not met lately
-    are encoded many at a time, set apart by a mark with an id of its own."""
+    space: a text's ids are those of its words in order.
+
+    Texts are cut into words and their distinct words found in Arrow, a few
+    megabytes at a time; only distinct words not met lately go through the
+    library. Words that its normalizer and pattern leave as they are (small
+    Latin letters) are handed straight to its BPE model."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -65,43 +76,58 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.seen = RecentCache(CACHED_WORDS)
-        mark = self._ids(MARK.decode())
-        self.mark = mark[0] if len(mark) == 1 else None
+        # checked on the tokenizer at hand, not taken for granted
+        self.plain = all(self._ids(w) == self._model(w) for w in ("word", "naïveté", "größe", "x", "abcdefghij"))
+        self.spelling = all(self._ids(a) == self._ids(b) for a, b in (
+            ("The Word", "the word"), ("ab. cd, ef.", "ab . cd , ef ."), ("ab.cd,ef", "ab .cd ,ef"),
+            ("a... b,. c&&&", "a ... b ,. c &&&"), ("é%%% a-b@c", "é %%% a -b @c")))
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def learn(self, words: list[bytes]) -> None:
-        marked = [w for w in words if self.mark is not None and MARK not in w]
-        for at in range(0, len(marked), JOINED):
-            part = marked[at:at + JOINED]
-            ids = np.array(self._ids((b" " + MARK + b" ").join(part).decode()), np.uint32)
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            if len(ends) != len(part):  # the mark's id is not its alone
-                self._one_by_one(part)
-                continue
-            start = 0
-            for w, end in zip(part, ends.tolist()):
-                self.seen[w] = ids[start:end].tobytes()
-                start = end + 1
-        self._one_by_one([w for w in words if self.mark is None or MARK in w])
-
-    def _one_by_one(self, words: list[bytes]) -> None:
-        for w in words:
-            self.seen[w] = np.array(self._ids(w.decode()), np.uint32).tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """32-bit ids of each text."""
-        cut = [t.split() for t in texts]  # bytes: ASCII white space
-        got = [list(map(self.seen.__getitem__, words)) for words in cut]
-        new = {w for words, g in zip(cut, got) if None in g for w, ids in zip(words, g) if ids is None}
+    def _model(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(LETTERS))]
+
+    def learn(self, words: list[str]) -> None:
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), PLAIN).to_pylist()
+        tokenize, seen = self.model.tokenize, self.seen
+        for word, easy in zip(words, plain):
+            if easy and self.plain:
+                got = [t.id for t in tokenize(word)] if word.isascii() else self._model(word)
+            else:
+                got = self._ids(word)
+            seen[word] = array("I", got).tobytes()
+
+    def words(self, texts: pa.Array) -> pa.ListArray:
+        """The words of each text, in the spelling they are looked up by: the
+        tokenizer's own normalizer lower-cases, and its pattern parts punctuation
+        (but for the apostrophe) from the letter before it, so words that differ
+        in these are one. Texts that may hold a special token, whose case counts, stay as they are."""
+        if self.spelling:
+            spelled = pc.replace_substring_regex(pc.ascii_lower(texts), PARTED, r"\1 \2")
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, spelled)
+        return pc.ascii_split_whitespace(texts)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (a few megabytes, no nulls), and where each
+        text's end."""
+        words = self.words(texts)
+        ends = words.offsets.to_numpy()
+        found = words.flatten().dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        got = list(map(self.seen.__getitem__, distinct))
+        new = [w for w, ids in zip(distinct, got) if ids is None]
         if new:
-            self.learn(list(new))
-            got = [[self.seen[w] if ids is None else ids for w, ids in zip(words, g)] if None in g else g
-                   for words, g in zip(cut, got)]
+            self.learn(new)
+            got = [self.seen[w] if ids is None else ids for w, ids in zip(distinct, got)]
         self.seen.trim()
-        return list(map(b"".join, got))
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32),
+                                         np.frombuffer(b"".join(got), np.uint32))
+        ids = lists.take(found.indices)
+        return ids.values.to_numpy(), ids.offsets.to_numpy()[ends[1:] - ends[0]].astype(np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -112,25 +138,36 @@ def word_ids(path: str) -> WordIds:
 IDS_SCHEMA = "part long, start long, doc_id long, n_tokens long, ids binary"
 
 
+def _binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary array of the ids up to each end."""
+    at = np.concatenate([[0], 4 * ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(ids.tobytes())])
+
+
+def _flat(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary array, and where each row's begin and the last end."""
+    _, at, data = ids.buffers()
+    at = np.frombuffer(at, np.int32)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data and len(ids) else np.zeros(0, np.uint8)
+    return raw.view("<u4") if raw.flags.aligned else np.frombuffer(raw.tobytes(), "<u4"), (at - at[0]) // 4
+
+
 def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(part, start, doc_id, n_tokens, ids): 32-bit ids with the end id,
     ascending by doc_id within and across parts; written once."""
-    end = np.array([END_ID], np.uint32).tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
         words = word_ids(path)
         for batch in batches:
-            at = 0
-            for texts in slices(batch["text"].cast(pa.binary())):
-                ids = [x + end for x in words.encode(texts)]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                starts = start + np.cumsum(n) - n
-                start += int(n.sum())
+            for a, b in row_ranges(batch["text"], 8 << 20):
+                ids, ends = words.encode(batch["text"].slice(a, b - a))
+                ids = np.insert(ids, ends, END_ID).astype("<u4")   # after each text
+                ends = ends + np.arange(1, len(ends) + 1)
+                n = np.diff(ends, prepend=0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), part)), pa.array(starts), batch["doc_id"].slice(at, len(n)),
-                     pa.array(n), pa.array(ids, pa.binary())], ["part", "start", "doc_id", "n_tokens", "ids"])
-                at += len(n)
+                    [pa.array(np.full(len(n), part)), pa.array(start + ends - n), batch["doc_id"].slice(a, b - a),
+                     pa.array(n), _binary(ids, ends)], ["part", "start", "doc_id", "n_tokens", "ids"])
+                start += int(ends[-1])
 
     base = ids_and_text(docs, doc_id, text)
     placed = (base.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash")
@@ -143,10 +180,9 @@ def counts(ids: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch["ids"]):
-                got = np.bincount(np.frombuffer(b"".join(part), np.uint32))
-                total = np.pad(total, (0, max(0, len(got) - len(total))))
-                total[:len(got)] += got
+            got = np.bincount(_flat(batch["ids"])[0])
+            total = np.pad(total, (0, max(0, len(got) - len(total))))
+            total[:len(got)] += got
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
@@ -201,37 +237,46 @@ class Code:
         codes = canonical_codes(ids, bits)
         self.code, self.bits = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.code[ids], self.bits[ids] = codes, bits
-        self.symbol = np.zeros(1 << self.longest, np.uint32)
-        self.length = np.ones(1 << self.longest, np.int64)
+        # by the next bits: the id and, in the low byte, its length
+        self.table = np.ones(1 << self.longest, np.int64)
         for i, b, c in zip(ids.tolist(), bits.tolist(), codes.tolist()):
             low = c << (self.longest - b)
-            self.symbol[low:low + (1 << (self.longest - b))] = i
-            self.length[low:low + (1 << (self.longest - b))] = b
+            self.table[low:low + (1 << (self.longest - b))] = i << 8 | b
 
     def pack(self, ids: np.ndarray) -> tuple[bytes, bytes]:
-        """The coded ids and their checkpoints."""
-        bits = self.bits[ids]
-        at = np.cumsum(bits) - bits
-        word, shift = at >> 5, at & 31
-        value = self.code[ids] << (64 - bits - shift).astype(np.uint64)
-        n = int(word[-1]) + 2 if len(ids) else 0
-        # bits of different ids never overlap, so sums are exact
-        total = (np.bincount(word, (value >> np.uint64(32)).astype(np.float64), n)
-                 + np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), n))
-        return total.astype(np.uint32).astype(">u4").tobytes(), at[::STEP].astype("<u8").tobytes()
+        """The coded ids and their checkpoints, worked out in pieces that stay
+        in the processor's cache."""
+        if not len(ids):
+            return b"", b""
+        total = np.zeros(len(ids) * self.longest // 32 + 2, np.uint64)
+        marks, end = [], 0
+        for start in range(0, len(ids), CHUNK):
+            part = ids[start:start + CHUNK]
+            bits = self.bits[part]
+            at = end + np.cumsum(bits) - bits
+            end = int(at[-1] + bits[-1])
+            marks.append(at[-start % STEP::STEP])
+            word, shift = at >> 5, at & 31
+            value = self.code[part] << (64 - bits - shift).astype(np.uint64)
+            # bits of different ids never overlap: or is sum
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            total[word[first]] |= np.bitwise_or.reduceat(value >> np.uint64(32), first)
+            total[word[first] + 1] |= np.bitwise_or.reduceat(value & np.uint64(0xFFFFFFFF), first)
+        return total[:(end + 31) // 32].astype(">u4").tobytes(), np.concatenate(marks).astype("<u8").tobytes()
 
     def unpack(self, data: bytes, checkpoints: bytes, n: int) -> np.ndarray:
         """All runs of a block side by side, one id of each at a time."""
         raw = np.frombuffer(data + bytes(STEP * self.longest // 8 + 8), np.uint8).astype(np.uint32)
         window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
         at = np.frombuffer(checkpoints, "<u8").astype(np.int64)
-        out = np.empty((len(at), STEP), np.uint32)
-        keep = np.uint32((1 << self.longest) - 1)
+        out = np.empty((STEP, len(at)), np.int64)
+        drop = 32 - self.longest
+        keep = (1 << self.longest) - 1
         for k in range(STEP):
-            place = (window[at >> 3] >> (32 - self.longest - (at & 7)).astype(np.uint32)) & keep
-            out[:, k] = self.symbol[place]
-            at = at + self.length[place]
-        return out.ravel()[:n]
+            got = self.table[(window[at >> 3] >> (drop - (at & 7))) & keep]
+            out[k] = got
+            at = at + (got & 255)
+        return (out.T.ravel()[:n] >> 8).astype(np.uint32)
 
 
 @lru_cache(maxsize=2)
