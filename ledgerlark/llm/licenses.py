@@ -34,7 +34,8 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"), ("whilst", "while"), ("merchantibility", "merchantability"),
     ("https", "http"),
 )
-_PUNCTUATION = ("[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F «»‐-―‘-‟•　]+")
+_PUNCTUATION = ("[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F\\x{00A0}\\x{00AB}\\x{00BB}\\x{2010}-\\x{2015}"
+                "\\x{2018}-\\x{201F}\\x{2022}\\x{3000}]+")
 _COPYRIGHT = "\n[ \t\r>*#/;.-]*(?:copyright[ \t]*(?:\\(c\\)|©|[0-9]|by |holder:|owner:)|\\(c\\)[ \t]|©|all rights reserved)[^\n]*"
 
 _NO_WARRANTY = (
