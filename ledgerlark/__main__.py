@@ -2,6 +2,8 @@
 
   run     --input DIR --out DIR     build every stage table from the shared
                                     tables in DIR (adapters) into DIR/out
+  run     --feed PATH --products FILE --new-products FILE --stores FILE
+          [--pulls PATH] --out DIR  the same from real files
   ingest  --landing DIR --raw DIR   load new daily CSV files from a landing
                                     folder into the raw table (file stream,
                                     availableNow, date-level idempotence)
@@ -20,7 +22,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None)
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run")
-    r.add_argument("--input", required=True)
+    r.add_argument("--input")
+    for name in ("--feed", "--products", "--new-products", "--stores", "--pulls"):
+        r.add_argument(name)
     r.add_argument("--out", required=True)
     i = sub.add_parser("ingest")
     i.add_argument("--landing", required=True)
@@ -32,7 +36,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark(args.master)
     if args.cmd == "run":
         from ledgerlark.plans.pipeline import FeedPipeline
-        paths = FeedPipeline(spark, args.input, materialize=False).run(args.out)
+        if args.feed:
+            if not (args.products and args.new_products and args.stores):
+                ap.error("--feed needs --products, --new-products and --stores")
+            p = FeedPipeline.from_files(spark, args.feed, args.products, args.new_products, args.stores, args.pulls,
+                                        materialize=False)
+        elif args.input:
+            p = FeedPipeline(spark, args.input, materialize=False)
+        else:
+            ap.error("run needs --input or --feed")
+        paths = p.run(args.out)
         print(json.dumps(paths))
     else:
         from ledgerlark.streaming.incremental import start

@@ -14,8 +14,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import cleaning, crosswalk, daily, kpi, quality, stats
+from ledgerlark import schemas
+from ledgerlark.operators import cleaning, crosswalk, daily, kpi, monitor, quality, stats
 from ledgerlark.plans import adapters
+from ledgerlark.sources import feed_csv, reference, weather_json
 
 
 class FeedPipeline:
@@ -25,10 +27,28 @@ class FeedPipeline:
     and the per-file quality facts -- once as parquet tables under the shared ``spark.checkpoint.dir``
     and reads them back: the stage tables of the batch pipeline."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, materialize: bool = True,
+                 inputs: dict[str, DataFrame | None] | None = None):
+        """``inputs``: frames (raw, headers, products, new_products, stores,
+        weather or pulls) in place of those derived from ``sf_dir``."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
+        self.inputs = inputs or {}
+
+    @classmethod
+    def from_files(cls, spark: SparkSession, feed: str, products: str, new_products: str, stores: str,
+                   pulls: str | None = None, ingested_at: str | None = None, materialize: bool = True) -> FeedPipeline:
+        """Over real files: daily feed CSVs, the catalog and store CSVs, and the
+        cached weather pulls. The weather used is the pull whose range is that
+        of the clean orders."""
+        return cls(spark, materialize=materialize, inputs={
+            "raw": feed_csv.read_orders(spark, feed, ingested_at),
+            "headers": feed_csv.file_headers(spark, feed),
+            "products": reference.read_catalog(spark, products),
+            "new_products": reference.read_catalog(spark, new_products),
+            "stores": reference.read_text_csv(spark, stores),
+            "pulls": weather_json.read_pulls(spark, pulls) if pulls else None})
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
@@ -40,27 +60,44 @@ class FeedPipeline:
     @cached_property
     def raw(self) -> DataFrame:
         # the raw feed plays the role of the stored raw_orders table
+        if "raw" in self.inputs:
+            return self._cut(self.inputs["raw"], "raw")
         return self._cut(adapters.feed(self.spark, self.sf_dir), "raw")
 
     @cached_property
     def headers(self) -> DataFrame:
+        if "headers" in self.inputs:
+            return self.inputs["headers"]
         return adapters.feed_headers(self.raw)
 
     @cached_property
     def products(self) -> DataFrame:
+        if "products" in self.inputs:
+            return self.inputs["products"]
         return adapters.products(self.spark, self.sf_dir)
 
     @cached_property
     def new_products(self) -> DataFrame:
+        if "new_products" in self.inputs:
+            return self.inputs["new_products"]
         return adapters.new_products(self.spark, self.sf_dir)
 
     @cached_property
     def stores(self) -> DataFrame:
+        if "stores" in self.inputs:
+            return self.inputs["stores"]
         return adapters.stores(self.spark, self.sf_dir)
 
     @cached_property
-    def weather(self) -> DataFrame:
+    def weather(self) -> DataFrame | None:
         # the weather_daily table
+        if "weather" in self.inputs:
+            return self.inputs["weather"]
+        if "pulls" in self.inputs:
+            pulls = self.inputs["pulls"]
+            return None if pulls is None else self._cut(
+                weather_json.select_snapshot(pulls, self.clean).select(*[f.name for f in schemas.WEATHER_DAILY]),
+                "weather_daily")
         return self._cut(adapters.weather_daily(self.spark, self.sf_dir), "weather_daily")
 
     @cached_property
@@ -130,6 +167,10 @@ class FeedPipeline:
         # checked on arrival: the run date is the file's own date
         return quality.dq_report(self.file_stats, run_date=F.col("expected"))
 
+    @cached_property
+    def ingestion_log(self) -> DataFrame:
+        return monitor.ingestion_log_new(self.file_status, monitor.content_digest(self.raw, quality.DATA_COLUMNS))
+
     # ---- materialisation ------------------------------------------------
     def run(self, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
         """Write every stage table under ``out_dir`` (a shared folder on a
@@ -149,12 +190,20 @@ class FeedPipeline:
             # date-range slices (board filters, windows) prune month folders
             return df.withColumn("order_month", F.substring("order_date", 1, 7))
 
+        self.raw = put("raw_orders", self.raw)
+        for name in ("stores", "products", "new_products"):
+            if getattr(self, name) is not None:
+                setattr(self, name, put(name, getattr(self, name)))
+        put("ingestion_log", self.ingestion_log)
+        put("data_quality_log", self.dq_report)
+        self.scored = put("scored_pairs", self.scored)
         self.crosswalk = put("product_crosswalk", self.crosswalk)
         self.tagged = put("tagged_orders", self.tagged.drop("raw_id"))
         put("clean_orders", by_month(self.clean), ["order_month"])
         put("rejected_rows", self.rejected)
         self.clean = self.spark.read.format(fmt).load(paths["clean_orders"]).drop("order_month")
+        if self.weather is not None:
+            self.weather = put("weather_daily", self.weather)
         put("daily_sales", by_month(self.daily), ["order_month"])
         self.daily = self.spark.read.format(fmt).load(paths["daily_sales"]).drop("order_month")
-        put("data_quality_log", self.dq_report)
         return paths
