@@ -58,8 +58,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    return bpe.digests(bpe.encode(docs, path), path)
+    return bpe.digests(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

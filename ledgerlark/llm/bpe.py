@@ -30,16 +30,17 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from dataclasses import dataclass, field
-from functools import lru_cache
+from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RecentCache, ids_and_text, slices
+from .common import RecentCache, held, ids_and_text, release, row_ranges
 
 #: Unicode White_Space, fixed by the standard.
 WS = "\t-\r \x85\xa0  -     　"
@@ -47,8 +48,17 @@ WS = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
 #: The byte-level word pattern of the vocabulary (fixed by its format).
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-CACHED_CHUNKS = 250_000
-CACHED_PAIRS = 1_000_000
+CACHED_CHUNKS = 120_000
+CACHED_PAIRS = 300_000
+CACHED_STEPS = 250_000
+#: What the quick cut at single spaces and line ends would get wrong: other
+#: white space, its mark, and longer runs.
+ODD = (r"[\t\x0b\x0c\r\x00\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+       r"|[ \n][ \n][ \n]|[ \n][ \n]\z")
+#: No word of the pattern goes on from a letter into punctuation.
+WORD_END = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-/:-@\[-`{-~])"
+#: Pieces that are one word.
+ONE_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 NEVER = 1 << 60
 
 
@@ -60,63 +70,58 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@dataclass
 class Vocabulary:
     """Byte-level merges with the tables the trie walk needs."""
 
-    tokens: list[bytes]                       # by id
-    ids: dict[bytes, int]                     # tokens that merging can end in
-    rank: dict[tuple[int, int], int]          # merge rank of a pair of ids
-    left: list[list[tuple[int, int]]]         # by id: (piece, rank it is merged at), first byte upwards
-    right: list[list[tuple[int, int]]]
-    special: dict[str, int]
-    pairs: dict[int, bool] = field(default_factory=dict)
-    suffixes: Suffixes | None = None
-
-    @classmethod
-    def read(cls, path: str) -> Vocabulary:
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
         byte = byte_letters()
-        special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        model = data["model"]
-        tokens = [b""] * (1 + max([*model["vocab"].values(), *special.values()]))
-        by_name = model["vocab"]
-        for name, i in by_name.items():
-            if name not in special:
-                tokens[i] = bytes(byte[c] for c in name)
-        for name, i in special.items():
-            tokens[i] = name.encode()
-        n = len(tokens)
-        v = cls(tokens, {}, {}, [[] for _ in range(n)], [[] for _ in range(n)], special)
+        by_name = data["model"]["vocab"]
+        self.special: dict[str, int] = {t["content"]: t["id"] for t in data["added_tokens"]}
+        self.tokens = [b""] * (1 + max([*by_name.values(), *self.special.values()]))
         for name, i in by_name.items():
-            if len(name) == 1:
-                v.left[i] = v.right[i] = [(i, NEVER)]
-                v.ids[tokens[i]] = i
-        for r, merge in enumerate(model["merges"]):
+            if name not in self.special:
+                self.tokens[i] = bytes(byte[c] for c in name)
+        for name, i in self.special.items():
+            self.tokens[i] = name.encode()
+        self.ids: dict[bytes, int] = {self.tokens[i]: i for n, i in by_name.items() if len(n) == 1}
+        self.rank: dict[int, int] = {}                   # merge rank of a pair of ids
+        self.made: dict[int, tuple[int, int, int]] = {}  # by id: the pair it is merged from, and when
+        self.pairs: dict[int, bool] = {}
+        for r, merge in enumerate(data["model"]["merges"]):
             x, y = merge if isinstance(merge, list) else merge.split(" ")
             a, b, c = by_name[x], by_name[y], by_name[x + y]
-            v.rank[a, b] = r
-            if v.left[a] and v.left[b] and not v.left[c] and v.stands(a, b, r):
-                v.left[c] = [*v.left[a][:-1], (a, r), (c, NEVER)]
-                v.right[c] = [*v.right[b][:-1], (b, r), (c, NEVER)]
-                v.ids[tokens[c]] = c
-        v.suffixes = Suffixes(v.ids)
-        return v
+            self.rank[a << 20 | b] = r
+            # an entry that merging its own bytes doesn't end in is never met
+            if self.tokens[a] in self.ids and self.tokens[b] in self.ids and c not in self.made and self.stands(a, b, r):
+                self.made[c] = (a, b, r)
+                self.ids[self.tokens[c]] = c
+        self.suffixes = Suffixes(self.ids)
+
+    def edge(self, t: int, side: int) -> list[tuple[int, int]]:
+        """The pieces at a token's first (0) or last (1) byte, from the byte
+        up, each with the rank at which it is merged into the next."""
+        out, ends = [], NEVER
+        while True:
+            out.append((t, ends))
+            if t not in self.made:
+                return out[::-1]
+            pair = self.made[t]
+            t, ends = pair[side], pair[2]
 
     def stands(self, a: int, b: int, until: int = NEVER) -> bool:
         """Whether no merge before rank ``until`` crosses from a to b."""
-        right, left, rank = self.right[a], self.left[b], self.rank
+        right, left, rank = self.edge(a, 1), self.edge(b, 0), self.rank
         i = j = 0
         while True:
             (x, x_ends), (y, y_ends) = right[i], left[j]
-            x_ends, y_ends = min(x_ends, until), min(y_ends, until)
-            r = rank.get((x, y), NEVER)
-            # equal pairs merge from the left: x's own merge stands before
-            # this one, y's after it
-            if r < x_ends and (r <= y_ends if y_ends < until else r < until):
+            r = rank.get(x << 20 | y, NEVER)
+            # equal pairs merge from the left: x's own merge comes before this
+            # one, y's after it
+            if r < until and r < x_ends and r <= y_ends:
                 return False
-            if x_ends >= until and y_ends >= until:
+            if min(x_ends, y_ends) >= until:
                 return True
             if x_ends <= y_ends:
                 i += 1
@@ -124,7 +129,7 @@ class Vocabulary:
                 j += 1
 
     def pair(self, a: int, b: int) -> bool:
-        """``stands``, remembered; a is below 2 ** 20."""
+        """``stands``, remembered; ids are below 2 ** 20."""
         if len(self.pairs) >= CACHED_PAIRS:
             self.pairs.clear()
         got = self.pairs[a << 20 | b] = self.stands(a, b)
@@ -168,6 +173,9 @@ class Suffixes:
     def next(self, state: int, byte: int) -> int:
         got = self.step.get(state << 8 | byte)
         if got is None:
+            if len(self.step) >= CACHED_STEPS:
+                self.step.clear()
+                self.step.update(self.child)
             got = self.step[state << 8 | byte] = self._shorter(state, byte)
         return got
 
@@ -179,7 +187,7 @@ def encode_words(words: list[bytes], v: Vocabulary) -> list[list[int]]:
     common with the one before is the path down to where it branches off, and
     the states on that path stay as they are."""
     out: list[list[int]] = []
-    suffixes, pair, known = v.suffixes, v.pair, v.pairs
+    suffixes, pair, known = v.suffixes, v.pair, v.pairs  # cleared, never replaced
     step, ends = suffixes.step, suffixes.ends
     last: list[int] = [0]          # last token of the prefix of each length,
     size: list[int] = [0]          # its length,
@@ -219,86 +227,97 @@ class Encoder:
     """One a Python worker; remembers the ids of pieces met lately."""
 
     def __init__(self, path: str):
-        self.v = Vocabulary.read(path)
+        self.v = Vocabulary(path)
         self.seen = RecentCache(CACHED_CHUNKS)
-        self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(
-            self.v.special, key=len, reverse=True))) + ")") if self.v.special else None
-
-    def learn(self, chunks: set[str]) -> None:
-        """One trie for all these pieces."""
-        parts = {c: [w.encode() for w in WORDS.findall(c)] for c in chunks}
-        words = sorted({w for p in parts.values() for w in p})
+        special = "|".join(map(regex.escape, sorted(self.v.special, key=len, reverse=True)))
+        self.split = regex.compile(f"({special})") if special else None
+        self.odd = "|".join([ODD, *(re.sub(r"\W", lambda m: f"\\x{{{ord(m[0]):x}}}", t) for t in self.v.special)])
+        self.table = pa.array([*self.v.tokens, b""], pa.binary())
+
+    def learn(self, pieces: list[str]) -> None:
+        """One trie for all the words of these pieces."""
+        parts = [[c.encode()] if ONE_WORD(c) else [w.encode() for w in WORDS.findall(c)] for c in pieces]
+        words = sorted({w for p in parts for w in p})
         ids = {w: array("i", x).tobytes() for w, x in zip(words, encode_words(words, self.v))}
-        for c, p in parts.items():
-            self.seen[c] = b"".join([ids[w] for w in p])
-
-    def pieces(self, text: str) -> list[str | int]:
-        """The pieces of a text, special tokens as their ids."""
-        if not (self.split and self.split.search(text)):
-            return CHUNK.findall(text)
-        out: list[str | int] = []
-        for i, part in enumerate(self.split.split(text)):
-            out += [self.v.special[part]] if i % 2 else CHUNK.findall(part)
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """32-bit ids of each text, in the machine's byte order."""
-        look = self.seen.__getitem__
-        cut = [self.pieces(t) for t in texts]
-        got = [list(map(look, c)) for c in cut]
-        new: set[str] = set()
-        for c, g in zip(cut, got):
-            if None in g:
-                new.update(x for x, y in zip(c, g) if y is None and isinstance(x, str))
+        for c, p in zip(pieces, parts):
+            self.seen[c] = ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p])
+
+    def pieces(self, text: str) -> list[str]:
+        return [c for i, part in enumerate(self.split.split(text) if self.split else [text])
+                for c in ([part] if i % 2 else CHUNK.findall(part))]
+
+    def lists(self, pieces: pa.Array) -> pa.ListArray:
+        """Ids of each piece."""
+        found = pieces.dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        got = list(map(self.seen.__getitem__, distinct))
+        new = [c for c, ids in zip(distinct, got) if ids is None]
         if new:
-            self.learn(new)
-            for k, (c, g) in enumerate(zip(cut, got)):
-                if None in g:
-                    got[k] = [(array("i", [x]).tobytes() if isinstance(x, int) else look(x)) if y is None else y
-                              for x, y in zip(c, g)]
-        for k, g in enumerate(got):
-            if None in g:  # special tokens only
-                got[k] = [array("i", [x]).tobytes() if y is None else y for x, y in zip(cut[k], g)]
-        out = list(map(b"".join, got))
+            for c in new:
+                if c in self.v.special:
+                    self.seen[c] = array("i", [self.v.special[c]]).tobytes()
+            self.learn([c for c in new if c not in self.v.special])
+            got = [self.seen[c] if ids is None else ids for c, ids in zip(distinct, got)]
         self.seen.trim()
-        return out
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32),
+                                        np.frombuffer(b"".join(got), np.int32)).take(found.indices)
+
+    def rows(self, pieces: pa.ListArray) -> pa.ListArray:
+        """Ids of each text from its pieces."""
+        ids = self.lists(pieces.flatten())
+        ends = pieces.offsets.to_numpy()
+        return pa.ListArray.from_arrays(ids.offsets.to_numpy()[ends - ends[0]], ids.values)
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of some texts (a few megabytes, no nulls). Texts whose white
+        space is single spaces and line ends are cut in Arrow."""
+        odd = pc.match_substring_regex(texts, self.odd)
+        plain = texts.filter(pc.invert(odd))
+        cut = pc.replace_substring(pc.replace_substring(plain, "\n", "\0\n\0"), " ", "\0 ")
+        cut = pc.replace_substring_regex(cut, WORD_END, "\\1\0\\2")
+        done = self.rows(pc.split_pattern(cut, "\0"))
+        if len(plain) == len(texts):
+            return done
+        rest = self.rows(pa.array([self.pieces(t) for t in texts.filter(odd).to_pylist()], pa.list_(pa.string())))
+        odd = odd.to_numpy(zero_copy_only=False)
+        place = np.where(odd, len(plain) + np.cumsum(odd), np.cumsum(~odd)) - 1
+        return pa.concat_arrays([done, rest]).take(pa.array(place))
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids."""
+        flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(
+            pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+        none = len(self.table) - 1
+        parts = self.table.take(pa.array(np.where((flat >= 0) & (flat < none), flat, none)))
+        _, at, data = parts.buffers()
+        at = np.frombuffer(at, np.int32)[:len(parts) + 1][ends]
+        out = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at.tobytes()), data or pa.py_buffer(b"")])
+        try:
+            return out.cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that are no UTF-8: as the library's decoder
+            return pa.array([b.decode("utf-8", "replace") for b in out.to_pylist()], pa.string())
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return held(("bpe", path), lambda: Encoder(path))
 
 
 def encode_column(text: Column, path: str) -> Column:
-    """Ids of a string column as array<int>."""
+    """Ids of a string column without nulls as array<int>."""
     def run(values: pa.Array) -> pa.Array:
         enc = encoder(path)
-        flat, ends = [], [0]
-        for part in slices(values.cast(pa.binary())):
-            for ids in enc.encode([b.decode() for b in part]):
-                flat.append(ids)
-                ends.append(ends[-1] + len(ids) // 4)
-        ids = np.frombuffer(b"".join(flat), np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+        parts = [enc.encode(values.slice(a, b - a)) for a, b in row_ranges(values)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     run.__annotations__ = {"values": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "array<int>").asNondeterministic()(text)
 
 
 def decode_column(ids: Column, path: str) -> Column:
-    """The text of an array<int> column; bytes that are no UTF-8 become
-    U+FFFD as the library's decoder does."""
+    """The text of an array<int> column; null decodes to nothing."""
     def run(values: pa.Array) -> pa.Array:
-        tokens = encoder(path).v.tokens
-        out = []
-        flat = values.values.to_numpy(zero_copy_only=False)
-        n = len(tokens)
-        for i, (a, b) in enumerate(zip(values.offsets[:-1].to_numpy(), values.offsets[1:].to_numpy())):
-            if not values[i].is_valid:
-                out.append("")
-                continue
-            out.append(b"".join([tokens[t] for t in flat[a:b].tolist() if 0 <= t < n]).decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
+        return encoder(path).decode(values)
 
     run.__annotations__ = {"values": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "string").asNondeterministic()(ids)
@@ -306,8 +325,14 @@ def decode_column(ids: Column, path: str) -> Column:
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids), one row per input row."""
-    base = ids_and_text(docs, doc_id, text)
-    return base.select("doc_id", encode_column(F.col("text"), path).alias("ids"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for batch in batches:
+            for a, b in row_ranges(batch["text"]):
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(a, b - a), enc.encode(batch["text"].slice(a, b - a))],
+                                                 ["doc_id", "ids"])
+
+    return ids_and_text(docs, doc_id, text).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -315,9 +340,26 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return encoded.withColumn("decoded", decode_column(F.col(ids), path))
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids)."""
-    return decode(encoded, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): texts are encoded, the
+    ids decoded, and both digested (the ids decimal, joined by commas) slice by
+    slice in one pass, so no ids of a whole table travel between processes."""
+    def sha(values: pa.Array) -> pa.Array:
+        _, at, data = values.cast(pa.large_binary()).buffers()
+        at, data = np.frombuffer(at, np.int64)[values.offset:].tolist(), memoryview(data or b"")
+        return pa.array([sha256(data[at[i]:at[i + 1]]).hexdigest() for i in range(len(values))], pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for batch in batches:
+            for a, b in row_ranges(batch["text"]):
+                ids = enc.encode(batch["text"].slice(a, b - a))
+                decimal = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(a, b - a), pc.list_value_length(ids).cast(pa.int64()),
+                     sha(pc.binary_join(decimal, ",")), sha(enc.decode(ids))],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            release()
+
+    return ids_and_text(docs, doc_id, text).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,25 @@ def row_ranges(values: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
         start = end
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """What a Python worker keeps between tasks: one thing at a time, so a
+    worker that serves one operator after another holds no more than the
+    largest of their tables."""
+    if key not in _HELD:
+        _HELD.clear()
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Give memory that Arrow no longer uses back to the machine."""
+    pa.default_memory_pool().release_unused()
+
+
 class RecentCache(dict):
     """A dict that keeps the entries used of late: a second, older generation
     is dropped whole once the young one has ``limit`` entries. Memory is thus

@@ -55,8 +55,7 @@ def op5_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids and the texts they decode to."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
