@@ -19,6 +19,7 @@ Defined results
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,7 +127,9 @@ def units(df: DataFrame, text: Column, *keep: str) -> DataFrame:
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """(license_id, digest) of whole licence texts and notices."""
-    texts = spark.createDataFrame(list(known), "license_id string, body string")
+    ids, bodies = zip(*known) if known else ((), ())
+    # a local relation: its size is known to the planner
+    texts = spark.createDataFrame(pa.table({"license_id": pa.array(ids, pa.string()), "body": pa.array(bodies, pa.string())}))
     return units(texts, F.col("body"), "license_id").where("scope = 'text'").select("license_id", "digest").distinct()
 
 
