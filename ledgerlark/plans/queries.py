@@ -390,18 +390,16 @@ def q_effective(p: FeedPipeline) -> DataFrame:
 _PIPELINES: dict = {}
 
 
-def _fingerprint(sf_dir: str) -> tuple:
-    """Identity of the input folder's tables (name, size, mtime) so stage
-    tables are rebuilt when the inputs change."""
-    import os
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of the input folder's tables (bytes, files and time of the last
+    change, as any Hadoop file system tells them), so stage tables are rebuilt
+    when the inputs change."""
     out = []
     for name in ("lineitem", "orders", "part", "supplier"):
-        path = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(path)
-            out.append((name, st.st_size, st.st_mtime_ns))
-        except OSError:            # non-local storage: fall back to the path
-            out.append((name, path))
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        size = fs.getContentSummary(path)
+        out.append((name, size.getLength(), size.getFileCount(), fs.getFileStatus(path).getModificationTime()))
     return tuple(out)
 
 
@@ -409,7 +407,7 @@ def pipeline_for(spark: SparkSession, sf_dir: str) -> FeedPipeline:
     """One pipeline per (session, input folder): its materialised stage tables
     (raw feed, scored crosswalk pairs, typed lines) are built on first use and
     shared by every query, like the stage tables of the batch pipeline."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, _fingerprint(sf_dir))
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
     p = _PIPELINES.get(key)
     if p is None:
         p = _PIPELINES[key] = FeedPipeline(spark, sf_dir)
