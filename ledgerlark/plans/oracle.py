@@ -496,6 +496,8 @@ FROM clean_orders GROUP BY sales_channel, loyalty_member""")
 # E
 q("normalised_names", ["products"], f"""
 SELECT product_id, {_norm("product_name")} AS norm_name, {_norm("subcategory")} AS norm_subcategory FROM products""")
+q("edit_similarity", ["xpairs"], f"""
+SELECT product_id, new_product_id, {_ratio("a1", "b1")} / 100.0::DOUBLE AS similarity FROM xpairs""")
 q("token_overlap", ["xpairs"], f"""
 SELECT product_id, new_product_id, len(list_intersect({_tokens("a1")}, {_tokens("b1")})) AS overlap,
   round(CAST(len(list_intersect({_tokens("a1")}, {_tokens("b1")})) AS DOUBLE)
@@ -508,6 +510,13 @@ q("crosswalk_exact", ["xtier1"], "SELECT product_id, new_product_id FROM xtier1"
 CW_COLS = "product_id, new_product_id, match_status, match_confidence, match_method, notes, needs_review"
 q("crosswalk", ["crosswalk"], f"SELECT {CW_COLS} FROM crosswalk")
 q("crosswalk_review", ["crosswalk"], f"SELECT {CW_COLS} FROM crosswalk WHERE needs_review = 1")
+q("crosswalk_overrides", ["crosswalk"], """
+SELECT product_id, CASE WHEN o THEN 'N' || product_id ELSE new_product_id END AS new_product_id,
+  CASE WHEN o THEN 'matched' ELSE match_status END AS match_status,
+  CASE WHEN o THEN 'high' ELSE match_confidence END AS match_confidence,
+  CASE WHEN o THEN 'manual' ELSE match_method END AS match_method, notes,
+  CASE WHEN o THEN 0 ELSE needs_review END AS needs_review
+FROM (SELECT *, needs_review = 1 AND CAST(substr(product_id, 2) AS BIGINT) % 3 = 0 AS o FROM crosswalk)""")
 q("crosswalk_validation", ["crosswalk"], """
 SELECT count(*) AS n_rows, count(new_product_id) AS n_mapped,
   count(DISTINCT new_product_id) AS n_distinct_new,
@@ -628,6 +637,8 @@ q("republished", ["ilog"], """
 SELECT c.source_date_expected AS date, p.source_date_expected AS previous_date, c.file_hash
 FROM ilog c JOIN ilog p ON CAST(c.source_date_expected AS DATE) - 1 = CAST(p.source_date_expected AS DATE)
   AND c.file_hash = p.file_hash""")
+q("unchecked_files", ["feed"], """
+SELECT DISTINCT source_file AS file_name FROM feed WHERE substr(source_file, 8, 10) > '1999-12-31'""")
 q("incremental_pending", ["feed"], """
 SELECT min(source_file) AS file_name, substr(source_file, 8, 10) AS file_date, 'load' AS action
 FROM (SELECT DISTINCT source_file FROM feed) WHERE substr(source_file, 8, 10) > '1999-12-31'
@@ -645,7 +656,7 @@ WHERE regexp_extract(c.flags, 'nonnumeric\\([^)]*\\)', 0) <> ''""")
 q("enriched_lines", ["blines"], """
 SELECT order_date, store_id, product_key, product_name, category, sales_channel, quantity,
   round(net_revenue, 4) AS net_revenue, round(gross_revenue, 4) AS gross_revenue, precipitation_sum FROM blines""")
-q("kpi_totals", ["bdaily", "blines"], """
+KPI_TOTALS = """
 SELECT CAST(round(net, 2) AS DOUBLE) AS net_revenue, CAST(round(gross, 2) AS DOUBLE) AS gross_revenue,
   CAST(round(disc, 2) AS DOUBLE) AS discount_given, units_sold, order_lines,
   CAST(round(CASE WHEN gross <> 0 THEN net / gross * 100 ELSE 0 END, 4) AS DOUBLE) AS kept_pct,
@@ -655,7 +666,12 @@ FROM (SELECT coalesce(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))),
         coalesce(sum(CAST(CAST(gross_revenue AS VARCHAR) AS DECIMAL(38,10))), 0) AS gross,
         coalesce(sum(CAST(CAST(discount_given AS VARCHAR) AS DECIMAL(38,10))), 0) AS disc,
         CAST(coalesce(sum(units_sold), 0) AS BIGINT) AS units_sold FROM bdaily),
-     (SELECT count(*) AS order_lines FROM blines)""")
+     (SELECT count(*) AS order_lines FROM blines)"""
+q("kpi_totals", ["bdaily", "blines"], KPI_TOTALS)
+SLICE = ("(SELECT * FROM {} WHERE store_id IN ('S001', 'S003') AND category IN ('footwear', 'patio') "
+         "AND order_date BETWEEN '1996-01-01' AND '1996-12-31')")
+q("kpi_totals_slice", ["bdaily", "blines"], KPI_TOTALS.replace("FROM bdaily", "FROM " + SLICE.format("bdaily"))
+  .replace("FROM blines", "FROM " + SLICE.format("blines")))
 q("daily_series", ["bdaily"], f"""
 SELECT order_date, {_cents("net_revenue")} AS net_revenue, CAST(coalesce(sum(units_sold), 0) AS BIGINT) AS units_sold
 FROM bdaily GROUP BY order_date""")

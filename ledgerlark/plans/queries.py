@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.numeric import to_double, to_long
+from ledgerlark.functions.similarity import similarity
 from ledgerlark.functions.text import normalize_text, overlap_count, token_overlap_similarity
 from ledgerlark.operators import cleaning, crosswalk, daily, kpi, monitor, quality, stats
 from ledgerlark.plans.pipeline import FeedPipeline
@@ -22,6 +23,7 @@ REGISTRY: dict[str, Callable[[FeedPipeline], DataFrame]] = {}
 # Incremental scenario used by the A5/B4 queries: files up to this date are
 # already in the raw table / quality log; everything after is pending.
 LOADED_THROUGH = "1999-12-31"
+SLICE_CATEGORIES = ["footwear", "patio"]     # of the G6 query
 
 
 def query(name: str):
@@ -83,6 +85,26 @@ def q_token_overlap(p: FeedPipeline) -> DataFrame:
                     F.round(token_overlap_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
+@query("edit_similarity")
+def q_edit(p: FeedPipeline) -> DataFrame:
+    """E4 over every blocked tier-2 pair."""
+    l = p.products.select("product_id", normalize_text(F.col("product_name")).alias("a"))
+    n = p.new_products.select("new_product_id", normalize_text(F.col("item_name")).alias("b"))
+    j = p.scored.select("product_id", "new_product_id").join(l, "product_id").join(n, "new_product_id")
+    return j.select("product_id", "new_product_id", similarity(F.col("a"), F.col("b"), "edit_distance").alias("similarity"))
+
+
+@query("crosswalk_overrides")
+def q_overrides(p: FeedPipeline) -> DataFrame:
+    """Reviewers confirm the same-numbered new item for rows left for
+    review whose product number is divisible by 3."""
+    number = F.expr("substring(product_id, 2)")
+    review = (p.crosswalk.where((F.col("needs_review") == 1) & (number.cast("long") % 3 == 0))
+              .select("product_id", F.concat(F.lit("NP"), number).alias("new_product_id")))
+    return crosswalk.apply_overrides(p.crosswalk.select(*crosswalk.CROSSWALK_COLUMNS), review).select(
+        *crosswalk.CROSSWALK_COLUMNS)
+
+
 @query("token_set_similarity")
 def q_token_set(p: FeedPipeline) -> DataFrame:
     s = p.scored
@@ -240,6 +262,13 @@ def q_pending(p: FeedPipeline) -> DataFrame:
     return monitor.pending_files(files, loaded)
 
 
+@query("unchecked_files")
+def q_unchecked(p: FeedPipeline) -> DataFrame:
+    """Files not in the quality log, which ends where loading did."""
+    files = p.raw.select(F.col("source_file").alias("file_name")).distinct()
+    return monitor.unchecked_files(files, p.dq_report.where(F.substring("file_name", 8, 10) <= LOADED_THROUGH))
+
+
 @query("dq_flag_diff")
 def q_dq_flag_diff(p: FeedPipeline) -> DataFrame:
     """The current gate vs a log written before the non-numeric check
@@ -268,6 +297,13 @@ def q_kpi(p: FeedPipeline) -> DataFrame:
     return kpi.kpi_totals(*p.board)
 
 
+@query("kpi_totals_slice")
+def q_kpi_slice(p: FeedPipeline) -> DataFrame:
+    """The totals of two stores, two categories and one year."""
+    return kpi.kpi_totals(*kpi.board_frames(p.daily, p.enriched, ["S001", "S003"], SLICE_CATEGORIES, "1996-01-01",
+                                            "1996-12-31"))
+
+
 @query("daily_series")
 def q_daily_series(p: FeedPipeline) -> DataFrame:
     return kpi.daily_series(p.board[0])

@@ -6,8 +6,9 @@ import re
 from ledgerlark.plans import queries as registered
 
 SF = "/root/testdata/sf0.001"
-# queries whose plans may evaluate an Arrow UDF (p-values on one row per test)
-UDF_OK = {"channel_shift_z", "share_vs_median", "spearman_by_store", "significance_screen"}
+# queries whose plans may evaluate an Arrow UDF (p-values on one row per test;
+# the edit distance of blocked pairs)
+UDF_OK = {"edit_similarity", "channel_shift_z", "share_vs_median", "spearman_by_store", "significance_screen"}
 
 
 def test_plan_shapes(spark):
