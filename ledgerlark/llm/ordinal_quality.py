@@ -31,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ids_and_text, raw_bytes
-from .hashed_text import DIM, frequencies, scores
+from .hashed_text import frequencies, scores
 
 MAX_RATED = 6_000
-STEPS = 80
+QUALITY_DIM = 1 << 12
+STEPS = 150
 RIDGE = 1e-4
 
 
@@ -57,7 +58,7 @@ def rated_features(docs: DataFrame, ratings: DataFrame, grades: int, limit: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [frequencies(t.as_py()) for t in raw_bytes(batch["text"])]
+            rows = [frequencies(t.as_py(), QUALITY_DIM) for t in raw_bytes(batch["text"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["grade"], pa.array([r[0] for r in rows], pa.list_(pa.int32())),
                  pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["doc_id", "grade", "at", "f"])
@@ -70,46 +71,45 @@ def rated_features(docs: DataFrame, ratings: DataFrame, grades: int, limit: int)
 
 
 def fit_ordinal(feats: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, grades: int) -> OrdinalModel:
-    """Maximum likelihood with a ridge, by Adam over the whole sample.
+    """Maximum likelihood with a ridge, by Adam over the whole sample as one
+    dense matrix (MAX_RATED x QUALITY_DIM at most).
 
     Thresholds stay ordered: they are a first one plus positive steps."""
     share = np.array([(y >= k).mean() if len(y) else 0.0 for k in range(1, grades)])
     start = -np.log(np.clip(share, 1e-6, 1 - 1e-6) / (1 - np.clip(share, 1e-6, 1 - 1e-6)))
     start = np.maximum.accumulate(start + 1e-3 * np.arange(grades - 1))
     if len(set(y.tolist())) < 2:
-        return OrdinalModel(np.zeros(DIM, np.float32), start)
-    row = np.repeat(np.arange(len(feats)), [len(a) for a, _ in feats])
-    col = np.concatenate([a for a, _ in feats])
-    val = np.concatenate([f for _, f in feats]).astype(np.float64)
+        return OrdinalModel(np.zeros(QUALITY_DIM, np.float32), start)
+    x = np.zeros((len(feats), QUALITY_DIM), np.float32)
+    for i, (at, f) in enumerate(feats):
+        x[i, at] = f
     # a feature counts by its spread over the sample, so rare marks are heard
-    used, col = np.unique(col, return_inverse=True)
-    scale = 1 / np.sqrt(np.bincount(col, val * val) / len(feats) + 1e-9)
-    val *= scale[col]
-    theta = np.concatenate([np.zeros(len(used)), [start[0]], np.log(np.maximum(np.diff(start), 1e-3))])
+    scale = 1 / np.sqrt(np.einsum("ij,ij->j", x, x) / len(x) + 1e-9)
+    x *= scale
+    norm = np.sqrt(np.einsum("ij,ij->i", x, x)).mean()
+    x /= norm
+    d = QUALITY_DIM
+    theta = np.concatenate([np.zeros(d), [start[0]], np.log(np.maximum(np.diff(start), 1e-3))])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-    d = len(used)
-    norm = np.sqrt(np.bincount(row, val * val, len(feats)) + 1e-12)
-    val /= norm.mean()
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for step in range(1, STEPS + 1):
         cuts = theta[d] + np.concatenate([[0.0], np.cumsum(np.exp(theta[d + 1:]))])
-        x = np.bincount(row, val * theta[col], len(feats))
+        z = (x @ theta[:d].astype(np.float32)).astype(np.float64)
         edge = np.concatenate([[-1e9], cuts, [1e9]])
-        up, low = sigmoid(edge[y + 1] - x), sigmoid(edge[y] - x)
+        up, low = sigmoid(edge[y + 1] - z), sigmoid(edge[y] - z)
         p = np.maximum(up - low, 1e-9)
         du, dl = up * (1 - up) / p, low * (1 - low) / p
-        gx = (du - dl) / len(feats)                      # of -log p by x
+        gz = (du - dl) / len(x)                      # of -log p by z
         gc = np.zeros(grades + 1)
-        np.add.at(gc, y + 1, -du / len(feats))
-        np.add.at(gc, y, dl / len(feats))
+        np.add.at(gc, y + 1, -du / len(x))
+        np.add.at(gc, y, dl / len(x))
         gc = gc[1:-1]
-        g = np.concatenate([np.bincount(col, val * gx[row], d) + RIDGE * theta[:d], [gc.sum()],
+        g = np.concatenate([gz.astype(np.float32) @ x + RIDGE * theta[:d], [gc.sum()],
                             np.exp(theta[d + 1:]) * np.array([gc[k:].sum() for k in range(1, grades - 1)])])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= 0.02 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    weights = np.zeros(DIM, np.float32)
-    weights[used] = theta[:d] * scale / norm.mean()
-    return OrdinalModel(weights, theta[d] + np.concatenate([[0.0], np.cumsum(np.exp(theta[d + 1:]))]))
+    return OrdinalModel((theta[:d] * scale / norm).astype(np.float32),
+                        theta[d] + np.concatenate([[0.0], np.cumsum(np.exp(theta[d + 1:]))]))
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int, doc_id: str = "doc_id", text: str = "text",
