@@ -44,9 +44,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import ids_and_text, raw_bytes
-from .hashed_text import DIM, frequencies, scores
+from .hashed_text import frequencies, scores
 
 MAX_LABELLED = 4_000
+DOMAIN_DIM = 1 << 12
 GRAIN = 1_000
 STEPS = 60
 RIDGE = 1e-4
@@ -85,7 +86,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str, doc_id: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [frequencies(t.as_py()) for t in raw_bytes(batch["text"])]
+            rows = [frequencies(t.as_py(), DOMAIN_DIM) for t in raw_bytes(batch["text"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["domain"], pa.array([r[0] for r in rows], pa.list_(pa.int32())),
                  pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["doc_id", "domain", "at", "f"])
@@ -96,38 +97,36 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str, doc_id: str =
     got = got.take(np.argsort(got["doc_id"].to_numpy(), kind="stable"))
     names = sorted(set(got["domain"].to_pylist()))
     if not names:
-        return DomainModel(["all"], np.zeros((DIM, 1), np.float32), np.zeros(1))
+        return DomainModel(["all"], np.zeros((DOMAIN_DIM, 1), np.float32), np.zeros(1))
     y = np.array([names.index(x) for x in got["domain"].to_pylist()])
     return fit_softmax([(a.values.to_numpy(), f.values.to_numpy()) for a, f in zip(got["at"], got["f"])], y, names)
 
 
 def fit_softmax(feats: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, names: list[str]) -> DomainModel:
+    """Multinomial logistic regression with a ridge, by Adam over the whole
+    sample as one dense matrix (MAX_LABELLED x DOMAIN_DIM at most)."""
     k = len(names)
-    row = np.repeat(np.arange(len(feats)), [len(a) for a, _ in feats])
-    used, col = np.unique(np.concatenate([a for a, _ in feats]), return_inverse=True)
-    val = np.concatenate([f for _, f in feats]).astype(np.float64)
-    scale = 1 / np.sqrt(np.bincount(col, val * val) / len(feats) + 1e-9)
-    val *= scale[col]
-    norm = np.sqrt(np.bincount(row, val * val, len(feats)) + 1e-12).mean()
-    val /= norm
-    d = len(used)
-    bias = np.log(np.bincount(y, minlength=k) / len(y))
-    w = np.zeros((d + 1, k))
-    w[d] = bias
+    x = np.zeros((len(feats), DOMAIN_DIM + 1), np.float32)
+    for i, (at, f) in enumerate(feats):
+        x[i, at] = f
+    scale = 1 / np.sqrt((x * x).mean(axis=0) + 1e-9)   # a feature counts by its spread
+    x *= scale
+    norm = np.sqrt((x * x).sum(axis=1)).mean()
+    x /= norm
+    x[:, DOMAIN_DIM] = 1
+    w = np.zeros((DOMAIN_DIM + 1, k), np.float32)
+    w[DOMAIN_DIM] = np.log(np.bincount(y, minlength=k) / len(y))
     m, v = np.zeros_like(w), np.zeros_like(w)
-    target = np.eye(k)[y]
+    target = np.eye(k, dtype=np.float32)[y]
     for step in range(1, STEPS + 1):
-        z = np.stack([np.bincount(row, val * w[col, j], len(feats)) for j in range(k)], axis=1) + w[d]
+        z = x @ w
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        e = (p - target) / len(feats)
-        g = np.concatenate([np.stack([np.bincount(col, val * e[row, j], d) for j in range(k)], axis=1) + RIDGE * w[:d],
-                            [e.sum(axis=0)]])
+        g = x.T @ ((p - target) / len(feats))
+        g[:DOMAIN_DIM] += RIDGE * w[:DOMAIN_DIM]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.02 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    weights = np.zeros((DIM, k), np.float32)
-    weights[used] = w[:d] * (scale / norm)[:, None]
-    return DomainModel(names, weights, w[d])
+    return DomainModel(names, w[:DOMAIN_DIM] * (scale[:DOMAIN_DIM, None] / norm), w[DOMAIN_DIM].astype(np.float64))
 
 
 def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
