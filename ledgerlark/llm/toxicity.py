@@ -41,12 +41,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import RecentCache, ids_and_text, raw_bytes
+from .common import RecentCache, held, ids_and_text, raw_bytes, release, row_ranges
 
 MAX_LABELLED = 20_000
 DIM = 1 << 20
@@ -62,9 +63,9 @@ THRESHOLD = 0.7
 EULER = 0.5772156649015329
 
 
-def contexts(word: bytes) -> list[int]:
+def contexts(word: str) -> list[int]:
     """Buckets of a word's prefixes, shortest first, and of the word."""
-    w = word.decode("utf-8", "replace").lower()
+    w = word.lower()
     w = EDGE.sub("", w) or w
     keys = [w[:n] for n in PREFIXES if n < len(w)]
     return [xxhash.xxh32_intdigest(f"{i}\0{k}".encode()) % DIM for i, k in enumerate(keys)] + [
@@ -79,9 +80,10 @@ class Counts:
     toxic: np.ndarray
     n_clean: float
     n_toxic: float
-    key: str = field(default_factory=lambda: uuid.uuid4().hex)
+    fit: str = field(default_factory=lambda: uuid.uuid4().hex)
+    part: int = 0   # of the counts of one fit
 
-    def score(self, word: bytes) -> float:
+    def score(self, word: str) -> float:
         """Log-odds drawn in by ``DOUBT`` standard errors, less the drift."""
         base = (self.n_toxic + 1) / (self.n_toxic + self.n_clean + 2)
         q, error = base, 0.0
@@ -113,23 +115,29 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * self.evidence(n, found) + self.shift))))
 
 
-_SEEN: dict[str, RecentCache] = {}
-
-
-def token_scores(text: bytes, counts: Counts) -> np.ndarray:
-    seen = _SEEN.get(counts.key)
-    if seen is None:
-        if len(_SEEN) > 3:
-            _SEEN.clear()
-        seen = _SEEN[counts.key] = RecentCache(200_000)
-    words = text.split()
-    got = list(map(seen.__getitem__, words))
-    if None in got:
-        for w in {w for w, s in zip(words, got) if s is None}:
-            seen[w] = counts.score(w)
-        got = [seen[w] if s is None else s for w, s in zip(words, got)]
+def token_scores(texts: pa.Array, counts: Counts) -> Iterator[np.ndarray]:
+    """The token scores of each text. Words are cut and their distinct ones
+    found in Arrow, a few megabytes of text at a time; spellings that score
+    alike (letter case, stops at the ends) are one."""
+    seen = held(("toxicity", counts.fit), dict).setdefault(counts.part, RecentCache(120_000))
+    for a, b in row_ranges(texts):
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(a, b - a).cast(pa.string()), "")))
+        words = cut.flatten()
+        trimmed = pc.ascii_trim(words, ".,;:!?")
+        found = pc.if_else(pc.equal(trimmed, ""), words, trimmed).dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        got = list(map(seen.__getitem__, distinct))
+        for i, x in enumerate(got):
+            if x is None:
+                got[i] = seen[distinct[i]] = counts.score(distinct[i]) if distinct[i] else math.nan
         seen.trim()
-    return np.array(got, np.float64)
+        s = np.array(got, np.float64)[found.indices.to_numpy()] if len(found) else np.zeros(0)
+        real = ~np.isnan(s)  # white space at a text's ends leaves empty words
+        at = np.concatenate([[0], np.cumsum(real)])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        s = s[real]
+        for x, y in zip(at[:-1].tolist(), at[1:].tolist()):
+            yield s[x:y]
+    release()
 
 
 def best_segment(s: np.ndarray) -> float:
@@ -188,13 +196,19 @@ def count_tokens(texts: DataFrame) -> list[list[Counts]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((4, DIM), np.int64)
         tokens = np.zeros(4, np.int64)
+        seen = RecentCache(100_000)
         for batch in batches:
             for t, toxic, half in zip(raw_bytes(batch["text"]), batch["toxic"].to_pylist(), batch["half"].to_pylist()):
                 words = set(t.as_py().split())
                 tokens[2 * half + toxic] += len(words)
+                at: list[int] = []
                 for w in words:
-                    for b in contexts(w):
-                        n[2 * half + toxic, b] += 1
+                    found = seen[w]
+                    if found is None:
+                        found = seen[w] = contexts(w.decode())
+                    at += found
+                np.add.at(n[2 * half + toxic], at, 1)
+                seen.trim()
         used = np.flatnonzero(n.any(axis=0))
         yield pa.RecordBatch.from_pydict(
             {"bucket": np.append(used, DIM)} | {f"c{i}": np.append(n[i, used], tokens[i]) for i in range(4)})
@@ -205,7 +219,10 @@ def count_tokens(texts: DataFrame) -> list[list[Counts]]:
     at = got["bucket"].to_numpy()
     for i in range(4):
         dense[i, at] = got[f"c{i}"].to_numpy()
-    return [Counts(dense[2 * h, :DIM], dense[2 * h + 1, :DIM], float(dense[2 * h, DIM]), float(dense[2 * h + 1, DIM]))
+    del got, at
+    release()
+    key = uuid.uuid4().hex
+    return [Counts(dense[2 * h, :DIM], dense[2 * h + 1, :DIM], float(dense[2 * h, DIM]), float(dense[2 * h + 1, DIM]), key, h)
             for h in (0, 1)]
 
 
@@ -224,9 +241,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         hist = np.zeros(len(BINS) - 1)
         best: list[tuple[int, float]] = []
         for batch in batches:
-            for t, toxic, half in zip(raw_bytes(batch["text"]), batch["toxic"].to_pylist(), batch["half"].to_pylist()):
-                if not toxic:
-                    s = token_scores(t.as_py(), halves[1 - half])
+            clean = batch.filter(pc.equal(batch["toxic"], 0))
+            for half in (0, 1):
+                part = clean.filter(pc.equal(clean["half"], half))
+                for s in token_scores(part["text"], halves[1 - half]):
                     hist += np.histogram(np.clip(s, BINS[0], BINS[-1]), BINS)[0]
                     best.append((len(s), best_segment(s)))
         yield pa.RecordBatch.from_pydict({
@@ -244,14 +262,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for t, half in zip(raw_bytes(batch["text"]), batch["half"].to_pylist()):
-                s = token_scores(t.as_py(), halves[1 - half])
-                out.append(draft.evidence(len(s), segments(s)))
-            yield pa.RecordBatch.from_pydict({"z": pa.array(out, pa.float64()), "toxic": batch["toxic"].cast("int64")})
-
-    rows = texts.mapInArrow(evidence, "z double, toxic long").orderBy("z", "toxic").toArrow()
-    slope, shift = _logistic(np.clip(rows["z"].to_numpy(), -30, 30), rows["toxic"].to_numpy())
+            for half in (0, 1):
+                part = batch.filter(pc.equal(batch["half"], half))
+                out = [draft.evidence(len(s), segments(s)) for s in token_scores(part["text"], halves[1 - half])]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), part["toxic"].cast("int64")], ["z", "toxic"])
+
+    rows = texts.mapInArrow(evidence, "z double, toxic long").toArrow()  # at most ``limit`` rows
+    z, y = rows["z"].to_numpy(), rows["toxic"].to_numpy()
+    order = np.lexsort((y, z))  # sums in one order whatever the partitions were
+    slope, shift = _logistic(np.clip(z[order], -30, 30), y[order])
     return Model(whole, lam, log_k, slope, shift)
 
 
@@ -287,8 +306,7 @@ def passages(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, score, found = [], [], []
-            for t in raw_bytes(batch["text"]):
-                s = token_scores(t.as_py(), model.counts)
+            for s in token_scores(batch["text"], model.counts):
                 got = segments(s)
                 n.append(len(s))
                 score.append(model.score(len(s), got))
@@ -308,11 +326,7 @@ def passages(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 def score_column(text: Column, model: Model) -> Column:
     """The score of a string column."""
     def run(values: pa.Array) -> pa.Array:
-        out = []
-        for t in raw_bytes(values):
-            s = token_scores(t.as_py() or b"", model.counts)
-            out.append(model.score(len(s), segments(s)))
-        return pa.array(out, pa.float64())
+        return pa.array([model.score(len(s), segments(s)) for s in token_scores(values, model.counts)], pa.float64())
 
     run.__annotations__ = {"values": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "double").asNondeterministic()(text)
