@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ids_and_text, raw_bytes
+from .common import ids_and_text, raw_bytes, release
 from .hashed_text import frequencies, scores
 
 MAX_LABELLED = 4_000
@@ -99,7 +99,10 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str, doc_id: str =
     if not names:
         return DomainModel(["all"], np.zeros((DOMAIN_DIM, 1), np.float32), np.zeros(1))
     y = np.array([names.index(x) for x in got["domain"].to_pylist()])
-    return fit_softmax([(a.values.to_numpy(), f.values.to_numpy()) for a, f in zip(got["at"], got["f"])], y, names)
+    model = fit_softmax([(a.values.to_numpy(), f.values.to_numpy()) for a, f in zip(got["at"], got["f"])], y, names)
+    del got
+    release()
+    return model
 
 
 def fit_softmax(feats: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, names: list[str]) -> DomainModel:
@@ -109,9 +112,9 @@ def fit_softmax(feats: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, names
     x = np.zeros((len(feats), DOMAIN_DIM + 1), np.float32)
     for i, (at, f) in enumerate(feats):
         x[i, at] = f
-    scale = 1 / np.sqrt((x * x).mean(axis=0) + 1e-9)   # a feature counts by its spread
+    scale = 1 / np.sqrt(np.einsum("ij,ij->j", x, x) / len(x) + 1e-9)   # a feature counts by its spread
     x *= scale
-    norm = np.sqrt((x * x).sum(axis=1)).mean()
+    norm = np.sqrt(np.einsum("ij,ij->i", x, x)).mean()
     x /= norm
     x[:, DOMAIN_DIM] = 1
     w = np.zeros((DOMAIN_DIM + 1, k), np.float32)

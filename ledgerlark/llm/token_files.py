@@ -32,7 +32,6 @@ from __future__ import annotations
 import uuid
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,7 @@ from pyspark.sql.window import Window
 
 from ..session import cut_lineage, stage_root
 from .bpe import byte_letters
-from .common import RecentCache, ids_and_text, row_ranges
+from .common import RecentCache, held, ids_and_text, release, row_ranges
 
 LIMIT = 17
 STEP = 256
@@ -130,9 +129,8 @@ class WordIds:
         return ids.values.to_numpy(), ids.offsets.to_numpy()[ends[1:] - ends[0]].astype(np.int64)
 
 
-@lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return held(("words", path), lambda: WordIds(path))
 
 
 IDS_SCHEMA = "part long, start long, doc_id long, n_tokens long, ids binary"
@@ -168,6 +166,7 @@ def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
                     [pa.array(np.full(len(n), part)), pa.array(start + ends - n), batch["doc_id"].slice(a, b - a),
                      pa.array(n), _binary(ids, ends)], ["part", "start", "doc_id", "n_tokens", "ids"])
                 start += int(ends[-1])
+            release()
 
     base = ids_and_text(docs, doc_id, text)
     placed = (base.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash")
@@ -279,9 +278,8 @@ class Code:
         return (out.T.ravel()[:n] >> 8).astype(np.uint32)
 
 
-@lru_cache(maxsize=2)
 def _code(key: str, ids: bytes, bits: bytes) -> Code:
-    return Code(np.frombuffer(ids, "<i8"), np.frombuffer(bits, "<i8"))
+    return held(("code", key), lambda: Code(np.frombuffer(ids, "<i8"), np.frombuffer(bits, "<i8")))
 
 
 # -- files --------------------------------------------------------------------
