@@ -6,6 +6,10 @@ spaces, equivalent spellings as one. SHA-256 digests of entire texts are then
 hash-joined to the digests of the known licences. The texts looked up are the
 whole document and, for notices, each whole line of it.
 
+Known are the short texts and notices of ``KNOWN`` and the whole licence texts
+of ``license_texts/`` (one file an id) in the forms they are handed on in:
+``whole_texts``.
+
 Native: expressions and one equi-join; texts are canonicalised once and only
 digests are joined. The known side is a table of its own, small enough for
 Spark to broadcast by its known size, or joined by shuffle where it isn't.
@@ -19,6 +23,10 @@ Defined results
 
 from __future__ import annotations
 
+import re
+from functools import cache
+from importlib.resources import files
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +85,7 @@ _MIT_NOTICE = (
     "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
     "the Software.")
 
-#: Licence texts and notices (fixed values): id, text.
+#: Short licence texts and notices (fixed values): id, text.
 KNOWN = (
     ("MIT", f"MIT License\n{_MIT}\n{_MIT_NOTICE}\n{_NO_WARRANTY}"),
     ("MIT", f"{_MIT}\n{_MIT_NOTICE}\n{_NO_WARRANTY}"),
@@ -102,6 +110,32 @@ KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 )
+#: Addresses (fixed values) that copies of one GNU licence differ in.
+_ADDRESS = re.compile(r"51 Franklin St(?:reet)?, Fifth Floor, Boston,? MA +02110-1301 +USA")
+ADDRESSES = (
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "675 Mass Ave, Cambridge, MA 02139, USA", "<https://fsf.org/>")
+_TERMS_END = re.compile(r"^[ \t]*END OF TERMS AND CONDITIONS[ \t]*$", re.M)
+_TEMPLATE = "Copyright [yyyy] [name of copyright owner]"
+
+
+@cache
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """(id, text) of the whole licences: as published, with another address of
+    the publisher, with the copyright line filled in (canonically: gone), and
+    each of these up to the end of the terms, without the instructions."""
+    found = {}
+    for file in sorted(files(__package__).joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        if not file.name.endswith(".txt"):
+            continue
+        text = file.read_text("utf-8")
+        forms = [text, text.replace(_TEMPLATE, "")]
+        if _ADDRESS.search(text):
+            forms += [_ADDRESS.sub(a, text) for a in ADDRESSES]
+        if end := _TERMS_END.search(text):
+            forms += [_TERMS_END.split(f)[0] + end[0] for f in forms]
+        found |= {(file.name.removesuffix(".txt"), f): None for f in forms}
+    return tuple(found)
 
 
 def canonical_lines(text: Column) -> Column:
@@ -125,8 +159,10 @@ def units(df: DataFrame, text: Column, *keep: str) -> DataFrame:
             .select(*keep, F.col("u.scope").alias("scope"), F.sha2("u.unit", 256).alias("digest")))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(license_id, digest) of whole licence texts and notices."""
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """(license_id, digest) of whole licence texts and notices; all that are
+    known by default."""
+    known = (*KNOWN, *whole_texts()) if known is None else known
     ids, bodies = zip(*known) if known else ((), ())
     # a local relation: its size is known to the planner
     texts = spark.createDataFrame(pa.table({"license_id": pa.array(ids, pa.string()), "body": pa.array(bodies, pa.string())}))
