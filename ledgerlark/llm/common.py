@@ -16,6 +16,8 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 SLICE_BYTES = 4 << 20
+#: Tasks that share the work on a bounded sample.
+SAMPLE_TASKS = 16
 
 
 def whole_text(df: DataFrame, text: str = "text") -> Column:
@@ -29,6 +31,16 @@ def ids_and_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return docs.select(docs[doc_id].cast(LongType()).alias("doc_id"), whole_text(docs, text).alias("text"))
 
 
+def one_text_each(rows: DataFrame, label: str) -> DataFrame:
+    """(doc_id, text, label) with one row a doc_id, whose ``label`` goes with
+    the doc_id: the text with the smallest XXH64 (ties: the smaller text).
+    Repeats are combined before the shuffle, so a doc_id that fills a third of
+    the table reaches the next task as one row a task."""
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    return (rows.groupBy("doc_id", label).agg(first).select("doc_id", F.col("first.text").alias("text"), label)
+            .repartition(SAMPLE_TASKS, "doc_id"))
+
+
 def raw_bytes(values: pa.Array) -> pa.Array:
     return values.cast(pa.binary())
 

@@ -28,8 +28,9 @@ Defined results
 * a target domain that no document belongs to can't be met and is left out; with
   no tokens at all every rate is 1;
 * labels that are null are no domain; with one domain only, it is certain;
-* repeated rows each get their rate; an empty table gives an empty table; other
-  columns are not read.
+* repeated rows each get their rate, and one text of each doc_id (that with the
+  smallest XXH64) takes part in the classifier's fit; an empty table gives an
+  empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ids_and_text, raw_bytes, release
+from .common import ids_and_text, one_text_each, raw_bytes, release
 from .hashed_text import frequencies, scores
 
 MAX_LABELLED = 4_000
@@ -91,8 +92,9 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str, doc_id: str =
                 [batch["doc_id"], batch["domain"], pa.array([r[0] for r in rows], pa.list_(pa.int32())),
                  pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["doc_id", "domain", "at", "f"])
 
-    got = (ids_and_text(docs, doc_id, text).where("text <> ''")
-           .join(F.broadcast(known), "doc_id")  # at most ``limit`` rows
+    # ``known`` has at most ``limit`` rows, and one text each stays
+    rated = one_text_each(ids_and_text(docs, doc_id, text).where("text <> ''").join(F.broadcast(known), "doc_id"), "domain")
+    got = (rated
            .mapInArrow(run, "doc_id long, domain string, at array<int>, f array<float>").toArrow())
     got = got.take(np.argsort(got["doc_id"].to_numpy(), kind="stable"))
     names = sorted(set(got["domain"].to_pylist()))

@@ -16,8 +16,9 @@ Defined results
 * several ratings of one document: their lowest counts; a grade that is null or
   out of range is ignored; without ratings of two grades, every probability is
   that of the rated share (of grade 0 if there are none);
-* repeated rows give repeated rows; an empty table an empty table; other
-  columns are not read.
+* repeated rows give repeated rows, and one text of each doc_id (that with the
+  smallest XXH64) takes part in the fit; an empty table gives an empty table;
+  other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ids_and_text, raw_bytes
+from .common import ids_and_text, one_text_each, raw_bytes
 from .hashed_text import frequencies, scores
 
 MAX_RATED = 6_000
@@ -63,7 +64,8 @@ def rated_features(docs: DataFrame, ratings: DataFrame, grades: int, limit: int)
                 [batch["doc_id"], batch["grade"], pa.array([r[0] for r in rows], pa.list_(pa.int32())),
                  pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["doc_id", "grade", "at", "f"])
 
-    got = (docs.join(F.broadcast(known), "doc_id")  # at most ``limit`` rows of 12 bytes
+    # ``known`` has at most ``limit`` rows of 12 bytes, and one text each stays
+    got = (one_text_each(docs.join(F.broadcast(known), "doc_id"), "grade").select("doc_id", "text", "grade")
            .mapInArrow(run, "doc_id long, grade int, at array<int>, f array<float>").toArrow())
     got = got.take(np.argsort(got["doc_id"].to_numpy(), kind="stable"))
     feats = [(a.values.to_numpy(), f.values.to_numpy()) for a, f in zip(got["at"], got["f"])]

@@ -27,8 +27,9 @@ Defined results
   other than 0 and 1 are ignored; with no labels of either class every score
   is 0;
 * whole texts are scored, in pieces of bounded memory a token;
-* repeated rows give repeated rows; an empty table an empty table; other
-  columns are not read.
+* repeated rows give repeated rows, and one text of each doc_id (that with the
+  smallest XXH64) takes part in the fit; an empty table gives an empty table;
+  other columns are not read.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import RecentCache, held, ids_and_text, raw_bytes, release, row_ranges
+from .common import RecentCache, held, ids_and_text, one_text_each, raw_bytes, release, row_ranges
 
 MAX_LABELLED = 20_000
 DIM = 1 << 20
@@ -185,8 +186,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, l
     known = (labels.select(labels[doc_id].cast("long").alias("doc_id"), labels[label].cast("int").alias("toxic"))
              .where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
-    # at most ``limit`` rows of 12 bytes
-    out = ids_and_text(docs, doc_id, text).join(F.broadcast(known), "doc_id").select(
+    # ``known`` has at most ``limit`` rows of 12 bytes, and one text each stays
+    out = one_text_each(ids_and_text(docs, doc_id, text).join(F.broadcast(known), "doc_id"), "toxic").select(
         "text", "toxic", F.pmod(F.xxhash64(F.xxhash64("doc_id")), F.lit(2)).cast("int").alias("half"))
     return cut_lineage(out, "toxicity-labelled")
 

@@ -15,6 +15,32 @@ def auc(pos, neg):
     return float(np.mean([(pos > x).mean() + (pos == x).mean() / 2 for x in neg]))
 
 
+def repeated(spark):
+    """One labelled doc_id in most rows, with two texts, and its labels."""
+    rows = [(1, "the same good words again and again")] * 300 + [(1, "another text of that id")] * 3
+    rows += [(i, f"plain words number {i} of the table") for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    return docs, docs.dropDuplicates(["doc_id"]).selectExpr("doc_id", "cast(doc_id % 2 AS int) AS y")
+
+
+def test_samples_hold_one_row_a_document(spark):
+    docs, labels = repeated(spark)
+    feats, grades = Q.rated_features(docs, labels.withColumnRenamed("y", "grade"), 2, 6)
+    assert len(feats) == len(grades) == 6
+    feats, grades = Q.rated_features(docs, labels.withColumnRenamed("y", "grade"), 2, 100)
+    assert len(feats) == len(grades) == 11
+    texts = T.labelled_texts(docs, labels, "doc_id", "text", "y", 100).collect()
+    assert len(texts) == 11 and len({r.text for r in texts}) == 11
+
+
+def test_domain_fit_weighs_a_repeated_document_once(spark):
+    docs, labels = repeated(spark)
+    first = docs.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    named = labels.select("doc_id", F.concat(F.lit("d"), "y").alias("domain"))
+    a, b = (M.fit_domains(d, named, "domain") for d in (docs, first))
+    assert a.domains == b.domains and np.allclose(a.weights, b.weights) and np.allclose(a.bias, b.bias)
+
+
 # -- toxicity ----------------------------------------------------------------
 
 def brute_segments(s):
