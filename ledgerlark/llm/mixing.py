@@ -17,7 +17,8 @@ targets (weights times a token budget).
 
 The classifier (softmax over ``hashed_text`` features) is fitted on at most
 ``MAX_LABELLED`` labelled documents (smallest XXH64 of the doc_id), a documented
-bound; everything else covers all documents.
+bound; their features stay on the executors, which send the gradient of each
+step. Everything else covers all documents.
 
 Defined results
 * null or empty text: no tokens and even posteriors; it takes no part in the
@@ -35,7 +36,7 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,11 +45,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ids_and_text, one_text_each, raw_bytes, release
+from .common import ids_and_text, one_text_each, raw_bytes
 from .hashed_text import frequencies, scores
 
 MAX_LABELLED = 4_000
-DOMAIN_DIM = 1 << 12
+DOMAIN_DIM = 1 << 16
+#: Sampled texts whose features are held at a time.
+PIECE = 250
 GRAIN = 1_000
 STEPS = 60
 RIDGE = 1e-4
@@ -87,51 +90,89 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str, doc_id: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [frequencies(t.as_py(), DOMAIN_DIM) for t in raw_bytes(batch["text"])]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["domain"], pa.array([r[0] for r in rows], pa.list_(pa.int32())),
-                 pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["doc_id", "domain", "at", "f"])
+            for at in range(0, batch.num_rows, PIECE):
+                part = batch.slice(at, PIECE)
+                rows = [frequencies(t.as_py(), DOMAIN_DIM) for t in raw_bytes(part["text"])]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["domain"], pa.array([r[0] for r in rows], pa.list_(pa.int32())),
+                     pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["doc_id", "domain", "at", "f"])
 
     # ``known`` has at most ``limit`` rows, and one text each stays
     rated = one_text_each(ids_and_text(docs, doc_id, text).where("text <> ''").join(F.broadcast(known), "doc_id"), "domain")
-    got = (rated
-           .mapInArrow(run, "doc_id long, domain string, at array<int>, f array<float>").toArrow())
-    got = got.take(np.argsort(got["doc_id"].to_numpy(), kind="stable"))
-    names = sorted(set(got["domain"].to_pylist()))
+    feats = cut_lineage(rated.select("doc_id", "domain", "text").sortWithinPartitions("doc_id").mapInArrow(
+        run, "doc_id long, domain string, at array<int>, f array<float>"), "mixing-features")
+    return fit_softmax(feats)
+
+
+def _summed(feats: DataFrame, size: int, part: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum of ``part`` (``size`` numbers) over all batches: each task sends
+    one row of its own sum, and no features leave the executors."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE):
+                total += part(batch.slice(at, PIECE))
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["total"])
+
+    out = np.zeros(size)
+    for total in feats.mapInArrow(run, "total binary").toArrow()["total"]:   # SAMPLE_TASKS rows at most
+        out += np.frombuffer(total.as_py(), np.float32)
+    return out
+
+
+def _sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and frequency of every feature of a batch."""
+    at, f = batch["at"], batch["f"]
+    return (np.repeat(np.arange(batch.num_rows), np.diff(at.offsets.to_numpy())),
+            at.flatten().to_numpy(), f.flatten().to_numpy().astype(np.float64))
+
+
+def fit_softmax(feats: DataFrame) -> DomainModel:
+    """Multinomial logistic regression with a ridge, by Adam over the whole
+    sample: (doc_id, domain, at, f) stay with the executors, which send the
+    gradient (DOMAIN_DIM numbers a domain) of each step."""
+    sizes = {r.domain: r["count"] for r in feats.groupBy("domain").count().collect()}
+    names = sorted(sizes)
     if not names:
         return DomainModel(["all"], np.zeros((DOMAIN_DIM, 1), np.float32), np.zeros(1))
-    y = np.array([names.index(x) for x in got["domain"].to_pylist()])
-    model = fit_softmax([(a.values.to_numpy(), f.values.to_numpy()) for a, f in zip(got["at"], got["f"])], y, names)
-    del got
-    release()
-    return model
+    k, n = len(names), sum(sizes.values())
 
+    def squares(batch: pa.RecordBatch) -> np.ndarray:
+        _, col, val = _sparse(batch)
+        return np.bincount(col, val * val, DOMAIN_DIM)
 
-def fit_softmax(feats: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, names: list[str]) -> DomainModel:
-    """Multinomial logistic regression with a ridge, by Adam over the whole
-    sample as one dense matrix (MAX_LABELLED x DOMAIN_DIM at most)."""
-    k = len(names)
-    x = np.zeros((len(feats), DOMAIN_DIM + 1), np.float32)
-    for i, (at, f) in enumerate(feats):
-        x[i, at] = f
-    scale = 1 / np.sqrt(np.einsum("ij,ij->j", x, x) / len(x) + 1e-9)   # a feature counts by its spread
-    x *= scale
-    norm = np.sqrt(np.einsum("ij,ij->i", x, x)).mean()
-    x /= norm
-    x[:, DOMAIN_DIM] = 1
-    w = np.zeros((DOMAIN_DIM + 1, k), np.float32)
-    w[DOMAIN_DIM] = np.log(np.bincount(y, minlength=k) / len(y))
+    scale = 1 / np.sqrt(_summed(feats, DOMAIN_DIM, squares) / n + 1e-9)   # a feature counts by its spread
+
+    def norms(batch: pa.RecordBatch) -> np.ndarray:
+        row, col, val = _sparse(batch)
+        return np.array([np.sqrt(np.bincount(row, (val * scale[col]) ** 2, batch.num_rows)).sum()])
+
+    scale = scale / (_summed(feats, 1, norms)[0] / n)
+    w = np.zeros((DOMAIN_DIM + 1, k))
+    w[DOMAIN_DIM] = np.log([sizes[d] / n for d in names])
     m, v = np.zeros_like(w), np.zeros_like(w)
-    target = np.eye(k, dtype=np.float32)[y]
     for step in range(1, STEPS + 1):
-        z = x @ w
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        g = x.T @ ((p - target) / len(feats))
-        g[:DOMAIN_DIM] += RIDGE * w[:DOMAIN_DIM]
+        g = _summed(feats, w.size, _gradient(names, w[:DOMAIN_DIM] * scale[:, None], w[DOMAIN_DIM].copy())).reshape(w.shape) / n
+        g[:DOMAIN_DIM] = g[:DOMAIN_DIM] * scale[:, None] + RIDGE * w[:DOMAIN_DIM]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.02 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return DomainModel(names, w[:DOMAIN_DIM] * (scale[:DOMAIN_DIM, None] / norm), w[DOMAIN_DIM].astype(np.float64))
+    return DomainModel(names, (w[:DOMAIN_DIM] * scale[:, None]).astype(np.float32), w[DOMAIN_DIM])
+
+
+def _gradient(names: list[str], weights: np.ndarray, bias: np.ndarray) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """Of the summed loss by unscaled weights and bias."""
+    weights = weights.astype(np.float32)
+
+    def part(batch: pa.RecordBatch) -> np.ndarray:
+        row, col, val = _sparse(batch)
+        z = np.stack([np.bincount(row, val * weights[col, j], batch.num_rows) for j in range(len(names))], axis=1) + bias
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(len(p)), [names.index(x) for x in batch["domain"].to_pylist()]] -= 1
+        return np.concatenate([np.stack([np.bincount(col, val * p[row, j], DOMAIN_DIM) for j in range(len(names))], axis=1),
+                               p.sum(axis=0)[None]]).ravel()
+
+    return part
 
 
 def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ from ledgerlark.llm import mixing as M
 from ledgerlark.llm import ordinal_quality as Q
 from ledgerlark.llm import queries
 from ledgerlark.llm import toxicity as T
+from ledgerlark.llm.hashed_text import frequencies, scores
 
 SF = "/root/testdata/sf0.1"
 
@@ -41,6 +42,39 @@ def test_domain_fit_weighs_a_repeated_document_once(spark):
     assert a.domains == b.domains and np.allclose(a.weights, b.weights) and np.allclose(a.bias, b.bias)
 
 
+def dense_softmax(texts, y, k):
+    """The domain fit over one dense matrix."""
+    x = np.zeros((len(texts), 1 << 16))
+    for i, t in enumerate(texts):
+        at, f = frequencies(t.encode(), 1 << 16)
+        x[i, at] = f
+    scale = 1 / np.sqrt((x * x).mean(axis=0) + 1e-9)
+    scale /= np.sqrt(((x * scale) ** 2).sum(axis=1)).mean()
+    x = np.hstack([x * scale, np.ones((len(x), 1))])
+    w = np.zeros((x.shape[1], k))
+    w[-1] = np.log(np.bincount(y, minlength=k) / len(y))
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, M.STEPS + 1):
+        p = np.exp(x @ w)
+        p /= p.sum(axis=1, keepdims=True)
+        g = x.T @ (p - np.eye(k)[y]) / len(x)
+        g[:-1] += M.RIDGE * w[:-1]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w -= 0.02 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    return x @ w
+
+
+def test_domain_fit_in_65536_buckets(spark):
+    texts = [f"{a} text {i} {b}" for i, (a, b) in enumerate([("the", "of and"), ("der", "und mit"), ("les", "et dans")] * 6)]
+    y = np.arange(18) % 3
+    docs = spark.createDataFrame([(i, t, f"d{y[i]}") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = M.fit_domains(docs, docs.select("doc_id", "lang"), "lang")
+    assert model.weights.shape == (1 << 16, 3)
+    z = np.array([scores(t.encode(), model.weights) + model.bias for t in texts])
+    want = dense_softmax(texts, y, 3)
+    assert np.abs((z - z[:, :1]) - (want - want[:, :1])).max() < 1e-2 and (z.argmax(axis=1) == y).all()
+
+
 # -- toxicity ----------------------------------------------------------------
 
 def brute_segments(s):
