@@ -40,14 +40,19 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ids_and_text, one_text_each, raw_bytes
+from .bpe import encoder
+from .common import ids_and_text, one_text_each, raw_bytes, release, row_ranges
 from .hashed_text import frequencies, scores
 
+#: Its tokens are counted.
+TOKENIZER = "byte_bpe_50k.json"
 MAX_LABELLED = 4_000
 DOMAIN_DIM = 1 << 16
 #: Sampled texts whose features are held at a time.
@@ -175,18 +180,25 @@ def _gradient(names: list[str], weights: np.ndarray, bias: np.ndarray) -> Callab
     return part
 
 
-def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, q0..): words and posteriors in steps of 1/GRAIN."""
+def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", text: str = "text",
+                tokenizer: str = TOKENIZER) -> DataFrame:
+    """(doc_id, n_tokens, q0..): byte-level tokens and posteriors in steps of
+    1/GRAIN."""
     k = len(model.domains)
     names = [f"q{j}" for j in range(k)]
+    path = public_tokenizers.path(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
         for batch in batches:
-            texts = raw_bytes(batch["text"])
-            q = np.array([model.posteriors(t.as_py()) for t in texts], np.int64).reshape(-1, k)
-            n = np.array([len(t.as_py().split()) for t in texts], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n), *(pa.array(q[:, j]) for j in range(k))], ["doc_id", "n_tokens", *names])
+            for a, b in row_ranges(batch["text"]):
+                texts = batch["text"].slice(a, b - a)
+                q = np.array([model.posteriors(t.as_py()) for t in raw_bytes(texts)], np.int64).reshape(-1, k)
+                n = pc.list_value_length(enc.encode(texts)).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(a, b - a), n, *(pa.array(q[:, j]) for j in range(k))],
+                    ["doc_id", "n_tokens", *names])
+            release()
 
     return ids_and_text(docs, doc_id, text).mapInArrow(
         run, f"doc_id long, n_tokens long, {', '.join(f'{n} long' for n in names)}")

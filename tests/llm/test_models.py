@@ -1,8 +1,10 @@
 """Fitted operators: held-out accuracy, brute force of their parts, odd rows."""
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlark.llm import bpe
 from ledgerlark.llm import mixing as M
 from ledgerlark.llm import ordinal_quality as Q
 from ledgerlark.llm import queries
@@ -202,6 +204,15 @@ def test_no_loss_and_odd_rows(spark, odd, empty):
     assert {r.rate for r in M.mix(odd, labelled.limit(0), "lang", {}).collect()} == {1.0}
 
 
+def test_tokens_are_the_encoders(spark, odd):
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([(90, "日本語の文章" * 20), (91, "QUJDRA" * 30)], "doc_id long, text string"))
+    got = M.memberships(docs, M.fit_domains(odd, odd.select("doc_id", "lang"), "lang")).select("doc_id", "n_tokens").collect()
+    want = bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "n_tokens").collect()
+    key = lambda r: (r.doc_id or 0, r.n_tokens)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert min(r.n_tokens for r in got if r.doc_id in (90, 91)) > 20
+
+
 def test_languages_meet_their_weights(spark):
     got = queries.op7_soft_mixing(spark, "/root/testdata/sf0.01").toPandas()
     total = (got.rate * got.n_tokens).groupby(got.domain).sum()
