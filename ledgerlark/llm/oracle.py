@@ -89,6 +89,72 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 FROM judged
 """
 
+# climbs every leaf of a table "levels" (tree, lvl, idx, hash, n); {start} are its leaves (row_id, tree, idx, proof, folded)
+_CLIMB = """
+  SELECT row_id, tree, idx, 0 AS lvl, proof, folded FROM {start}
+  UNION ALL
+  SELECT c.row_id, c.tree, c.idx // 3, c.lvl + 1, c.proof || s.lefts || s.rights, sha256(s.lefts || c.folded || s.rights)
+  FROM {name} c JOIN {sides} s ON s.tree = c.tree AND s.lvl = c.lvl AND s.idx = c.idx"""
+_SIDES = """
+  SELECT a.tree, a.lvl, a.idx, coalesce(string_agg(b.hash, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS lefts,
+         coalesce(string_agg(b.hash, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS rights
+  FROM {levels} a JOIN {levels} b ON b.tree = a.tree AND b.lvl = a.lvl AND b.idx // 3 = a.idx // 3
+  WHERE a.n > 1
+  GROUP BY ALL"""
+_LEVELS = """
+  SELECT tree, 0 AS lvl, idx, hash, n FROM {start}
+  UNION ALL
+  SELECT tree, any_value(lvl) + 1, idx // 3, sha256(string_agg(hash, '' ORDER BY idx)), any_value(n + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY tree, idx // 3"""
+
+
+def _leaf(*fields: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+
+def _crc_table(bits: int) -> str:
+    """The 256 entries of the CRC-32 table (polynomial fixed by its standard)."""
+    if not bits:
+        return "(SELECT i, i AS x FROM (SELECT unnest(range(256)) AS i))"
+    return (f"(SELECT i, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END AS x FROM {_crc_table(bits - 1)})")
+
+
+_OP13 = f"""
+WITH RECURSIVE t AS (
+  SELECT list(x ORDER BY i) AS t FROM {_crc_table(8)}),
+crc AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), t),
+hashed AS (
+  SELECT doc_id, source, {_leaf('doc_id', 'source', 'lang', 'n_chars', 'text')} AS leaf,
+         CASE WHEN crc % 2 = 0 THEN {_leaf('doc_id', 'source', 'lang', 'n_chars', "replace(text, chr(10), '')")}
+              ELSE {_leaf('doc_id', 'source', 'lang', 'n_chars', 'text')} END AS tampered
+  FROM documents LEFT JOIN crc USING (doc_id)),
+leaves AS (
+  SELECT row_number() OVER () AS row_id, coalesce('s' || source, '-') AS tree, doc_id, leaf AS hash, tampered,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+  FROM hashed),
+levels AS ({_LEVELS.format(start='leaves', name='levels')}),
+tops AS (
+  SELECT 0 AS tree, tree AS source, hash, row_number() OVER (ORDER BY encode(tree)) - 1 AS idx, count(*) OVER () AS n
+  FROM levels WHERE n = 1),
+over AS ({_LEVELS.format(start='tops', name='over')}),
+sides AS ({_SIDES.format(levels='levels')}),
+over_sides AS ({_SIDES.format(levels='over')}),
+start AS (SELECT row_id, tree, idx, '' AS proof, tampered AS folded FROM leaves),
+climb AS ({_CLIMB.format(start='start', name='climb', sides='sides')}),
+half AS (
+  SELECT c.row_id, 0 AS tree, tops.idx, c.proof, c.folded
+  FROM climb c JOIN levels l ON l.tree = c.tree AND l.lvl = c.lvl AND l.idx = c.idx AND l.n = 1 JOIN tops ON tops.source = c.tree),
+climb_over AS ({_CLIMB.format(start='half', name='climb_over', sides='over_sides')}),
+root AS (SELECT lvl, hash FROM over WHERE n = 1)
+SELECT l.doc_id, l.hash AS leaf, tops.hash AS subroot, root.hash AS root, sha256(c.proof) AS proof_sha256,
+       c.folded AS folded_root, c.folded = root.hash AS verified
+FROM climb_over c JOIN root ON c.lvl = root.lvl JOIN leaves l ON l.row_id = c.row_id JOIN tops ON tops.source = l.tree
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _OP1, "op2_pivot_top_k": _OP2, "op8_rule_ledger": _OP8}
+    return {"op1_license_scan": _OP1, "op2_pivot_top_k": _OP2, "op8_rule_ledger": _OP8,
+            "op13_merkle_climb": _OP13}
