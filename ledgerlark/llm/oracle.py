@@ -154,7 +154,32 @@ SELECT l.doc_id, l.hash AS leaf, tops.hash AS subroot, root.hash AS root, sha256
 FROM climb_over c JOIN root ON c.lvl = root.lvl JOIN leaves l ON l.row_id = c.row_id JOIN tops ON tops.source = l.tree
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP11 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (
+  SELECT item_id, ws, least(len(ws), 10) AS n
+  FROM (SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark)
+  WHERE len(ws) > 0),
+theirs AS (
+  SELECT DISTINCT item_id, n, list_slice(ws, k, k + n - 1) AS win
+  FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM i)),
+ours AS (
+  SELECT doc_id, k, n, list_slice(ws, k, k + n - 1) AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS k
+        FROM d JOIN (SELECT DISTINCT n FROM i) AS sizes ON len(ws) >= n)),
+hit AS (SELECT doc_id, item_id, k, n FROM ours JOIN theirs USING (n, win)),
+covered AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS w FROM hit) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY encode(item_id)) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": _OP1, "op2_pivot_top_k": _OP2, "op8_rule_ledger": _OP8,
-            "op13_merkle_climb": _OP13}
+            "op11_winnowing": _OP11, "op13_merkle_climb": _OP13}

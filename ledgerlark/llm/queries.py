@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, licenses, merkle, mixing, ordinal_quality, pivot_search, quality_rules, simhash, token_files, toxicity
+from . import bpe, decontaminate, html_text, licenses, merkle, mixing, ordinal_quality, pivot_search, quality_rules, simhash, token_files, toxicity
 
 #: Target weights of the documents' languages for op7.
 LANGUAGE_WEIGHTS = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
@@ -88,6 +88,13 @@ def op10_html_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and benchmark items that each document shares."""
+    got = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      "contaminated")
+
+
 def op13_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests, proofs and verification of every document."""
     return merkle.manifest(table(spark, sf_dir, "documents"))
@@ -96,4 +103,5 @@ def op13_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_pivot_top_k, op3_ordinal_quality, op4_huffman_files, op5_simhash_pigeonhole,
-        op6_trie_bpe, op7_soft_mixing, op8_rule_ledger, op9_segment_toxicity, op10_html_block_rules, op13_merkle_climb)}
+        op6_trie_bpe, op7_soft_mixing, op8_rule_ledger, op9_segment_toxicity, op10_html_block_rules,
+        op11_winnowing, op13_merkle_climb)}
