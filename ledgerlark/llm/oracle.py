@@ -179,7 +179,27 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+totals AS (SELECT count(*) AS nn, sum(len(ws))::BIGINT AS ll FROM d WHERE len(ws) > 0),
+i AS (
+  SELECT DISTINCT item_id, unnest(list_distinct(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))) AS term
+  FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, totals GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN tf USING (term), totals
+  GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": _OP1, "op2_pivot_top_k": _OP2, "op8_rule_ledger": _OP8,
-            "op11_winnowing": _OP11, "op13_merkle_climb": _OP13}
+            "op11_winnowing": _OP11, "op12_presence_masks": _OP12, "op13_merkle_climb": _OP13}

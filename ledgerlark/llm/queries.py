@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, licenses, merkle, mixing, ordinal_quality, pivot_search, quality_rules, simhash, token_files, toxicity
+from . import (bpe, decontaminate, html_text, lexical_search, licenses, merkle, mixing, ordinal_quality, pivot_search,
+               quality_rules, simhash, token_files, toxicity)
 
 #: Target weights of the documents' languages for op7.
 LANGUAGE_WEIGHTS = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
@@ -95,6 +96,11 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "contaminated")
 
 
+def op12_presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each benchmark item."""
+    return lexical_search.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests, proofs and verification of every document."""
     return merkle.manifest(table(spark, sf_dir, "documents"))
@@ -104,4 +110,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_pivot_top_k, op3_ordinal_quality, op4_huffman_files, op5_simhash_pigeonhole,
         op6_trie_bpe, op7_soft_mixing, op8_rule_ledger, op9_segment_toxicity, op10_html_block_rules,
-        op11_winnowing, op13_merkle_climb)}
+        op11_winnowing, op12_presence_masks, op13_merkle_climb)}
