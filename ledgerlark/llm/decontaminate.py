@@ -81,7 +81,8 @@ class Words:
 
 def words_of(texts: pa.Array) -> Words:
     """``texts``: binary, no nulls."""
-    _, offsets, data = texts.cast(pa.large_binary()).buffers()
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]]
     data = _LOWER[raw]
