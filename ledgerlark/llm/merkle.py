@@ -10,12 +10,14 @@ root. What proves a leaf is its siblings, level by level up to the root.
   rows in the tasks before, one small row a (source, task). A source with a
   third of all rows is spread over its share of the tasks.
 * **Levels.** Four levels are built at a time, from groups of 81 neighbours, and
-  stored: each leaf and each node four levels up has one row with its parent's
-  place and the siblings between the two.
-* **Climb.** A recursive query ascends per leaf over these parent-linked rows,
-  appending siblings and folding the possibly tampered digest. The rows it
-  meets at the upper levels are held once a block of 6,561 leaves, so no key has
-  more leaves than that, however large a source is.
+  stored: each leaf and each node four levels up is linked to its parent's place
+  by the siblings between the two.
+* **Climb.** A recursive query ascends over these parent-linked rows, folding the
+  possibly tampered digest of every leaf and appending siblings. The leaves of a
+  group share what they meet above it, so they climb in one row, and the siblings
+  they append there are held once. The nodes of the upper levels are stored once
+  a block of 6,561 leaves, so no key has more leaves than that, however large a
+  source is.
 
 Defined results
 * a null field is `-`, every other its length in UTF-8 bytes, `:` and its value;
@@ -30,6 +32,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +45,6 @@ RUN = 3
 LEVELS = 4                 # built at a time
 GROUP = RUN ** LEVELS
 BLOCK = GROUP ** 2         # leaves under one stored path
-NOTHING = "CAST('' AS binary)"
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 
@@ -128,9 +130,9 @@ def grouped(nodes: DataFrame, carried: Sequence[str], name: str) -> DataFrame:
     return cut_lineage(rows, name)
 
 
-def siblings(p: Column) -> list[Column]:
-    """(left, right) of a member's ancestors at each level of its group, null
-    beyond the tree's last node."""
+def path_of(p: Column) -> Column:
+    """Siblings of a member's ancestors, level by level up to the group's last
+    node: array of (left, right)."""
     out = []
     for k in range(LEVELS):
         level, at = F.col(f"l{k}"), F.floor(p / RUN ** k).cast("int")
@@ -138,27 +140,18 @@ def siblings(p: Column) -> list[Column]:
         out.append(F.when(F.col(f"l{k + 1}").isNotNull(), F.struct(
             F.substring(level, first * 32 + 1, (at - first) * 32).alias("left"),
             F.substring(level, (at + 1) * 32 + 1, (first + (RUN - 1) - at) * 32).alias("right"))))
-    return out
+    return F.filter(F.array(*out), lambda x: x.isNotNull())
 
 
 def _last() -> Column:
     return F.coalesce(*[f"l{k}" for k in range(LEVELS, -1, -1)])
 
 
-def fold(path: str, digest: str) -> str:
-    """SQL: a digest folded with the siblings on its way."""
-    return f"aggregate({path}, {digest}, (a, x) -> unhex(sha2(cast(lower(hex(concat(x.left, a, x.right))) AS binary), 256)))"
-
-
-def appended(path: str, proof: str) -> str:
-    return f"aggregate({path}, {proof}, (a, x) -> concat(a, x.left, x.right))"
-
-
 def build(nodes: DataFrame, carried: Sequence[str], most: int, name: str) -> list[DataFrame]:
     """Groups of all levels, four levels each; ``most``: leaves of the largest
     tree."""
     out = []
-    while most > 1:
+    while not out or most > 1:
         groups = grouped(nodes, carried, f"merkle-{name}-{len(out)}")
         out.append(groups)
         nodes = groups.where(f"n > {GROUP}").select(
@@ -169,98 +162,90 @@ def build(nodes: DataFrame, carried: Sequence[str], most: int, name: str) -> lis
 
 def _steps(n: Column, most: int) -> Column:
     """Groups on the way from a leaf to the last node of a tree of n leaves."""
-    out, size = F.lit(0), 1
+    out, size = F.lit(1), GROUP
     while size < most:
         out, size = out + (n > size).cast("int"), size * GROUP
     return out
 
 
-def _paths(groups: DataFrame, level: int, carried: Sequence[str] = ()) -> DataFrame:
-    """One row a member of a group: its place and the siblings up to the
-    group's last node."""
-    rows = groups.select("tree", "n", "top", *[f"l{k}" for k in range(LEVELS + 1)], F.explode("members").alias("m"))
-    path = F.filter(F.array(*siblings(F.col("m.p"))), lambda x: x.isNotNull())
-    return rows.select("tree", "n", (F.col("top") * GROUP + F.col("m.p")).alias("at"), F.lit(level).alias("step"),
-                       path.alias("path"), F.col("m.hash").alias("hash"), *[F.col(f"m.{c}").alias(c) for c in carried])
+def _paths(groups: DataFrame) -> DataFrame:
+    """(tree, at, path): one row a member of a group, linked by its place to
+    the group's last node."""
+    made = F.transform("members", lambda m: F.struct(
+        (F.col("top") * GROUP + m["p"]).alias("at"), path_of(m["p"]).alias("path")))
+    return groups.select("tree", F.inline(made))
 
 
 def manifest(docs: DataFrame, **columns: str) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified), one
     row per document; ``columns`` as of ``leaves``."""
-    spark = docs.sparkSession
-    rows = cut_lineage(leaves(docs, **columns), "merkle-leaves")
-    rows = cut_lineage(placed(rows, "tree", ["doc_id", "leaf"], "merkle-order"), "merkle-places")
-    sizes = rows.groupBy("tree").agg(F.max("n").alias("n"))
-    most, trees = sizes.agg(F.max("n"), F.count("*")).first()
-    if not trees:
-        return _result(rows.select("doc_id", "leaf", *[F.lit(None).cast("binary").alias(c) for c in (
-            "subroot", "root", "proof", "folded")]))
+    rows = cut_lineage(leaves(docs, **columns).withColumnRenamed("leaf", "hash"), "merkle-leaves")
+    rows = cut_lineage(placed(rows, "tree", ["doc_id", "hash"], "merkle-order"), "merkle-places")
+    sizes = rows.groupBy("tree").agg(F.max("n").alias("leaves"))
+    most, trees = sizes.agg(F.max("leaves"), F.count("*")).first()
 
     # a tree each source, then the tree of subroots, whose leaves are the trees
-    start = rows.withColumnRenamed("leaf", "hash")
-    own = build(start.where("n > 1"), ["doc_id", "changed"], most, "source")
-    alone = start.where("n = 1").select("tree", F.col("hash").alias("subroot"), "n")
-    subroots = alone
-    for groups in own:
-        done = groups.where(f"n <= {GROUP}").select("tree", _last().alias("subroot"))
-        subroots = subroots.unionByName(done.join(sizes, "tree").select("tree", "subroot", "n"))
-    subroots = cut_lineage(subroots.withColumnRenamed("n", "leaves").withColumn("all", F.lit(0)), "merkle-subroots")
-    ranked = cut_lineage(placed(subroots, "all", ["tree"], "merkle-tree-order"), "merkle-tree-places")
+    own = build(rows, ["doc_id", "changed"], most or 0, "source")
+    subroots = [g.where(f"n <= {GROUP}").select("tree", _last().alias("subroot")) for g in own]
+    ranked = reduce(DataFrame.union, subroots).join(sizes, "tree").withColumn("all", F.lit(0))
+    ranked = cut_lineage(placed(cut_lineage(ranked, "merkle-subroots"), "all", ["tree"], "merkle-tree-order"), "merkle-trees")
     over = build(ranked.select(F.col("all").alias("tree"), "n", "idx", F.col("subroot").alias("hash")), [], trees, "root")
-    root = (over[-1].select(_last()) if over else ranked.select("subroot")).first()[0]
-
-    steps = _steps(F.col("leaves"), most)
+    root = over[-1].select(_last()).first()
+    steps = _steps(F.col("leaves"), most or 0)
     ranked = ranked.select("tree", "subroot", "leaves", "idx", steps.alias("steps"), (steps + len(over)).alias("total"))
+
     spread = F.explode(F.sequence(F.lit(0), F.floor((F.col("leaves") - 1) / BLOCK))).alias("place")
     nodes = []
-    for k, groups in enumerate(own[1:], 1):     # the first four levels are the anchor's
-        path = _paths(groups, k)
-        if k <= 2:                              # a node at step 1 has 81 leaves, at step 2 a block
-            nodes.append(path.select("tree", "step", F.col("at").alias("place"), "path"))
+    for k, groups in enumerate(own[1:], 1):
+        path = _paths(groups)
+        if k <= 2:                              # under a node of step 1 is a group of leaves, of step 2 a block
+            nodes.append(path.select("tree", F.lit(k).alias("step"), F.col("at").alias("place"), "path"))
         else:                                   # one row a block below the node
             below = F.lit(GROUP ** (k - 2))
             last = F.least((F.col("at") + 1) * below, F.ceil(F.col("leaves") / BLOCK)) - 1
             nodes.append(path.join(ranked.select("tree", "leaves"), "tree").select(
-                "tree", "step", F.explode(F.sequence(F.col("at") * below, last)).alias("place"), "path"))
+                "tree", F.lit(k).alias("step"), F.explode(F.sequence(F.col("at") * below, last)).alias("place"), "path"))
     for k, groups in enumerate(over):
-        path = _paths(groups, k).select("at", (F.col("step")).alias("up"), "path")
+        path = _paths(groups).drop("tree")
         nodes.append(ranked.withColumn("at", F.floor(F.col("idx") / F.lit(GROUP ** k))).join(path, "at").select(
-            "tree", (F.col("steps") + F.col("up")).alias("step"), spread, "path"))
-
-    anchor = start.where("n = 1").select(
-        "tree", F.lit(0).cast("long").alias("idx"), "doc_id", "changed", "hash", F.lit(0).alias("step"),
-        F.expr("CAST(array() AS array<struct<left: binary, right: binary>>)").alias("path"))
-    if own:
-        anchor = anchor.unionByName(_paths(own[0], 1, ["doc_id", "changed"]).withColumnRenamed("at", "idx").drop("n"))
-    anchor = anchor.join(ranked.select("tree", "subroot", "total"), "tree")
-    return _result(_climb(spark, anchor, nodes).withColumn("root", F.lit(bytes(root))))
-
-
-def _climb(spark, anchor: DataFrame, nodes: list[DataFrame]) -> DataFrame:
-    """The recursive ascent: (doc_id, leaf, subroot, proof, folded)."""
-    state = anchor.selectExpr(
-        "tree", "idx", "step", "total", "doc_id", "hash AS leaf", "subroot",
-        f"{fold('path', 'coalesce(changed, hash)')} AS folded", f"{appended('path', NOTHING)} AS proof")
-    if not nodes:
-        return state
-    stored = nodes[0]
-    for more in nodes[1:]:
-        stored = stored.unionByName(more)
-    names = {"merkle_anchor": cut_lineage(state, "merkle-anchor"), "merkle_nodes": cut_lineage(stored, "merkle-nodes")}
+            "tree", (F.col("steps") + k).alias("step"), spread, "path"))
+
+    climbed = _climb(own[0].join(ranked.select("tree", "total"), "tree"), reduce(DataFrame.union, nodes))
+    # the siblings below are the leaf's own, those above it shares with its group
+    each = F.transform("members", lambda m: F.struct(
+        m["doc_id"].alias("doc_id"), m["hash"].alias("leaf"), F.element_at("folded", m["i"]).alias("folded"),
+        F.concat(F.aggregate(path_of(m["p"]), F.lit(b""), lambda a, x: F.concat(a, x["left"], x["right"])),
+                 F.col("proof")).alias("proof")))
+    numbered = own[0].withColumn("members", F.transform("members", lambda m, i: m.withField("i", i + 1)))
+    out = numbered.join(climbed, ["tree", "top"]).join(ranked.select("tree", "subroot"), "tree")
+    return _result(out.select("subroot", F.inline(each)).withColumn("root", F.lit(bytes(root[0]) if root else None)))
+
+
+def _climb(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The recursive ascent of every leaf: (tree, top, folded, proof). The
+    leaves of a group go the same way, so they stand in one row: ``folded`` has
+    the digest of each, ``proof`` the siblings that they meet above the group."""
+    spark = groups.sparkSession
+    start = groups.select("tree", "top", F.lit(1).alias("step"), "total", F.transform("members", lambda m: F.aggregate(
+        path_of(m["p"]), F.coalesce(m["changed"], m["hash"]),
+        lambda a, x: _of_nodes(F.concat(x["left"], a, x["right"])))).alias("folded"), F.lit(b"").alias("proof"))
+    names = {"merkle_start": cut_lineage(start, "merkle-start"), "merkle_nodes": cut_lineage(nodes, "merkle-nodes")}
     for view, df in names.items():
         df.createOrReplaceTempView(view)
     limit = spark.conf.get(ROW_LIMIT)
     spark.conf.set(ROW_LIMIT, "-1")             # whole results
     try:
         return cut_lineage(spark.sql(f"""
-            WITH RECURSIVE climb(tree, idx, step, total, doc_id, leaf, subroot, folded, proof) AS (
-              SELECT tree, idx, step, total, doc_id, leaf, subroot, folded, proof FROM merkle_anchor
+            WITH RECURSIVE climb(tree, top, step, total, folded, proof) AS (
+              SELECT tree, top, step, total, folded, proof FROM merkle_start
               UNION ALL
-              SELECT c.tree, c.idx, c.step + 1, c.total, c.doc_id, c.leaf, c.subroot,
-                     {fold('n.path', 'c.folded')}, {appended('n.path', 'c.proof')}
+              SELECT c.tree, c.top, c.step + 1, c.total,
+                     transform(c.folded, d -> aggregate(n.path, d, (a, x) ->
+                       unhex(sha2(cast(lower(hex(concat(x.left, a, x.right))) AS binary), 256)))),
+                     aggregate(n.path, c.proof, (a, x) -> concat(a, x.left, x.right))
               FROM climb c JOIN merkle_nodes n ON n.tree = c.tree AND n.step = c.step
-               AND n.place = CASE c.step WHEN 0 THEN c.idx WHEN 1 THEN c.idx div {GROUP} ELSE c.idx div {BLOCK} END)
-            SELECT doc_id, leaf, subroot, folded, proof FROM climb WHERE step = total"""), "merkle-climb")
+               AND n.place = CASE c.step WHEN 1 THEN c.top ELSE c.top div {GROUP} END)
+            SELECT tree, top, folded, proof FROM climb WHERE step = total"""), "merkle-climb")
     finally:
         spark.conf.set(ROW_LIMIT, limit)
         for view in names:

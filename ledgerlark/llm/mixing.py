@@ -15,7 +15,10 @@ targets (weights times a token budget).
 * Residuals of each domain are scaled by its own spread; the step is one over
   the largest eigenvalue of the scaled domain Gram matrix.
 
-The classifier (softmax over ``hashed_text`` features) is fitted on at most
+* Tokens and posteriors of a text are sums over its pieces (``pieces``), each
+  distinct piece counted and scored once.
+
+The classifier (softmax over hashed byte n-grams within pieces) is fitted on at most
 ``MAX_LABELLED`` labelled documents (smallest XXH64 of the doc_id), a documented
 bound; their features stay on the executors, which send the gradient of each
 step. Everything else covers all documents.
@@ -23,9 +26,9 @@ step. Everything else covers all documents.
 Defined results
 * null or empty text: no tokens and even posteriors; it takes no part in the
   totals and gets the rate of its posteriors;
-* targets that no nonnegative rates meet (say, of 0 for a domain that shares
-  documents with others) are approached, to about 1 % of the tokens after
-  ``ROUNDS`` rounds; others are met to ``CLOSE``;
+* targets that no allowed rates meet (say, of 0 for a domain that shares
+  documents with others) are approached until the largest miss no longer
+  shrinks, and the fit says so (``met``); others are met to ``CLOSE``;
 * a target domain that no document belongs to can't be met and is left out; with
   no tokens at all every rate is 1;
 * labels that are null are no domain; with one domain only, it is certain;
@@ -38,18 +41,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .bpe import encoder
-from .common import ids_and_text, one_text_each, raw_bytes, release, row_ranges
-from .hashed_text import frequencies, scores
+from . import pieces
+from .common import ids_and_text, one_text_each, release, whole_text
 
 #: Its tokens are counted.
 TOKENIZER = "byte_bpe_50k.json"
@@ -60,8 +62,11 @@ PIECE = 250
 GRAIN = 1_000
 STEPS = 60
 RIDGE = 1e-4
-ROUNDS = 100
 CLOSE = 1e-4
+#: The fit ends unmet when so many rounds make the largest miss no smaller by a
+#: hundredth.
+PATIENCE = 60
+MARGIN = 0.02
 
 
 # -- domain classifier --------------------------------------------------------
@@ -72,17 +77,19 @@ class DomainModel:
     weights: np.ndarray   # bucket x domain
     bias: np.ndarray
 
-    def posteriors(self, text: bytes) -> np.ndarray:
-        """In whole steps of 1/GRAIN that sum to GRAIN."""
-        if not text:
-            p = np.full(len(self.domains), 1 / len(self.domains))
-        else:
-            z = scores(text, self.weights) + self.bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
+    def key(self) -> str:
+        return sha256(self.weights.tobytes() + self.bias.tobytes()).hexdigest()
+
+    def posteriors(self, scores: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Of mean scores, in whole steps of 1/GRAIN that sum to GRAIN; even
+        where not ``known``."""
+        z = scores + self.bias
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        p[~known] = 1 / len(self.domains)
         q = np.floor(p * GRAIN).astype(np.int64)
-        q[np.argsort(q - p * GRAIN, kind="stable")[:GRAIN - q.sum()]] += 1
-        return q
+        rest = np.argsort(np.argsort(q - p * GRAIN, axis=1, kind="stable"), axis=1)   # the largest remainders first
+        return q + (rest < GRAIN - q.sum(axis=1, keepdims=True))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str, doc_id: str = "doc_id", text: str = "text",
@@ -97,7 +104,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str, doc_id: str =
         for batch in batches:
             for at in range(0, batch.num_rows, PIECE):
                 part = batch.slice(at, PIECE)
-                rows = [frequencies(t.as_py(), DOMAIN_DIM) for t in raw_bytes(part["text"])]
+                rows = pieces.frequencies(part["text"], [], DOMAIN_DIM)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["domain"], pa.array([r[0] for r in rows], pa.list_(pa.int32())),
                      pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["doc_id", "domain", "at", "f"])
@@ -180,28 +187,34 @@ def _gradient(names: list[str], weights: np.ndarray, bias: np.ndarray) -> Callab
     return part
 
 
+def membership_column(text: Column, model: DomainModel, tokenizer: str = TOKENIZER) -> Column:
+    """struct(n, q) of a string column without nulls: byte-level tokens and
+    posteriors in steps of 1/GRAIN."""
+    path, key, k = public_tokenizers.path(tokenizer), model.key(), len(model.domains)
+
+    def run(values: pa.Array) -> pa.Array:
+        sums = pieces.sums(path, key, model.weights)
+        n, scores = pieces.each_range(values, sums.of)
+        size = np.diff(values.offsets.to_numpy()) if hasattr(values, "offsets") else n
+        q = model.posteriors(scores, size > 0)
+        release()
+        lists = pa.ListArray.from_arrays(np.arange(len(q) + 1, dtype=np.int32) * k, pa.array(q.ravel()))
+        return pa.StructArray.from_arrays([pa.array(n), lists], ["n", "q"])
+
+    run.__annotations__ = {"values": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "struct<n:long,q:array<long>>").asNondeterministic()(text)
+
+
 def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", text: str = "text",
                 tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, n_tokens, q0..): byte-level tokens and posteriors in steps of
     1/GRAIN."""
-    k = len(model.domains)
-    names = [f"q{j}" for j in range(k)]
-    path = public_tokenizers.path(tokenizer)
+    rows = ids_and_text(docs, doc_id, text).select("doc_id", membership_column(F.col("text"), model, tokenizer).alias("m"))
+    return rows.select("doc_id", F.col("m.n").alias("n_tokens"), *_posteriors("m", len(model.domains)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for batch in batches:
-            for a, b in row_ranges(batch["text"]):
-                texts = batch["text"].slice(a, b - a)
-                q = np.array([model.posteriors(t.as_py()) for t in raw_bytes(texts)], np.int64).reshape(-1, k)
-                n = pc.list_value_length(enc.encode(texts)).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(a, b - a), n, *(pa.array(q[:, j]) for j in range(k))],
-                    ["doc_id", "n_tokens", *names])
-            release()
 
-    return ids_and_text(docs, doc_id, text).mapInArrow(
-        run, f"doc_id long, n_tokens long, {', '.join(f'{n} long' for n in names)}")
+def _posteriors(struct: str, k: int) -> list[Column]:
+    return [F.col(f"{struct}.q")[j].alias(f"q{j}") for j in range(k)]
 
 
 # -- rates --------------------------------------------------------------------
@@ -209,15 +222,17 @@ def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", tex
 @dataclass
 class Rates:
     """Rates as a function of posteriors: a start value and the steps so far,
-    each taken from where the last two rates point (Nesterov's momentum)."""
+    each taken from where the last two rates point (Nesterov's momentum), and
+    never below ``least``."""
 
     start: float
     steps: list[np.ndarray]   # by iteration and domain
+    least: float = 0.0
 
     def _fold(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         r = ahead = np.full(len(p), self.start)
         for k, s in enumerate(self.steps):
-            last, r = r, np.maximum(0.0, ahead - p @ s)
+            last, r = r, np.maximum(self.least, ahead - p @ s)
             ahead = r + k / (k + 3) * (r - last)
         return r, ahead
 
@@ -247,12 +262,24 @@ def _totals(kinds: DataFrame, k: int, rates: Rates) -> tuple[np.ndarray, np.ndar
     return both[0], both[1]
 
 
-def fit_rates(member: DataFrame, domains: list[str], weights: dict[str, float], budget: float | str = "corpus",
-              rounds: int = ROUNDS, close: float = CLOSE) -> tuple[Rates, np.ndarray, np.ndarray]:
-    """(rates, targets, reached): token targets and expected totals by domain.
+@dataclass
+class Fit:
+    """Fitted rates with the token targets of the domains and what the rates
+    are expected to reach."""
+
+    domains: list[str]
+    rates: Rates
+    target: np.ndarray
+    reached: np.ndarray
+    met: bool
+
 
-    ``budget``: tokens in all; 'corpus' for as many as there are, 'no_loss' for
-    the least with which no domain has to shrink."""
+def fit_rates(member: DataFrame, domains: list[str], weights: dict[str, float], budget: float | str = "corpus",
+              least: float = 0.0, close: float = CLOSE, patience: int = PATIENCE) -> Fit:
+    """``budget``: tokens in all; 'corpus' for as many as there are, 'no_loss'
+    for the least with which no domain has to shrink, and a ``MARGIN`` more if
+    rates have a floor: documents of several domains lift them all. ``least``:
+    the smallest rate allowed."""
     k = len(domains)
     kinds = cut_lineage(_kinds(member, k), "mixing-kinds")
     p = [F.col(f"q{j}") / GRAIN for j in range(k)]
@@ -262,59 +289,57 @@ def fit_rates(member: DataFrame, domains: list[str], weights: dict[str, float],
     gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
     share = np.array([max(0.0, float(weights.get(d, 0.0))) for d in domains]) * (own > 0)
     if not own.sum() or not share.sum():
-        return Rates(1.0, []), np.zeros(k), own
+        return Fit(domains, Rates(1.0, []), np.zeros(k), own, not own.sum())
     share /= share.sum()
     if budget == "no_loss":
-        budget = float(max(own[j] / share[j] for j in range(k) if share[j] > 0))
+        budget = float(max(own[j] / share[j] for j in range(k) if share[j] > 0)) * (1 + MARGIN * (least > 0))
     total = own.sum() if budget == "corpus" else float(budget)
     target = share * total
     scale = np.where(own > 0, 1 / np.maximum(np.diag(gram), 1e-300), 0.0)   # squared weights
     half = np.sqrt(scale)
     step = 1 / float(np.linalg.eigvalsh(half[:, None] * gram * half[None, :]).max())
-    rates = Rates(total / own.sum(), [])
+    rates = Rates(max(least, total / own.sum()), [], least)
     reached, ahead = _totals(kinds, k, rates)
-    for _ in range(rounds):
-        if np.abs(reached - target).max() <= close * total:
+    best, since = (np.inf, rates, reached), 0
+    while True:
+        miss = np.abs(reached - target).max()
+        since = 0 if miss < 0.99 * best[0] else since + 1
+        if miss < best[0]:
+            best = miss, rates, reached
+        if miss <= close * total or since >= patience:
             break
-        rates = Rates(rates.start, [*rates.steps, step * scale * (ahead - target)])
+        rates = Rates(rates.start, [*rates.steps, step * scale * (ahead - target)], least)
         reached, ahead = _totals(kinds, k, rates)
-    return rates, target, reached
+    return Fit(domains, best[1], target, best[2], bool(best[0] <= close * total))
 
 
-def with_rates(member: DataFrame, domains: list[str], rates: Rates) -> DataFrame:
-    """(doc_id, n_tokens, domain, posterior, rate): the likeliest domain (ties:
-    the first by name) with its posterior, and the rate."""
-    k = len(domains)
+def with_rates(member: DataFrame, fit: Fit) -> DataFrame:
+    """(doc_id, n_tokens, domain, posterior, rate, domain_target,
+    domain_reached): the likeliest domain (ties: the first by name) with its
+    posterior, the rate, and the tokens the domain should have and is expected to
+    have at the rates, so that a target that isn't met is seen."""
+    k = len(fit.domains)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = np.stack([batch[f"q{j}"].to_numpy() for j in range(k)], axis=1)
             top = q.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["n_tokens"], pa.array([domains[j] for j in top], pa.string()),
-                 pa.array(q[np.arange(len(q)), top] / GRAIN, pa.float64()), pa.array(rates.of(q / GRAIN), pa.float64())],
-                ["doc_id", "n_tokens", "domain", "posterior", "rate"])
+                [batch["doc_id"], batch["n_tokens"], pa.array([fit.domains[j] for j in top], pa.string()),
+                 pa.array(q[np.arange(len(q)), top] / GRAIN, pa.float64()), pa.array(fit.rates.of(q / GRAIN), pa.float64()),
+                 pa.array(fit.target[top], pa.float64()), pa.array(fit.reached[top], pa.float64())],
+                ["doc_id", "n_tokens", "domain", "posterior", "rate", "domain_target", "domain_reached"])
 
-    return member.mapInArrow(run, "doc_id long, n_tokens long, domain string, posterior double, rate double")
+    return member.mapInArrow(run, "doc_id long, n_tokens long, domain string, posterior double, rate double, "
+                                  "domain_target double, domain_reached double")
 
 
 def mix(docs: DataFrame, labelled: DataFrame, domain: str, weights: dict[str, float], budget: float | str = "corpus",
         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, domain, posterior, rate), one row per document."""
+    """The rows of ``with_rates``, one per document."""
     model = fit_domains(docs, labelled, domain, doc_id, text)
     member = cut_lineage(memberships(docs, model, doc_id, text), "mixing-members")
-    rates, _, _ = fit_rates(member, model.domains, weights, budget)
-    return with_rates(member, model.domains, rates)
-
-
-def rate_column(text: Column, model: DomainModel, rates: Rates) -> Column:
-    """The rate of a string column."""
-    def run(values: pa.Array) -> pa.Array:
-        q = np.array([model.posteriors(t.as_py() or b"") for t in raw_bytes(values)]).reshape(-1, len(model.domains))
-        return pa.array(rates.of(q / GRAIN), pa.float64())
-
-    run.__annotations__ = {"values": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "double").asNondeterministic()(text)
+    return with_rates(member, fit_rates(member, model.domains, weights, budget))
 
 
 def tempered(member: DataFrame, domains: list[str], power: float) -> dict[str, float]:
@@ -323,16 +348,32 @@ def tempered(member: DataFrame, domains: list[str], power: float) -> dict[str, f
     return {d: float(x or 0) ** power if x else 0.0 for d, x in zip(domains, own)}
 
 
-def resample(docs: DataFrame, model: DomainModel, rates: Rates, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, each as often as its rate says: the whole part of
-    the rate, and once more where a hash of doc_id and text falls below the
-    rest; a document with a positive rate is never lost."""
-    cols = docs.columns
-    c = "__mixing_rate"
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    draw = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), body), F.lit(1 << 20)) / float(1 << 20)
-    out = docs.withColumn(c, rate_column(body, model, rates))
-    copies = F.when(F.col(c) > 0, F.greatest(
-        F.lit(1), (F.floor(c) + (draw < F.col(c) - F.floor(c)).cast("int")).cast("int"))).otherwise(F.lit(0))
-    out = out.withColumn(c, F.explode(F.array_repeat(F.lit(1), copies)))
-    return out.select(*[F.col(f"`{x}`") for x in cols])
+MEMBER, RATE = "__mixing_member", "__mixing_rate"
+
+
+def with_members(docs: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:
+    """``docs``, stored, with tokens and posteriors in the column ``MEMBER``:
+    each text is looked at once, and its rate needs no join."""
+    return cut_lineage(docs.withColumn(MEMBER, membership_column(whole_text(docs, text), model)), "mixing-documents")
+
+
+def members_of(docs: DataFrame, k: int) -> DataFrame:
+    """(n_tokens, q0..) of the rows of ``with_members``."""
+    return docs.select(F.col(f"{MEMBER}.n").alias("n_tokens"), *_posteriors(MEMBER, k))
+
+
+def resample(docs: DataFrame, rates: Rates, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` (of ``with_members``), each as often as its rate
+    says: the whole part of the rate, and once more where a hash of doc_id and
+    text falls below the rest; so the totals expected are the fitted ones, and
+    with rates of 1 or more no document is lost."""
+    def run(q: pa.Array) -> pa.Array:
+        p = np.asarray(q.flatten()).reshape(len(q), -1) / GRAIN
+        return pa.array(rates.of(p), pa.float64())
+
+    run.__annotations__ = {"q": pa.Array, "return": pa.Array}
+    draw = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), whole_text(docs, text)), F.lit(1 << 20)) / float(1 << 20)
+    out = docs.withColumn(RATE, F.arrow_udf(run, "double").asNondeterministic()(F.col(f"{MEMBER}.q")))
+    copies = (F.floor(RATE) + (draw < F.col(RATE) - F.floor(RATE)).cast("int")).cast("int")
+    out = out.withColumn(RATE, F.explode(F.array_repeat(F.lit(1), copies)))
+    return out.select(*[F.col(f"`{x}`") for x in docs.columns if x != MEMBER])

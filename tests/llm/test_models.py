@@ -181,8 +181,13 @@ def test_rates_meet_targets(spark, weights):
     n = rnd.integers(0, 500, 300)
     member = spark.createDataFrame([(i, int(n[i]), *map(int, q[i])) for i in range(300)],
                                    "doc_id long, n_tokens long, q0 long, q1 long, q2 long")
-    rates, target, reached = M.fit_rates(member, ["a", "b", "c"], dict(zip("abc", weights)), close=1e-5)
-    got = {r.doc_id: r.rate for r in M.with_rates(member, ["a", "b", "c"], rates).collect()}
+    fit = M.fit_rates(member, ["a", "b", "c"], dict(zip("abc", weights)), close=1e-5)
+    target, reached = fit.target, fit.reached
+    rows = M.with_rates(member, fit).collect()
+    got = {r.doc_id: r.rate for r in rows}
+    assert fit.met == (0.0 not in weights)                    # a target that can't be met is reported
+    assert all(r.domain_target == target["abc".index(r.domain)] for r in rows)
+    assert all(r.domain_reached == reached["abc".index(r.domain)] for r in rows)
     p = q / M.GRAIN
     r = np.array([got[i] for i in range(300)])
     assert (r >= 0).all() and np.allclose((r * n) @ p, reached)
@@ -194,18 +199,44 @@ def test_rates_meet_targets(spark, weights):
 def test_no_loss_and_odd_rows(spark, odd, empty):
     labelled = odd.select("doc_id", "lang")
     model = M.fit_domains(odd, labelled, "lang")
-    member = M.memberships(odd, model)
-    rates, target, reached = M.fit_rates(member, model.domains, M.tempered(member, model.domains, 0.5), "no_loss")
-    out = M.resample(odd, model, rates)
+    rows = M.with_members(odd, model)
+    member = M.members_of(rows, len(model.domains))
+    fit = M.fit_rates(member, model.domains, M.tempered(member, model.domains, 0.5), "no_loss", least=1.0)
+    out = M.resample(rows, fit.rates)
     assert out.columns == odd.columns
-    assert {r.doc_id for r in out.collect()} == {r.doc_id for r in odd.collect()}
+    assert {r.doc_id for r in out.collect()} == {r.doc_id for r in odd.collect()} and out.count() >= odd.count()
     assert M.mix(odd, labelled, "lang", {"en": 1, "xx": 1}).count() == 10
     assert M.mix(empty, labelled, "lang", {"en": 1}).count() == 0
     assert {r.rate for r in M.mix(odd, labelled.limit(0), "lang", {}).collect()} == {1.0}
 
 
+def test_held_out_languages_and_totals_after_resampling(spark):
+    """Languages of documents whose labels the fit hasn't seen; tokens of the
+    repeated documents against the targets of the fit."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = T.held_out(F.col("doc_id"))
+    model = M.fit_domains(docs, docs.where(~held).join(labels, "doc_id", "left_semi"), "lang")
+    rows = M.with_members(docs, model)
+    top = [F.struct(F.col(f"{M.MEMBER}.q")[j].alias("q"), F.lit(d).alias("d")) for j, d in enumerate(model.domains)]
+    assert rows.where(held & (F.greatest(*top)["d"] == F.col("lang"))).count() >= 0.999 * rows.where(held).count()
+    member = M.members_of(rows, len(model.domains))
+    fit = M.fit_rates(member, model.domains, M.tempered(member, model.domains, 0.7), "no_loss", least=1.0)
+    assert fit.met and np.abs(fit.reached - fit.target).max() <= M.CLOSE * fit.target.sum()
+    again = M.memberships(M.resample(rows, fit.rates), model)
+    got = again.agg(*[F.sum(F.col("n_tokens") * F.col(f"q{j}") / M.GRAIN) for j in range(len(model.domains))]).first()
+    assert np.abs(np.array(got) - fit.target).max() < 0.01 * fit.target.sum()
+
+
+def random_texts(n):
+    rnd = np.random.default_rng(7)
+    parts = [" ", "  ", "\n", "\n\n", "   ", "\t", "\r\n", "\u00a0", "\u3000", "\u2009", "a", "The", "é", "Éa", "’", "'s", "don't", ".", "...",
+             "x1", "12", "日本", "<|endoftext|>", "×", "÷a", "ß!", "\x1c", "\x85", "_", "-"]
+    return ["".join(rnd.choice(parts, rnd.integers(0, 25))) for _ in range(n)]
+
+
 def test_tokens_are_the_encoders(spark, odd):
     docs = odd.select("doc_id", "text").union(spark.createDataFrame([(90, "日本語の文章" * 20), (91, "QUJDRA" * 30)], "doc_id long, text string"))
+    docs = docs.union(spark.createDataFrame([(92 + i, t) for i, t in enumerate(random_texts(400))], "doc_id long, text string"))
     got = M.memberships(docs, M.fit_domains(odd, odd.select("doc_id", "lang"), "lang")).select("doc_id", "n_tokens").collect()
     want = bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "n_tokens").collect()
     key = lambda r: (r.doc_id or 0, r.n_tokens)
