@@ -8,8 +8,8 @@ back in between (in the shared folder named by spark.checkpoint.dir):
                    are those that op9's held-out rule doesn't hold out;
 3. near_duplicates one document of each SimHash class stays (3-word shingles,
                    2 bits);
-4. mixing          documents are repeated by fitted rates, so that languages
-                   meet tempered target weights; no document is lost;
+4. mixing          documents are repeated by fitted rates of 1 or more, so that
+                   languages meet tempered target weights and none is lost;
 5. encoding        byte-level ids, and the digest of what they decode to.
 
 A document with null or empty text fails the first stage. Rows that repeat are
@@ -52,9 +52,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     known = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
     labelled = docs.select("doc_id", "lang").join(known, "doc_id", "left_semi")
     model = mixing.fit_domains(docs, labelled, "lang")
-    member = cut_lineage(mixing.memberships(docs, model), "mixing-members")
-    rates, _, _ = mixing.fit_rates(member, model.domains, mixing.tempered(member, model.domains, TEMPER), "no_loss")
-    return mixing.resample(docs, model, rates)
+    rows = mixing.with_members(docs, model)
+    member = mixing.members_of(rows, len(model.domains))
+    fit = mixing.fit_rates(member, model.domains, mixing.tempered(member, model.domains, TEMPER), "no_loss", least=1.0)
+    return mixing.resample(rows, fit.rates)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
