@@ -40,6 +40,25 @@ def test_few_and_none(spark):
     assert P.top_k(P.quantized(spark.createDataFrame([], schema)), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e4, 1e6, 4e6, 3e15])
+def test_large_components(spark, size):
+    """Products beyond the whole numbers of doubles, and sums that could be
+    beyond longs."""
+    rnd = random.Random(11)
+    rows = [(i, [rnd.uniform(-size, size) for _ in range(3)]) for i in range(120)]
+    if size > 1e15:
+        rows = [(10 * i, [size * rnd.choice([-1, 0, 1]), rnd.uniform(-1e6, 1e6), 0.0]) for i in range(120)] + [(5, [0.0, 1e6, size])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = P.top_k(P.quantized(df), F.col("vec_id") % 10 == 5, 5, 4, 16)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == brute(rows, lambda i: i % 10 == 5, 5)
+
+
+def test_beyond_the_long_range_is_an_error(spark):
+    for rows in ([(0, [1e30]), (1, [1.0])], [(0, [1e15]), (1, [1e15])]):
+        with pytest.raises(Exception, match="long range"):
+            P.top_k(P.quantized(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), F.col("vec_id") == 0).collect()
+
+
 def test_bounds_hold():
     import numpy as np
     rnd = np.random.default_rng(1)
