@@ -1,12 +1,25 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at its block-level tags. The first pass judges each
-block by itself: its container (menus, headers, footers, sidebars, notices,
-adverts, forms, comments are out; where a page marks an article or main part,
-what lies outside is out), its link density, its length and its density of
-stop words. It leaves each block good, bad or undecided (short, or between the
-thresholds). The second pass gives the undecided ones the label of their
-nearest decided neighbours within the same part of the page.
+block by itself, by its container (menus, headers, footers, sidebars, notices,
+adverts, forms, comments are out), its link density, its length and its density
+of stop words: it is good, bad or undecided (short, or between the thresholds).
+The second pass gives the undecided ones the label of their nearest decided
+neighbours within the same part of the page.
+
+A part is an `article` or `main` element, or what lies outside all of them. Which
+parts hold the article is told by the good text that the first pass finds:
+
+* as much or more within marked parts than outside (none at all included): what
+  lies outside is out, and so is a part that has no good text and looks like a
+  card (by its class, or more than half links). Within the others, which are
+  kept whole, few stop words leave a block undecided, and a part's edges count
+  as good;
+* more outside: the marks tell nothing, and all parts are judged by the two
+  passes alone, their edges counting as bad.
+
+Class and id words count as whole names: `ad-7` or `cookie-notice` name what isn't
+the article, `ad-hoc` or `share-price` don't.
 
 Pages are independent, so the work is one pass over the rows, no shuffle.
 
@@ -63,6 +76,15 @@ OUT_NAMES = frozenset((
     "newsletter notice notices overlay pager pagination paywall popup promo promoted promotion recommended related "
     "replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser "
     "toolbar topbar widget widgets").split())
+#: Words that a name may have beside one of those.
+NEUTRAL_NAMES = frozenset((
+    "area article bar big block blog body bottom box button buttons center column container content entry fixed footer "
+    "form frame group head header holder icon icons inline inner item items js large left link links list main "
+    "medium mobile module news outer page panel post posts primary rail reader region right row secondary section "
+    "side site slot small space story sub sticky text thread top unit user view wrap wrapper").split())
+CARD_NAMES = frozenset("card cards excerpt preview promo related summary teaser teasers tile tiles".split())
+COMMENT_NAMES = frozenset("comment comments reply replies respond teaser related".split())
+HEADER_NAMES = frozenset("global head header main page site top".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
@@ -79,10 +101,16 @@ class Block:
     text: str
     link_chars: int
     out: bool       # in a container that holds no article text
-    part: int       # 0, or the article or main element it lies in
+    part: int       # 0, or the innermost article or main element it lies in
     heading: bool
 
 
+@dataclass
+class Part:
+    parent: int
+    card: bool      # named so
+
+
 def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(rest)}
 
@@ -100,21 +128,31 @@ def _is_out(tag: str, rest: str, in_part: bool) -> bool:
         return True
     if tag in ("html", "body", "main"):
         return False
-    names = {w.lower() for w in NAME_WORDS.findall(f"{a.get('class', '')} {a.get('id', '')}")}
     if tag == "article":
-        names &= {"comment", "comments", "reply", "teaser", "related"}
-    return bool(names & OUT_NAMES) or not in_part and "header" in names
+        return _named(a, COMMENT_NAMES, NEUTRAL_NAMES)
+    return _named(a, OUT_NAMES, NEUTRAL_NAMES) or not in_part and _named(a, frozenset(("header",)), HEADER_NAMES)
+
+
+def _named(attributes: dict[str, str], names: frozenset[str], beside: frozenset[str]) -> bool:
+    """Whether a class or id consists of these names, and words that go beside
+    them, with one of the names at least."""
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = {w.lower() for w in NAME_WORDS.findall(token) if not w.isdigit()}
+        if words & names and words <= names | beside:
+            return True
+    return False
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's blocks in order, empty ones left out."""
+def blocks(page: str) -> tuple[list[Block], list[Part]]:
+    """The page's blocks in order, empty ones left out, and its parts; the
+    first is what lies outside all others."""
     found: list[Block] = []
+    parts = [Part(0, False)]
     text: list[str] = []
     linked: list[str] = []
     # open elements: tag, elements that are out so far, part, in a link
     stack: list[tuple[str, bool, int, bool, bool]] = [("", False, 0, False, False)]
     opened: dict[str, int] = {}
-    parts = 0
     heading = False
 
     def close() -> None:
@@ -166,30 +204,23 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID_TAGS or rest.endswith("/") and tag not in BLOCK_TAGS:
             continue
         _, out, part, link, header = stack[-1]
-        if tag in ("article", "main") and not part and not out:
-            parts += 1
-            part = parts
+        if tag in ("article", "main") and not out:
+            parts.append(Part(part, "=" in rest and _named(_attributes(rest), CARD_NAMES, NEUTRAL_NAMES)))
+            part = len(parts) - 1
         if tag == "header":  # a page's is out; an article's keeps its headings
             header, out = True, out or not part
         stack.append((tag, out or _is_out(tag, rest, bool(part)), part, link or tag == "a", header))
         opened[tag] = opened.get(tag, 0) + 1
     close()
-    return found
+    return found, parts
 
 
-def first_pass(b: Block, marked: bool) -> bool | None:
-    """Good, bad, or None where only the neighbours can tell.
-
-    ``marked``: the page marks its article; then long blocks in it are good by
-    their place, whatever their words."""
-    if b.out or marked and not b.part:
-        return False
-    if b.link_chars > LINKS * len(b.text):
+def first_pass(b: Block) -> bool | None:
+    """Good, bad, or None where only the neighbours can tell."""
+    if b.out or b.link_chars > LINKS * len(b.text):
         return False
     if len(b.text) < SHORT:
         return None
-    if marked:
-        return True
     words = WORDS.findall(b.text.lower())
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if density >= STOP_HIGH:
@@ -197,17 +228,32 @@ def first_pass(b: Block, marked: bool) -> bool | None:
     return None if density >= STOP_LOW else False
 
 
-def second_pass(found: list[Block], labels: list[bool | None], marked: bool) -> list[bool]:
+def kept_parts(found: list[Block], parts: list[Part], labels: list[bool | None]) -> set[int]:
+    """The marked parts that hold the article by what the first pass finds;
+    none if the marks tell nothing."""
+    good, chars, links = ([0] * len(parts) for _ in range(3))
+    for b, label in zip(found, labels):
+        if not b.out:
+            good[b.part] += len(b.text) * bool(label)
+            chars[b.part] += len(b.text)
+            links[b.part] += b.link_chars
+    if not sum(chars[1:]) or sum(good[1:]) < good[0]:
+        return set()
+    kept = {i for i in range(1, len(parts)) if good[i] or not (parts[i].card or links[i] > LINKS * chars[i])}
+    return kept or set(range(1, len(parts)))     # cards only: they are what there is
+
+
+def second_pass(found: list[Block], labels: list[bool | None], whole: set[int]) -> list[bool]:
     """Undecided blocks inherit from the nearest decided neighbours on either
-    side that lie in the same part and aren't out by their container. In a
-    marked article, whose edges count as good, a block is bad only between two
-    bad ones; elsewhere, with edges that count as bad, the nearer side decides
-    and a tie is bad."""
+    side that lie in the same part and aren't out by their container. In a part
+    that is kept ``whole``, whose edges count as good, a block is bad only
+    between two bad ones; elsewhere, with edges that count as bad, the nearer
+    side decides and a tie is bad."""
     far = len(found) + 1
     before: list[tuple[int, bool]] = []
     latest: dict[int, tuple[int, bool]] = {}
     for i, b in enumerate(found):
-        before.append(latest.get(b.part, (-far, marked)))
+        before.append(latest.get(b.part, (-far, b.part in whole)))
         if labels[i] is not None and not b.out:
             latest[b.part] = (i, bool(labels[i]))
     latest = {}
@@ -215,19 +261,33 @@ def second_pass(found: list[Block], labels: list[bool | None], marked: bool) ->
     for i in range(len(found) - 1, -1, -1):
         b = found[i]
         if labels[i] is None:
-            (p, was), (q, comes) = before[i], latest.get(b.part, (i + 2 * far, marked))
-            out[i] = was or comes if marked else was and comes if i - p == q - i else was if i - p < q - i else comes
+            (p, was), (q, comes) = before[i], latest.get(b.part, (i + 2 * far, b.part in whole))
+            if b.part in whole:
+                out[i] = was or comes
+            else:
+                out[i] = was and comes if i - p == q - i else was if i - p < q - i else comes
         elif not b.out:
             latest[b.part] = (i, bool(labels[i]))
     return out
 
 
+def judged(page: str) -> list[tuple[Block, bool]]:
+    """The blocks of a page, each good or not."""
+    found, parts = blocks(page)
+    labels = [first_pass(b) for b in found]
+    whole = kept_parts(found, parts, labels)
+    if whole:
+        for i, b in enumerate(found):
+            if b.part not in whole:
+                labels[i] = False
+            elif labels[i] is False and not b.out and b.link_chars <= LINKS * len(b.text):
+                labels[i] = None                # few stop words alone don't cut an article
+    return list(zip(found, second_pass(found, labels, whole)))
+
+
 def main_text(page: str | None) -> str:
     """The good blocks of a page, joined by blank lines."""
-    found = blocks(page or "")
-    marked = any(b.part and not b.out for b in found)
-    labels = second_pass(found, [first_pass(b, marked) for b in found], marked)
-    return "\n\n".join(b.text for b, good in zip(found, labels) if good)
+    return "\n\n".join(b.text for b, good in judged(page or "") if good)
 
 
 def main_text_column(page: Column) -> Column:
