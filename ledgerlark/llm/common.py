@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
@@ -20,8 +23,31 @@ SLICE_BYTES = 4 << 20
 SAMPLE_TASKS = 16
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the session's Python workers, once a session: a
+    worker imports it, so that what it keeps between tasks is found again, and
+    may not have it on its own path."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.basename(package)
+        path = os.path.join(tempfile.mkdtemp(prefix=f"{name}-py-"), f"{name}.zip")   # Spark hands out copies
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, files in os.walk(package):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.join(name, os.path.relpath(full, package)))
+        spark.sparkContext.addPyFile(path)
+
+
 def whole_text(df: DataFrame, text: str = "text") -> Column:
     """The whole text as a string; null reads as empty."""
+    ship(df.sparkSession)
     return F.coalesce(df[text].cast(StringType()), F.lit(""))
 
 

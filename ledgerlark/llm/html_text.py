@@ -41,6 +41,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole_text
+
 #: Frequent function words of four languages.
 STOP_WORDS = frozenset((
     "a about after all also an and are as at be because been but by can could did do for from had has have he her his "
@@ -301,5 +303,5 @@ def main_text_column(page: Column) -> Column:
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars), one row per page."""
     return (pages.select(pages[page_id].cast("long").alias("page_id"), pages[url].cast("string").alias("url"),
-                         main_text_column(F.coalesce(pages[page].cast("string"), F.lit(""))).alias("text"))
+                         main_text_column(whole_text(pages, page)).alias("text"))
             .withColumn("n_chars", F.char_length("text").cast("long")))

@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut_lineage
+from .common import ship
 
 K = 5
 PIVOTS = 64
@@ -269,6 +270,7 @@ def _cell(k: int):
 def top_k(vectors: DataFrame, asked: Column, k: int = K, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products of each
     row of ``vectors`` (vec_id, v) for which ``asked`` holds, over all rows."""
+    ship(vectors.sparkSession)
     rows = cut_lineage(vectors.select("vec_id", "v", F.coalesce(asked, F.lit(False)).alias("ask")), "pivot-vectors")
     table = choose_pivots(rows.select("vec_id", "v"), pivots)
     blocks = cut_lineage(pack(rows, table, "ask", "u1", block), "pivot-blocks")

@@ -43,7 +43,7 @@ from pyspark.sql.window import Window
 
 from ..session import cut_lineage, stage_root
 from .bpe import byte_letters
-from .common import RecentCache, held, ids_and_text, release, row_ranges
+from .common import RecentCache, held, ids_and_text, release, row_ranges, ship
 
 LIMIT = 17
 STEP = 256
@@ -333,6 +333,7 @@ def write(ids: DataFrame, path: str, limit: int = LIMIT, block_tokens: int = BLO
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of token files: ``start`` counts the ids of
     all documents before, ``ids`` are little-endian 32-bit ids."""
+    ship(spark)
     book = spark.read.parquet(f"{path}/codebook").orderBy("id").toArrow()
     key, a, b = uuid.uuid4().hex, *(book[c].to_numpy().astype("<i8").tobytes() for c in ("id", "bits"))
 
