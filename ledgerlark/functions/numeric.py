@@ -34,13 +34,14 @@ def strip_formatting(c: Column) -> Column:
 
 
 def to_double(c: Column, strip_currency: bool = True) -> Column:
-    """Parse text to double; junk -> NULL.
+    """Parse text to double; junk, and numbers beyond doubles (``1e400``), -> NULL.
 
     ``strip_currency=False`` is the quality gate's strict reading (C5-C7),
     where ``$72.70`` is *not* a number.
     """
     s = strip_formatting(c) if strip_currency else strip_ws(c)
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    d = s.try_cast("double")
+    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(d) < float("inf")), d)
 
 
 def to_long(c: Column, strip_currency: bool = True) -> Column:
@@ -50,6 +51,26 @@ def to_long(c: Column, strip_currency: bool = True) -> Column:
     return F.when(d == F.floor(d), d.try_cast("long"))
 
 
+#: Line amounts from here on are quarantined: money is summed as DECIMAL(38,10),
+#: which holds 10**13 lines of less.
+AMOUNT_LIMIT = 1e15
+#: A discount that leaves a smaller part of the price is no discount.
+LEAST_PAID = 1e-6
+
+
+def amount_in_range(c: Column) -> Column:
+    """The amount, NULL if it is out of range."""
+    return F.when(F.abs(c) < AMOUNT_LIMIT, c)
+
+
+def bad_amount(unit_price: Column, line_revenue: Column, discount_pct: Column) -> Column:
+    """Whether a line's money can't be summed (never NULL)."""
+    paid = F.lit(1.0) - discount_pct / 100.0
+    over = [F.abs(c) >= AMOUNT_LIMIT for c in (unit_price, line_revenue, discount_pct)]
+    return F.coalesce(over[0], F.lit(False)) | F.coalesce(over[1], F.lit(False)) | F.coalesce(over[2], F.lit(False)) \
+        | F.coalesce((paid > 0) & (paid < LEAST_PAID), F.lit(False))
+
+
 def is_nonnumeric(c: Column) -> Column:
     """Present but not a strict number."""
     return c.isNotNull() & to_double(c, strip_currency=False).isNull()

@@ -37,3 +37,10 @@ def date_from_filename(name: Column) -> Column:
                               F.substring(compact, 7, 2))
     return F.coalesce(F.nullif(dashed, F.lit("")),
                       F.when(compact != "", compact_fmt))
+
+
+def calendar_day(c: Column) -> Column:
+    """The day that a ``yyyy-mm-dd`` text names; NULL for any other text and for
+    dates that no calendar has (``12/07/2026``, ``2026-13-45``). Rows of such
+    texts belong to no day; they stop nothing."""
+    return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c.try_cast("date"))

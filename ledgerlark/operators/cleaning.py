@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.numeric import to_double, to_long
+from ledgerlark.functions.numeric import bad_amount, to_double, to_long
 
 RAW_COLUMNS = [
     "source_file", "ingested_at", "order_id", "order_date", "store_id",
@@ -30,6 +30,7 @@ CLEAN_COLUMNS = [
     "sales_channel", "loyalty_member", "source_file",
 ]
 REASON_BAD_DATE = "missing_or_bad_order_date"
+REASON_AMOUNT = "amount_out_of_range"
 REASON_DUPLICATE = "duplicate_natural_key"
 
 
@@ -101,11 +102,13 @@ def tag_rows(raw: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
 
 
 def tag_lines(lines: DataFrame) -> DataFrame:
-    """D8 + D9 over typed lines. ``lines`` is read twice (winner aggregate and
+    """D8 + D9 over typed lines; lines whose amounts are beyond what money is
+    summed in are rejected between the two, so one absurd price stops no table. ``lines`` is read twice (winner aggregate and
     the join on ``row_uid``), so callers should pass a materialised frame
     (checkpoint / table) rather than a long lineage."""
     bad_date = F.col("order_date").isNull() | (F.col("order_date") == "")
-    dated = lines.where(~bad_date)
+    absurd = bad_amount(F.col("unit_price"), F.col("line_revenue"), F.col("discount_pct"))
+    dated = lines.where(~bad_date & ~absurd)
     if _has_long_ids(lines):
         # raw_id is a unique load sequence: min(long) is a hash aggregate
         winners = (dated.groupBy(*NATURAL_KEY).agg(F.min("raw_id").alias("row_uid"))
@@ -118,7 +121,8 @@ def tag_lines(lines: DataFrame) -> DataFrame:
              .withColumn("reject_reason",
                          F.when(F.col("_first").isNull(), F.lit(REASON_DUPLICATE)))
              .drop("_first"))
-    bad = lines.where(bad_date).withColumn("reject_reason", F.lit(REASON_BAD_DATE))
+    bad = lines.where(bad_date | absurd).withColumn(
+        "reject_reason", F.when(bad_date, REASON_BAD_DATE).otherwise(REASON_AMOUNT))
     return dated.unionByName(bad)
 
 

@@ -129,13 +129,14 @@ def weather_coverage(daily: DataFrame) -> DataFrame:
 def raw_reconcile(raw: DataFrame, daily: DataFrame) -> DataFrame:
     """F8: per order_date, net recomputed straight from raw text (D1 parsing
     only, no de-duplication, no catalog) vs daily_sales net. Shows where rows
-    or value were lost or duplicated upstream of clean."""
-    from ledgerlark.functions.numeric import to_long
+    or value were lost or duplicated upstream of clean. Amounts out of range
+    count as lines, not as money."""
+    from ledgerlark.functions.numeric import amount_in_range, to_long
     q = to_long(F.col("quantity")).cast("double")
     p = to_double(F.col("unit_price"))
     r = (raw.where(F.col("order_date").isNotNull() & (F.col("order_date") != ""))
          .groupBy("order_date")
-         .agg(F.count(F.lit(1)).alias("raw_lines"), to_cents(money_sum(q * p)).alias("raw_net")))
+         .agg(F.count(F.lit(1)).alias("raw_lines"), to_cents(money_sum(amount_in_range(q * p))).alias("raw_net")))
     d = (daily.groupBy("order_date")
          .agg(F.round(F.sum(F.col("net_revenue").cast("decimal(38,10)")), 2).cast("double").alias("daily_net")))
     j = r.join(d, "order_date", "full")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.text import calendar_day
 from ledgerlark.operators.crosswalk import CATEGORY_TO_DEPARTMENT
 from ledgerlark.operators.daily import money_sum, to_cents
 
@@ -104,8 +105,9 @@ def daily_series(daily: DataFrame) -> DataFrame:
 def week_over_week(daily: DataFrame) -> DataFrame:
     """Last day vs exactly seven calendar days earlier (missing -> 0).
     An equi-join of the daily series with itself on (date - 7) -- not
-    ``lag(7)``, dates have gaps -- then the row of the latest date."""
-    s = daily_series(daily).withColumn("_d", F.col("order_date").cast("date"))
+    ``lag(7)``, dates have gaps -- then the row of the latest date. Texts that
+    are no calendar day are neither; with none at all the row is NULL."""
+    s = daily_series(daily).withColumn("_d", calendar_day(F.col("order_date")))
     prev = s.select(F.col("_d").alias("_pd"), F.col("net_revenue").alias("_pn"),
                     F.col("units_sold").alias("_pu"))
     j = s.join(prev, F.date_sub(s._d, 7) == prev._pd, "left")

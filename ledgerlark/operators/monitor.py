@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.text import date_from_filename
+from ledgerlark.functions.text import calendar_day, date_from_filename
 
 INGESTION_COLUMNS = ["run_id", "run_timestamp", "source_url", "source_date_expected",
                      "source_date_found", "status", "rows_loaded", "file_hash", "error_message"]
@@ -82,8 +82,9 @@ def failed_records(unreadable: DataFrame, run_timestamp: Column | None = None,
 def missing_days(log: DataFrame) -> DataFrame:
     """Calendar days between the first and last logged date with no record.
 
-    The generated calendar is bounded by the date span, not by data volume."""
-    d = F.col("source_date_expected").cast("date")
+    The generated calendar is bounded by the date span, not by data volume.
+    File names with an impossible date are no day, neither logged nor missing."""
+    d = calendar_day(F.col("source_date_expected"))
     span = log.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
     days = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
     have = log.select(d.alias("day")).where(F.col("day").isNotNull()).distinct()
@@ -93,10 +94,11 @@ def missing_days(log: DataFrame) -> DataFrame:
 
 def republished(log: DataFrame) -> DataFrame:
     """Days whose file hash equals the previous calendar day's hash
-    (an identical re-publish). Equi-join on (day - 1), no global window."""
+    (an identical re-publish). Equi-join on (day - 1), no global window; a file
+    name with an impossible date has no day before it."""
     cur = log.select(F.col("source_date_expected").alias("date"),
-                     F.col("source_date_expected").cast("date").alias("_d"), "file_hash")
-    prev = log.select(F.col("source_date_expected").cast("date").alias("_pd"),
+                     calendar_day(F.col("source_date_expected")).alias("_d"), "file_hash")
+    prev = log.select(calendar_day(F.col("source_date_expected")).alias("_pd"),
                       F.col("file_hash").alias("_ph"))
     j = cur.join(prev, (F.date_sub(cur._d, 1) == prev._pd) & (cur.file_hash == prev._ph))
     return j.select("date", F.col("_pd").cast("string").alias("previous_date"), "file_hash")

@@ -24,7 +24,9 @@ Fixed values (adapter design, not reference data):
                   day's file; day 101 of a year published again as day 102,
                   whose own rows come a day late (days 100-102 have no other
                   copies); orphan product id (+9000000) when l_partkey % 97 = 0
-                  on ``new_product_id`` files
+                  on ``new_product_id`` files; a date as mm/dd/yyyy when l_orderkey
+                  % 601 = 0; a file name with month 13 when l_orderkey % 983 =
+                  0; price 1e15 or 1e400 when l_orderkey % 701 or 709 = 0
   - weather       no value when (day of year + store) % 37 = 0
   - legacy category by part type: ECONOMY camping, LARGE emergency, MEDIUM
                   footwear, PROMO hydration, SMALL outerwear, STANDARD patio;
@@ -93,6 +95,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.when((F.col("copy_no") == 1) | ((F.col("copy_no") == 0) & (doy == 102)), 1).otherwise(0)
     rows = base.withColumn("copy_no", F.explode(copies)).withColumn("file_d", F.date_add("d", shift))
     price = _s(F.when(doy == 45, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("l_extendedprice").cast("decimal(18,2)")))
+    price = F.when(key % 701 == 0, F.lit("1e15")).when(key % 709 == 0, F.lit("1e400")).otherwise(price)
     form = F.floor(key / 50) % 4
     nbsp = F.lit("\u00a0")
     dressed = (F.when(form == 0, F.concat(F.lit("$"), price)).when(form == 1, F.concat(F.lit("$ "), price))
@@ -105,7 +108,8 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     orphan_pk = _s(F.when(F.col("l_partkey") % 97 == 0, F.col("l_partkey") + 9000000)
                    .otherwise(F.col("l_partkey")))
     prio = F.substring("o_orderpriority", 1, 1)
-    source_file = F.concat(F.lit("orders_"), _s(F.col("file_d")), F.lit(".csv"))
+    source_file = F.concat(F.lit("orders_"), F.when(key % 983 == 0, F.concat(_s(y), F.lit("-13-45")))
+                           .otherwise(_s(F.col("file_d"))), F.lit(".csv"))
     return rows.select(
         F.struct(source_file.alias("f"), "copy_no", "l_orderkey", "l_linenumber",
                  "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -114,7 +118,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_file.alias("source_file"),
         F.concat(_s(F.col("file_d")), F.lit("T06:00:00Z")).alias("ingested_at"),
         F.concat(_s(F.col("l_orderkey")), F.lit("-"), _s(F.col("l_linenumber"))).alias("order_id"),
-        F.when(F.col("l_orderkey") % 503 != 0, _s(F.col("d"))).alias("order_date"),
+        F.when(key % 503 != 0, F.when(key % 601 == 0, F.date_format("d", "MM/dd/yyyy")).otherwise(_s(F.col("d")))).alias("order_date"),
         F.when(key % 349 == 0, F.lit("S999")).otherwise(
             F.concat(F.lit("S00"), _s(F.col("l_suppkey") % 8 + 1))).alias("store_id"),
         F.when(y < 1998, F.concat(F.lit("P"), pk))

@@ -18,7 +18,11 @@ def _num(x: str, strip_currency: bool = True) -> str:
         s = f"trim(replace(replace({x}, '$', ''), ',', ''), ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11) || chr(160))"
     else:
         s = f"trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
-    return f"(CASE WHEN regexp_full_match({s}, '{NUM_RE}') THEN TRY_CAST({s} AS DOUBLE) END)"
+    return f"(CASE WHEN regexp_full_match({s}, '{NUM_RE}') AND NOT isinf(TRY_CAST({s} AS DOUBLE)) THEN TRY_CAST({s} AS DOUBLE) END)"
+
+
+def _day(x: str) -> str:
+    return f"TRY_CAST(CASE WHEN regexp_full_match({x}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN {x} END AS DATE)"
 
 
 def _long(x: str) -> str:
@@ -80,10 +84,12 @@ cte("feed_rows", ["feed_base"], """
      OR (copy_no = 2 AND l_orderkey % 263 = 0 AND dayofyear(d) NOT IN (100, 101, 102))""")
 cte("feed", ["feed_rows"], """
   SELECT
-    'orders_' || CAST(file_d AS VARCHAR) || '.csv' AS source_file,
+    'orders_' || CASE WHEN l_orderkey % 983 = 0 THEN CAST(year(file_d) AS VARCHAR) || '-13-45' ELSE CAST(file_d AS VARCHAR) END
+      || '.csv' AS source_file,
     CAST(file_d AS VARCHAR) || 'T06:00:00Z' AS ingested_at,
     CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
-    CASE WHEN l_orderkey % 503 <> 0 THEN CAST(d AS VARCHAR) END AS order_date,
+    CASE WHEN l_orderkey % 503 <> 0 THEN CASE WHEN l_orderkey % 601 = 0 THEN strftime(d, '%m/%d/%Y') ELSE CAST(d AS VARCHAR) END
+      END AS order_date,
     CASE WHEN l_orderkey % 349 = 0 THEN 'S999' ELSE 'S00' || CAST(l_suppkey % 8 + 1 AS VARCHAR) END AS store_id,
     CASE WHEN year(file_d) < 1998 THEN 'P' || CAST(l_partkey AS VARCHAR)
          WHEN year(file_d) >= 2000 THEN 'NP' || CAST(l_partkey AS VARCHAR) END AS product_id,
@@ -102,8 +108,9 @@ cte("feed", ["feed_rows"], """
          WHEN substr(o_orderpriority, 1, 1) IN ('3', '4') THEN 'N' END AS loyalty_member,
     copy_no, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
     l_returnflag, o_orderpriority, year(file_d) AS file_year
-  FROM (SELECT *, CAST(CASE WHEN dayofyear(d) = 45 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END
-                       AS DECIMAL(18,2))::VARCHAR AS price FROM feed_rows)""")
+  FROM (SELECT *, CASE WHEN l_orderkey % 701 = 0 THEN '1e15' WHEN l_orderkey % 709 = 0 THEN '1e400' ELSE
+          CAST(CASE WHEN dayofyear(d) = 45 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END
+               AS DECIMAL(18,2))::VARCHAR END AS price FROM feed_rows)""")
 cte("products", [], """
   SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id,
     concat_ws(' ', p_name, p_brand, CAST(p_partkey AS VARCHAR)) AS product_name,
@@ -274,12 +281,15 @@ cte("typed", ["resolved"], f"""
   FROM resolved""")
 cte("tagged", ["typed"], f"""
   SELECT *, CASE WHEN order_date IS NULL OR order_date = '' THEN 'missing_or_bad_order_date'
+                 WHEN absurd THEN 'amount_out_of_range'
                  WHEN rn > 1 THEN 'duplicate_natural_key' END AS reject_reason
-  FROM (SELECT *, CASE WHEN order_date IS NULL OR order_date = '' THEN NULL ELSE
+  FROM (SELECT *, CASE WHEN order_date IS NULL OR order_date = '' OR absurd THEN NULL ELSE
           row_number() OVER (PARTITION BY order_id, order_date, store_id, product_key,
-                             (order_date IS NULL OR order_date = '')
+                             (order_date IS NULL OR order_date = '' OR absurd)
                              ORDER BY source_file, {LOAD_ORDER}) END AS rn
-        FROM typed)""")
+        FROM (SELECT *, coalesce(abs(unit_price) >= 1e15, false) OR coalesce(abs(line_revenue) >= 1e15, false)
+                OR coalesce(abs(discount_pct) >= 1e15, false)
+                OR coalesce(discount_pct < 100 AND 1.0::DOUBLE - discount_pct / 100.0::DOUBLE < 1e-6, false) AS absurd FROM typed))""")
 CLEAN_COLS = ("order_id, order_date, store_id, product_key, legacy_product_id, is_new_system, quantity, "
               "unit_price, discount_pct, line_revenue, sales_channel, loyalty_member, source_file")
 cte("clean_orders", ["tagged"], f"SELECT {CLEAN_COLS} FROM tagged WHERE reject_reason IS NULL")
@@ -581,8 +591,9 @@ q("raw_reconcile", ["feed", "daily_sales"], f"""
 SELECT coalesce(r.order_date, d.order_date) AS order_date, coalesce(r.raw_lines, 0) AS raw_lines,
   r.raw_net, d.daily_net, round(coalesce(r.raw_net, 0.0) - coalesce(d.daily_net, 0.0), 2) AS difference
 FROM (SELECT order_date, count(*) AS raw_lines,
-        {_cents(f"CAST({_long('quantity')} AS DOUBLE) * {_num('unit_price')}")} AS raw_net
-      FROM feed WHERE order_date IS NOT NULL AND order_date <> '' GROUP BY order_date) r
+        {_cents("CASE WHEN abs(amount) < 1e15 THEN amount END")} AS raw_net
+      FROM (SELECT order_date, CAST({_long('quantity')} AS DOUBLE) * {_num('unit_price')} AS amount FROM feed)
+      WHERE order_date IS NOT NULL AND order_date <> '' GROUP BY order_date) r
 FULL OUTER JOIN (SELECT order_date, CAST(round(sum(CAST(CAST(net_revenue AS VARCHAR) AS DECIMAL(38,10))), 2) AS DOUBLE) AS daily_net
       FROM daily_sales GROUP BY order_date) d ON r.order_date = d.order_date""")
 q("price_identity", ["clean_orders", "products", "new_products"], f"""
@@ -628,14 +639,13 @@ q("dq_report", ["dq"], f"SELECT {DQ_COLS} FROM dq")
 q("file_status", ["fstatus"], "SELECT * FROM fstatus")
 q("stale_files", ["dq"], "SELECT file_name, flags FROM dq WHERE contains(flags, 'stale(')")
 q("ingestion_log", ["ilog"], "SELECT * FROM ilog")
-q("missing_days", ["fstatus"], """
+q("missing_days", ["fstatus"], f"""
 SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS missing_date, 'missing' AS status
-FROM (SELECT unnest(generate_series(min(CAST(expected_date AS DATE)), max(CAST(expected_date AS DATE)),
-      INTERVAL 1 DAY)) AS day FROM fstatus)
-WHERE CAST(day AS DATE) NOT IN (SELECT CAST(expected_date AS DATE) FROM fstatus)""")
-q("republished", ["ilog"], """
+FROM (SELECT unnest(generate_series(min({_day("expected_date")}), max({_day("expected_date")}), INTERVAL 1 DAY)) AS day FROM fstatus)
+WHERE CAST(day AS DATE) NOT IN (SELECT {_day("expected_date")} FROM fstatus WHERE {_day("expected_date")} IS NOT NULL)""")
+q("republished", ["ilog"], f"""
 SELECT c.source_date_expected AS date, p.source_date_expected AS previous_date, c.file_hash
-FROM ilog c JOIN ilog p ON CAST(c.source_date_expected AS DATE) - 1 = CAST(p.source_date_expected AS DATE)
+FROM ilog c JOIN ilog p ON {_day("c.source_date_expected")} - 1 = {_day("p.source_date_expected")}
   AND c.file_hash = p.file_hash""")
 q("unchecked_files", ["feed"], """
 SELECT DISTINCT source_file AS file_name FROM feed WHERE substr(source_file, 8, 10) > '1999-12-31'""")
@@ -676,7 +686,7 @@ q("daily_series", ["bdaily"], f"""
 SELECT order_date, {_cents("net_revenue")} AS net_revenue, CAST(coalesce(sum(units_sold), 0) AS BIGINT) AS units_sold
 FROM bdaily GROUP BY order_date""")
 q("week_over_week", ["bdaily"], f"""
-WITH s AS (SELECT CAST(order_date AS DATE) AS d, {_cents("net_revenue")} AS net,
+WITH s AS (SELECT {_day("order_date")} AS d, {_cents("net_revenue")} AS net,
              CAST(coalesce(sum(units_sold), 0) AS BIGINT) AS units FROM bdaily GROUP BY order_date),
 l AS (SELECT max(d) AS last_day FROM s)
 SELECT CAST(last_day AS VARCHAR) AS last_day, CAST(CAST(last_day - 7 AS DATE) AS VARCHAR) AS week_before,
