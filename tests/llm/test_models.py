@@ -141,6 +141,43 @@ def test_ordinal_recovers_order():
     assert (np.diff(tails, axis=0) >= 0).all() and (np.diff(tails, axis=1) <= 0).all()
 
 
+def test_ordinal_fit_against_its_likelihood(monkeypatch):
+    """The fit against one whose loss is written out document by document and
+    whose gradient is taken by differences."""
+    dim, steps, grades = 5, 40, 4
+    monkeypatch.setattr(Q, "QUALITY_DIM", dim)
+    monkeypatch.setattr(Q, "STEPS", steps)
+    rnd = np.random.default_rng(6)
+    x, y = rnd.random((30, dim)), rnd.integers(0, grades, 30)
+    x[rnd.random(x.shape) < 0.3] = 0
+    model = Q.fit_ordinal([(np.flatnonzero(r).astype(np.int32), r[r > 0].astype(np.float32)) for r in x], y, grades)
+    scale = 1 / np.sqrt((x ** 2).mean(axis=0) + 1e-9)
+    z = x * scale
+    norm = np.mean([np.sqrt(sum(v * v for v in r)) for r in z])
+    z = z / norm
+
+    def loss(theta):
+        cuts = [theta[dim]]
+        for t in theta[dim + 1:]:
+            cuts.append(cuts[-1] + np.exp(t))
+        total = 0.0
+        for r, g in zip(z, y):
+            at_most = [1 / (1 + np.exp(-(c - float(r @ theta[:dim])))) for c in cuts] + [1.0]
+            total -= np.log(at_most[g] - (at_most[g - 1] if g else 0.0))
+        return total / len(y) + Q.RIDGE / 2 * float(theta[:dim] @ theta[:dim])
+
+    share = np.array([(y >= k).mean() for k in range(1, grades)])
+    start = np.maximum.accumulate(-np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1))
+    theta = np.concatenate([np.zeros(dim), start[:1], np.log(np.diff(start))])
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    for step in range(1, steps + 1):
+        g = np.array([(loss(theta + e) - loss(theta - e)) / 2e-6 for e in np.eye(len(theta)) * 1e-6])
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        theta = theta - 0.02 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    assert np.allclose(model.weights, theta[:dim] * scale / norm, atol=2e-3)
+    assert np.allclose(model.thresholds, theta[dim] + np.concatenate([[0], np.cumsum(np.exp(theta[dim + 1:]))]), atol=2e-3)
+
+
 def test_quality_odd_rows(spark, odd, empty, labels):
     rated = labels.select("doc_id", F.col("quality").alias("grade"))
     for r in (rated, rated.where("grade = 1"), rated.limit(0)):
