@@ -12,8 +12,8 @@ Semantics (0-100 integer scores, divided by 100 by the caller in Spark):
   ``x = i + sorted(A-B)``, ``y = i + sorted(B-A)`` (space-joined, stripped):
   ``max(ratio(i, x), ratio(i, y), ratio(x, y))``; 0 when either side has no
   tokens.
-* ``partial_ratio``: best ``ratio`` of the shorter string against windows of
-  the longer one anchored at matching blocks.
+* ``partial_ratio``: best ``ratio`` of the shorter string against every stretch
+  of the longer one.
 
 LCS length uses the bit-parallel recurrence (Hyyro 2004), so a pair costs
 O(len(a)) big-integer operations instead of an O(len(a)*len(b)) table.
