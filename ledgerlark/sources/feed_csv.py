@@ -1,17 +1,22 @@
 """Daily feed files: all-text, header-agnostic CSV scan with provenance
 (A1-A6).
 
-One distributed scan reads every file with ``header=False``. Each file's
-first physical line (block 0, smallest row id) is its header; data rows pick
-their fields by *name* through that header, so a reordered or narrower file
-lands in the same fixed raw columns (a supplied schema would map by position
-and silently swap columns). Header-only files still produce their header
-row, which is how empty files reach the monitoring operators.
+The first line of each file is its header. Files of one header are read by one
+scan whose columns carry that header's names, and the scans are united by name,
+so a reordered or narrower file lands in the same fixed raw columns (a supplied
+schema would map by position and silently swap columns). Files are split at
+line ends; a quoted field that holds line breaks is put together again from the
+lines of its record, wherever the splits fall. Header-only files still have
+their header row, which is how empty files reach the monitoring operators.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.cleaning import RAW_COLUMNS
@@ -29,17 +34,6 @@ def csv_options(reader, width: int = STREAM_COLUMNS):
             .option("columnNameOfCorruptRecord", "_more").option("nullValue", "").option("enforceSchema", "true"))
 
 
-def feed_width(spark: SparkSession, paths: list[str] | str) -> int:
-    """The most cells any line can have: one more than its commas (quoted ones
-    only make this too large)."""
-    commas = F.length("value") - F.length(F.translate("value", ",", ""))
-    return 1 + (spark.read.text(paths).agg(F.max(commas)).first()[0] or 0)
-
-
-def _scan(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    return cells_frame(csv_options(spark.read, feed_width(spark, paths)).csv(paths))
-
-
 def file_cells(df: DataFrame) -> DataFrame:
     """Positional CSV rows -> (file, block, cells array); works on a
     streaming source too (file metadata must be taken at the scan). A line
@@ -55,42 +49,203 @@ def file_cells(df: DataFrame) -> DataFrame:
         F.array(first, *[F.col(c) for c in names[1:]]).alias("cells"))
 
 
-def with_row_ids(df: DataFrame) -> DataFrame:
-    """Unique row id assigned right at the scan, so a recomputed partition
-    gets the same ids."""
-    return df.withColumn("row_uid", F.monotonically_increasing_id())
-
-
-def cells_frame(df: DataFrame) -> DataFrame:
-    return with_row_ids(file_cells(df))
-
-
-def scan_with_headers(spark: SparkSession, paths: list[str] | str):
-    """(rows, headers, bases): data rows with their positional cells, one row
-    per file with its header array, and the per-block base row ids."""
-    return split_headers(_scan(spark, paths))
-
-
-def split_headers(s: DataFrame):
-    """Separate each file's first line (its header) from its data rows.
-
-    One hash aggregate -- ``min(row_uid)`` per (file, block) -- gives every
-    block's base row id; a file's header is the base row of its first block.
-    The header cells are fetched by a semi-join on those ids (one row per
-    file), so file contents are never aggregated, and the same block bases
-    later position every row inside its file (:func:`load_sequence`)."""
-    bases = s.groupBy("source_file", "file_path", "block_start").agg(F.min("row_uid").alias("_base"))
-    ids = bases.where(F.col("block_start") == 0).select(F.col("_base").alias("_hid"))
-    headers = (s.join(ids, s.row_uid == ids._hid, "left_semi")
-               .select("source_file", "file_path",
-                       # header cells: trimmed, and a UTF-8 byte-order mark on the first one dropped
-                       F.transform(F.col("cells"), lambda c: F.regexp_replace(c, "^\ufeff|^\\s+|\\s+$", ""))
-                       .alias("header")))
-    rows = s.join(ids, s.row_uid == ids._hid, "left_anti")
-    return rows, headers, bases
+POS_BITS = 40          # byte offsets inside one file (files up to 1 TB)
+_WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << POS_BITS),
+                "spark.sql.files.openCostInBytes": str(1 << POS_BITS)}
 
 
-POS_BITS = 40          # byte offsets inside one file (files up to 1 TB)
+def first_lines(spark: SparkSession, paths: list[str] | str) -> dict[str, tuple[str, int]]:
+    """File path -> first line that isn't blank and size in bytes, of every file
+    that has such a line.
+
+    One task a file, which stops reading at that line. The result is one line a
+    file on the driver, where Spark keeps the list of the files as well."""
+    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file_path"),
+                                         F.col("_metadata.file_block_start").alias("block_start"),
+                                         F.col("_metadata.file_size").alias("size"))
+
+    def head(batches):
+        for batch in batches:
+            for i, line in enumerate(batch.column(0).to_pylist()):
+                if line.strip():
+                    yield batch.slice(i, 1)
+                    return
+
+    before = {k: spark.conf.get(k) for k in _WHOLE_FILES}
+    try:
+        for k, v in _WHOLE_FILES.items():
+            spark.conf.set(k, v)
+        rows = text.mapInArrow(head, text.schema).where("block_start = 0").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return {r.file_path: (r.value, r.size) for r in rows}
+
+
+def header_names(line: str) -> list[str]:
+    """The names of a header line: trimmed, without a UTF-8 byte-order mark."""
+    return [name.strip() for name in next(csv.reader([line.lstrip("﻿")]))]
+
+
+def header_groups(spark: SparkSession, paths: list[str] | str) -> dict[tuple[str, ...], dict[str, int]]:
+    """Header -> paths and sizes of the files that begin with it."""
+    groups: dict[tuple[str, ...], dict[str, int]] = {}
+    for path, (line, size) in sorted(first_lines(spark, paths).items()):
+        groups.setdefault(tuple(header_names(line)), {})[path] = size
+    return groups
+
+
+def _literal(path: str) -> str:
+    """A path as Spark lists it, to be read as it is: no percent codes, no globs."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(path))
+
+
+def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Every line of the files. Row ids are assigned at the scan, so a
+    recomputed partition gets the same ids."""
+    return spark.read.text([_literal(f) for f in files]).select(
+        F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"), "value",
+        F.monotonically_increasing_id().alias("row_uid"))
+
+
+# A quoted field begins with a quote at the start of a field and ends with one
+# that isn't doubled; a quote within an unquoted field is a character like others.
+_QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+_CLOSING = r'^[^"]*+(?:""[^"]*+)*+"'
+
+
+def _opens(text: Column) -> Column:
+    """Does text that begins outside quotes end inside a quoted field?"""
+    return F.regexp_replace(text, _QUOTED, "$1").rlike('(^|,)"')
+
+
+def _opens_from_within(text: Column) -> Column:
+    """The same of text that begins inside a quoted field."""
+    rest = F.concat(F.lit("x"), F.regexp_replace(text, _CLOSING, ""))
+    return F.when(text.rlike(_CLOSING), _opens(rest)).otherwise(True)
+
+
+def files_with_quoted_breaks(lines: DataFrame) -> list[str]:
+    """Paths of the files in which some line leaves a quoted field open."""
+    found = lines.where(F.col("value").contains('"') & _opens(F.col("value"))).select("file_path").distinct()
+    return sorted(r.file_path for r in found.collect())
+
+
+def join_quoted_lines(lines: DataFrame) -> DataFrame:
+    """Lines of files with quoted line breaks -> records: ``value`` is the text
+    of the whole record, its lines joined by a line feed, and the other columns
+    are those of the record's first line. ``lines`` holds no header.
+
+    A line maps "begins inside quotes" to "ends inside quotes". The maps of a
+    block of a file compose by a window over the block, those of a file by a
+    window over its blocks, which gives the state every block begins in. A line
+    that begins outside quotes begins a record; one that doesn't belongs to the
+    last record begun, perhaps in an earlier block. Only the lines of records of
+    several lines are gathered, each record by itself.
+
+    A quote that is never closed ends with the file: the lines from there on
+    are records of their own, so a stray quote costs its own line alone."""
+    block = Window.partitionBy("file_path", "block_start").orderBy("row_uid")
+    upto = block.rowsBetween(Window.unboundedPreceding, 0)
+    blocks_before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    whole_file = Window.partitionBy("file_path")
+
+    # a line either fixes the state behind it, or turns it over, or leaves it
+    t = lines.withColumns({"_out": _opens(F.col("value")), "_in": _opens_from_within(F.col("value"))})
+    t = t.withColumns({"_fixed": F.col("_out") == F.col("_in"), "_turn": (F.col("_out") & ~F.col("_in")).cast("int")})
+    t = t.withColumn("_turns", F.sum("_turn").over(upto))
+    t = t.withColumn("_last", F.last(F.when(F.col("_fixed"), F.struct("_out", "_turns")), True).over(upto))
+    odd = lambda n: n % 2 == 1
+    flip = lambda state, n: state != odd(n)
+
+    # state at the start of each block, by the maps of the blocks before it
+    b = t.groupBy("file_path", "block_start").agg(F.max_by(F.struct("_last", "_turns"), "row_uid").alias("_end"))
+    b = b.select("file_path", "block_start", F.col("_end._turns").alias("_n"),
+                 flip(F.col("_end._last._out"), F.col("_end._turns") - F.col("_end._last._turns")).alias("_sets"))
+    b = b.withColumn("_before", F.coalesce(F.sum("_n").over(blocks_before), F.lit(0)))
+    b = b.withColumn("_set", F.last(F.when(F.col("_sets").isNotNull(), F.struct(
+        F.col("_sets").alias("state"), (F.col("_before") + F.col("_n")).alias("turns"))), True).over(blocks_before))
+    starts = b.select("file_path", "block_start", F.when(
+        F.col("_set").isNull(), odd(F.col("_before")))
+        .otherwise(flip(F.col("_set.state"), F.col("_before") - F.col("_set.turns"))).alias("_start"))
+
+    t = t.join(starts, ["file_path", "block_start"])
+    t = t.withColumn("_open", F.when(F.col("_last").isNull(), flip(F.col("_start"), F.col("_turns")))
+                     .otherwise(flip(F.col("_last._out"), F.col("_turns") - F.col("_last._turns"))))
+    t = t.withColumn("_begins", ~F.coalesce(F.lag("_open").over(block), F.col("_start")))
+    # a record's address: block and row id of its first line
+    here = F.when(F.col("_begins"), F.struct("block_start", "row_uid"))
+    t = t.withColumn("_first", F.last(here, True).over(upto))
+
+    ends = t.groupBy("file_path", "block_start").agg(
+        F.max(here).alias("_mine"), F.max_by("_open", "row_uid").alias("_open_at_end"))
+    ends = ends.select("file_path", "block_start", F.last("_mine", True).over(blocks_before).alias("_carried"),
+                       F.when(F.max_by("_open_at_end", "block_start").over(whole_file),
+                              F.max("_mine").over(whole_file)).alias("_unclosed"))
+    t = t.join(ends, ["file_path", "block_start"])
+    t = t.withColumn("_first", F.coalesce("_first", "_carried"))
+    t = t.withColumn("_alone", (F.col("_begins") & ~F.col("_open"))
+                     | F.coalesce(F.col("_first") == F.col("_unclosed"), F.lit(False)))
+    cols = lines.columns
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_start", "row_uid", "value"))),
+                                    lambda x: x["value"]), "\n")
+    rest = [c for c in cols if c not in ("file_path", "value", "block_start", "row_uid")]
+    gathered = (t.where(~F.col("_alone")).groupBy("file_path", "_first")
+                .agg(text.alias("value"), *[F.min_by(c, F.struct("block_start", "row_uid")).alias(c) for c in rest])
+                .select("*", "_first.block_start", "_first.row_uid"))
+    return t.where("_alone").select(cols).unionByName(gathered.select(cols))
+
+
+BROADCAST_BLOCKS = 100_000     # rows of two paths and four numbers: at most some 30 MB
+
+
+def most_blocks(spark: SparkSession, sizes: list[int]) -> int:
+    """The most splits a scan of files of these sizes can have."""
+    size = lambda k: int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get(f"spark.sql.files.{k}")))
+    least = max(1, min(size("maxPartitionBytes"), size("openCostInBytes")))
+    return sum(1 + n // least for n in sizes)
+
+
+def group_records(spark: SparkSession, header: tuple[str, ...], files: dict[str, int], ranks: DataFrame) -> DataFrame:
+    """The records of files of one header: ``source_file``, the header's raw
+    columns as text, and ``raw_id``.
+
+    ``ranks`` gives each file's place in the load. One aggregate finds where
+    every block's row ids begin; joining its few rows is all that a file without
+    quoted line breaks needs. They are broadcast where the sizes of the files
+    show that they are few enough, so lines aren't shuffled; else the join is
+    left to the optimizer."""
+    lines = _lines(spark, list(files))
+    shown = F.trim(F.col("value")) != ""
+    blocks = lines.groupBy("file_path", "block_start").agg(
+        F.min("row_uid").alias("_base"), F.min(F.when(shown, F.col("row_uid"))).alias("_head")).join(ranks, "file_path")
+    if most_blocks(spark, list(files.values())) <= BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
+    place = F.col("block_start") + (F.col("row_uid") - F.col("_base"))
+    raw_id = (F.when((F.col("_frank") < 1 << (63 - POS_BITS)) & (place < 1 << POS_BITS),
+                     F.shiftleft(F.col("_frank"), POS_BITS) + place)
+              .otherwise(F.raise_error(F.lit(f"a feed file above 2^{POS_BITS} bytes, or more than "
+                                             f"2^{63 - POS_BITS} files, leaves no unique raw_id"))))
+    body = (lines.join(blocks, ["file_path", "block_start"])
+            .where((F.col("block_start") > 0) | (F.col("row_uid") > F.col("_head"))))
+    broken = files_with_quoted_breaks(lines)
+    if broken:
+        marks = spark.createDataFrame([(f,) for f in broken], "file_path string")
+        rows = body.join(marks, "file_path", "left_anti").unionByName(
+            join_quoted_lines(body.join(marks, "file_path", "left_semi")))
+    else:
+        rows = body
+    names = ", ".join(f"_c{i} string" for i in range(len(header)))
+    cells = F.from_csv("value", F.lit(names), {"escape": '"', "nullValue": "", "mode": "PERMISSIVE"})
+    at = {c: header.index(c) for c in DATA_FIELDS if c in header}
+    return (rows.where(shown).select("source_file", cells.alias("_cells"), raw_id.alias("raw_id"))
+            .select("source_file", *[F.nullif(F.col(f"_cells._c{i}"), F.lit("")).alias(c) for c, i in at.items()], "raw_id"))
+
+
+def _file_name(path: str) -> str:
+    return unquote(path).rsplit("/", 1)[-1]
 
 
 def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str | None = None,
@@ -100,64 +255,28 @@ def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str |
     Every value is text; only an empty field is NULL (``NA`` stays text).
     Adds ``source_file``, ``ingested_at``, and ``raw_id`` = ``row_uid``: the
     load sequence, a unique long that increases with (file name, position in
-    file). A later load passes ``file_rank_offset`` (one past the highest file
-    rank already stored, ``raw_id >> POS_BITS``) so its rows sort after the
-    earlier ones.
+    file): ``file rank << POS_BITS | block start + row offset in the block``. A
+    block never holds more lines than bytes, so this is unique; "first in load
+    order" is the ``min`` of a long, a hash aggregate. A later load passes
+    ``file_rank_offset`` (one past the highest file rank already stored,
+    ``raw_id >> POS_BITS``) so its rows sort after the earlier ones.
+
+    Line breaks in quoted fields become line feeds.
     """
-    rows, headers, bases = scan_with_headers(spark, paths)
-    return by_name(rows, headers, ingested_at, file_rank_offset, bases)
-
-
-def load_sequence(rows: DataFrame, headers: DataFrame, file_rank_offset: int = 0,
-                  bases: DataFrame | None = None) -> DataFrame:
-    """Attach ``raw_id``: ``(file rank) << POS_BITS | (block start + row
-    offset inside the block)``.
-
-    A block never holds more lines than bytes, so block start + offset is
-    unique and increasing inside a file. The file rank is a dense rank over
-    the per-file header rows (bounded by the number of files); the per-block
-    base row id is a hash aggregate. Downstream "first in load order" then is
-    ``min`` of a long -- a hash aggregate -- instead of a struct min."""
-    from pyspark.sql import Window
-    # the file list comes from the block bases (block 0 = one row per file)
-    # when given, so the header cells are not read again just to rank files
-    files = (bases.where(F.col("block_start") == 0) if bases is not None else headers)
-    ranks = files.select(
-        "source_file", "file_path",
-        (F.dense_rank().over(Window.orderBy("source_file", "file_path")) - 1 + F.lit(file_rank_offset))
-        .cast("long").alias("_frank"))
-    if bases is None:
-        bases = rows.groupBy("source_file", "file_path", "block_start").agg(F.min("row_uid").alias("_base"))
-    bases = bases.select("file_path", "block_start", "_base")
-    seq = (F.shiftleft(F.col("_frank"), POS_BITS) + F.col("block_start") + (F.col("row_uid") - F.col("_base")))
-    return (rows.join(ranks, ["source_file", "file_path"]).join(bases, ["file_path", "block_start"])
-            .withColumn("raw_id", F.when(
-                (F.col("_frank") < 1 << (63 - POS_BITS)) & (seq < F.shiftleft(F.col("_frank") + 1, POS_BITS)), seq)
-                .otherwise(F.raise_error(F.lit(
-                    f"a feed file above 2^{POS_BITS} bytes, or more than 2^{63 - POS_BITS} files, leaves no unique raw_id"))))
-            .drop("_frank", "_base"))
-
-
-def by_name(rows: DataFrame, headers: DataFrame, ingested_at: str | None = None,
-            file_rank_offset: int = 0, bases: DataFrame | None = None) -> DataFrame:
-    """Map positional cells to the fixed raw columns through each file's
-    header, and attach the load sequence."""
-    rows = load_sequence(rows, headers, file_rank_offset, bases)
-    j = rows.join(headers.select("source_file", "file_path", "header"), ["source_file", "file_path"])
-    ts = F.lit(ingested_at) if ingested_at else F.date_format(F.current_timestamp(),
-                                                              "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    # array_position is 0 when the header lacks the column; element_at(.., 0)
-    # would fail, so guard it.
-    fields = [F.when(F.array_position(F.col("header"), c) > 0,
-                     F.nullif(F.element_at(F.col("cells"), F.array_position(F.col("header"), c).cast("int")),
-                              F.lit(""))).alias(c) for c in DATA_FIELDS]
-    return j.select("source_file", ts.alias("ingested_at"), *fields, "raw_id",
-                    F.col("raw_id").alias("row_uid"))
+    groups = header_groups(spark, paths)
+    files = sorted((f for fs in groups.values() for f in fs), key=lambda f: (_file_name(f), f))
+    ranks = spark.createDataFrame([(f, file_rank_offset + i) for i, f in enumerate(files)], "file_path string, _frank long")
+    ts = F.lit(ingested_at) if ingested_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    out = spark.createDataFrame([], ", ".join(["source_file string", *[f"{c} string" for c in DATA_FIELDS], "raw_id long"]))
+    for header, members in groups.items():
+        out = out.unionByName(group_records(spark, header, members, ranks), allowMissingColumns=True)
+    return out.select("source_file", ts.alias("ingested_at"), *DATA_FIELDS, "raw_id", F.col("raw_id").alias("row_uid"))
 
 
 def file_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(source_file, header) for every file, including header-only ones."""
-    return scan_with_headers(spark, paths)[1].select("source_file", "header")
+    """(source_file, file_path, header) for every file, including header-only ones."""
+    rows = [(_file_name(f), f, list(header)) for header, files in header_groups(spark, paths).items() for f in files]
+    return spark.createDataFrame(rows, "source_file string, file_path string, header array<string>").coalesce(1)
 
 
 def file_list(spark: SparkSession, paths: list[str] | str) -> DataFrame:

@@ -43,8 +43,10 @@ def load_batch(batch: DataFrame, raw_path: str, ingested_at: str | None = None,
     ``ok``, ``empty``, ``skipped`` (the date was loaded, or another file of the
     date was chosen) or ``failed`` (no date in the name)."""
     spark = batch.sparkSession
-    rows, headers, bases = feed_csv.split_headers(feed_csv.with_row_ids(batch))
-    n_rows = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_loaded"))
+    paths = [feed_csv._literal(r.file_path) for r in batch.select("file_path").distinct().collect()]
+    raw = feed_csv.read_orders(spark, paths, ingested_at, _next_file_rank(spark, raw_path))
+    headers = feed_csv.file_headers(spark, paths)
+    n_rows = raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_loaded"))
     files = (headers.select("source_file", date_from_filename(F.col("source_file")).alias("file_date"))
              .join(n_rows, "source_file", "left").withColumn("rows_loaded", F.coalesce("rows_loaded", F.lit(0))))
     loaded = _loaded_dates(spark, raw_path)
@@ -61,8 +63,7 @@ def load_batch(batch: DataFrame, raw_path: str, ingested_at: str | None = None,
             F.when(F.col("file_date").isNull(), "no date in the file name").otherwise("").alias("error_message")),
         "file-outcomes")
     take = outcome.where("status = 'ok'").select(F.col("file_name").alias("source_file"), "file_date")
-    raw = feed_csv.by_name(rows, headers, ingested_at, _next_file_rank(spark, raw_path), bases).join(take, "source_file")
-    raw.write.mode("append").partitionBy("file_date").parquet(raw_path)
+    raw.join(take, "source_file").write.mode("append").partitionBy("file_date").parquet(raw_path)
     log_path = log_path or f"{raw_path.rstrip('/')}_log"
     log = read_if_present(spark, log_path)
     if log is not None:  # a replayed batch logs nothing twice
