@@ -13,7 +13,9 @@ Semantics (0-100 integer scores, divided by 100 by the caller in Spark):
   ``max(ratio(i, x), ratio(i, y), ratio(x, y))``; 0 when either side has no
   tokens.
 * ``partial_ratio``: best ``ratio`` of the shorter string against every stretch
-  of the longer one.
+  of the longer one; the LCS lengths of all stretches come from one pass (combing
+  of strands, Tiskin 2008: the LCS of a with b[i:j] is j - i less the strands that
+  enter at or after i and leave before j).
 
 LCS length uses the bit-parallel recurrence (Hyyro 2004), so a pair costs
 O(len(a)) big-integer operations instead of an O(len(a)*len(b)) table.
@@ -73,15 +75,46 @@ def token_set_ratio(a: str, b: str) -> int:
 
 def partial_ratio(a: str, b: str) -> int:
     """Best ratio of the shorter string with any stretch of the longer one
-    that is as long, or shorter where it begins or ends the longer one."""
+    that is as long, or shorter where it begins or ends the longer one; of
+    strings of one length either is taken as the shorter."""
     if a == b:
         return 100
     if not a or not b:
         return 0
-    short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-    n = len(short)
-    stretches = {long_[max(0, end - n):end] for end in range(1, len(long_) + n)} - {""}
-    return max(int(round(100.0 * (2 * lcs_length(short, w)) / (n + len(w)))) for w in stretches)
+    sides = [(a, b)] if len(a) <= len(b) else []
+    sides += [(b, a)] if len(b) <= len(a) else []
+    return max(int(round(100.0 * (2 * lcs) / (len(short) + size)))
+               for short, long_ in sides for size, lcs in stretch_lcs(short, long_))
+
+
+def top_to_bottom(a: str, b: str) -> list[int]:
+    """For each place of b, the place where the strand that leaves below it came
+    in above; -1 for a strand from the side."""
+    down = list(range(len(b)))
+    for i, ch in enumerate(a):
+        across = -1 - i                     # strands from the side are older than all from above
+        for j, other in enumerate(b):
+            # strands part at a match, and two that have met before don't cross again
+            if ch == other or across > down[j]:
+                across, down[j] = down[j], across
+    return down
+
+
+def stretch_lcs(a: str, b: str):
+    """(length, LCS with a) of every stretch of b that is as long as a, or
+    shorter where it begins or ends b; b is not shorter than a."""
+    n, m = len(a), len(b)
+    came_from = top_to_bottom(a, b)
+    leaves = {start: end for end, start in enumerate(came_from) if start >= 0}
+    inside = 0                              # strands that come in and leave within [lo, hi)
+    for hi in range(1, m + n):
+        lo = hi - n
+        if hi <= m and came_from[hi - 1] >= max(lo - 1, 0):
+            inside += 1
+        if lo > 0 and leaves.get(lo - 1, m) < min(hi, m):
+            inside -= 1
+        size = min(hi, m) - max(lo, 0)
+        yield size, size - inside
 
 
 _SCORERS = {

@@ -508,6 +508,19 @@ q("normalised_names", ["products"], f"""
 SELECT product_id, {_norm("product_name")} AS norm_name, {_norm("subcategory")} AS norm_subcategory FROM products""")
 q("edit_similarity", ["xpairs"], f"""
 SELECT product_id, new_product_id, {_ratio("a1", "b1")} / 100.0::DOUBLE AS similarity FROM xpairs""")
+q("best_window_similarity", ["xpairs", "xl"], f"""
+WITH p AS (SELECT *, {_norm("subcategory")} AS s1 FROM xpairs JOIN (SELECT product_id, subcategory FROM products) USING (product_id)),
+both AS (SELECT product_id, new_product_id, 'n' AS w, a1 AS x, b1 AS y FROM p
+         UNION ALL SELECT product_id, new_product_id, 's', s1, b1 FROM p),
+sides AS (SELECT product_id, new_product_id, w, x AS a, y AS b FROM both WHERE length(x) <= length(y)
+          UNION ALL SELECT product_id, new_product_id, w, y, x FROM both WHERE length(y) <= length(x)),
+cuts AS (SELECT product_id, new_product_id, w, a, CASE WHEN a = b THEN b ELSE
+           substr(b, greatest(e - length(a), 0) + 1, least(e, length(b)) - greatest(e - length(a), 0)) END AS b
+         FROM (SELECT *, unnest(range(1, greatest(length(a) + length(b), 2))) AS e FROM sides)),
+best AS (SELECT product_id, new_product_id, w, max(r) / 100.0::DOUBLE AS s
+         FROM (SELECT product_id, new_product_id, w, {_ratio("a", "b")} AS r FROM cuts) GROUP BY ALL)
+SELECT product_id, new_product_id, max(s) FILTER (w = 'n') AS name_window, max(s) FILTER (w = 's') AS subclass_window
+FROM best GROUP BY product_id, new_product_id""")
 q("token_overlap", ["xpairs"], f"""
 SELECT product_id, new_product_id, len(list_intersect({_tokens("a1")}, {_tokens("b1")})) AS overlap,
   round(CAST(len(list_intersect({_tokens("a1")}, {_tokens("b1")})) AS DOUBLE)
@@ -631,6 +644,12 @@ FROM (SELECT store_id, weather_date, count(*) AS n_pulls, min(precipitation_sum)
       FROM pulls GROUP BY store_id, weather_date)
 WHERE n_pulls > 1 AND precip_min <> precip_max""")
 
+# A
+q("feed_file_records", ["feed"], """
+SELECT order_id, order_date, store_id, product_id, new_product_id, product_id_source, quantity, unit_price, discount_pct,
+  sales_channel || CASE WHEN l_orderkey % 13 = 0 THEN chr(10) || '"gift", ' || order_id ELSE '' END AS sales_channel,
+  loyalty_member FROM feed""")
+
 # B / C
 DQ_COLS = ("run_date, file_name, n_rows, product_col, has_source_flag, na_order_id, na_order_date, na_store_id, "
            "na_product, na_quantity, na_unit_price, na_discount_pct, na_sales_channel, na_loyalty, dup_rows, "

@@ -6,6 +6,7 @@ with them) and runs over whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from ledgerlark.functions.numeric import to_double, to_long
 from ledgerlark.functions.similarity import similarity
 from ledgerlark.functions.text import normalize_text, overlap_count, token_overlap_similarity
 from ledgerlark.operators import cleaning, crosswalk, daily, kpi, monitor, quality, stats
+from ledgerlark.plans import adapters
 from ledgerlark.plans.pipeline import FeedPipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +96,19 @@ def q_edit(p: FeedPipeline) -> DataFrame:
     return j.select("product_id", "new_product_id", similarity(F.col("a"), F.col("b"), "edit_distance").alias("similarity"))
 
 
+@query("best_window_similarity")
+def q_best_window(p: FeedPipeline) -> DataFrame:
+    """E5 over every blocked tier-2 pair: the whole names, and the new name
+    against the legacy subcategory, which is shorter."""
+    l = p.products.select("product_id", normalize_text(F.col("product_name")).alias("a"),
+                          normalize_text(F.col("subcategory")).alias("sub"))
+    n = p.new_products.select("new_product_id", normalize_text(F.col("item_name")).alias("b"))
+    j = p.scored.select("product_id", "new_product_id").join(l, "product_id").join(n, "new_product_id")
+    return j.select("product_id", "new_product_id",
+                    similarity(F.col("a"), F.col("b"), "partial_ratio").alias("name_window"),
+                    similarity(F.col("sub"), F.col("b"), "partial_ratio").alias("subclass_window"))
+
+
 @query("crosswalk_overrides")
 def q_overrides(p: FeedPipeline) -> DataFrame:
     """Reviewers confirm the same-numbered new item for rows left for
@@ -216,6 +231,17 @@ def q_weather_revisions(p: FeedPipeline) -> DataFrame:
     return daily.weather_revisions(p.pulls)
 
 
+# ---- A: feed files -------------------------------------------------------------
+@query("feed_file_records")
+def q_feed_file_records(p: FeedPipeline) -> DataFrame:
+    """A1-A2: the feed written as CSV files of three headers, with line breaks
+    and quotes in quoted fields, and read back from them."""
+    from ledgerlark.session import stage_root
+    from ledgerlark.sources import feed_csv
+    folder = adapters.write_feed_files(p.raw, f"{stage_root(p.spark)}/feed-files-{uuid.uuid4().hex}")
+    return feed_csv.read_orders(p.spark, f"{folder}/*").select(*feed_csv.DATA_FIELDS)
+
+
 # ---- B / C: monitoring and quality ------------------------------------------------
 @query("dq_report")
 def q_dq(p: FeedPipeline) -> DataFrame:

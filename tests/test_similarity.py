@@ -20,6 +20,21 @@ def test_bit_parallel_lcs_matches_dp(a, b):
     assert sim.lcs_length(a, b) == lcs_dp(a, b)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abc ", min_size=1, max_size=12), st.text(alphabet="abc ", min_size=1, max_size=30))
+def test_best_window_matches_every_window(a, b):
+    a, b = sorted((a, b), key=len)
+    n = len(a)
+    windows = [b[max(0, hi - n):hi] for hi in range(1, len(b) + n)]
+    assert list(sim.stretch_lcs(a, b)) == [(len(w), lcs_dp(a, w)) for w in windows]
+    scores = [int(round(100.0 * 2 * lcs_dp(a, w) / (n + len(w)))) for w in windows]
+    if len(b) == n:                         # either may be the shorter one
+        scores += [int(round(100.0 * 2 * lcs_dp(b, w) / (n + len(w)))) for hi in range(1, 2 * n)
+                   for w in [a[max(0, hi - n):hi]]]
+    want = 100 if a == b else max(scores)
+    assert sim.partial_ratio(a, b) == sim.partial_ratio(b, a) == want
+
+
 # Golden name similarities of accepted fuzzy matches (normalised names).
 GOLDEN = [
     ("stormnomad compact cooler 203", "storm nomad compact cooler 203", 81),
