@@ -510,10 +510,10 @@ q("edit_similarity", ["xpairs"], f"""
 SELECT product_id, new_product_id, {_ratio("a1", "b1")} / 100.0::DOUBLE AS similarity FROM xpairs""")
 q("best_window_similarity", ["xpairs", "xl"], f"""
 WITH p AS (SELECT *, {_norm("subcategory")} AS s1 FROM xpairs JOIN (SELECT product_id, subcategory FROM products) USING (product_id)),
-both AS (SELECT product_id, new_product_id, 'n' AS w, a1 AS x, b1 AS y FROM p
+named AS (SELECT product_id, new_product_id, 'n' AS w, a1 AS x, b1 AS y FROM p
          UNION ALL SELECT product_id, new_product_id, 's', s1, b1 FROM p),
-sides AS (SELECT product_id, new_product_id, w, x AS a, y AS b FROM both WHERE length(x) <= length(y)
-          UNION ALL SELECT product_id, new_product_id, w, y, x FROM both WHERE length(y) <= length(x)),
+sides AS (SELECT product_id, new_product_id, w, x AS a, y AS b FROM named WHERE length(x) <= length(y)
+          UNION ALL SELECT product_id, new_product_id, w, y, x FROM named WHERE length(y) <= length(x)),
 cuts AS (SELECT product_id, new_product_id, w, a, CASE WHEN a = b THEN b ELSE
            substr(b, greatest(e - length(a), 0) + 1, least(e, length(b)) - greatest(e - length(a), 0)) END AS b
          FROM (SELECT *, unnest(range(1, greatest(length(a) + length(b), 2))) AS e FROM sides)),
