@@ -95,7 +95,7 @@ def header_groups(spark: SparkSession, paths: list[str] | str) -> dict[tuple[str
     return groups
 
 
-def _literal(path: str) -> str:
+def literal_path(path: str) -> str:
     """A path as Spark lists it, to be read as it is: no percent codes, no globs."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(path))
 
@@ -103,7 +103,7 @@ def _literal(path: str) -> str:
 def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
     """Every line of the files. Row ids are assigned at the scan, so a
     recomputed partition gets the same ids."""
-    return spark.read.text([_literal(f) for f in files]).select(
+    return spark.read.text([literal_path(f) for f in files]).select(
         F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"), "value",
         F.monotonically_increasing_id().alias("row_uid"))
@@ -240,8 +240,9 @@ def group_records(spark: SparkSession, header: tuple[str, ...], files: dict[str,
     names = ", ".join(f"_c{i} string" for i in range(len(header)))
     cells = F.from_csv("value", F.lit(names), {"escape": '"', "nullValue": "", "mode": "PERMISSIVE"})
     at = {c: header.index(c) for c in DATA_FIELDS if c in header}
-    return (rows.where(shown).select("source_file", cells.alias("_cells"), raw_id.alias("raw_id"))
-            .select("source_file", *[F.nullif(F.col(f"_cells._c{i}"), F.lit("")).alias(c) for c, i in at.items()], "raw_id"))
+    return (rows.where(shown).select("source_file", "file_path", cells.alias("_cells"), raw_id.alias("raw_id"))
+            .select("source_file", "file_path",
+                    *[F.nullif(F.col(f"_cells._c{i}"), F.lit("")).alias(c) for c, i in at.items()], "raw_id"))
 
 
 def _file_name(path: str) -> str:
@@ -249,7 +250,8 @@ def _file_name(path: str) -> str:
 
 
 def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str | None = None,
-                file_rank_offset: int = 0) -> DataFrame:
+                file_rank_offset: int = 0, keep_path: bool = False,
+                groups: dict[tuple[str, ...], dict[str, int]] | None = None) -> DataFrame:
     """A1-A3: raw_orders rows from any mix of header variants.
 
     Every value is text; only an empty field is NULL (``NA`` stays text).
@@ -261,21 +263,26 @@ def read_orders(spark: SparkSession, paths: list[str] | str, ingested_at: str |
     ``file_rank_offset`` (one past the highest file rank already stored,
     ``raw_id >> POS_BITS``) so its rows sort after the earlier ones.
 
-    Line breaks in quoted fields become line feeds.
+    Line breaks in quoted fields become line feeds. ``keep_path`` adds
+    ``file_path``, which tells files of one name apart; ``groups`` is the result
+    of :func:`header_groups` where the caller has it.
     """
-    groups = header_groups(spark, paths)
+    groups = header_groups(spark, paths) if groups is None else groups
     files = sorted((f for fs in groups.values() for f in fs), key=lambda f: (_file_name(f), f))
     ranks = spark.createDataFrame([(f, file_rank_offset + i) for i, f in enumerate(files)], "file_path string, _frank long")
     ts = F.lit(ingested_at) if ingested_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    out = spark.createDataFrame([], ", ".join(["source_file string", *[f"{c} string" for c in DATA_FIELDS], "raw_id long"]))
+    out = spark.createDataFrame([], ", ".join(["source_file string", "file_path string", *[f"{c} string" for c in DATA_FIELDS], "raw_id long"]))
     for header, members in groups.items():
         out = out.unionByName(group_records(spark, header, members, ranks), allowMissingColumns=True)
-    return out.select("source_file", ts.alias("ingested_at"), *DATA_FIELDS, "raw_id", F.col("raw_id").alias("row_uid"))
+    return out.select("source_file", ts.alias("ingested_at"), *DATA_FIELDS, "raw_id", F.col("raw_id").alias("row_uid"),
+                      *(["file_path"] if keep_path else []))
 
 
-def file_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def file_headers(spark: SparkSession, paths: list[str] | str,
+                 groups: dict[tuple[str, ...], dict[str, int]] | None = None) -> DataFrame:
     """(source_file, file_path, header) for every file, including header-only ones."""
-    rows = [(_file_name(f), f, list(header)) for header, files in header_groups(spark, paths).items() for f in files]
+    groups = header_groups(spark, paths) if groups is None else groups
+    rows = [(_file_name(f), f, list(header)) for header, files in groups.items() for f in files]
     return spark.createDataFrame(rows, "source_file string, file_path string, header array<string>").coalesce(1)
 
 

@@ -43,7 +43,7 @@ def load_batch(batch: DataFrame, raw_path: str, ingested_at: str | None = None,
     ``ok``, ``empty``, ``skipped`` (the date was loaded, or another file of the
     date was chosen) or ``failed`` (no date in the name)."""
     spark = batch.sparkSession
-    paths = [feed_csv._literal(r.file_path) for r in batch.select("file_path").distinct().collect()]
+    paths = [feed_csv.literal_path(r.file_path) for r in batch.select("file_path").distinct().collect()]
     raw = feed_csv.read_orders(spark, paths, ingested_at, _next_file_rank(spark, raw_path))
     headers = feed_csv.file_headers(spark, paths)
     n_rows = raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_loaded"))
