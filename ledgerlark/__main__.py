@@ -7,6 +7,9 @@
   ingest  --landing DIR --raw DIR   load new daily CSV files from a landing
                                     folder into the raw table (file stream,
                                     availableNow, date-level idempotence)
+  load    --landing DIR --root DIR  load what the landing folder offers, exactly
+                                    once, with file ledger, ingestion log and
+                                    quality log under the root
 
 The master comes from ``spark-submit`` (or ``--master`` for local runs).
 """
@@ -30,6 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--landing", required=True)
     i.add_argument("--raw", required=True)
     i.add_argument("--checkpoint", default=None)
+    e = sub.add_parser("load")
+    e.add_argument("--landing", required=True)
+    e.add_argument("--root", required=True)
     args = ap.parse_args(argv)
 
     from ledgerlark.session import get_spark
@@ -47,6 +53,9 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("run needs --input or --feed")
         paths = p.run(args.out)
         print(json.dumps(paths))
+    elif args.cmd == "load":
+        from ledgerlark.streaming.ledger import load
+        print(json.dumps({"root": args.root, "epoch": load(spark, args.landing, args.root)}))
     else:
         from ledgerlark.streaming.incremental import start
         start(spark, args.landing, args.raw, args.checkpoint)

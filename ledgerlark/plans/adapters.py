@@ -149,19 +149,25 @@ def feed_headers(raw: DataFrame) -> DataFrame:
     return files.select("source_file", hdr.alias("header"))
 
 
-def write_feed_files(raw: DataFrame, folder: str) -> str:
+def write_feed_files(raw: DataFrame, folder: str, daily: bool = False) -> str:
     """The feed as CSV files, a folder for each header era (the later eras in
-    another column order). The sales channel of l_orderkey % 13 = 0 rows has a
-    second line, with quotes and a comma."""
+    another column order): ``legacy``, ``renamed`` and ``flagged``.
+
+    With ``daily`` every feed file is a folder of its name with one part file,
+    rows in load order. Otherwise the files are the splits of the feed, and the
+    sales channel of l_orderkey % 13 = 0 rows has a second line, with quotes and
+    a comma."""
     note = F.when(F.split("order_id", "-")[0].cast("long") % 13 == 0, F.concat(F.lit('\n"gift", '), F.col("order_id")))
-    rows = raw.withColumn("sales_channel", F.concat("sales_channel", F.coalesce(note, F.lit(""))))
+    rows = (raw.repartition("source_file").sortWithinPartitions("source_file", "raw_id") if daily else
+            raw.withColumn("sales_channel", F.concat("sales_channel", F.coalesce(note, F.lit("")))))
+    by = ["source_file"] if daily else []
     year = F.substring("source_file", 8, 4).cast("int")
     shared = ["order_date", "store_id", "quantity", "unit_price", "discount_pct", "sales_channel", "loyalty_member"]
     eras = {"legacy": (year < 1998, ["order_id", "product_id", *shared]),
             "renamed": ((year >= 1998) & (year < 2000), [*shared[::-1], "new_product_id", "order_id"]),
             "flagged": (year >= 2000, [*shared[3:], "order_id", *shared[:3], "product_id_source", "product_id"])}
     for era, (of_era, header) in eras.items():
-        (rows.where(of_era).select(header).write.option("header", "true").option("escape", '"')
+        (rows.where(of_era).select(*header, *by).write.partitionBy(*by).option("header", "true").option("escape", '"')
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(f"{folder}/{era}"))
     return folder
 

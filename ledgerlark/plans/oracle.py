@@ -650,6 +650,10 @@ SELECT order_id, order_date, store_id, product_id, new_product_id, product_id_so
   sales_channel || CASE WHEN l_orderkey % 13 = 0 THEN chr(10) || '"gift", ' || order_id ELSE '' END AS sales_channel,
   loyalty_member FROM feed""")
 
+q("ledger_load", ["ilog"], """
+SELECT CASE WHEN source_date_expected < '2000' THEN 0 ELSE 1 END AS epoch, source_date_expected, source_date_found, status,
+  rows_loaded, file_hash, error_message FROM ilog""")
+
 # B / C
 DQ_COLS = ("run_date, file_name, n_rows, product_col, has_source_flag, na_order_id, na_order_date, na_store_id, "
            "na_product, na_quantity, na_unit_price, na_discount_pct, na_sales_channel, na_loyalty, dup_rows, "
