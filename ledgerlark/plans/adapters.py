@@ -149,18 +149,21 @@ def feed_headers(raw: DataFrame) -> DataFrame:
     return files.select("source_file", hdr.alias("header"))
 
 
-def write_feed_files(raw: DataFrame, folder: str, daily: bool = False) -> str:
+def write_feed_files(raw: DataFrame, folder: str, monthly: bool = False) -> str:
     """The feed as CSV files, a folder for each header era (the later eras in
     another column order): ``legacy``, ``renamed`` and ``flagged``.
 
-    With ``daily`` every feed file is a folder of its name with one part file,
-    rows in load order. Otherwise the files are the splits of the feed, and the
+    With ``monthly`` the feed files of a month are one file, a folder named for
+    the month's first day with one part file, rows in load order. Otherwise the files are the splits of the feed, and the
     sales channel of l_orderkey % 13 = 0 rows has a second line, with quotes and
     a comma."""
     note = F.when(F.split("order_id", "-")[0].cast("long") % 13 == 0, F.concat(F.lit('\n"gift", '), F.col("order_id")))
-    rows = (raw.repartition("source_file").sortWithinPartitions("source_file", "raw_id") if daily else
-            raw.withColumn("sales_channel", F.concat("sales_channel", F.coalesce(note, F.lit("")))))
-    by = ["source_file"] if daily else []
+    if monthly:
+        rows = (raw.withColumn("source_file", F.concat(F.substring("source_file", 1, 14), F.lit("-01.csv")))
+                .repartition("source_file").sortWithinPartitions("source_file", "raw_id"))
+    else:
+        rows = raw.withColumn("sales_channel", F.concat("sales_channel", F.coalesce(note, F.lit(""))))
+    by = ["source_file"] if monthly else []
     year = F.substring("source_file", 8, 4).cast("int")
     shared = ["order_date", "store_id", "quantity", "unit_price", "discount_pct", "sales_channel", "loyalty_member"]
     eras = {"legacy": (year < 1998, ["order_id", "product_id", *shared]),

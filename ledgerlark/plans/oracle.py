@@ -650,9 +650,17 @@ SELECT order_id, order_date, store_id, product_id, new_product_id, product_id_so
   sales_channel || CASE WHEN l_orderkey % 13 = 0 THEN chr(10) || '"gift", ' || order_id ELSE '' END AS sales_channel,
   loyalty_member FROM feed""")
 
-q("ledger_load", ["ilog"], """
-SELECT CASE WHEN source_date_expected < '2000' THEN 0 ELSE 1 END AS epoch, source_date_expected, source_date_found, status,
-  rows_loaded, file_hash, error_message FROM ilog""")
+q("ledger_load", ["feed", "fhash"], """
+WITH files AS (SELECT substr(source_file, 8, 7) || '-01' AS m, count(*) AS n, count(DISTINCT order_date) AS n_dates, min(order_date) AS d
+               FROM feed GROUP BY 1),
+hashes AS (SELECT substr(source_file, 8, 7) || '-01' AS m,
+             CAST(sum(CAST(split_part(file_hash, '-', 1) AS DECIMAL(38,0))) AS VARCHAR) || '-'
+               || CAST(sum(CAST(split_part(file_hash, '-', 2) AS DECIMAL(38,0))) AS VARCHAR) AS file_hash
+           FROM fhash GROUP BY 1)
+SELECT CASE WHEN m < '2000' THEN 0 ELSE 1 END AS epoch, m AS source_date_expected,
+  CASE WHEN n_dates = 1 AND d = m THEN 'success' ELSE 'stale' END AS status, CAST(n AS INTEGER) AS rows_loaded,
+  file_hash, '' AS error_message
+FROM files JOIN hashes USING (m)""")
 
 # B / C
 DQ_COLS = ("run_date, file_name, n_rows, product_col, has_source_flag, na_order_id, na_order_date, na_store_id, "

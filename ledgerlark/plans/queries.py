@@ -244,18 +244,18 @@ def q_feed_file_records(p: FeedPipeline) -> DataFrame:
 
 @query("ledger_load")
 def q_ledger_load(p: FeedPipeline) -> DataFrame:
-    """A5 + B2 over daily CSV files: the log of two loads of the landing folder
+    """A5 + B2 over monthly CSV files: the log of two loads of the landing folder
     (files before 2000, then all) with the load that wrote each record; a third
     call finds nothing on offer."""
     from ledgerlark.session import stage_root
     from ledgerlark.streaming import ledger
     base = f"{stage_root(p.spark)}/ledger-{uuid.uuid4().hex}"
-    folder = adapters.write_feed_files(p.raw, f"{base}/landing", daily=True)
+    folder = adapters.write_feed_files(p.raw, f"{base}/landing", monthly=True)
     eras = [f"{folder}/{era}" for era in ("legacy", "renamed", "flagged")]
     for landing in (eras[:2], eras, eras):
         ledger.load(p.spark, landing, f"{base}/loaded", name_level=2)
     return ledger.table(p.spark, f"{base}/loaded", "ingestion_log").select(
-        "epoch", "source_date_expected", "source_date_found", "status", "rows_loaded", "file_hash", "error_message")
+        "epoch", "source_date_expected", "status", "rows_loaded", "file_hash", "error_message")
 
 
 # ---- B / C: monitoring and quality ------------------------------------------------
