@@ -7,11 +7,12 @@ Tiers
      best and runner-up per legacy row; floor / ambiguity / confidence rules.
   3. no block partner -> unresolved.
 
-Scale: tier 2 is an equi-join, so only pairs inside a block are scored (AQE's
-skew-join splitting handles a hot block). "Best" and "runner-up" come from two
-partial (map-side combined) aggregations -- ``max(struct(score, -pos, id))``
--- instead of a window, so a legacy row with a huge candidate list never has
-to sit in one task.
+Scale: tier 2 is an equi-join, so only pairs inside a block are scored, and of a
+hot block only those that can be a best or second best (``best_two``). Queries
+over every pair (E20) read ``scored_candidates``; there "best" and "runner-up"
+come from two partial (map-side combined) aggregations --
+``max(struct(score, -pos, id))`` -- instead of a window, so a legacy row with a
+huge candidate list never has to sit in one task.
 
 Legacy input columns: product_id, product_name, category, subcategory,
 base_price, margin_rate, launch_date, catalog_pos.
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from ledgerlark.functions.numeric import to_double
 from ledgerlark.functions.similarity import similarity, similarity_pair
 from ledgerlark.functions.text import normalize_text
+from ledgerlark.operators import best_two as pruned
+from ledgerlark.session import cut_lineage
 
 # Legacy category -> new-system department rename.
 CATEGORY_TO_DEPARTMENT = {
@@ -99,8 +102,15 @@ def scored_candidates(legacy: DataFrame, new: DataFrame, mapping: dict | None =
                       method: str = "token_set_ratio") -> DataFrame:
     """E11 + E4-E8: every tier-2 candidate pair with its component scores."""
     L, N = prepare(legacy, new, mapping)
+    return _scored(_not_exact(L, N), N, method)
+
+
+def _not_exact(L: DataFrame, N: DataFrame) -> DataFrame:
     first_names = N.select("n_name").distinct()
-    rest = L.join(first_names, L.l_name == first_names.n_name, "left_anti")
+    return L.join(first_names, L.l_name == first_names.n_name, "left_anti")
+
+
+def _scored(rest: DataFrame, N: DataFrame, method: str = "token_set_ratio") -> DataFrame:
     # spread the scored pairs over the cluster before the Python UDF (a block
     # join whose sides were broadcast keeps the catalog scan's few splits)
     pairs = rest.join(N, ["_d", "_m", "_dept"], "inner").repartition("l_pos")
@@ -135,11 +145,43 @@ def rank_candidates(scored: DataFrame) -> DataFrame:
     return best.join(second, "l_pos", "left")
 
 
+def best_two(legacy: DataFrame, new: DataFrame, mapping: dict | None = None,
+             hot_pairs: int = pruned.HOT_PAIRS, cell: int = pruned.CELL) -> DataFrame:
+    """E11 + E12 without all pairs: per legacy row with a block partner the best
+    ``b`` and runner-up ``s`` (NULL if alone) by token-set score, ties in catalog
+    order, and the size of its block. Blocks of more than ``hot_pairs`` pairs
+    are searched by bounds (``operators.best_two``), with the same rows."""
+    L, N = prepare(legacy, new, mapping)
+    rest = cut_lineage(_not_exact(L, N), "not_exact")
+    block = pruned.BLOCK
+    sizes = cut_lineage(
+        rest.groupBy(*block).agg(F.count(F.lit(1)).alias("_nl"))
+        .join(N.groupBy(*block).agg(F.count(F.lit(1)).alias("n_cands")), block)
+        .withColumn("hot", F.col("_nl") * F.col("n_cands") > hot_pairs), "block_sizes")
+    small, hot = (sizes.where(c).select(*block) for c in (~F.col("hot"), F.col("hot")))
+    keep = [F.col("l_pos").cast("long").alias("l_pos"), "new_product_id", F.col("n_pos").cast("long").alias("n_pos"),
+            "name_sim", "score"]
+    found = _scored(rest.join(small, block), N).select(*keep)
+    if not hot.isEmpty():
+        found = found.unionByName(pruned.hot_best(
+            pruned.numbers(rest.join(hot, block), "l_pos", "product_id", "l_name", "l_sub", "base_price"),
+            pruned.numbers(N.join(hot, block), "n_pos", "new_product_id", "n_name", "n_class", "msrp"),
+            (W_NAME, W_SUBCLASS, W_PRICE), cell).select(*keep))
+    one = F.struct("score", "new_product_id", "name_sim")
+    best = pruned.ranked(found, ["l_pos"]).groupBy("l_pos").agg(
+        F.max(F.when(F.col("_rn") == 1, one)).alias("b"), F.max(F.when(F.col("_rn") == 2, one)).alias("s"))
+    counts = rest.join(sizes, block).select(F.col("l_pos").cast("long").alias("l_pos"), "n_cands")
+    return best.join(counts, "l_pos")
+
+
 def build_crosswalk(legacy: DataFrame, new: DataFrame, mapping: dict | None = None,
                     method: str = "token_set_ratio", keep_pos: bool = False,
-                    materialize: bool = False, scored: DataFrame | None = None) -> DataFrame:
+                    materialize: bool = False, scored: DataFrame | None = None,
+                    ranked: DataFrame | None = None) -> DataFrame:
     """One crosswalk row per legacy catalog row.
 
+    Best and runner-up come from ``ranked`` (see :func:`best_two`, the default
+    for the token-set score), or from all ``scored`` pairs.
     ``materialize`` checkpoints the scored candidate pairs (reliably, into the
     shared checkpoint folder) so the similarity UDF runs once even though
     best and runner-up both read the pairs."""
@@ -148,12 +190,14 @@ def build_crosswalk(legacy: DataFrame, new: DataFrame, mapping: dict | None = No
              .select("product_id", "l_pos", "new_product_id",
                      F.lit("matched").alias("match_status"), F.lit("high").alias("match_confidence"),
                      F.lit("exact_name").alias("match_method"), F.lit(NOTE_EXACT).alias("notes")))
-    if scored is None:
-        scored = scored_candidates(legacy, new, mapping, method)
-        if materialize:
-            from ledgerlark.session import cut_lineage
-            scored = cut_lineage(scored, "scored_pairs")
-    ranked = rank_candidates(scored)
+    if ranked is None and scored is None and method == "token_set_ratio":
+        ranked = best_two(legacy, new, mapping)
+    elif ranked is None:
+        if scored is None:
+            scored = scored_candidates(legacy, new, mapping, method)
+            if materialize:
+                scored = cut_lineage(scored, "scored_pairs")
+        ranked = rank_candidates(scored)
     b, s = F.col("b"), F.col("s")
     below = b.score < MIN_SCORE
     ambiguous = (F.col("n_cands") > 1) & ((b.score - s.score) < AMBIGUOUS_GAP)

@@ -239,6 +239,15 @@ def new_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(twins).drop("_k", "_retail")
 
 
+def with_default_dates(catalog: DataFrame, number: Column) -> DataFrame:
+    """The catalog after a migration that knew neither launch date nor margin of
+    a third of the items: those share one default of both."""
+    lost = number % 3 == 0
+    margin = "margin_rate" if "margin_rate" in catalog.columns else "gross_margin"
+    return (catalog.withColumn("launch_date", F.when(lost, "1900-01-01").otherwise(F.col("launch_date")))
+            .withColumn(margin, F.when(lost, "0.30").otherwise(F.col(margin))))
+
+
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return (s.select(F.concat(F.lit("S00"), _s(F.col("s_suppkey") % 8 + 1)).alias("store_id"))

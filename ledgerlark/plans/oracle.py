@@ -10,6 +10,8 @@ test catalogs respect).
 
 from __future__ import annotations
 
+import re
+
 NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -255,6 +257,18 @@ cte("crosswalk", ["xl", "xtier1", "xtop"], """
            'no candidate sharing launch_date+margin+department'
     FROM xl WHERE l_pos NOT IN (SELECT l_pos FROM xtier1) AND l_pos NOT IN (SELECT l_pos FROM xtop)
   )""")
+# the same matching over catalogs of which a third has a default date and margin
+cte("hot_products", ["products"], """
+  SELECT * REPLACE (CASE WHEN catalog_pos % 3 = 0 THEN '1900-01-01' ELSE launch_date END AS launch_date,
+                    CASE WHEN catalog_pos % 3 = 0 THEN '0.30' ELSE margin_rate END AS margin_rate) FROM products""")
+cte("hot_new_products", ["new_products"], """
+  SELECT * REPLACE (CASE WHEN catalog_pos // 2 % 3 = 0 THEN '1900-01-01' ELSE launch_date END AS launch_date,
+                    CASE WHEN catalog_pos // 2 % 3 = 0 THEN '0.30' ELSE gross_margin END AS gross_margin)
+  FROM new_products""")
+for _name in ("xl", "xn", "xfirst", "xpairs", "xtok", "xscored", "xscore", "xranked", "xtop"):
+    _deps, _sql = CTES[_name]
+    cte(f"hot_{_name}", [f"hot_{d}" for d in _deps],
+        re.sub(r"\b(xl|xn|xfirst|xpairs|xtok|xscored|xscore|xranked|products|new_products)\b", r"hot_\1", _sql))
 cte("xw_map", ["crosswalk"], """
   SELECT product_id, arg_max(new_product_id, catalog_pos) AS mapped
   FROM crosswalk WHERE new_product_id IS NOT NULL GROUP BY product_id""")
@@ -540,6 +554,9 @@ SELECT product_id, CASE WHEN o THEN 'N' || product_id ELSE new_product_id END AS
   CASE WHEN o THEN 'manual' ELSE match_method END AS match_method, notes,
   CASE WHEN o THEN 0 ELSE needs_review END AS needs_review
 FROM (SELECT *, needs_review = 1 AND CAST(substr(product_id, 2) AS BIGINT) % 3 = 0 AS o FROM crosswalk)""")
+q("crosswalk_hot_blocks", ["hot_xtop"], """
+SELECT product_id, n_cands, best_id, round(best, 6) AS best_score, second_id, round(second, 6) AS second_score
+FROM hot_xtop""")
 q("crosswalk_validation", ["crosswalk"], """
 SELECT count(*) AS n_rows, count(new_product_id) AS n_mapped,
   count(DISTINCT new_product_id) AS n_distinct_new,

@@ -22,7 +22,7 @@ from ledgerlark.sources import feed_csv, reference, weather_json
 
 class FeedPipeline:
     """``materialize=True`` writes the frames that many queries read -- the raw
-    feed (raw_orders), the crosswalk's scored pairs, the tagged order lines
+    feed (raw_orders), the crosswalk's scored pairs (for queries over all of them), the tagged order lines
     (clean_orders + rejected_rows), daily_sales, the board's enriched lines
     and the per-file quality facts -- once as parquet tables under the shared ``spark.checkpoint.dir``
     and reads them back: the stage tables of the batch pipeline."""
@@ -110,11 +110,16 @@ class FeedPipeline:
         # tier-2 candidate pairs with their similarity scores (the only UDF work)
         return self._cut(crosswalk.scored_candidates(self.products, self.new_products), "scored_pairs")
 
+    @cached_property
+    def best_two(self) -> DataFrame:
+        # the two best of each legacy row; a hot block's pairs aren't all scored
+        return crosswalk.best_two(self.products, self.new_products)
+
     @cached_property
     def crosswalk(self) -> DataFrame:
         # the product_crosswalk table: catalog-sized, read by every stage below
         return self._cut(crosswalk.build_crosswalk(self.products, self.new_products, keep_pos=True,
-                                                   scored=self.scored), "product_crosswalk")
+                                                   ranked=self.best_two), "product_crosswalk")
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -196,7 +201,7 @@ class FeedPipeline:
                 setattr(self, name, put(name, getattr(self, name)))
         put("ingestion_log", self.ingestion_log)
         put("data_quality_log", self.dq_report)
-        self.scored = put("scored_pairs", self.scored)
+        self.best_two = put("scored_pairs", self.best_two)
         self.crosswalk = put("product_crosswalk", self.crosswalk)
         self.tagged = put("tagged_orders", self.tagged.drop("raw_id"))
         put("clean_orders", by_month(self.clean), ["order_month"])
