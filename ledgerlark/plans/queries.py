@@ -146,12 +146,13 @@ def q_crosswalk_review(p: FeedPipeline) -> DataFrame:
 @query("crosswalk_hot_blocks")
 def q_crosswalk_hot(p: FeedPipeline) -> DataFrame:
     """E11 + E12 where a third of both catalogs has a default launch date and
-    margin: blocks that grow with the catalog, searched by bounds."""
+    margin: blocks that grow with the catalog, searched by bounds. Cells are small
+    and blocks count as hot early, so that small tables reach the bounds too."""
     number = F.regexp_extract(F.col("product_id"), "[0-9]+", 0).cast("long")
     new_number = F.regexp_extract(F.col("new_product_id"), "[0-9]+", 0).cast("long") % 8000000
     legacy = adapters.with_default_dates(p.products, number)
     new = adapters.with_default_dates(p.new_products, new_number)
-    best = crosswalk.best_two(legacy, new)
+    best = crosswalk.best_two(legacy, new, hot_pairs=256, cell=32)
     return (best.join(legacy.select("product_id", F.col("catalog_pos").alias("l_pos")), "l_pos")
             .select("product_id", "n_cands", F.col("b.new_product_id").alias("best_id"),
                     F.round("b.score", 6).alias("best_score"), F.col("s.new_product_id").alias("second_id"),
