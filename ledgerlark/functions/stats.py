@@ -68,6 +68,14 @@ def _spearman_p_udf(rho: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+def pearson(x: str, y: str) -> Column:
+    """Correlation of two columns over the rows that have both; NULL where a
+    side is constant (``corr`` divides by zero there)."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    sd = [F.stddev_pop(F.when(both, F.col(c))) for c in (x, y)]
+    return F.try_divide(F.covar_pop(x, y), sd[0] * sd[1])
+
+
 def erfc(c: Column) -> Column:
     return _erfc_udf(c)
 

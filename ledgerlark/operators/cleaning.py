@@ -7,16 +7,20 @@ Input contract (``raw``): the 13 raw text columns plus
   * ``row_uid`` a unique long per physical row.
 
 Skew: the natural-key de-duplication never puts a key's rows in one task. The
-winner per key is ``min(raw_id)`` (a partial, map-side combined aggregate), and
-rows learn whether they won through a join on the unique ``row_uid``.
+winner per key is ``min(raw_id)`` (a partial, map-side combined aggregate); the
+later rows of keys that occur more than once are a table of their ``row_uid``,
+and rows learn from it that they lost.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.numeric import bad_amount, to_double, to_long
+from ledgerlark.session import cut_lineage
 
 RAW_COLUMNS = [
     "source_file", "ingested_at", "order_id", "order_date", "store_id",
@@ -103,24 +107,26 @@ def tag_rows(raw: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
 
 def tag_lines(lines: DataFrame) -> DataFrame:
     """D8 + D9 over typed lines; lines whose amounts are beyond what money is
-    summed in are rejected between the two, so one absurd price stops no table. ``lines`` is read twice (winner aggregate and
-    the join on ``row_uid``), so callers should pass a materialised frame
+    summed in are rejected between the two, so one absurd price stops no table. ``lines`` is read more than once (keys, later rows of
+    a key, and the join on ``row_uid``), so callers should pass a materialised frame
     (checkpoint / table) rather than a long lineage."""
     bad_date = F.col("order_date").isNull() | (F.col("order_date") == "")
     absurd = bad_amount(F.col("unit_price"), F.col("line_revenue"), F.col("discount_pct"))
     dated = lines.where(~bad_date & ~absurd)
-    if _has_long_ids(lines):
-        # raw_id is a unique load sequence: min(long) is a hash aggregate
-        winners = (dated.groupBy(*NATURAL_KEY).agg(F.min("raw_id").alias("row_uid"))
-                   .select("row_uid", F.lit(True).alias("_first")))
-    else:
-        winners = (dated.groupBy(*NATURAL_KEY)
-                   .agg(F.min(F.struct("raw_id", "row_uid")).alias("_w"))
-                   .select(F.col("_w.row_uid").alias("row_uid"), F.lit(True).alias("_first")))
-    dated = (dated.join(winners, "row_uid", "left")
-             .withColumn("reject_reason",
-                         F.when(F.col("_first").isNull(), F.lit(REASON_DUPLICATE)))
-             .drop("_first"))
+    # raw_id alone is the row id where it is a unique load sequence: min(long)
+    # is a hash aggregate
+    row = F.col("raw_id") if _has_long_ids(lines) else F.struct("raw_id", "row_uid")
+    keyed = dated.select(*NATURAL_KEY, "row_uid", row.alias("_row"))
+    # only keys of several rows go on, and of them only the later rows: no other
+    # line is joined or moved when those are few
+    first = keyed.groupBy(*NATURAL_KEY).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    first = first.select(*[F.col(c).alias(f"_k_{c}") for c in NATURAL_KEY], "_first")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in NATURAL_KEY])
+    later = cut_lineage(keyed.join(first, same).where(F.col("_row") != F.col("_first"))
+                        .select("row_uid", F.lit(True).alias("_later")), "later_rows")
+    dated = (dated.join(later, "row_uid", "left")
+             .withColumn("reject_reason", F.when(F.col("_later"), F.lit(REASON_DUPLICATE)))
+             .drop("_later"))
     bad = lines.where(bad_date | absurd).withColumn(
         "reject_reason", F.when(bad_date, REASON_BAD_DATE).otherwise(REASON_AMOUNT))
     return dated.unionByName(bad)

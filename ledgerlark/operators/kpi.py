@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.stats import pearson
 from ledgerlark.functions.text import calendar_day
 from ledgerlark.operators.crosswalk import CATEGORY_TO_DEPARTMENT
 from ledgerlark.operators.daily import money_sum, to_cents
+from ledgerlark.operators.global_rank import key_ranks
+from ledgerlark.session import cut_lineage
 
 UNKNOWN = "UNKNOWN"
 # Sensitivity / recommendation thresholds.
@@ -133,7 +136,7 @@ def weather_corr_all(daily: DataFrame, weathers=("temp_max", "precipitation_sum"
     correlations, then an unpivot to one row per (category, weather, measure).
 
     Per pair, r is emitted only with >= ``min_obs`` store-days and more than
-    one distinct value on both sides (so ``corr`` never sees a constant)."""
+    one distinct value on both sides."""
     def measure(v):
         return (money_sum(F.col(v)).cast("double") if v != "units_sold"
                 else F.coalesce(F.sum(v), F.lit(0)).cast("double"))
@@ -143,7 +146,7 @@ def weather_corr_all(daily: DataFrame, weathers=("temp_max", "precipitation_sum"
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.count_distinct(f"v_{v}").alias(f"nv_{v}") for v in measures]
     aggs += [F.count_distinct(f"w_{w}").alias(f"nw_{w}") for w in weathers]
-    aggs += [F.corr(f"v_{v}", f"w_{w}").alias(f"r_{w}__{v}") for w in weathers for v in measures]
+    aggs += [pearson(f"v_{v}", f"w_{w}").alias(f"r_{w}__{v}") for w in weathers for v in measures]
     g = sd.groupBy("category").agg(*aggs)
     pairs = [(w, v) for w in weathers for v in measures]
     stacked = g.select("category", "n", F.explode(F.array(*[
@@ -163,10 +166,23 @@ def weather_corr(daily: DataFrame, weather_col: str = "temp_max", value_col: str
     return weather_corr_all(daily, (weather_col,), (value_col,), min_obs).drop("weather", "measure", "raw_r")
 
 
+# Note texts.
+NOTE_WARM = ("leans <b>warm</b> — a modest tilt toward selling more on hot "
+             "days; worth testing a pre-heat stock/promo, but expect small effects.")
+NOTE_COOL = ("leans <b>cool</b> — a modest tilt toward selling more on cooler "
+             "days; worth testing a cool-spell hold/promo, but expect small effects.")
+NOTE_WET = " Rain nudges it up slightly too."
+NOTE_DRY = " It dips a little in the rain."
+NOTE_NEUTRAL = ("no meaningful weather signal in this window — treat demand as a "
+                "steady baseline; weather is not a useful lever here.")
+NOTE_FLAT = "is flat to temperature (r="
+
+
 def recommendations(daily: DataFrame, value_col: str = "net_revenue",
                     categories: DataFrame | None = None) -> DataFrame:
     """Per category, temperature and precipitation correlations (missing
-    -> 0) turned into a tag; ``priority`` orders by |temp r| descending."""
+    -> 0) turned into a tag and a hedged note; ``priority`` orders by |temp r|
+    descending, then category."""
     c = weather_corr_all(daily, ("temp_max", "precipitation_sum"), (value_col,))
     wide = c.groupBy("category").agg(
         F.max(F.when(F.col("weather") == "temp_max", F.col("raw_r"))).alias("temp_r"),
@@ -175,15 +191,21 @@ def recommendations(daily: DataFrame, value_col: str = "net_revenue",
     j = (cats.join(wide, "category", "left")
          .withColumn("temp_r", F.coalesce("temp_r", F.lit(0.0)))
          .withColumn("precip_r", F.coalesce("precip_r", F.lit(0.0))))
-    from pyspark.sql import Window
+    j = cut_lineage(j, "recommended")
     tr, pr = F.col("temp_r"), F.col("precip_r")
     tag = (F.when(tr >= RECOMMEND_T, "leans warm").when(tr <= -RECOMMEND_T, "leans cool")
            .when(pr >= RECOMMEND_P, "leans wet").when(pr <= -RECOMMEND_P, "leans dry")
            .otherwise("weather-neutral"))
-    # strongest temperature signal first (a window over one row per category)
-    priority = F.row_number().over(Window.orderBy(F.abs(tr).desc(), F.col("category")))
-    return j.select("category", F.round(tr, 6).alias("temp_r"), F.round(pr, 6).alias("precip_r"), tag.alias("tag"),
-                    priority.alias("priority"))
+    temp_note = F.when(tr >= RECOMMEND_T, NOTE_WARM).when(tr <= -RECOMMEND_T, NOTE_COOL)
+    rain_note = F.when(pr >= RECOMMEND_P, NOTE_WET).when(pr <= -RECOMMEND_P, NOTE_DRY)
+    flat = F.concat(F.lit(NOTE_FLAT), F.format_string("%+.2f", tr), F.lit(")."))
+    note = (F.when(temp_note.isNull() & rain_note.isNull(), NOTE_NEUTRAL)
+            .otherwise(F.concat(F.coalesce(temp_note, flat), F.coalesce(rain_note, F.lit("")))))
+    # strongest temperature signal first
+    order = key_ranks(j, {"_strength": F.abs(tr), "_cat": F.col("category")}, descending=("_strength",))
+    return (j.join(order, F.col("category").eqNullSafe(F.col("_cat")))
+            .select("category", F.round(tr, 6).alias("temp_r"), F.round(pr, 6).alias("precip_r"), tag.alias("tag"),
+                    note.alias("note"), (F.col("n_before") + 1).cast("int").alias("priority")))
 
 
 def revenue_by_store(daily: DataFrame) -> DataFrame:

@@ -54,6 +54,13 @@ def found_dates(raw: DataFrame) -> DataFrame:
                     F.array_join(F.transform("_s", lambda x: x["order_date"]), ";").alias("found")))
 
 
+def row_digest(columns: list[str]) -> Column:
+    """SHA-256 of a row's texts, each ``-`` if NULL, else length and text, so
+    only equal rows have equal input (the feed is untrusted: no short hash)."""
+    return F.unhex(F.sha2(F.concat(*[
+        F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns]), 256))
+
+
 def file_stats(raw: DataFrame, headers: DataFrame, store_ids: DataFrame | None = None,
                product_ids: DataFrame | None = None) -> DataFrame:
     """All per-file facts, one row per file in ``headers``."""
@@ -83,9 +90,10 @@ def file_stats(raw: DataFrame, headers: DataFrame, store_ids: DataFrame | None =
     if product_ids is not None:
         aggs.append(F.count_if(F.col("_p_ok").isNull()).alias("_orphan_product"))
     per_file = rows.groupBy("source_file").agg(*aggs)
-    # one shuffle of the raw rows: distinct full rows with their multiplicity;
-    # repeated order ids are then counted from that (much smaller) result
-    distinct_rows = raw.groupBy("source_file", *DATA_COLUMNS).count()
+    # rows are counted by digest, so no full row is shuffled; repeated order ids
+    # are then counted from that (much smaller) result
+    distinct_rows = (raw.select("source_file", "order_id", row_digest(DATA_COLUMNS).alias("_row"))
+                     .groupBy("source_file", "order_id", "_row").count())
     dup_rows = distinct_rows.groupBy("source_file").agg(F.sum(F.col("count") - 1).alias("dup_rows"))
     dup_ids = (distinct_rows.groupBy("source_file", "order_id").agg(F.sum("count").alias("count"))
                .groupBy("source_file").agg(F.sum(F.col("count") - 1).alias("dup_order_id")))

