@@ -603,6 +603,12 @@ FROM crosswalk c JOIN products p ON c.product_id = p.product_id
 JOIN new_products n ON c.new_product_id = n.new_product_id
 WHERE c.new_product_id IS NOT NULL""")
 
+cte("kept_brands", ["new_products"], """
+  SELECT * REPLACE (CASE WHEN CAST(regexp_extract(new_product_id, '[0-9]+') AS BIGINT) % 2 = 0
+    THEN replace(brand_name, 'Mfr ', 'Brand#') ELSE brand_name END AS brand_name) FROM new_products""")
+q("brand_bijection_kept", ["crosswalk", "products", "kept_brands"],
+  Q["brand_bijection"][1].replace("JOIN new_products", "JOIN kept_brands"))
+
 # F
 q("category_resolution", ["catres"], """
 SELECT category, category_source, count(*) AS n_lines, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units
@@ -638,6 +644,13 @@ FROM (SELECT c.*, CASE WHEN is_new_system = 1 THEN {_num("np.msrp", False)} ELSE
       LEFT JOIN (SELECT new_product_id, arg_max(msrp, catalog_pos) AS msrp FROM new_products GROUP BY new_product_id) np
         ON c.product_key = np.new_product_id)
 GROUP BY is_new_system""")
+cte("listed_orders", ["clean_orders", "products", "new_products"], f"""
+  SELECT * EXCLUDE (lp) REPLACE (CASE WHEN CAST(split_part(order_id, '-', 1) AS BIGINT) % 2 = 0 AND lp IS NOT NULL
+    THEN round(lp * (1.0::DOUBLE - coalesce(discount_pct, 0.0::DOUBLE) / 100.0::DOUBLE), 2) ELSE unit_price END AS unit_price)
+  FROM (SELECT c.*, CASE WHEN c.is_new_system = 1 THEN {_num("np.msrp", False)} ELSE {_num("p.base_price", False)} END AS lp
+        FROM clean_orders c LEFT JOIN products p ON c.legacy_product_id = p.product_id
+        LEFT JOIN new_products np ON c.product_key = np.new_product_id)""")
+q("price_identity_listed", ["listed_orders", "products", "new_products"], Q["price_identity"][1].replace("clean_orders", "listed_orders"))
 q("weather_coverage", ["daily_sales"], """
 SELECT count(*) AS n_rows, count(temp_max) AS n_with_weather, round(count(temp_max) / count(*), 6) AS coverage
 FROM daily_sales""")
@@ -710,6 +723,32 @@ SELECT c.file_name, regexp_extract(c.flags, 'nonnumeric\\([^)]*\\)', 0) AS added
 FROM cur c LEFT JOIN known k ON c.file_name = k.file_name
 WHERE regexp_extract(c.flags, 'nonnumeric\\([^)]*\\)', 0) <> ''""")
 
+q("dq_flag_history", ["dq"], """
+SELECT file_name, '' AS added, 'retired_check' AS removed, 'unexpected' AS classification
+FROM dq WHERE substr(file_name, 16, 2) = '07'""")
+
+# A, B3: tables written and read back
+q("clean_orders_table", ["clean_orders"], f"SELECT {CLEAN_COLS} FROM clean_orders")
+q("table_audit", ["clean_orders", "daily_sales", "crosswalk"], """
+SELECT table_name, 1 AS present, CAST(0 AS BIGINT) AS n_rows FROM (SELECT unnest(['raw_orders', 'ingestion_log',
+  'data_quality_log', 'stores', 'products', 'new_products', 'weather_daily', 'rejected_rows']) AS table_name)
+UNION ALL SELECT 'no_such_table', 0, NULL
+UNION ALL SELECT 'clean_orders', 1, count(*) FROM clean_orders
+UNION ALL SELECT 'daily_sales', 1, count(*) FROM daily_sales
+UNION ALL SELECT 'product_crosswalk', 1, count(*) FROM crosswalk""")
+# an empty field of the CSV is NULL in the table
+q("ingestion_log_mirror", ["ilog"], """
+SELECT run_id, run_timestamp, source_url, source_date_expected, nullif(source_date_found, '') AS source_date_found,
+  status, rows_loaded, file_hash, nullif(error_message, '') AS error_message FROM ilog""")
+q("reference_tables", ["new_products"], """
+SELECT new_product_id, item_name, department, class, brand_name, msrp, gross_margin, launch_date, active,
+  CAST(2 AS BIGINT) AS n_copies FROM new_products""")
+q("failed_files", ["feed"], f"""
+SELECT substr(sha256(file_date || '|no such day: ' || file_date), 1, 32) AS run_id,
+  file_date || 'T06:00:00Z' AS run_timestamp, 'feed://orders.csv' AS source_url, file_date AS source_date_expected,
+  '' AS source_date_found, 'failed' AS status, 0 AS rows_loaded, '' AS file_hash, 'no such day: ' || file_date AS error_message
+FROM (SELECT DISTINCT substr(source_file, 8, 10) AS file_date FROM feed) WHERE {_day("file_date")} IS NULL""")
+
 # G
 q("enriched_lines", ["blines"], """
 SELECT order_date, store_id, product_key, product_name, category, sales_channel, quantity,
@@ -964,6 +1003,12 @@ tests AS (SELECT rr.store_id, rr.weather, n, round(rho_raw, 6) AS rho, {_p_final
                  count(*) OVER () AS n_tests
           FROM rr LEFT JOIN tp_out ON rr.store_id = tp_out.store_id AND rr.weather = tp_out.weather)
 SELECT * FROM tests WHERE p_value < 0.05""")
+cte("sd_signal", ["sd"], """
+  SELECT * REPLACE (CASE WHEN store_id IN ('S001', 'S002', 'S003', 'S004') AND substr(order_date, 9, 2) <= '15'
+    THEN net_revenue ELSE temp_max END AS temp_max) FROM sd""")
+# adding zero, since a tail that rounds to nothing may come out as -0.0
+q("significance_screen_signal", ["sd_signal"], re.sub(r"\bsd\b", "sd_signal", Q["significance_screen"][1])
+  .replace("SELECT * FROM tests", "SELECT * REPLACE (p_value + 0.0::DOUBLE AS p_value) FROM tests"))
 q("share_vs_median", ["sd"], f"""
 WITH rr AS (SELECT *, 1 AS one FROM ({_rho_raw_sql(STORE_MIX_SRC, "rain_share", "median_daily_net", "")})),
 {_t_p_ctes("rr", "one")[1:]}

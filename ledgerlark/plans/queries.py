@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark import schemas
 from ledgerlark.functions.numeric import to_double, to_long
 from ledgerlark.functions.similarity import similarity
-from ledgerlark.functions.text import normalize_text, overlap_count, token_overlap_similarity
+from ledgerlark.functions.text import calendar_day, normalize_text, overlap_count, token_overlap_similarity
 from ledgerlark.operators import cleaning, crosswalk, daily, kpi, monitor, quality, stats
 from ledgerlark.plans import adapters
 from ledgerlark.plans.pipeline import FeedPipeline
+from ledgerlark.sources import reference, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Callable[[FeedPipeline], DataFrame]] = {}
@@ -184,6 +186,14 @@ def q_brand_bijection(p: FeedPipeline) -> DataFrame:
     return crosswalk.brand_bijection(p.crosswalk, p.products, p.new_products)
 
 
+@query("brand_bijection_kept")
+def q_brand_kept(p: FeedPipeline) -> DataFrame:
+    """E21 where every second item kept its brand's name."""
+    even = F.regexp_extract("new_product_id", "[0-9]+", 0).cast("long") % 2 == 0
+    kept = F.when(even, F.regexp_replace("brand_name", "Mfr ", "Brand#")).otherwise(F.col("brand_name"))
+    return crosswalk.brand_bijection(p.crosswalk, p.products, p.new_products.withColumn("brand_name", kept))
+
+
 # ---- F: daily_sales -------------------------------------------------------------
 @query("category_resolution")
 def q_category(p: FeedPipeline) -> DataFrame:
@@ -217,6 +227,20 @@ def q_price_identity(p: FeedPipeline) -> DataFrame:
     return daily.price_identity(p.clean, p.products, p.new_products)
 
 
+@query("price_identity_listed")
+def q_price_identity_listed(p: FeedPipeline) -> DataFrame:
+    """F9 over lines of which every second order sells at list price less
+    discount, so both sides of the identity occur."""
+    base = p.products.select(F.col("product_id").alias("legacy_product_id"), to_double(F.col("base_price"), False).alias("_b"))
+    msrp = p.new_products.select(F.col("new_product_id").alias("product_key"), to_double(F.col("msrp"), False).alias("_m"))
+    listed = F.when(F.col("is_new_system") == 1, F.col("_m")).otherwise(F.col("_b"))
+    price = F.round(listed * (1 - F.coalesce(F.col("discount_pct"), F.lit(0.0)) / 100), 2)
+    even = F.split("order_id", "-")[0].cast("long") % 2 == 0
+    lines = (p.clean.join(base, "legacy_product_id", "left").join(msrp, "product_key", "left")
+             .withColumn("unit_price", F.when(even & price.isNotNull(), price).otherwise(F.col("unit_price"))).drop("_b", "_m"))
+    return daily.price_identity(lines, p.products, p.new_products)
+
+
 @query("weather_coverage")
 def q_weather_coverage(p: FeedPipeline) -> DataFrame:
     return daily.weather_coverage(p.daily)
@@ -274,6 +298,86 @@ def q_ledger_load(p: FeedPipeline) -> DataFrame:
         "epoch", "source_date_expected", "status", "rows_loaded", "file_hash", "error_message")
 
 
+# ---- A: tables written and read back ---------------------------------------------
+def _stage_folder(p: FeedPipeline, name: str) -> str:
+    from ledgerlark.session import stage_root
+    return f"{stage_root(p.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _stage_database(p: FeedPipeline) -> str:
+    """A database of this call in the shared stage folder, with all declared tables."""
+    folder = _stage_folder(p, "db")
+    name = "ledgerlark_" + folder[-32:]
+    p.spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    sinks.create_tables(p.spark, name)
+    return name
+
+
+def _in_two_appends(p: FeedPipeline, name: str) -> None:
+    for part in (p.clean.where("is_new_system = 1"), p.clean.where("is_new_system <> 1")):
+        sinks.append_table(part, name, schemas.CLEAN_ORDERS)
+
+
+@query("clean_orders_table")
+def q_clean_table(p: FeedPipeline) -> DataFrame:
+    """A11 + A13: clean_orders from two appends to the declared table."""
+    table = f"{_stage_database(p)}.clean_orders"
+    _in_two_appends(p, table)
+    return p.spark.table(table)
+
+
+@query("table_audit")
+def q_table_audit(p: FeedPipeline) -> DataFrame:
+    """A11-A13 + A16: declared tables made twice over, one filled by appends, two
+    replaced (one after a first version), and counted; a table nobody made."""
+    db = _stage_database(p)
+    sinks.create_tables(p.spark, db)
+    _in_two_appends(p, f"{db}.clean_orders")
+    sinks.replace_table(p.daily.where("units_sold > 10"), f"{db}.daily_sales")
+    sinks.replace_table(p.daily, f"{db}.daily_sales")
+    sinks.replace_table(p.crosswalk.select(*crosswalk.CROSSWALK_COLUMNS), f"{db}.product_crosswalk")
+    audit = sinks.table_audit(p.spark, [f"{db}.{t}" for t in (*schemas.TABLES, "no_such_table")])
+    return audit.select(F.substring_index("table", ".", -1).alias("table_name"), "present", "n_rows")
+
+
+@query("ingestion_log_mirror")
+def q_log_mirror(p: FeedPipeline) -> DataFrame:
+    """A14 + A15: the ingestion log exported as CSV and mirrored, typed, into
+    its table, which held an older log; empty fields are NULL there."""
+    table = f"{_stage_database(p)}.ingestion_log"
+    log = q_ingestion_log(p)
+    sinks.append_table(log.where(F.col("status") == "stale"), table, schemas.INGESTION_LOG)
+    path = _stage_folder(p, "ingestion-log")
+    sinks.export_csv(log, path)
+    sinks.mirror_log(p.spark, path, table)
+    return p.spark.table(table)
+
+
+@query("reference_tables")
+def q_reference_tables(p: FeedPipeline) -> DataFrame:
+    """A7 + A8: a catalog read once and copied to a CSV snapshot and a table
+    copy; the snapshot loaded as reference table (a file that is absent is
+    skipped), each row with the number of copies that hold it."""
+    folder = _stage_folder(p, "reference")
+    catalog = p.new_products.drop("catalog_pos")
+    status = reference.copy_table(catalog, {"csv": lambda d: sinks.export_csv(d, f"{folder}/csv"),
+                                            "table": lambda d: d.write.parquet(f"{folder}/copy")})
+    if set(status.values()) != {"ok"}:
+        raise RuntimeError(f"copies failed: {status}")
+    reference.load_reference(p.spark, {"new_products": f"{folder}/csv", "stores": f"{folder}/absent"}, f"{folder}/loaded")
+    both = p.spark.read.parquet(f"{folder}/loaded/new_products").unionByName(p.spark.read.parquet(f"{folder}/copy"))
+    return both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("n_copies"))
+
+
+@query("failed_files")
+def q_failed_files(p: FeedPipeline) -> DataFrame:
+    """Files whose name holds no calendar day, as failed attempts."""
+    day = F.substring("source_file", 8, 10)
+    bad = (p.raw.where(calendar_day(day).isNull()).select(day.alias("file_date")).distinct()
+           .withColumn("error", F.concat(F.lit("no such day: "), F.col("file_date"))))
+    return monitor.failed_records(bad, F.concat(F.col("file_date"), F.lit("T06:00:00Z")), "feed://orders.csv")
+
+
 # ---- B / C: monitoring and quality ------------------------------------------------
 @query("dq_report")
 def q_dq(p: FeedPipeline) -> DataFrame:
@@ -341,6 +445,16 @@ def q_dq_flag_diff(p: FeedPipeline) -> DataFrame:
     return quality.dq_flag_diff(cur, logged, known)
 
 
+@query("dq_flag_history")
+def q_dq_flag_history(p: FeedPipeline) -> DataFrame:
+    """C13 against a log of a gate with a check that was since retired: on the
+    seventh of a month the log holds a flag that the gate no longer gives."""
+    cur = p.dq_report.select("file_name", "flags")
+    retired = F.when(F.substring("file_name", 16, 2) == "07", F.lit("retired_check"))
+    logged = cur.select("file_name", F.concat_ws(";", F.nullif("flags", F.lit("")), retired).alias("flags"))
+    return quality.dq_flag_diff(cur, logged)
+
+
 # ---- G: board ------------------------------------------------------------------
 @query("enriched_lines")
 def q_enriched(p: FeedPipeline) -> DataFrame:
@@ -470,6 +584,15 @@ def q_screen(p: FeedPipeline) -> DataFrame:
     return stats.significance_screen(stats.spearman_by_store(p.store_days))
 
 
+@query("significance_screen_signal")
+def q_screen_signal(p: FeedPipeline) -> DataFrame:
+    """H8 where four stores' sales follow the temperature in the first half of
+    a month, so that tests pass the screen."""
+    follows = F.col("store_id").isin("S001", "S002", "S003", "S004") & (F.substring("order_date", 9, 2) <= "15")
+    sd = p.store_days.withColumn("temp_max", F.when(follows, F.col("net_revenue")).otherwise(F.col("temp_max")))
+    return stats.significance_screen(stats.spearman_by_store(sd))
+
+
 @query("channel_shift_zscore")
 def q_channel_zscore(p: FeedPipeline) -> DataFrame:
     """H3 statistic without the tail probability (exactly checkable)."""
