@@ -171,7 +171,8 @@ def best_two(legacy: DataFrame, new: DataFrame, mapping: dict | None = None,
     best = pruned.ranked(found, ["l_pos"]).groupBy("l_pos").agg(
         F.max(F.when(F.col("_rn") == 1, one)).alias("b"), F.max(F.when(F.col("_rn") == 2, one)).alias("s"))
     counts = rest.join(sizes, block).select(F.col("l_pos").cast("long").alias("l_pos"), "n_cands")
-    return best.join(counts, "l_pos")
+    # read by tier 2 and tier 3: the similarity runs once
+    return cut_lineage(best.join(counts, "l_pos"), "best_two")
 
 
 def build_crosswalk(legacy: DataFrame, new: DataFrame, mapping: dict | None = None,

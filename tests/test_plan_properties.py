@@ -7,8 +7,9 @@ from ledgerlark.plans import queries as registered
 
 SF = "/root/testdata/sf0.001"
 # queries whose plans may evaluate an Arrow UDF (p-values on one row per test;
-# the edit distance of blocked pairs)
-UDF_OK = {"edit_similarity", "channel_shift_z", "share_vs_median", "spearman_by_store", "significance_screen"}
+# the edit distance and best window of blocked pairs)
+UDF_OK = {"edit_similarity", "best_window_similarity", "channel_shift_z", "share_vs_median", "spearman_by_store",
+          "significance_screen", "significance_screen_signal"}
 
 
 def test_plan_shapes(spark):
