@@ -21,3 +21,30 @@ def test_plan_shapes(spark):
         if re.search(r"(ArrowEvalPython|BatchEvalPython)", plan) and name not in UDF_OK:
             bad.append((name, "python udf"))
     assert bad == []
+
+
+def test_amounts_are_parsed_once(spark):
+    """A row's amounts are matched once each, and the filters of tagging read them parsed."""
+    from ledgerlark.operators import cleaning
+    from ledgerlark.plans.pipeline import FeedPipeline
+
+    def patterns(df):
+        return len(re.findall("RLIKE", df._jdf.queryExecution().optimizedPlan().toString()))
+
+    p = FeedPipeline(spark, SF)
+    assert patterns(cleaning.typed_lines(p.raw, p.crosswalk)) == len(cleaning.AMOUNTS)
+    assert patterns(p.lines) == 0 and patterns(cleaning.tag_lines(p.lines)) == 0
+
+
+def test_equal_digests_of_different_keys(spark, monkeypatch):
+    """Keys that share a digest are told apart by the keys themselves."""
+    from pyspark.sql import functions as F
+
+    from ledgerlark.operators import cleaning
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("long"))
+    lines = spark.createDataFrame(
+        [(i, i, o, "2026-01-01", None, "P1", 1, 1.0, 0.0, 1.0) for i, o in enumerate("abcabd")],
+        "raw_id long, row_uid long, order_id string, order_date string, store_id string, product_key string, "
+        "quantity long, unit_price double, discount_pct double, line_revenue double")
+    got = {r.raw_id: r.reject_reason for r in cleaning.tag_lines(lines).collect()}
+    assert got == dict.fromkeys((0, 1, 2, 5)) | dict.fromkeys((3, 4), cleaning.REASON_DUPLICATE)
