@@ -80,3 +80,32 @@ def test_empty_catalogs(spark):
     legacy, new = catalogs(spark, [], [])
     assert X.best_two(legacy, new, hot_pairs=0).collect() == []
     assert X.build_crosswalk(legacy, new).collect() == []
+
+
+def test_bounds_of_many_cells_and_rows_at_once():
+    rng = random.Random(11)
+    a = P.Texts([text(rng) for _ in range(30)])
+    summaries = [P.Texts([text(rng) for _ in range(9)]).summary() for _ in range(12)]
+    together = P.cell_bounds(a, *zip(*summaries))
+    assert together.shape == (30, 12)
+    assert all((together[:, j] == P.cell_bound(a, *s)).all() for j, s in enumerate(summaries))
+    names, subs = [[text(rng) for _ in range(20)] for _ in range(2)], [["shell"] * 20] * 2
+    args = (names[0], subs[0], [10.0] * 20, names[1], subs[1], [9.0] * 20, list(range(20)), (0.6, 0.2, 0.2))
+    whole, some = P.top_two(*args), P.top_two(*args, rows=[3, 17])
+    assert some[0] == [x for x in whole[0] if x[0] in (3, 17)] and some[1] < whole[1]
+    assert P.top_two(*args, rows=[])[0] == []
+
+
+def test_bounds_and_scores_are_spread(spark, monkeypatch):
+    """Few bytes, much work: the tasks are as many as the session's shuffles have."""
+    parts = {}
+    cut = P.cut_lineage
+
+    def noted(df, name):
+        parts[name] = df.rdd.getNumPartitions()
+        return cut(df, name)
+    monkeypatch.setattr(P, "cut_lineage", noted)
+    legacy, new = catalogs(spark, *fixture(random.Random(5), 60))
+    X.best_two(legacy, new, hot_pairs=0, cell=4).collect()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [parts[n] for n in ("cell_bounds", "seed_scores", "rest_scores")] == [tasks] * 3
