@@ -48,3 +48,27 @@ def test_equal_digests_of_different_keys(spark, monkeypatch):
         "quantity long, unit_price double, discount_pct double, line_revenue double")
     got = {r.raw_id: r.reject_reason for r in cleaning.tag_lines(lines).collect()}
     assert got == dict.fromkeys((0, 1, 2, 5)) | dict.fromkeys((3, 4), cleaning.REASON_DUPLICATE)
+
+
+def test_feed_copies_are_compiled(spark):
+    """The copies of a feed row come from constant arrays: a function over a
+    built array is evaluated outside of compiled code."""
+    from ledgerlark.plans import adapters
+    plan = adapters.feed(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "lambda" not in plan
+
+
+def test_catalogs_are_spread_and_built_once(spark):
+    """The part table is one small file: the catalogs' names are made in as many
+    tasks as shuffles have, once."""
+    from ledgerlark.plans import adapters
+    from ledgerlark.plans.pipeline import FeedPipeline
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    p = FeedPipeline(spark, SF)
+    for made, stored in ((adapters.products(spark, SF), p.products), (adapters.new_products(spark, SF), p.new_products)):
+        assert "RepartitionByExpression" in plan(made)
+        assert "Project" not in plan(stored)
+        assert sorted(map(tuple, made.collect())) == sorted(map(tuple, stored.collect()))
