@@ -26,6 +26,8 @@ GRAMS = ((2, 0x9E3779B1), (4, 0x85EBCA6B))
 REMEMBERED = 300_000
 #: Positions hashed at a time.
 CHUNK_BYTES = 1 << 20
+#: New pieces encoded as one text, a line each.
+LINES = 256
 #: Score sums are whole numbers of this part, so they don't depend on order.
 FRACTION = 1 << 24
 
@@ -146,36 +148,70 @@ class Sums:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = special_tokens(self.library)
+        line_end = self.library.encode("\n", add_special_tokens=False).ids
+        # None: lines can't be told apart by a token of their own
+        self.line_end = line_end[0] if len(line_end) == 1 and not any("\n" in s for s in self.special) else None
         self.weights = weights
         self.forget()
 
     def forget(self) -> None:
         self.at: dict[bytes, int] = {}
         self.values = np.zeros((0, 2 + self.weights.shape[1]), np.int64)   # tokens, n-grams, scores
+        self.met = np.zeros(0, np.int64)                                    # ranges of texts with the piece
+
+    def forget_rare(self) -> None:
+        """All pieces but those of several ranges, half of what is remembered at most."""
+        least = 2
+        while (self.met >= least).sum() > REMEMBERED // 2:
+            least += 1
+        kept = self.met >= least
+        new = (np.cumsum(kept) - 1).tolist()
+        self.at = {p: new[i] for (p, i), k in zip(self.at.items(), kept[np.fromiter(self.at.values(), np.int64)].tolist()) if k}
+        self.values, self.met = self.values[kept], np.zeros(len(self.at), np.int64)
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.library.encode_batch_fast(texts, add_special_tokens=False)
+
+    def tokens(self, new: list[str]) -> np.ndarray:
+        """Of each piece. A line end is a token of its own between pieces that
+        neither hold one nor end in white space, so those are encoded as the
+        lines of a few texts, not one by one."""
+        out = np.zeros(len(new), np.int64)
+        special = set(self.special)
+        alone = np.array([self.line_end is None or "\n" in p or p[-1:].isspace() or p in special for p in new], bool)
+        single, lines = np.flatnonzero(alone), np.flatnonzero(~alone)
+        out[single] = [len(e) for e in self._encoded([new[i] for i in single.tolist()])]
+        texts = ["\n".join([new[i] for i in lines[a:a + LINES].tolist()]) for a in range(0, len(lines), LINES)]
+        if texts:
+            ids = np.concatenate([np.array([*e.ids, self.line_end]) for e in self._encoded(texts)])
+            out[lines] = np.diff(np.flatnonzero(ids == self.line_end), prepend=-1) - 1
+        return out
 
     def _learn(self, new: list[bytes]) -> None:
-        encoded = self.library.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
         out = np.zeros((len(new), self.values.shape[1]))
-        out[:, 0] = [len(e.ids) for e in encoded]
+        out[:, 0] = self.tokens([p.decode() for p in new])
         for piece, bucket in grams(pa.array(new, pa.large_binary()), len(self.weights)):
             out[:, 1] += np.bincount(piece, minlength=len(new))
             for j in range(self.weights.shape[1]):
                 out[:, 2 + j] += np.bincount(piece, self.weights[bucket, j] * FRACTION, len(new))
         self.at.update(zip(new, range(len(self.values), len(self.values) + len(new))))
         self.values = np.concatenate([self.values, np.rint(out).astype(np.int64)])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, mean scores: text x output; zeros for an empty text)."""
         out = np.zeros((len(texts), self.values.shape[1]), np.int64)
         for rows, pieces, ends in cut(texts, self.special):
             if len(self.at) > REMEMBERED:
-                self.forget()
+                self.forget_rare()
             found = pieces.dictionary_encode()
             distinct = found.dictionary.to_pylist()
             self._learn([p for p in distinct if p not in self.at])
-            number = np.fromiter(map(self.at.__getitem__, distinct), np.int64, len(distinct))[found.indices.to_numpy()]
+            number = np.fromiter(map(self.at.__getitem__, distinct), np.int64, len(distinct))
+            self.met[number] += 1
+            index, total = found.indices.to_numpy(), np.zeros(len(pieces) + 1, np.int64)
             for j in range(out.shape[1]):
-                total = np.concatenate([[0], np.cumsum(self.values[number, j])])
+                np.cumsum(self.values[number, j][index], out=total[1:])   # of the few distinct, then of all
                 out[rows, j] = total[ends[1:]] - total[ends[:-1]]
         return out[:, 0], out[:, 2:] / (FRACTION * np.maximum(1, out[:, 1:2]))
 
