@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark import schemas
+from ledgerlark.session import shuffles_dropped
 
 
 def create_tables(spark: SparkSession, database: str | None = None,
@@ -31,12 +32,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def replace_table(df: DataFrame, name: str) -> None:
     """Drop-and-recreate semantics (overwrite with the frame's schema)."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
 
 
 def append_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> None:
     """Append (conformed to the declared schema when given)."""
-    (conform(df, schema) if schema is not None else df).write.mode("append").saveAsTable(name)
+    with shuffles_dropped(df.sparkSession):
+        (conform(df, schema) if schema is not None else df).write.mode("append").saveAsTable(name)
 
 
 def mirror_log(spark: SparkSession, csv_path: str, table: str) -> None:
@@ -44,12 +47,14 @@ def mirror_log(spark: SparkSession, csv_path: str, table: str) -> None:
     declared schema kept, ``rows_loaded`` coerced to int)."""
     log = spark.read.option("header", "true").option("inferSchema", "false").csv(csv_path)
     log = log.withColumn("rows_loaded", F.col("rows_loaded").try_cast("int"))
-    conform(log, schemas.INGESTION_LOG).write.mode("overwrite").insertInto(table)
+    with shuffles_dropped(spark):
+        conform(log, schemas.INGESTION_LOG).write.mode("overwrite").insertInto(table)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with a header row."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").option("header", "true").csv(path)
 
 
 def table_audit(spark: SparkSession, required: list[str]) -> DataFrame:
