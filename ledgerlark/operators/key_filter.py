@@ -38,17 +38,31 @@ def _bit(place: Column) -> Column:
 def maybe_among(digests: DataFrame) -> Callable[[Column], Column]:
     """``digests``: a stored frame of one column, 64-bit digests of keys. Returns
     the test of a digest: true for all of these, and for few others."""
-    spark, (name,) = digests.sparkSession, digests.columns
     words = LEAST_WORDS
     wanted = digests.count() * BITS // 64
     while words < min(wanted, MOST_WORDS):
         words *= 2
+    return _test(cut_lineage(_words(digests, words), "key_filter"), words)
+
+
+def maybe_among_lazy(digests: DataFrame, words: int) -> Callable[[Column], Column]:
+    """The same as part of the query that asks, with a fixed number of words (a
+    power of two): nothing runs before."""
+    return _test(_words(digests, words), words)
+
+
+def _words(digests: DataFrame, words: int) -> DataFrame:
+    """One row: the array of words."""
+    spark, (name,) = digests.sparkSession, digests.columns
     set_bits = (digests.where(F.col(name).isNotNull()).select(F.explode(F.array(*_places(F.col(name), words))).alias("p"))
                 .groupBy(_word(F.col("p")).alias("w")).agg(F.bit_or(_bit(F.col("p"))).alias("bits")))
     every = spark.range(words).select(F.col("id").cast("int").alias("w")).join(set_bits, "w", "left")
-    one_row = cut_lineage(every.agg(F.transform(
+    return every.agg(F.transform(
         F.sort_array(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))),
-        lambda x: x["bits"]).alias("words")), "key_filter")
+        lambda x: x["bits"]).alias("words"))
+
+
+def _test(one_row: DataFrame, words: int) -> Callable[[Column], Column]:
     held = one_row.scalar()
 
     def passes(digest: Column) -> Column:
