@@ -109,3 +109,28 @@ def test_bounds_and_scores_are_spread(spark, monkeypatch):
     X.best_two(legacy, new, hot_pairs=0, cell=4).collect()
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert [parts[n] for n in ("cell_bounds", "seed_scores", "rest_scores")] == [tasks] * 3
+
+
+def test_cells_of_groups_that_no_row_needs_are_not_bounded(spark, monkeypatch):
+    rng = random.Random(2)
+    kinds = ["amber lamp", "birch stool", "copper kettle", "denim jacket", "ivory comb", "maple flute"]
+    legacy = [(f"P{i}", f"{k} {rng.randint(10, 99)} x", "outerwear", k, "10", "0.3", "1900-01-01", i)
+              for i, k in enumerate(kinds * 16)]
+    new = [(f"N{i}", f"{k} {rng.randint(10, 99)} y", "apparel", k, "10", "0.3", "1900-01-01", i)
+           for i, k in enumerate(kinds * 16)]
+    legacy, new = catalogs(spark, legacy, new)
+    monkeypatch.setattr(P, "GROUP", 2, raising=False)
+    monkeypatch.setattr(P, "SEED_GROUPS", 1, raising=False)
+    stages, cut = {}, P.cut_lineage
+
+    def noted(df, name):
+        stages[name] = cut(df, name)
+        return stages[name]
+    monkeypatch.setattr(P, "cut_lineage", noted)
+
+    def rows(ranked):
+        return sorted((r.l_pos, r.b.new_product_id, r.b.score, r.s.new_product_id, r.s.score) for r in ranked.collect())
+    got = rows(X.best_two(legacy, new, hot_pairs=0, cell=4))
+    bounded = sum(stages[n].count() for n in ("cell_bounds", "rest_bounds") if n in stages)
+    assert bounded < stages["legacy_cells"].count() * stages["new_cells"].count() / 2
+    assert got == rows(X.rank_candidates(X.scored_candidates(legacy, new)))
