@@ -134,3 +134,11 @@ def test_cells_of_groups_that_no_row_needs_are_not_bounded(spark, monkeypatch):
     bounded = sum(stages[n].count() for n in ("cell_bounds", "rest_bounds") if n in stages)
     assert bounded < stages["legacy_cells"].count() * stages["new_cells"].count() / 2
     assert got == rows(X.rank_candidates(X.scored_candidates(legacy, new)))
+
+
+def test_repeated_texts_are_looked_at_once():
+    a, b = P.Texts(["rain shell", "", "rain shell", None]), P.Texts(["shell", "shell", "rain"])
+    assert a.distinct()[0].tokens == [["rain", "shell"], []] and a.distinct()[1].tolist() == [0, 1, 0, 1]
+    for i, x in enumerate(["rain shell", "", "rain shell", ""]):
+        for j, y in enumerate(["shell", "shell", "rain"]):
+            assert P.pair_bounds(a, b)[i, j] == P.pair_bounds(P.Texts([x]), P.Texts([y]))[0, 0]

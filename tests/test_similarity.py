@@ -72,3 +72,21 @@ def test_spark_columns_match_helpers(spark):
     assert out[0]["s"] == 0.81
     assert out[1]["na"] == "" and out[1]["s"] == 0.0
     assert out[2]["na"] == "a b" and out[2]["s"] == 1.0 and out[2]["o"] == 1.0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1 ", max_size=30), st.text(alphabet="ab1 ", max_size=30))
+def test_token_set_ratio_is_its_definition(a, b):
+    ta, tb = set(a.split()), set(b.split())
+    inter = " ".join(sorted(ta & tb))
+    x, y = ((inter + " " + " ".join(sorted(rest))).strip() for rest in (ta - tb, tb - ta))
+    want = max(sim.ratio(inter, x), sim.ratio(inter, y), sim.ratio(x, y)) if ta and tb else 0
+    assert sim.token_set_ratio(a, b) == want
+
+
+def test_shared_tokens_are_not_searched(monkeypatch):
+    searched, lcs = [], sim.lcs_length
+    monkeypatch.setattr(sim, "lcs_length", lambda a, b: searched.append((a, b)) or lcs(a, b))
+    assert sim.token_set_ratio("rain jacket 21", "jacket rain 12") == 93
+    assert sim.token_set_ratio("rain jacket", "jacket rain 12") == 100
+    assert searched == [("21", "12")]
